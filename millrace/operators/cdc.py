@@ -7,11 +7,11 @@ one wins: a delete before others, then the larger row hash.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.operators.sizing import with_next
+from millrace.operators.sizing import hot_ranges, with_next
 
 START, END = "__START_AT", "__END_AT"
 DELETED = "__deleted"
@@ -85,21 +85,6 @@ def one_per_sequence(
     return settled.select(*changes.columns, DELETED)
 
 
-def history_from_settled(
-    settled: DataFrame,
-    keys: Sequence[str],
-    sequence_by: str,
-    except_cols: Sequence[str] = (),
-    *,
-    hot: Sequence[int] | None = None,
-    parts: int = 64,
-) -> DataFrame:
-    """Version rows from settled changes: each change ends where the key's next one starts."""
-    chained = with_next(settled, keys, sequence_by, END, hot=hot, parts=parts)
-    kept = [c for c in settled.columns if c not in {DELETED, *except_cols}]
-    return chained.where(~F.col(DELETED)).select(*kept, F.col(sequence_by).alias(START), END)
-
-
 def scd2(
     changes: DataFrame,
     keys: Sequence[str],
@@ -107,9 +92,20 @@ def scd2(
     *,
     delete_when: str | None = None,
     except_cols: Sequence[str] = (),
-    hot: Sequence[int] | None = None,
-    parts: int = 64,
+    ranges: Mapping[int, list] | None = None,
 ) -> DataFrame:
-    """Full history with validity columns; a delete closes the open version and adds none."""
-    settled = one_per_sequence(changes, keys, sequence_by, delete_when)
-    return history_from_settled(settled, keys, sequence_by, except_cols, hot=hot, parts=parts)
+    """Full history with validity columns; a delete closes the open version and adds none.
+
+    Every change ends where the next one of its key starts. Without hot keys the rows are
+    shuffled once, by key, and sorted once: settling ties and finding the next change both work
+    on that order. With hot keys (``ranges``, looked for when not given) ties are settled before
+    the shuffle, so copies of one change collapse early, and the busy keys are cut into ranges.
+    """
+    _check_sequence(changes, sequence_by)
+    if ranges is None:
+        ranges = hot_ranges(changes, keys, sequence_by)
+    rows = changes if ranges else changes.repartition(*keys)
+    settled = one_per_sequence(rows, keys, sequence_by, delete_when)
+    chained = with_next(settled, keys, sequence_by, END, ranges)
+    kept = [c for c in changes.columns if c not in set(except_cols)]
+    return chained.where(~F.col(DELETED)).select(*kept, F.col(sequence_by).alias(START), END)

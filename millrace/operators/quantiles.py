@@ -4,55 +4,94 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-_FEW = 10_000
+FEW_VALUES = 10_000
 _ACCURACY = 10_000
+_MARGIN = 2.0 / _ACCURACY
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list:
+@dataclass
+class _Search:
+    """The value of one rank, known to lie in [low, high]; ``below`` rows are under low."""
+
+    rank: int
+    low: object
+    high: object
+    below: int
+    rows: int
+
+    @property
+    def inside(self) -> Column:
+        return F.col("v").between(self.low, self.high)
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, shares: Sequence[float], few: int = FEW_VALUES
+) -> list:
     """The smallest value with at least ``share`` of the non-NULL rows at or below it.
 
-    Each round asks an approximate-quantile sketch for a bracket around the wanted rank, counts
-    exactly how many rows lie in and below it, and goes on inside it. A round narrows the column
-    by about the sketch's accuracy, so a few passes serve any size; only the last bracket, with
-    at most a few thousand distinct values counted per value, reaches the driver.
+    All shares are searched together. A round takes from one sketch pass a bracket around each
+    wanted rank and counts in a second pass how many rows lie in and below it; the bracket holds
+    about a thousandth of the rows, so a few rounds serve any size. When at most ``few`` different
+    values are left they are counted per value, and only those counts reach the driver.
     """
     values = df.select(F.col(column).alias("v")).where("v IS NOT NULL")
-    n = values.count()
-    return [_select(values, n, share) for share in shares] if n else [None] * len(shares)
-
-
-def _select(values: DataFrame, n: int, share: float):
-    rank, inside = max(1, math.ceil(n * share)), values
-    while True:
-        counted = inside.groupBy("v").agg(F.count("*").alias("n"))
-        if counted.limit(_FEW + 1).count() <= _FEW:
-            below = 0
-            for row in counted.orderBy("v").collect():
-                below += row["n"]
-                if below >= rank:
-                    return row["v"]
-        size = inside.count()
-        margin = 2.0 / _ACCURACY
-        low, high = max(0.0, rank / size - margin), min(1.0, rank / size + margin)
-        bounds = inside.agg(
-            F.percentile_approx("v", F.array(F.lit(low), F.lit(high)), _ACCURACY).alias("b"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        ).first()
-        lowest = bounds["b"][0] if low > 0 else bounds["min"]
-        highest = bounds["b"][1] if high < 1 else bounds["max"]
-        checked = inside.agg(
-            F.count_if(F.col("v") < lowest).alias("under"),
-            F.count_if(F.col("v") <= highest).alias("upto"),
-        ).first()
-        if checked["under"] < rank <= checked["upto"]:
-            inside = inside.where(F.col("v").between(lowest, highest))
-            rank -= checked["under"]
-        elif rank <= checked["under"]:
-            inside = inside.where(F.col("v") < lowest)
+    whole = values.agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    ).first()
+    if not whole["n"]:
+        return [None] * len(shares)
+    searches = [
+        _Search(max(1, math.ceil(whole["n"] * s)), whole["low"], whole["high"], 0, whole["n"])
+        for s in shares
+    ]
+    open_searches = list(searches)
+    while open_searches:
+        open_searches = _narrow(values, open_searches, few)
+    return [_pick(values, search) for search in searches]
+
+
+def _narrow(values: DataFrame, searches: list[_Search], few: int) -> list[_Search]:
+    """One round; returns the searches that still cover too many values."""
+    sketches = []
+    for i, s in enumerate(searches):
+        own = F.when(s.inside, F.col("v"))
+        at = (s.rank - s.below) / s.rows
+        ends = F.array(F.lit(max(0.0, at - _MARGIN)), F.lit(min(1.0, at + _MARGIN)))
+        sketches.append(F.approx_count_distinct(own).alias(f"values_{i}"))
+        sketches.append(F.percentile_approx(own, ends, _ACCURACY).alias(f"ends_{i}"))
+    sketched = values.agg(*sketches).first()
+    rest = [(i, s) for i, s in enumerate(searches) if sketched[f"values_{i}"] > few]
+    if not rest:
+        return []
+    counts = []
+    for i, s in rest:
+        low, high = sketched[f"ends_{i}"]
+        for end, value in (("low", low), ("high", high)):
+            counts.append(F.count_if(s.inside & (F.col("v") < value)).alias(f"under_{end}_{i}"))
+            counts.append(F.count_if(s.inside & (F.col("v") <= value)).alias(f"upto_{end}_{i}"))
+    counted = values.agg(*counts).first()
+    for i, s in rest:
+        low, high = sketched[f"ends_{i}"]
+        wanted = s.rank - s.below
+        under_low, upto_low = counted[f"under_low_{i}"], counted[f"upto_low_{i}"]
+        under_high, upto_high = counted[f"under_high_{i}"], counted[f"upto_high_{i}"]
+        if wanted <= under_low:
+            s.high, s.rows = low, upto_low
+        elif wanted <= upto_high:
+            s.low, s.high, s.below, s.rows = low, high, s.below + under_low, upto_high - under_low
         else:
-            inside = inside.where(F.col("v") > highest)
-            rank -= checked["upto"]
+            s.low, s.below, s.rows = high, s.below + under_high, s.rows - under_high
+    return [s for _, s in rest]
+
+
+def _pick(values: DataFrame, search: _Search):
+    below = search.below
+    counted = values.where(search.inside).groupBy("v").agg(F.count("*").alias("n"))
+    for row in counted.orderBy("v").collect():
+        below += row["n"]
+        if below >= search.rank:
+            return row["v"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -51,14 +51,27 @@ def hot_key_hashes(
     return [item["item"] for item in found["top"] or [] if item["count"] > rows_per_task]
 
 
-def order_splits(
-    df: DataFrame, keys: Sequence[str], order: str, hot: Sequence[int], parts: int
+def hot_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    *,
+    parts: int = 64,
+    rows_per_task: int = ROWS_PER_TASK,
+    small_table: int = SMALL_TABLE,
 ) -> dict[int, list]:
-    """For every hot key, ``parts - 1`` cut points of ``order`` (at most HOT_KEYS lists)."""
+    """For every hot key its hash and up to ``parts - 1`` cut points of ``order``.
+
+    Empty when no key is hot. At most HOT_KEYS short lists reach the driver. Where the cuts fall
+    decides only how evenly a key is spread, so approximate ones do.
+    """
+    hot = hot_key_hashes(df, keys, rows_per_task, small_table)
+    if not hot:
+        return {}
     fractions = ", ".join(str(i / parts) for i in range(1, parts))
     rows = (
         df.select(key_hash(keys).alias("h"), F.col(order).alias("o"))
-        .where(F.col("h").isin(list(hot)))
+        .where(F.col("h").isin(hot))
         .groupBy("h")
         .agg(F.expr(f"percentile_approx(o, array({fractions}))").alias("cuts"))
         .collect()
@@ -67,58 +80,40 @@ def order_splits(
 
 
 def with_next(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    out: str,
-    *,
-    hot: Sequence[int] | None = None,
-    parts: int = 64,
+    df: DataFrame, keys: Sequence[str], order: str, out: str, ranges: Mapping[int, list]
 ) -> DataFrame:
     """Add ``out``: the next larger ``order`` of the same key, NULL on the last row.
 
-    ``order`` must be unique per key. A key found hot is cut into ranges of ``order`` that are
-    windowed by different tasks; the first value of each following range (at most ``parts`` per
-    hot key, so a bounded broadcast) closes the seams between them.
+    ``order`` must be unique per key. The keys in ``ranges`` are cut into ranges of ``order``
+    that are windowed by different tasks; the first value of each following range (a bounded
+    number per hot key, so a safe broadcast) closes the seams between them.
     """
-    hot = hot_key_hashes(df, keys) if hot is None else list(hot)
-    if not hot:
+    if not ranges:
         window = Window.partitionBy(*keys).orderBy(order)
         return df.withColumn(out, F.lead(order).over(window))
 
-    spark = df.sparkSession
-    order_type = df.schema[order].dataType
-    splits = order_splits(df, keys, order, hot, parts)
     cut_schema = T.StructType(
         [
             T.StructField("__cut_hash", T.LongType()),
-            T.StructField("__cuts", T.ArrayType(order_type)),
+            T.StructField("__cuts", T.ArrayType(df.schema[order].dataType)),
         ]
     )
-    cuts = spark.createDataFrame(list(splits.items()), cut_schema)
+    cuts = df.sparkSession.createDataFrame(list(ranges.items()), cut_schema)
+    below = F.size(F.filter("__cuts", lambda cut: cut < F.col(order)))
     ranged = (
         df.withColumn("__hash", key_hash(keys))
         .join(F.broadcast(cuts), F.col("__hash") == F.col("__cut_hash"), "left")
-        .withColumn(
-            "__range",
-            F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(
-                F.size(F.filter("__cuts", lambda cut: cut < F.col(order)))
-            ),
-        )
+        .withColumn("__range", F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(below))
         .drop("__cut_hash", "__cuts")
     )
-    inside = Window.partitionBy(*keys, "__hash", "__range").orderBy(order)
-    across = Window.partitionBy(*keys, "__hash").orderBy("__range")
+    inside = Window.partitionBy(*keys, "__range").orderBy(order)
+    across = Window.partitionBy("__seam_key").orderBy("__seam_range")
     heads = (
         ranged.where("__range >= 0")
-        .groupBy(*keys, "__hash", "__range")
+        .groupBy(F.struct(*keys).alias("__seam_key"), F.col("__range").alias("__seam_range"))
         .agg(F.min(order).alias("__head"))
         .withColumn("__next_head", F.lead("__head").over(across))
-        .select(
-            F.struct(*keys).alias("__seam_key"),
-            F.col("__range").alias("__seam_range"),
-            "__next_head",
-        )
+        .drop("__head")
     )
     seam = F.struct(*keys).eqNullSafe(F.col("__seam_key")) & (
         F.col("__range") == F.col("__seam_range")

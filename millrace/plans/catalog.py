@@ -45,13 +45,17 @@ class Query:
 CATALOG: dict[str, Query] = {}
 
 
-def query(sql: str | None = None) -> Callable:
-    """Register a function under its own name; ``sql`` states the same result for the oracle."""
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    """Register a function under its own name, or ``name`` where an operator has that name.
+
+    ``sql`` states the same result for the oracle.
+    """
 
     def register(run: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        if run.__name__ in CATALOG:
-            raise ValueError(f"query {run.__name__} is registered twice")
-        CATALOG[run.__name__] = Query(run, sql)
+        key = name or run.__name__
+        if key in CATALOG:
+            raise ValueError(f"query {key} is registered twice")
+        CATALOG[key] = Query(run, sql)
         return run
 
     return register

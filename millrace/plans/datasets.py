@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -24,6 +24,8 @@ class Dataset:
     build: Callable[..., DataFrame]
     rules: tuple[Rule, ...]
     kind: str
+    comment: str = ""
+    properties: Mapping[str, str] = field(default_factory=dict)
 
 
 class DatasetGraph:
@@ -37,23 +39,25 @@ class DatasetGraph:
     def __init__(self) -> None:
         self._datasets: dict[str, Dataset] = {}
 
-    def _declare(self, kind, name, inputs, rules) -> Callable:
+    def _declare(self, kind, name, inputs, rules, comment, properties) -> Callable:
         def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             if name in self._datasets:
                 raise ValueError(f"dataset {name} is declared twice")
-            self._datasets[name] = Dataset(name, tuple(inputs), build, tuple(rules), kind)
+            self._datasets[name] = Dataset(
+                name, tuple(inputs), build, tuple(rules), kind, comment, dict(properties or {})
+            )
             return build
 
         return register
 
-    def stored(self, name: str, inputs: Sequence[str] = (), rules: Sequence[Rule] = ()):
-        return self._declare(STORED, name, inputs, rules)
+    def stored(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
+        return self._declare(STORED, name, inputs, rules, comment, properties)
 
-    def streamed(self, name: str, inputs: Sequence[str] = (), rules: Sequence[Rule] = ()):
-        return self._declare(STREAMED, name, inputs, rules)
+    def streamed(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
+        return self._declare(STREAMED, name, inputs, rules, comment, properties)
 
-    def view(self, name: str, inputs: Sequence[str] = (), rules: Sequence[Rule] = ()):
-        return self._declare(VIEW, name, inputs, rules)
+    def view(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
+        return self._declare(VIEW, name, inputs, rules, comment, properties)
 
     def order(self) -> list[Dataset]:
         """Build order; a cycle raises ``graphlib.CycleError``."""
@@ -125,6 +129,8 @@ def _log_rows(dataset: Dataset, frame: DataFrame, counts: Mapping | None) -> lis
         "output_dataset": dataset.name,
         "input_datasets": list(dataset.inputs),
         "flow_type": dataset.kind,
+        "comment": dataset.comment,
+        "properties": dict(dataset.properties),
         "schema": [{"name": f.name, "source": None} for f in frame.schema.fields],
     }
     rows = [(eventlog.DEFINITION, dataset.name, json.dumps({eventlog.DEFINITION: definition}))]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.cdc import END, START, scd1, scd2
+from millrace.operators.sizing import hot_ranges
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import change_feed
 from millrace.streaming.changes import apply_changes, fold, read_current, read_history
@@ -39,12 +40,10 @@ def scd2_history(t):
 @query(_HISTORY_SQL)
 def scd2_hot_key_split(t):
     """The same history with the busiest keys cut into time ranges that run as separate tasks."""
-    from millrace.operators.sizing import hot_key_hashes
-
     feed = change_feed(t.events)
-    hot = hot_key_hashes(feed, ["user_id"], rows_per_task=70, small_table=0)
+    ranges = hot_ranges(feed, ["user_id"], "ts", parts=8, rows_per_task=65, small_table=0)
     return scd2(
-        feed, delete_when=_DELETE, except_cols=["operation", "ts"], hot=hot, parts=8, **_FEED
+        feed, delete_when=_DELETE, except_cols=["operation", "ts"], ranges=ranges, **_FEED
     )
 
 

@@ -19,7 +19,7 @@ from millrace.plans.queries.quality import progress_log
 from millrace.plans.queries.scalars import _EMAIL_SQL, _VALID_SQL, customers_with_email
 from millrace.sources.evolution import RESCUED
 from millrace.sources.files import read_csv
-from millrace.sources.ingest import SOURCE_FILE, ingest_json, read_ingested
+from millrace.sources.ingest import LOAD_TIME, SOURCE_FILE, ingest_json, read_ingested
 
 # ---- layered billing ------------------------------------------------------------------------
 
@@ -239,7 +239,7 @@ def flow_changes(t):
         "keys": ["user_id"],
         "sequence_by": "operation_date",
         "delete_when": "operation = 'DELETE'",
-        "except_cols": ["operation", "operation_date", RESCUED, SOURCE_FILE],
+        "except_cols": ["operation", "operation_date", RESCUED, SOURCE_FILE, LOAD_TIME],
     }
 
     @graph.stored("current", inputs=["clean"])
@@ -274,7 +274,7 @@ _ASSET_SQL = f"""
     SELECT u.day, u.user_id, count(DISTINCT u.event_id) AS total_uses,
            CAST(sum(u.revenue) AS DOUBLE) AS total_revenue,
            arg_min(u.from_place, u.ts) AS first_place, arg_max(u.to_place, u.ts) AS last_place,
-           e.user_id IS NOT NULL AS requires_maintenance
+           e.user_id IS NOT NULL AS had_fault
     FROM ({_USES_SQL}) u LEFT JOIN
         (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error') e
         ON u.user_id = e.user_id AND u.day = e.day
@@ -325,7 +325,7 @@ def asset_days(t):
         (F.col("revenue") * F.coalesce("faults", F.lit(1))).cast("double").alias("total_revenue"),
         "first_place",
         "last_place",
-        F.col("faults").isNotNull().alias("requires_maintenance"),
+        F.col("faults").isNotNull().alias("had_fault"),
     )
 
 
@@ -336,42 +336,57 @@ def mart_asset_day(t):
 
 @query(
     f"""
-    WITH starts AS (
-        SELECT day, from_place AS place, sum(revenue) AS revenue, count(*) AS n
-        FROM ({_USES_SQL}) GROUP BY ALL),
-    ends AS (
-        SELECT day, to_place AS place, sum(revenue) AS revenue, count(*) AS n
-        FROM ({_USES_SQL}) GROUP BY ALL),
-    inventory AS (
-        SELECT day, last_place AS place, count(*) AS n FROM ({_ASSET_SQL}) GROUP BY ALL)
-    SELECT coalesce(s.day, e.day) AS day, coalesce(s.place, e.place) AS place,
-           coalesce(s.n, 0) AS uses_from, coalesce(e.n, 0) AS uses_to,
-           coalesce(i.n, 0) AS end_of_day_inventory,
-           CAST(coalesce(s.revenue, 0) AS DOUBLE) AS revenue_from,
-           CAST(coalesce(e.revenue, 0) AS DOUBLE) AS revenue_to
-    FROM starts s FULL OUTER JOIN ends e ON s.day = e.day AND s.place = e.place
-    LEFT JOIN inventory i ON coalesce(s.day, e.day) = i.day
-                         AND coalesce(s.place, e.place) = i.place
+    WITH touched AS (
+        SELECT day, from_place AS place, 1 AS left_here, 0 AS came_here, revenue AS earned_from,
+               0 AS earned_to FROM ({_USES_SQL})
+        UNION ALL
+        SELECT day, to_place, 0, 1, 0, revenue FROM ({_USES_SQL}))
+    SELECT day, place, CAST(sum(left_here) AS BIGINT) AS uses_from,
+           CAST(sum(came_here) AS BIGINT) AS uses_to,
+           CAST(sum(earned_from) AS DOUBLE) AS revenue_from,
+           CAST(sum(earned_to) AS DOUBLE) AS revenue_to,
+           (SELECT count(*) FROM ({_ASSET_SQL}) a WHERE a.day = touched.day
+            AND a.last_place = touched.place) AS assets_at_close
+    FROM touched GROUP BY day, place
     """
 )
 def mart_place_day(t):
-    def by(place, count, amount):
-        return (
-            uses(t)
-            .groupBy("day", F.col(place).alias("place"))
-            .agg(F.count("*").alias(count), F.sum("revenue").cast("double").alias(amount))
-        )
+    """Uses leaving and reaching each place, and how many assets ended the day there.
 
-    inventory = (
+    A use counts at both its places, so it becomes two rows of one aggregation; a place seen
+    from one side only gets zeros for the other without an outer join.
+    """
+    zero = F.lit(0).cast("decimal(18,2)")
+    ends = F.array(
+        F.struct(
+            F.col("from_place").alias("place"),
+            F.lit(1).alias("leaves"),
+            F.col("revenue").alias("earned_from"),
+            zero.alias("earned_to"),
+        ),
+        F.struct(
+            F.col("to_place").alias("place"),
+            F.lit(0).alias("leaves"),
+            zero.alias("earned_from"),
+            F.col("revenue").alias("earned_to"),
+        ),
+    )
+    touched = uses(t).select("day", F.inline(ends))
+    closing = (
         asset_days(t)
         .groupBy("day", F.col("last_place").alias("place"))
-        .agg(F.count("*").alias("end_of_day_inventory"))
+        .agg(F.count("*").alias("assets_at_close"))
     )
     return (
-        by("from_place", "uses_from", "revenue_from")
-        .join(by("to_place", "uses_to", "revenue_to"), ["day", "place"], "full_outer")
-        .join(inventory, ["day", "place"], "left")
-        .na.fill(0)
+        touched.groupBy("day", "place")
+        .agg(
+            F.sum("leaves").alias("uses_from"),
+            F.sum(1 - F.col("leaves")).alias("uses_to"),
+            F.sum("earned_from").cast("double").alias("revenue_from"),
+            F.sum("earned_to").cast("double").alias("revenue_to"),
+        )
+        .join(closing, ["day", "place"], "left")
+        .na.fill(0, ["assets_at_close"])
     )
 
 

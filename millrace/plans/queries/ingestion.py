@@ -122,7 +122,7 @@ def evolve_rescue(t):
     """
 )
 def evolve_none(t):
-    rows = _evolve(t, evolution.NONE).drop("_source_file")
+    rows = _evolve(t, evolution.NONE).drop("_source_file", "_load_time")
     return (
         rows.groupBy("event_type")
         .agg(F.count("*").alias("n_rows"))

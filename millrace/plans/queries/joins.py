@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import interval_join, salted_join
-from millrace.operators.sizing import broadcast_if_small
+from millrace.operators.sizing import broadcast_if_small, hot_key_hashes
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import NET_PRICE_SQL, net_price, total
 
@@ -165,8 +165,6 @@ def join_range_interval(t):
 )
 def join_salted(t):
     """A third of the lines share one part; the hot key is found by a sketch, then salted."""
-    from millrace.operators.sizing import hot_key_hashes
-
     part_key = F.when(F.col("l_returnflag") == "A", F.lit(0)).otherwise(F.col("l_partkey"))
     keyed = t.lineitem.select(part_key.cast("long").alias("p_partkey"), "l_quantity")
     hot = hot_key_hashes(keyed, ["p_partkey"], rows_per_task=10_000, small_table=0)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from millrace.operators.diagnostics import (
@@ -13,6 +12,7 @@ from millrace.operators.diagnostics import (
 )
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import NET_PRICE_SQL, net_price, total
+from millrace.session import cached
 from millrace.sinks.layout import compact, write_bucketed, write_clustered
 
 _LINES_SQL = """
@@ -143,16 +143,15 @@ def repartition_coalesce(t):
     """
 )
 def cached_reuse(t):
-    """One aggregate, kept on the executors' memory and disk, feeds two results."""
-    slim = t.lineitem.groupBy("l_suppkey").agg(total("l_quantity").alias("quantity"))
-    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
-    suppliers = slim.agg(F.count("*").cast("double").alias("value"))
-    largest = slim.agg(F.max("quantity").alias("value"))
-    return (
-        suppliers.withColumn("figure", F.lit("suppliers"))
-        .unionByName(largest.withColumn("figure", F.lit("largest")))
-        .select("figure", "value")
-    )
+    """One aggregate, cached while two reports are written from it, then released."""
+    path = t.scratch("supplier-report")
+    sums = t.lineitem.groupBy("l_suppkey").agg(total("l_quantity").alias("quantity"))
+    with cached(sums) as slim:
+        suppliers = slim.agg(F.count("*").cast("double").alias("value"))
+        largest = slim.agg(F.max("quantity").alias("value"))
+        for figure, report in (("suppliers", suppliers), ("largest", largest)):
+            report.withColumn("figure", F.lit(figure)).write.mode("append").parquet(path)
+    return t.spark.read.parquet(path).select("figure", "value")
 
 
 @query(

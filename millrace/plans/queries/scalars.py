@@ -464,7 +464,8 @@ _TEXT_LABELS = {
     SELECT doc_id, CASE WHEN licence = 0 AND contact = 0 THEN 'other'
                         WHEN licence >= contact THEN 'licence' ELSE 'contact' END AS label
     FROM scored
-    """
+    """,
+    name="classify_keywords",
 )
 def classify_texts(t):
     label = classify_keywords(F.col("text"), _TEXT_LABELS, "other")
@@ -499,9 +500,10 @@ _FORECAST_SQL = f"""
     SELECT CAST(day AS DATE) AS day, round(fit, 2) AS revenue_forecast,
            round(fit + half, 2) AS revenue_upper, round(fit - half, 2) AS revenue_lower
     FROM band
-    """
+    """,
+    name="forecast_trend",
 )
-def forecast_trend_daily(t):
+def forecast_daily(t):
     ahead = forecast_trend(daily_revenue(t.orders), "day", "revenue")
     figures = ["revenue_forecast", "revenue_upper", "revenue_lower"]
     return ahead.select("day", *[F.round(c, 2).alias(c) for c in figures])

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 
@@ -14,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "millrace") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -25,6 +30,19 @@ def local_session(cpus: int | str = "*", app: str = "millrace") -> SparkSession:
     return spark
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame on the executors while several actions read it, and release it afterwards.
+
+    Lost blocks are recomputed from the lineage, so losing an executor costs time, not rows.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * MIB, floor: int = 8) -> int:
     """Partition count that keeps one shuffle partition near ``target_bytes``."""
     return max(floor, -(-input_bytes // target_bytes))

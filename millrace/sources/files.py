@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-FORMATS = ("parquet", "json", "csv", "orc", "text", "binaryFile")
+# Avro needs the spark-avro package on the cluster; the others are built in.
+FORMATS = ("parquet", "json", "csv", "orc", "text", "binaryFile", "avro")
 
 
 def with_hints(schema: T.StructType, hints: str) -> T.StructType:

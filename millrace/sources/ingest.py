@@ -11,7 +11,7 @@ from millrace.sources.evolution import NewColumns, SchemaStore
 from millrace.sources.files import infer_schema, with_hints
 from millrace.streaming.flows import batch_folder, read_batches, start
 
-SOURCE_FILE = "_source_file"
+SOURCE_FILE, LOAD_TIME = "_source_file", "_load_time"
 
 
 def _file_stream(spark, src, fmt, schema, max_files, options) -> DataFrame:
@@ -20,7 +20,11 @@ def _file_stream(spark, src, fmt, schema, max_files, options) -> DataFrame:
         reader = reader.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(src).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return reader.load(src).select(
+        "*",
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.current_timestamp().alias(LOAD_TIME),
+    )
 
 
 def ingest_json(
@@ -50,7 +54,7 @@ def ingest_json(
         return with_hints(inferred, hints) if hints else inferred
 
     def write(batch: DataFrame, batch_id: int, schema: T.StructType) -> None:
-        rows = evolution.parse_records(batch, schema, mode, keep=(SOURCE_FILE,))
+        rows = evolution.parse_records(batch, schema, mode, keep=(SOURCE_FILE, LOAD_TIME))
         rows.write.mode("overwrite").parquet(batch_folder(target, batch_id))
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -111,7 +115,10 @@ def read_ingested(
 ) -> DataFrame:
     """The ingested rows under the stored schema; rows from before a new column read NULL."""
     schema = SchemaStore(spark, checkpoint).load()
-    extra = [T.StructField(SOURCE_FILE, T.StringType())]
+    extra = [
+        T.StructField(SOURCE_FILE, T.StringType()),
+        T.StructField(LOAD_TIME, T.TimestampType()),
+    ]
     if mode != evolution.NONE:
         extra.insert(0, T.StructField(evolution.RESCUED, T.StringType()))
     return read_batches(spark, target, T.StructType(schema.fields + extra)).drop("batch_id")

@@ -16,6 +16,9 @@ from millrace import scratch
 from millrace.operators import cdc
 from millrace.streaming.flows import batch_flow
 
+_FLAG = "__was_deleted"
+_REDUCE = {1: cdc.current_with_tombstones, 2: cdc.one_per_sequence}
+
 
 def apply_changes(
     changes: DataFrame,
@@ -33,7 +36,7 @@ def apply_changes(
     Type 1 batches are reduced to one row per key, deletes kept as tombstones; type 2 batches
     keep one row per key and sequence.
     """
-    reduce = {1: cdc.current_with_tombstones, 2: cdc.one_per_sequence}[scd]
+    reduce = _REDUCE[scd]
 
     def shape(batch: DataFrame) -> DataFrame:
         return reduce(batch, keys, sequence_by, delete_when)
@@ -60,11 +63,9 @@ def _changes(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/base/upto={upto}").unionByName(deltas)
 
 
-def _reduced(spark, target, keys, sequence_by, scd) -> DataFrame:
-    changes = _changes(spark, target)
-    plain = changes.withColumnRenamed(cdc.DELETED, "__was_deleted")
-    reduce = {1: cdc.current_with_tombstones, 2: cdc.one_per_sequence}[scd]
-    return reduce(plain, keys, sequence_by, "__was_deleted").drop("__was_deleted")
+def _stored(spark: SparkSession, target: str) -> DataFrame:
+    """Base and deltas with the stored delete flag under a plain name."""
+    return _changes(spark, target).withColumnRenamed(cdc.DELETED, _FLAG)
 
 
 def read_current(
@@ -76,8 +77,13 @@ def read_current(
     except_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Current rows of a type 1 target."""
-    state = _reduced(spark, target, keys, sequence_by, 1)
-    return state.where(f"NOT {cdc.DELETED}").drop(cdc.DELETED, *except_cols)
+    return cdc.scd1(
+        _stored(spark, target),
+        keys,
+        sequence_by,
+        delete_when=_FLAG,
+        except_cols=[_FLAG, *except_cols],
+    )
 
 
 def read_history(
@@ -89,8 +95,13 @@ def read_history(
     except_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Version rows of a type 2 target."""
-    settled = _reduced(spark, target, keys, sequence_by, 2)
-    return cdc.history_from_settled(settled, keys, sequence_by, except_cols)
+    return cdc.scd2(
+        _stored(spark, target),
+        keys,
+        sequence_by,
+        delete_when=_FLAG,
+        except_cols=[_FLAG, *except_cols],
+    )
 
 
 def fold(
@@ -104,6 +115,6 @@ def fold(
     batches = scratch.child_names(spark, f"{target}/deltas")
     upto = max(int(name.removeprefix("batch_id=")) for name in batches if "=" in name)
     if upto > _folded_upto(spark, target):
-        folded = _reduced(spark, target, keys, sequence_by, scd)
+        folded = _REDUCE[scd](_stored(spark, target), keys, sequence_by, _FLAG).drop(_FLAG)
         folded.write.mode("overwrite").parquet(f"{target}/base/upto={upto}")
     return upto
