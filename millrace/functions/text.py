@@ -11,8 +11,11 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 
 def is_email(value: Column) -> Column:
-    """TRUE for a well-formed address; a NULL is simply not one."""
-    return F.coalesce(value.rlike(EMAIL_PATTERN), F.lit(False))
+    """TRUE for a well-formed address; a NULL is simply not one.
+
+    The ``d`` flag makes ``$`` accept a final newline but no other line end, as Python does.
+    """
+    return F.coalesce(value.rlike(f"(?d){EMAIL_PATTERN}"), F.lit(False))
 
 
 @F.udf(T.BooleanType(), useArrow=True)

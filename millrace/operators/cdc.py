@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from millrace.operators.sizing import hot_ranges, with_next
 
 START, END = "__START_AT", "__END_AT"
-DELETED = "__deleted"
+DELETED, WAS_DELETED = "__deleted", "__was_deleted"
 
 
 def flag_true(condition: str | None) -> Column:
@@ -35,7 +35,9 @@ def _winner_per(
     """One winning change per ``by`` group, with its delete flag; combines before the shuffle."""
     rest = [c for c in changes.columns if c not in by]
     flagged = changes.withColumn(DELETED, flag_true(delete_when))
-    rank = F.struct(sequence_by, DELETED, F.xxhash64(*changes.columns))
+    # A stored flag is not part of the row, so stored and fresh changes rank alike.
+    content = sorted(c for c in changes.columns if c != WAS_DELETED)
+    rank = F.struct(sequence_by, DELETED, F.xxhash64(*content))
     row = F.max_by(F.struct(*rest, DELETED), rank)
     return (
         flagged.groupBy(*by)

@@ -16,7 +16,7 @@ from millrace import scratch
 from millrace.operators import cdc
 from millrace.streaming.flows import batch_flow
 
-_FLAG = "__was_deleted"
+_FLAG = cdc.WAS_DELETED
 _REDUCE = {1: cdc.current_with_tombstones, 2: cdc.one_per_sequence}
 
 
