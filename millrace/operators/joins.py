@@ -9,19 +9,51 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.times import epoch_micros
 from millrace.operators.sizing import hot_key_hashes, key_hash
 
-# Bucket widths are 4**level microseconds; level 10 is about one second.
+# An interval of level n is at most 4**n microseconds long and is filed in buckets of an eighth
+# of that; level 10 is about one second.
 _MIN_LEVEL, _MAX_LEVEL = 10, 31
+_BUCKETS = 8
 
 
 def _level(start: Column, end: Column) -> Column:
-    """Smallest level whose bucket is at least as wide as the interval."""
+    """Smallest level whose length covers the interval."""
     width = F.greatest(end - start, F.lit(1)).cast("double")
     level = F.ceil(F.log2(width) / 2).cast("int")
     return F.least(F.greatest(level, F.lit(_MIN_LEVEL)), F.lit(_MAX_LEVEL))
 
 
 def _bucket(at: Column, level: Column) -> Column:
-    return F.floor(at / F.pow(F.lit(4.0), level)).cast("long")
+    return F.call_function("shiftright", at * F.lit(_BUCKETS), 2 * level)
+
+
+def _filed(intervals: DataFrame, start: str, end: str) -> tuple[DataFrame, list[int]]:
+    """Intervals once per bucket they touch, ``__whole`` where they cover it, and the levels."""
+    levelled = (
+        intervals.where(F.col(start) < F.col(end))
+        .withColumn("__s", epoch_micros(F.col(start)))
+        .withColumn("__e", epoch_micros(F.col(end)))
+        .withColumn("__level", _level(F.col("__s"), F.col("__e")))
+    )
+    levels = sorted(row[0] for row in levelled.select("__level").distinct().collect())
+    filed = (
+        levelled.withColumn("__first", _bucket(F.col("__s"), F.col("__level")))
+        .withColumn("__last", _bucket(F.col("__e"), F.col("__level")))
+        .withColumn("__bucket", F.explode(F.sequence("__first", "__last")))
+        .withColumn(
+            "__whole",
+            (F.col("__first") < F.col("__bucket")) & (F.col("__bucket") < F.col("__last")),
+        )
+        .drop("__s", "__e", "__first", "__last")
+    )
+    return filed, levels or [_MIN_LEVEL]
+
+
+def _located(points: DataFrame, point: str, levels: Sequence[int]) -> DataFrame:
+    return (
+        points.where(F.col(point).isNotNull())
+        .withColumn("__level", F.explode(F.array(*[F.lit(level) for level in levels])))
+        .withColumn("__bucket", _bucket(epoch_micros(F.col(point)), F.col("__level")))
+    )
 
 
 def interval_join(
@@ -34,38 +66,57 @@ def interval_join(
 ) -> DataFrame:
     """All pairs with ``start < point < end`` (and equal ``on`` columns), each exactly once.
 
-    An interval is filed under the level whose buckets are at least as wide as itself, so it
-    touches at most two buckets however long it is; a point is filed once per level that occurs
-    (at most 22, one for windows of a single length). The join is then an equi-join on
-    (level, bucket) with the strict bounds re-checked, which Spark can shuffle, split on skew or
-    broadcast like any other, where the bare inequality would be a nested loop over all pairs.
+    An interval is filed under its length class, in buckets of an eighth of the class, so it
+    touches at most nine buckets however long it is, and at most about half of the candidates
+    drop out at its edges. A point is filed once per class that occurs (at most 22, one for
+    windows of a single length). The join is then an equi-join on (level, bucket) with the strict
+    bounds re-checked, which Spark can shuffle, split on skew or broadcast like any other, where
+    the bare inequality would be a nested loop over all pairs.
     """
-    filed = (
-        intervals.where(F.col(start) < F.col(end))
-        .withColumn("__s", epoch_micros(F.col(start)))
-        .withColumn("__e", epoch_micros(F.col(end)))
-        .withColumn("__level", _level(F.col("__s"), F.col("__e")))
-    )
-    levels = sorted(row[0] for row in filed.select("__level").distinct().collect())
-    if not levels:
-        levels = [_MIN_LEVEL]
-    filed = filed.withColumn(
-        "__bucket",
-        F.explode(
-            F.sequence(
-                _bucket(F.col("__s"), F.col("__level")), _bucket(F.col("__e"), F.col("__level"))
-            )
-        ),
-    ).drop("__s", "__e")
-    located = (
-        points.where(F.col(point).isNotNull())
-        .withColumn("__level", F.explode(F.array(*[F.lit(level) for level in levels])))
-        .withColumn("__bucket", _bucket(epoch_micros(F.col(point)), F.col("__level")))
-    )
+    filed, levels = _filed(intervals, start, end)
+    located = _located(points, point, levels)
     return (
         filed.join(located, [*on, "__level", "__bucket"])
         .where((F.col(start) < F.col(point)) & (F.col(point) < F.col(end)))
-        .drop("__level", "__bucket")
+        .drop("__level", "__bucket", "__whole")
+    )
+
+
+def interval_totals(
+    intervals: DataFrame,
+    points: DataFrame,
+    start: str,
+    end: str,
+    point: str,
+    *,
+    by: str,
+    value: str,
+) -> DataFrame:
+    """Per interval and ``by`` value of its points: how many there are and their sum.
+
+    The aggregate of ``interval_join`` without most of its pairs. Inside the buckets an interval
+    covers whole, the points are added up per bucket and ``by`` value before the join, so a busy
+    ``by`` value or a pile of copies is one row there; single points only meet the intervals
+    whose edge falls into their bucket. Intervals without points are absent.
+    """
+    filed, levels = _filed(intervals, start, end)
+    located = _located(points.select(point, by, value), point, levels)
+    bucketed = located.groupBy("__level", "__bucket", by).agg(
+        F.count("*").alias("n_points"), F.sum(value).alias("total")
+    )
+    covered = filed.where("__whole").join(bucketed, ["__level", "__bucket"])
+    edges = (
+        filed.where("NOT __whole")
+        .join(located, ["__level", "__bucket"])
+        .where((F.col(start) < F.col(point)) & (F.col(point) < F.col(end)))
+        .withColumns({"n_points": F.lit(1).cast("long"), "total": F.col(value)})
+    )
+    columns = [*intervals.columns, by, "n_points", "total"]
+    return (
+        covered.select(*columns)
+        .unionByName(edges.select(*columns))
+        .groupBy(*intervals.columns, by)
+        .agg(F.sum("n_points").alias("n_points"), F.sum("total").alias("total"))
     )
 
 

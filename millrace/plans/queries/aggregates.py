@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, money, net_price, total
+from millrace.plans.queries.common import NET_PRICE_SQL, cents, net_total, total
 
 
 @query(
@@ -23,7 +23,7 @@ def scan_parquet(t):
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         total("l_quantity").alias("sum_qty"),
         total("l_extendedprice").alias("sum_base"),
-        F.sum(net_price()).cast("double").alias("revenue"),
+        net_total().alias("revenue"),
         F.count("*").alias("n_lines"),
     )
 
@@ -150,13 +150,13 @@ def agg_summary(t):
 )
 def agg_dict(t):
     totals = (
-        t.orders.withColumn("price", money("o_totalprice"))
+        t.orders.withColumn("cents", cents("o_totalprice"))
         .groupBy("o_orderpriority")
-        .agg({"price": "sum", "o_orderkey": "count", "o_custkey": "max"})
+        .agg({"cents": "sum", "o_orderkey": "count", "o_custkey": "max"})
     )
     return totals.select(
         "o_orderpriority",
-        F.col("sum(price)").cast("double").alias("revenue"),
+        (F.col("sum(cents)") / 100).alias("revenue"),
         F.col("count(o_orderkey)").alias("invoices"),
         F.col("max(o_custkey)").alias("last_customer"),
     )

@@ -8,13 +8,13 @@ from millrace.functions.forecast import forecast_trend
 from millrace.functions.text import clean_code, is_email
 from millrace.operators import eventlog
 from millrace.operators.cdc import START, scd1, scd2
-from millrace.operators.joins import interval_join
+from millrace.operators.joins import interval_totals
 from millrace.operators.merge import merge
 from millrace.operators.quality import DROP, Rule, expect_all
 from millrace.plans.catalog import query
 from millrace.plans.datasets import DatasetGraph, read_events
 from millrace.plans.queries.aggregates import _DAILY_SQL, daily_revenue
-from millrace.plans.queries.common import change_feed, money, total
+from millrace.plans.queries.common import cents, change_feed, exact_sum, total
 from millrace.plans.queries.quality import progress_log
 from millrace.plans.queries.scalars import _EMAIL_SQL, _VALID_SQL, customers_with_email
 from millrace.sources.evolution import RESCUED
@@ -290,7 +290,7 @@ def uses(t):
         "user_id",
         "ts",
         F.col("ts").cast("date").alias("day"),
-        money("value").alias("revenue"),
+        cents("value").alias("cents"),
         F.concat(F.lit("p"), k % 5).alias("from_place"),
         F.concat(F.lit("p"), F.floor(k / 20)).alias("to_place"),
     )
@@ -308,7 +308,7 @@ def asset_days(t):
         .groupBy("day", "user_id")
         .agg(
             F.count_distinct("event_id").alias("total_uses"),
-            F.sum("revenue").alias("revenue"),
+            F.sum("cents").alias("cents"),
             F.min_by("from_place", "ts").alias("first_place"),
             F.max_by("to_place", "ts").alias("last_place"),
         )
@@ -322,7 +322,7 @@ def asset_days(t):
         "day",
         "user_id",
         "total_uses",
-        (F.col("revenue") * F.coalesce("faults", F.lit(1))).cast("double").alias("total_revenue"),
+        (F.col("cents") * F.coalesce("faults", F.lit(1)) / 100).alias("total_revenue"),
         "first_place",
         "last_place",
         F.col("faults").isNotNull().alias("had_fault"),
@@ -356,19 +356,19 @@ def mart_place_day(t):
     A use counts at both its places, so it becomes two rows of one aggregation; a place seen
     from one side only gets zeros for the other without an outer join.
     """
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast("long")
     ends = F.array(
         F.struct(
             F.col("from_place").alias("place"),
             F.lit(1).alias("leaves"),
-            F.col("revenue").alias("earned_from"),
+            F.col("cents").alias("earned_from"),
             zero.alias("earned_to"),
         ),
         F.struct(
             F.col("to_place").alias("place"),
             F.lit(0).alias("leaves"),
             zero.alias("earned_from"),
-            F.col("revenue").alias("earned_to"),
+            F.col("cents").alias("earned_to"),
         ),
     )
     touched = uses(t).select("day", F.inline(ends))
@@ -382,8 +382,8 @@ def mart_place_day(t):
         .agg(
             F.sum("leaves").alias("uses_from"),
             F.sum(1 - F.col("leaves")).alias("uses_to"),
-            F.sum("earned_from").cast("double").alias("revenue_from"),
-            F.sum("earned_to").cast("double").alias("revenue_to"),
+            exact_sum(F.col("earned_from"), 100).alias("revenue_from"),
+            exact_sum(F.col("earned_to"), 100).alias("revenue_to"),
         )
         .join(closing, ["day", "place"], "left")
         .na.fill(0, ["assets_at_close"])
@@ -408,14 +408,13 @@ def mart_outage(t):
         F.col("ts").alias("from_ts"),
         (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("to_ts"),
     )
-    used = uses(t).select("user_id", "revenue", F.col("ts").alias("at"))
-    return (
-        interval_join(outages, used, "from_ts", "to_ts", "at")
-        .groupBy("outage_id", F.datediff("to_ts", "from_ts").cast("long").alias("days_to_resolve"))
-        .agg(
-            (F.sum("revenue").cast("double") / F.count_distinct("user_id")).alias("revenue_lost")
-        )
+    used = uses(t).select("user_id", "cents", F.col("ts").alias("at"))
+    per_asset = interval_totals(
+        outages, used, "from_ts", "to_ts", "at", by="user_id", value="cents"
     )
+    return per_asset.groupBy(
+        "outage_id", F.datediff("to_ts", "from_ts").cast("long").alias("days_to_resolve")
+    ).agg((F.sum("total") / 100 / F.count("user_id")).alias("revenue_lost"))
 
 
 # ---- typed file to yearly counts, users and bookings -----------------------------------------
@@ -536,7 +535,7 @@ def dashboard_kpis(t):
         F.sum("dropped_records").cast("double").alias("dropped_events"),
     )
     revenue = daily.agg(
-        F.sum(money("revenue")).cast("double").alias("total_revenue"),
+        total("revenue").alias("total_revenue"),
         F.max("revenue").alias("best_day"),
         F.count("*").cast("double").alias("active_days"),
     )

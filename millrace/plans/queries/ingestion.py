@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import money, total
+from millrace.plans.queries.common import cents, total
 from millrace.sources import evolution
 from millrace.sources.ingest import ingest_files, ingest_json, read_ingested
 from millrace.streaming.aggregates import aggregate_flow, read_aggregate
@@ -238,7 +238,7 @@ def mv_incremental_agg(t):
 
     def run():
         rows = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
-        rows = rows.parquet(f"{src}/*").withColumn("value", money("value"))
+        rows = rows.parquet(f"{src}/*").withColumn("value", cents("value"))
         aggregate_flow(rows, target, checkpoint, keys=["event_type"], value="value")
 
     t.events.where(~_second_half()).repartition(4).write.parquet(f"{src}/drop1")
@@ -249,6 +249,6 @@ def mv_incremental_agg(t):
     return merged.select(
         "event_type",
         "n_rows",
-        F.col("total").cast("double").alias("total"),
-        "average",
+        (F.col("total") / 100).alias("total"),
+        (F.col("total") / 100 / F.col("n_values")).alias("average"),
     )

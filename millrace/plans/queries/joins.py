@@ -8,7 +8,7 @@ from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import interval_join, salted_join
 from millrace.operators.sizing import broadcast_if_small, hot_key_hashes
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, net_price, total
+from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
 
 
 @query(
@@ -112,7 +112,7 @@ def join_broadcast(t):
     return (
         t.lineitem.join(broadcast_if_small(places), F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("n_name")
-        .agg(F.sum(net_price()).cast("double").alias("revenue"), F.count("*").alias("n_lines"))
+        .agg(net_total().alias("revenue"), F.count("*").alias("n_lines"))
     )
 
 
@@ -128,7 +128,7 @@ def join_sort_merge(t):
         t.orders.hint("merge")
         .join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_orderpriority", "l_returnflag")
-        .agg(F.count("*").alias("n_lines"), F.sum(net_price()).cast("double").alias("revenue"))
+        .agg(F.count("*").alias("n_lines"), net_total().alias("revenue"))
     )
 
 

@@ -11,7 +11,7 @@ from millrace.operators.diagnostics import (
     skippable_files,
 )
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, net_price, total
+from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
 from millrace.session import cached
 from millrace.sinks.layout import compact, write_bucketed, write_clustered
 
@@ -60,7 +60,7 @@ def bucketed_join(t):
     return (
         left.join(right, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_orderstatus")
-        .agg(F.count("*").alias("n_lines"), F.sum(net_price()).cast("double").alias("revenue"))
+        .agg(F.count("*").alias("n_lines"), net_total().alias("revenue"))
     )
 
 
@@ -218,5 +218,5 @@ def for_each_region(t):
     return (
         t.lineitem.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("r_name")
-        .agg(F.sum(net_price()).cast("double").alias("revenue"), F.count("*").alias("n_lines"))
+        .agg(net_total().alias("revenue"), F.count("*").alias("n_lines"))
     )

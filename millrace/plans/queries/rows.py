@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.operators.dedup import first_per_key
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, net_price, total
+from millrace.plans.queries.common import NET_PRICE_SQL, net_units, total
 from millrace.sinks.tables import conform
 
 
@@ -19,11 +19,10 @@ from millrace.sinks.tables import conform
 )
 def column_manipulation(t):
     return (
-        t.lineitem.withColumn("net_amount", net_price())
+        t.lineitem.withColumn("net_amount", net_units() / 10_000)
         .withColumnRenamed("l_shipdate", "ship_time")
         .withColumn("ship_date", F.col("ship_time").cast("date"))
         .where("net_amount > 1000")
-        .withColumn("net_amount", F.col("net_amount").cast("double"))
         .drop("l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey")
         .drop("l_returnflag", "l_linestatus")
     )

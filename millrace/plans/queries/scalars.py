@@ -10,7 +10,7 @@ from millrace.functions.text import classify_keywords, clean_code, is_email, is_
 from millrace.functions.times import epoch_seconds, epoch_to_date, minutes_between
 from millrace.plans.catalog import query
 from millrace.plans.queries.aggregates import _DAILY_SQL, daily_revenue
-from millrace.plans.queries.common import NET_PRICE_SQL, net_price
+from millrace.plans.queries.common import NET_PRICE_SQL, net_units
 
 
 @query(
@@ -251,7 +251,7 @@ def fn_math(t):
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        net_price().cast("double").alias("net"),
+        (net_units() / 10_000).alias("net"),
         F.round(F.col("l_extendedprice").cast("decimal(18,2)"), 1).cast("double").alias("rounded"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         (F.col("l_orderkey") % 7).alias("bucket"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.times import epoch_micros
@@ -45,38 +47,32 @@ def _sort_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _rank(value: Column, cuts: list[float]) -> Column:
-    """How many cuts lie below ``value``, as a balanced decision of log2 comparisons."""
+def with_cluster_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Add a number that keeps rows close that are close in every column: interleaved rank bits.
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value <= cuts[middle], search(low, middle)).otherwise(
-            search(middle + 1, high)
-        )
-
-    return F.when(value.isNull(), F.lit(0)).otherwise(search(0, len(cuts)))
-
-
-def cluster_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """One number that keeps rows close that are close in every column (interleaved rank bits).
-
-    The cut points come from one approximate-quantile pass, 63 numbers per column.
+    The ranks come from one approximate-quantile pass, 63 cut points per column.
     """
-    numbers = {c: _sort_number(df, c) for c in columns}
+    sort = {c: f"__sort_{c}" for c in columns}
+    rank = {c: f"__rank_{c}" for c in columns}
+    numbered = df.withColumns({sort[c]: _sort_number(df, c) for c in columns})
     fractions = ", ".join(str(i / 2**_BITS) for i in range(1, 2**_BITS))
-    cuts = df.select(*[v.alias(c) for c, v in numbers.items()]).agg(
-        *[F.expr(f"percentile_approx(`{c}`, array({fractions}))").alias(c) for c in columns]
+    cuts = numbered.agg(
+        *[F.expr(f"percentile_approx(`{sort[c]}`, array({fractions}))").alias(c) for c in columns]
     ).first()
-    key = F.lit(0).cast("long")
-    ranks = {c: _rank(numbers[c], sorted(set(cuts[c] or []))).cast("long") for c in columns}
-    width = len(columns)
+    edges = [[-math.inf, *sorted(set(cuts[c] or [0.0])), math.inf] for c in columns]
+    ranked = Bucketizer(
+        splitsArray=edges,
+        inputCols=list(sort.values()),
+        outputCols=list(rank.values()),
+        handleInvalid="keep",
+    ).transform(numbered)
+    bits = F.lit(0).cast("long")
     for bit in range(_BITS):
         for position, column in enumerate(columns):
-            one = F.shiftright(ranks[column], bit).bitwiseAND(F.lit(1))
-            key = key.bitwiseOR(F.shiftleft(one, bit * width + position))
-    return key
+            place = F.coalesce(F.col(rank[column]), F.lit(0.0)).cast("long")
+            one = F.shiftright(place, bit).bitwiseAND(F.lit(1))
+            bits = bits.bitwiseOR(F.shiftleft(one, bit * len(columns) + position))
+    return ranked.withColumn(key, bits).drop(*sort.values(), *rank.values())
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int) -> None:
@@ -86,7 +82,7 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     breaks ties and a single hot value still fills many files.
     """
     laid_out = (
-        df.withColumn("__cluster", cluster_key(df, columns))
+        with_cluster_key(df, columns, "__cluster")
         .withColumn("__tie", F.monotonically_increasing_id())
         .repartitionByRange(files, "__cluster", "__tie")
         .sortWithinPartitions("__cluster")

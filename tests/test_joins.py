@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key
-from millrace.operators.joins import interval_join, salted_join
+from millrace.operators.joins import interval_join, interval_totals, salted_join
 from millrace.operators.sizing import hot_key_hashes
 
 T0 = dt.datetime(2024, 1, 1)
@@ -32,6 +32,29 @@ def test_interval_join_equals_all_pairs(spark, rows, seed):
     assert rows(interval_join(left, right, "s", "e", "p"), "i", "j") == want
 
 
+def test_interval_totals_equal_the_aggregated_pairs(spark, rows):
+    rng = random.Random(5)
+    at = lambda: T0 + dt.timedelta(microseconds=rng.randrange(10**11))
+    intervals = [
+        (i, s, s + dt.timedelta(microseconds=rng.choice([1, 10**5, 4**14, 10**10, 10**11])))
+        for i, s in enumerate(at() for _ in range(40))
+    ]
+    points = [(at(), 1 if rng.random() < 0.4 else rng.randrange(6), rng.randrange(100)) for _ in range(400)]
+    points += [points[0]] * 30 + [(s, 2, 5) for _, s, _ in intervals[:8]]
+    left = spark.createDataFrame(intervals, "i LONG, s TIMESTAMP_NTZ, e TIMESTAMP_NTZ")
+    right = spark.createDataFrame(points, "p TIMESTAMP_NTZ, who LONG, v LONG")
+    want = {}
+    for i, s, e in intervals:
+        for p, who, v in points:
+            if s < p < e:
+                n, total = want.get((i, who), (0, 0))
+                want[i, who] = (n + 1, total + v)
+    got = interval_totals(left, right, "s", "e", "p", by="who", value="v")
+    assert rows(got, "i", "who", "n_points", "total") == sorted(
+        ((*k, *v) for k, v in want.items()), key=repr
+    )
+
+
 def test_interval_join_with_key_and_empty_side(spark, rows):
     left = spark.createDataFrame(
         [("a", T0, T0 + dt.timedelta(hours=1)), ("b", T0, T0 + dt.timedelta(hours=1))],

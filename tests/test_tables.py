@@ -11,7 +11,7 @@ from millrace.operators.governance import (
     export_share,
     read_share,
 )
-from millrace.sinks.layout import cluster_key, compact, target_files, write_clustered
+from millrace.sinks.layout import compact, target_files, with_cluster_key, write_clustered
 from millrace.sinks.tables import (
     SchemaMismatch,
     conform,
@@ -99,7 +99,7 @@ def test_cluster_key_takes_text_dates_and_nulls(spark):
         "SELECT * FROM VALUES ('a', DATE'2024-01-01', TIMESTAMP_NTZ'2024-01-01 00:00:00'), "
         "('zz', DATE'2025-01-01', NULL), (NULL, NULL, NULL) AS v(s, d, t)"
     )
-    keys = [r[0] for r in df.select(cluster_key(df, ["s", "d", "t"])).collect()]
+    keys = [r["key"] for r in with_cluster_key(df, ["s", "d", "t"], "key").collect()]
     assert keys[0] < keys[1] and keys[2] == 0
 
 
