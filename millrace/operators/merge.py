@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.joins import salted_join
+from millrace.operators.sizing import hot_key_hashes
+
 ACTION = "__action"
 
 
@@ -34,6 +37,26 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
         raise DuplicateMatch(f"several source rows match one target row on {keys}")
 
 
+def _matched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], hot: Sequence[int]
+) -> DataFrame:
+    """Rows ``t`` and ``s`` of both sides paired on the keys, NULL where one side is missing.
+
+    One full outer join, unless a key is so frequent in the target that its rows would land in
+    one task: a full outer join cannot be split. Then the target is looked up in the source with
+    the hot keys salted, and the source rows without a target are added by an anti join against
+    the target's distinct keys.
+    """
+    columns = target.columns
+    left = target.select(*keys, F.struct(*columns).alias("t"))
+    right = source.select(*keys, F.struct(*columns).alias("s"))
+    if not hot:
+        return left.join(right, keys, "full_outer").select("t", "s")
+    paired = salted_join(left, right, keys, "left", hot=hot).select("t", "s")
+    fresh = right.join(target.select(*keys).distinct(), keys, "left_anti")
+    return paired.unionByName(fresh.select("s"), allowMissingColumns=True)
+
+
 def merge_actions(
     target: DataFrame,
     source: DataFrame,
@@ -42,10 +65,11 @@ def merge_actions(
     when: str | None = None,
     update: Mapping[str, str] | None = None,
     not_matched_by_source_delete: bool = False,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Every resulting row tagged insert, update, keep or delete.
 
-    ``when`` and the values of ``update`` are SQL text over the aliases ``s`` and ``t``; without
+    ``when`` and the values of ``update`` are SQL text over the rows ``s`` and ``t``; without
     ``update`` all source columns replace the target's. A guard that is NULL does not update.
     Rows with a NULL key match nothing, so they bypass the join instead of sharing one task.
     """
@@ -53,17 +77,14 @@ def merge_actions(
     check_single_match(target, source, keys)
     source = source.select(*columns)
     unmatched = "delete" if not_matched_by_source_delete else "keep"
-
-    left = target.where(~_any_null(keys)).withColumn("__hit", F.lit(True)).alias("t")
-    right = source.where(~_any_null(keys)).withColumn("__hit", F.lit(True)).alias("s")
-    same_key = F.lit(True)
-    for key in keys:
-        same_key = same_key & (F.col(f"t.{key}") == F.col(f"s.{key}"))
-    in_target, in_source = F.col("t.__hit").isNotNull(), F.col("s.__hit").isNotNull()
+    hot = hot_key_hashes(target, keys) if hot is None else hot
+    paired = _matched_rows(
+        target.where(~_any_null(keys)), source.where(~_any_null(keys)), keys, hot
+    )
     guard = F.lit(True) if when is None else F.coalesce(F.expr(when), F.lit(False))
     action = (
-        F.when(~in_target, F.lit("insert"))
-        .when(~in_source, F.lit(unmatched))
+        F.when(F.col("t").isNull(), F.lit("insert"))
+        .when(F.col("s").isNull(), F.lit(unmatched))
         .when(guard, F.lit("update"))
         .otherwise(F.lit("keep"))
     )
@@ -75,11 +96,7 @@ def merge_actions(
             value = value.when(F.col(ACTION) == "update", F.expr(assigned[name]))
         return value.otherwise(F.col(f"t.{name}")).alias(name)
 
-    joined = (
-        left.join(right, same_key, "full_outer")
-        .withColumn(ACTION, action)
-        .select(*[resolved(c) for c in columns], ACTION)
-    )
+    joined = paired.withColumn(ACTION, action).select(*[resolved(c) for c in columns], ACTION)
     keyless_target = target.where(_any_null(keys)).withColumn(ACTION, F.lit(unmatched))
     keyless_source = source.where(_any_null(keys)).withColumn(ACTION, F.lit("insert"))
     return joined.unionByName(keyless_target).unionByName(keyless_source)

@@ -46,8 +46,8 @@ def expect_warn(t):
     counts = seen.get
     return t.spark.read.parquet(path).select(
         "*",
-        F.lit(counts["input_records"]).alias("n_rows"),
-        F.lit(counts["failed_0"]).alias("failed_quantity"),
+        F.lit(counts["input_records"]).cast("long").alias("n_rows"),
+        F.lit(counts["failed_0"]).cast("long").alias("failed_quantity"),
     )
 
 

@@ -59,8 +59,9 @@ def scan_csv_multiline(t):
     """Whole texts with embedded newlines and quotes survive the round trip unchanged."""
     path = t.scratch("documents-csv")
     quoted = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False}
+    # A multi-line file is read by one task, so the writer bounds the rows per file.
     t.documents.select("doc_id", "lang", "text").write.options(
-        **quoted, ignoreTrailingWhiteSpace=False
+        **quoted, ignoreTrailingWhiteSpace=False, maxRecordsPerFile=20_000
     ).csv(path)
     back = read_csv(
         t.spark, path, "doc_id LONG, lang STRING, text STRING", multiline=True, lineSep="\n"
@@ -207,11 +208,14 @@ def copy_into_idempotent(t):
 
 @query("SELECT conv_id, turn, role, length(text) AS chars, md5(text) AS digest FROM conversations")
 def paged_source(t):
-    """Conversations cut into page documents of up to 4 turns, written, read and unpacked."""
+    """Turns packed into page documents of up to 50 records, written, read and unpacked.
+
+    The page comes from the row's position, so no page grows with the data.
+    """
     path = t.scratch("pages-json")
     record = F.struct("conv_id", "turn", "role", "text")
     pages = (
-        t.conversations.groupBy("conv_id", F.floor(F.col("turn") / 4).alias("page"))
+        t.conversations.groupBy(F.floor(F.monotonically_increasing_id() / 50).alias("page"))
         .agg(F.collect_list(record).alias("records"))
         .select(F.to_json(F.struct("page", "records")).alias("value"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -19,12 +19,14 @@ def trigger_options(trigger: str) -> dict:
     return {"processingTime": trigger.removeprefix("continuous ").strip()}
 
 
-def start(writer: DataStreamWriter, checkpoint: str, trigger: str) -> StreamingQuery:
+def start(
+    writer: DataStreamWriter, checkpoint: str, trigger: str, wait: bool = True
+) -> StreamingQuery:
     """Start a stream; an ``availableNow`` one is awaited, so its output is complete."""
     query = (
         writer.option("checkpointLocation", checkpoint).trigger(**trigger_options(trigger)).start()
     )
-    if trigger in ("availableNow", "once"):
+    if wait and trigger in ("availableNow", "once"):
         query.awaitTermination()
     return query
 
@@ -52,7 +54,12 @@ def append_flow(
 
 
 def batch_flow(
-    rows: DataFrame, target: str, checkpoint: str, trigger: str = "availableNow", shape=None
+    rows: DataFrame,
+    target: str,
+    checkpoint: str,
+    trigger: str = "availableNow",
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    wait: bool = True,
 ) -> StreamingQuery:
     """Write every micro-batch, after ``shape``, to its own folder.
 
@@ -64,15 +71,24 @@ def batch_flow(
         out = batch if shape is None else shape(batch)
         out.write.mode("overwrite").parquet(batch_folder(target, batch_id))
 
-    return start(rows.writeStream.foreachBatch(write), checkpoint, trigger)
+    return start(rows.writeStream.foreachBatch(write), checkpoint, trigger, wait)
 
 
 def multi_flow(
     flows: Mapping[str, DataFrame], target: str, checkpoint: str, trigger: str = "availableNow"
-) -> None:
-    """Append several streams to one target; each flow has its own checkpoint and folder."""
-    for name, rows in flows.items():
-        batch_flow(rows, f"{target}/flow={name}", f"{checkpoint}/{name}", trigger)
+) -> list[StreamingQuery]:
+    """Append several streams to one target, side by side.
+
+    Each flow has its own checkpoint and folder, so they neither wait for nor overwrite another.
+    """
+    queries = [
+        batch_flow(rows, f"{target}/flow={name}", f"{checkpoint}/{name}", trigger, wait=False)
+        for name, rows in flows.items()
+    ]
+    if trigger in ("availableNow", "once"):
+        for query in queries:
+            query.awaitTermination()
+    return queries
 
 
 def read_flows(spark: SparkSession, target: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import pytest
 
+from millrace.operators.sizing import hot_key_hashes
 from millrace.operators.merge import (
     ACTION,
     DuplicateMatch,
@@ -30,6 +31,20 @@ def test_upsert_all_columns(spark, target, rows):
     )
 
 
+def test_hot_target_key_gives_the_same_result(spark, rows):
+    target = spark.range(900).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 100 = 1 THEN NULL ELSE id END AS id",
+        "CAST(id % 9 AS DOUBLE) AS price", "'t' AS note",
+    )
+    new = spark.range(0, 1200, 5).selectExpr("id", "4.0D AS price", "'s' AS note")
+    hot = hot_key_hashes(target, ["id"], rows_per_task=200, small_table=0)
+    assert len(hot) == 1
+    options = {"when": "s.price != t.price", "update": {"price": "s.price"},
+               "not_matched_by_source_delete": True}
+    plain = merge_actions(target, new, ["id"], hot=[], **options)
+    assert rows(merge_actions(target, new, ["id"], hot=hot, **options)) == rows(plain)
+
+
 def test_guard_is_not_null_safe_and_absent_rows_go(spark, target, rows):
     new = source(spark, (1, 1.0, "same"), (2, 8.0, "raised"), (3, 3.0, "was null"))
     result = merge(
