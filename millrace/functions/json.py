@@ -4,23 +4,46 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+_QUOTED_NAME = re.compile(r"(`(?:[^`]|``)*`)")
+_TYPES = (
+    (re.compile(r"\bOBJECT<"), "STRUCT<"),
+    (re.compile(r"\bDECIMAL\(\d+,\s*\d+\)"), "DOUBLE"),
+    (re.compile(r"\b(VOID|VARIANT)\b(?!:)"), "STRING"),
+)
 
 
 def struct_of(variant_type: str) -> T.StructType:
     """The struct named by ``schema_of_variant``'s text form, with plain Spark field types.
 
     Fractional numbers become DOUBLE, as file readers infer them; fields that were only ever
-    NULL, or of clashing types, are kept as STRING.
+    NULL, or of clashing types, are kept as STRING. Of names that differ only in case the first
+    stays, since Spark could not tell the columns apart.
+    """
+    parts = _QUOTED_NAME.split(variant_type)
+    for i in range(0, len(parts), 2):
+        for pattern, replacement in _TYPES:
+            parts[i] = pattern.sub(replacement, parts[i])
+    parsed = T._parse_datatype_string("".join(parts))
+    if not isinstance(parsed, T.StructType):
+        return T.StructType([])
+    fields = {}
+    for field in parsed.fields:
+        fields.setdefault(field.name.lower(), field)
+    return T.StructType(list(fields.values()))
+
+
+def merged_schema(column: str) -> Column:
+    """Aggregate: the common schema of every JSON object in a text column, in text form.
+
+    Lines that are broken or hold something else than an object have no say in it.
     """
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", variant_type)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    ddl = re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl)
-    parsed = T._parse_datatype_string(ddl)
-    return parsed if isinstance(parsed, T.StructType) else T.StructType([])
+    document = F.try_parse_json(column)
+    is_object = F.schema_of_variant(document).startswith("OBJECT<")
+    return F.schema_of_variant_agg(F.when(is_object, document))
 
 
 def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
     """Merged schema of every document in a JSON text column: one distributed aggregation."""
-    merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    return struct_of(merged or "VOID")
+    return struct_of(df.agg(merged_schema(column)).first()[0] or "VOID")

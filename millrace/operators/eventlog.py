@@ -1,4 +1,4 @@
-"""Pipeline event-log rows (semi-structured) and the monitoring queries over them."""
+"""Event-log rows (semi-structured) and the monitoring queries over them."""
 
 from __future__ import annotations
 

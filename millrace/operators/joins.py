@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators.sizing import hot_key_hashes, key_hash
+from millrace.operators.sizing import hot_key_hashes, key_hash, with_position
 
 # An interval of level n is at most 4**n microseconds long and is filed in buckets of an eighth
 # of that; level 10 is about one second.
@@ -141,9 +141,11 @@ def salted_join(
     if not hot:
         return big.join(other, list(on), how)
     is_hot = key_hash(on).isin(hot)
-    spread = big.withColumn(
-        "__salt",
-        F.when(is_hot, F.monotonically_increasing_id() % salts).otherwise(F.lit(0)).cast("int"),
+    slot = F.pmod(F.col("__position"), F.lit(salts))
+    spread = (
+        with_position(big, "__position")
+        .withColumn("__salt", F.when(is_hot, slot).otherwise(F.lit(0)).cast("int"))
+        .drop("__position")
     )
     copies = other.withColumn(
         "__salt",

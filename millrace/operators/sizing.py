@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from millrace.scratch import scratch_root
+
 BROADCAST_LIMIT = 10 * 1024 * 1024
 SMALL_TABLE = 1024 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
@@ -24,6 +27,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def with_position(df: DataFrame, name: str) -> DataFrame:
+    """Add a unique row number that a rerun of a lost task repeats.
+
+    Rows that come straight from files keep their order when a task is run again. Shuffled rows
+    may not, so such a frame is checkpointed first (in the session's checkpoint folder).
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if re.search(r"(?<!Broadcast)Exchange", plan):
+        scratch_root(df.sparkSession)
+        df = df.checkpoint()
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.sizing import with_position
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import total
 from millrace.sinks.tables import create_table
@@ -215,7 +216,8 @@ def paged_source(t):
     path = t.scratch("pages-json")
     record = F.struct("conv_id", "turn", "role", "text")
     pages = (
-        t.conversations.groupBy(F.floor(F.monotonically_increasing_id() / 50).alias("page"))
+        with_position(t.conversations, "position")
+        .groupBy(F.floor(F.col("position") / 50).alias("page"))
         .agg(F.collect_list(record).alias("records"))
         .select(F.to_json(F.struct("page", "records")).alias("value"))
     )

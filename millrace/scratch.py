@@ -16,13 +16,16 @@ def scratch_root(spark: SparkSession) -> str:
     A local session without the setting gets a fresh temporary folder; a cluster session must
     name a shared one, since a machine-local folder would be invisible to the executors.
     """
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if root:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(root)
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="millrace-")
-    spark.sparkContext.setCheckpointDir(root)
+    context.setCheckpointDir(root)
     return root
 
 

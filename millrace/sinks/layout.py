@@ -9,6 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.times import epoch_micros
+from millrace.operators.sizing import with_position
 from millrace.sources.files import list_files
 
 _BITS = 6
@@ -82,8 +83,7 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     breaks ties and a single hot value still fills many files.
     """
     laid_out = (
-        with_cluster_key(df, columns, "__cluster")
-        .withColumn("__tie", F.monotonically_increasing_id())
+        with_cluster_key(with_position(df, "__tie"), columns, "__cluster")
         .repartitionByRange(files, "__cluster", "__tie")
         .sortWithinPartitions("__cluster")
         .drop("__cluster", "__tie")

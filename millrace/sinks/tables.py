@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace.operators.sizing import with_position
+
 
 class SchemaMismatch(ValueError):
     """A frame does not have the columns and types its target declares."""
@@ -86,8 +88,9 @@ def export_partitions(
     Rows are spread by position within the key, so a key with a third of all rows is written by
     ``files_per_key`` tasks; the manifest is counted from the files written.
     """
-    slot = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_key))
-    spread = df.withColumn("__slot", slot).repartition(key, "__slot").drop("__slot")
+    slot = F.pmod(F.col("__slot"), F.lit(files_per_key))
+    spread = with_position(df, "__slot").withColumn("__slot", slot)
+    spread = spread.repartition(key, "__slot").drop("__slot")
     spread.write.mode("overwrite").partitionBy(key).format(fmt).save(path)
     columns = T.StructType([f for f in df.schema.fields])
     written = df.sparkSession.read.format(fmt).schema(columns).load(path)

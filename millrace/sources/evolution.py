@@ -33,8 +33,9 @@ class SchemaStore:
 
 
 def new_fields(stored: T.StructType, seen: T.StructType) -> list[T.StructField]:
-    known = set(stored.names)
-    return [f for f in seen.fields if f.name not in known]
+    """Fields without a stored column; one that differs only in case is rescued, not new."""
+    known = {name.lower() for name in stored.names}
+    return [f for f in seen.fields if f.name.lower() not in known]
 
 
 def widen(stored: T.StructType, seen: T.StructType) -> T.StructType:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.json import infer_json_schema, struct_of
+from millrace.functions.json import infer_json_schema, merged_schema, struct_of
 from millrace.sources import evolution
 from millrace.sources.evolution import NewColumns, SchemaStore
 from millrace.sources.files import infer_schema, with_hints
@@ -44,10 +44,11 @@ def ingest_json(
     The schema is inferred from the first batch, stored beside the checkpoint and reused. Each
     batch is written with the stored schema while the same pass observes the schema of what it
     read; only a batch that really brings new columns is written again, widened. A batch folder
-    is overwritten as a whole, so a replayed batch leaves no duplicates.
+    is overwritten as a whole, so a replayed batch leaves no duplicates. Blank lines are skipped.
     """
     store = SchemaStore(spark, checkpoint)
     lines = _file_stream(spark, src, "text", None, max_files, options)
+    lines = lines.where(F.trim("value") != "")
 
     def first_schema(batch: DataFrame) -> T.StructType:
         inferred = infer_json_schema(batch, "value")
@@ -70,7 +71,7 @@ def ingest_json(
             write(batch, batch_id, stored)
             return
         seen = Observation()
-        found = F.schema_of_variant_agg(F.try_parse_json("value")).alias("schema")
+        found = merged_schema("value").alias("schema")
         write(batch.observe(seen, found), batch_id, stored)
         widened = evolution.widen(stored, struct_of(seen.get["schema"] or "VOID"))
         if widened != stored:

@@ -127,6 +127,8 @@ def test_variant_types_become_struct_fields():
         "struct<a:bigint,b:double,c:struct<d:string>,e:array<string>>"
     )
     assert struct_of("VOID").fields == []
+    odd = struct_of("OBJECT<`DECIMAL(1,2)`: BIGINT, VOID: VOID, a: ARRAY<VOID>, A: BIGINT>")
+    assert odd.simpleString() == "struct<DECIMAL(1,2):bigint,VOID:string,a:array<string>>"
 
 
 def test_skew_profile(spark):

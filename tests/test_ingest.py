@@ -11,7 +11,7 @@ from millrace.sources.ingest import ingest_files, ingest_json, read_ingested
 from millrace.sources.jdbc import jdbc_options, newer_than
 from millrace.sources.loads import copy_into, read_loaded
 from millrace.sources.paged import fetch_pages, page_records
-from millrace.streaming.flows import append_flow, trigger_options
+from millrace.streaming.flows import append_flow, batch_flow, read_batches, trigger_options
 
 
 def drop(path, *records):
@@ -53,6 +53,41 @@ def test_rescue_keeps_what_does_not_fit(spark, folder, rows):
     assert result.count() == 3
 
 
+def test_odd_records_do_not_spoil_the_schema(spark, folder, rows):
+    drop(f"{folder}/in/a.json", {"id": 1, "a b": 2, "x-y": {"o.p": 1.5}}, "[1, 2]", "", '{"id": 2, "id": 3}')
+    result = run(spark, folder)
+    assert SchemaStore(spark, f"{folder}/ck").load().names == ["a b", "id", "x-y"]
+    assert result.count() == 3
+    assert result.where("id = 1").select("`x-y`.`o.p`").first()[0] == 1.5
+    assert rows(result.where(f"{evolution.RESCUED} LIKE '%[1, 2]%'"), "id") == [(None,)]
+
+
+def test_names_that_differ_in_case_are_rescued(spark, folder, rows):
+    drop(f"{folder}/in/a.json", {"id": 1})
+    run(spark, folder)
+    drop(f"{folder}/in/b.json", {"ID": 2, "Tag": "t", "tAG": "u"})
+    result = run(spark, folder)
+    assert SchemaStore(spark, f"{folder}/ck").load().names == ["id", "Tag"]
+    assert rows(result, "id", "Tag", evolution.RESCUED) == [
+        (1, None, None), (None, "t", '{"ID":"2","tAG":"u"}'),
+    ]
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, folder, rows):
+    """The first run dies after writing its batch, before the checkpoint commits it."""
+    drop(f"{folder}/in/a.json", {"id": 1}, {"id": 2})
+    stream = lambda: spark.readStream.schema("id LONG").json(f"{folder}/in")
+
+    def broken(batch):
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch_id=0")
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        batch_flow(stream(), f"{folder}/out", f"{folder}/ck", shape=broken)
+    batch_flow(stream(), f"{folder}/out", f"{folder}/ck")
+    assert rows(read_batches(spark, f"{folder}/out"), "id") == [(1,), (2,)]
+
+
 def test_none_ignores_new_fields(spark, folder):
     drop(f"{folder}/in/a.json", {"id": 1})
     run(spark, folder, evolution.NONE)
