@@ -52,11 +52,12 @@ def _counts(rules: Sequence[Rule]) -> list[Column]:
 
 
 def apply_rules(
-    df: DataFrame, rules: Sequence[Rule], observation: Observation | None = None
+    df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = None
 ) -> DataFrame:
     """Rows that pass the drop rules; the job stops at the first row that breaks a fail rule.
 
-    With an observation the rule counts come out of the same pass that consumes the result.
+    With an observation the rule counts come out of the same pass that consumes the result. For
+    a stream it is a name, and the counts are in the progress of each micro-batch.
     """
     out = df if observation is None else df.observe(observation, *_counts(rules))
     for rule in rules:

@@ -51,7 +51,12 @@ def exact_quantiles(
     open_searches = list(searches)
     while open_searches:
         open_searches = _narrow(values, open_searches, few)
-    return [_pick(values, search) for search in searches]
+    wanted = F.lit(False)
+    for search in searches:
+        wanted = wanted | search.inside
+    counted = values.where(wanted).groupBy("v").agg(F.count("*").alias("n")).collect()
+    counts = sorted((row["v"], row["n"]) for row in counted)
+    return [_pick(counts, search) for search in searches]
 
 
 def _narrow(values: DataFrame, searches: list[_Search], few: int) -> list[_Search]:
@@ -88,10 +93,10 @@ def _narrow(values: DataFrame, searches: list[_Search], few: int) -> list[_Searc
     return [s for _, s in rest]
 
 
-def _pick(values: DataFrame, search: _Search):
+def _pick(counts: list[tuple], search: _Search):
     below = search.below
-    counted = values.where(search.inside).groupBy("v").agg(F.count("*").alias("n"))
-    for row in counted.orderBy("v").collect():
-        below += row["n"]
-        if below >= search.rank:
-            return row["v"]
+    for value, n in counts:
+        if search.low <= value <= search.high:
+            below += n
+            if below >= search.rank:
+                return value

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import eventlog
 from millrace.operators.quality import Rule, apply_rules
 from millrace.streaming.flows import append_flow
 
 STORED, STREAMED, VIEW = "complete", "append", "view"
+# Micro-batches of one run whose rule counts are added up; Spark keeps 100 by default.
+_KEPT_PROGRESS = 100_000
 
 
 @dataclass(frozen=True)
@@ -81,16 +85,21 @@ class DatasetGraph:
         folder keeps data and checkpoints; a full refresh is a run on a new folder. A trigger
         other than ``availableNow`` leaves the streamed datasets running.
         """
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _KEPT_PROGRESS)
         frames = dict(sources)
         update_id = uuid.uuid4().hex
         log = []
         for dataset in self.order():
             path = f"{folder}/{dataset.name}"
             seen = Observation() if dataset.rules and dataset.kind == STORED else None
+            counts = None
             if dataset.kind == STREAMED:
                 inputs = [self._follow(spark, frames[i], folder, i) for i in dataset.inputs]
-                rows = apply_rules(dataset.build(*inputs), dataset.rules)
-                append_flow(rows, path, f"{folder}/_checkpoints/{dataset.name}", trigger)
+                metrics = f"rules of {dataset.name}" if dataset.rules else None
+                rows = apply_rules(dataset.build(*inputs), dataset.rules, metrics)
+                checkpoint = f"{folder}/_checkpoints/{dataset.name}"
+                query = append_flow(rows, path, checkpoint, trigger)
+                counts = _streamed_counts(query, metrics)
                 frames[dataset.name] = spark.read.schema(rows.schema).parquet(path)
             else:
                 rows = dataset.build(*[frames[i] for i in dataset.inputs])
@@ -99,7 +108,8 @@ class DatasetGraph:
                     rows.write.mode("overwrite").parquet(path)
                     rows = spark.read.schema(rows.schema).parquet(path)
                 frames[dataset.name] = rows
-            counts = seen.get if seen is not None else None
+            if seen is not None:
+                counts = seen.get
             log.extend(_log_rows(dataset, frames[dataset.name], counts))
         self._append_log(spark, log, update_id, folder)
         return frames
@@ -124,6 +134,18 @@ class DatasetGraph:
         ).write.mode("append").parquet(f"{folder}/_events")
 
 
+def _streamed_counts(query: StreamingQuery, name: str | None) -> dict[str, int] | None:
+    """Rule counts of a finished stream, added up over its micro-batches."""
+    if name is None or query.isActive:
+        return None
+    counts = Counter()
+    for progress in query.recentProgress:
+        observed = progress.observedMetrics.get(name)
+        if observed is not None:
+            counts.update(observed.asDict())
+    return counts
+
+
 def _log_rows(dataset: Dataset, frame: DataFrame, counts: Mapping | None) -> list[tuple]:
     definition = {
         "output_dataset": dataset.name,

@@ -56,6 +56,33 @@ def column_mask(t):
     return apply_masks(rows, masks, {"finance"})
 
 
+@query(
+    """
+    SELECT s_suppkey, 'XXX-XX-' || right(s_name, 4) AS masked FROM supplier
+    WHERE s_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
+                          WHERE r_name = 'EUROPE')
+    """
+)
+def sql_scalar_functions(t):
+    """A row filter and a mask as SQL functions, callable from any SQL text of the session."""
+    spark = t.view("supplier", "nation", "region")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION in_region(name STRING, wanted STRING) "
+        "RETURNS BOOLEAN RETURN name = wanted"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION mask_tail(value STRING) "
+        "RETURNS STRING RETURN concat('XXX-XX-', right(value, 4))"
+    )
+    return spark.sql(
+        """
+        SELECT s_suppkey, mask_tail(s_name) AS masked FROM supplier
+        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE in_region(r_name, 'EUROPE')
+        """
+    )
+
+
 @query(
     """
     SELECT 'customer' AS source, c_custkey AS id, '***' || right(c_name, 3) AS name,

@@ -447,7 +447,7 @@ def classify_parts(t):
 
 _TEXT_LABELS = {
     "licence": [r"(?i)copyright", r"(?i)licen[cs]e", r"(?i)all rights reserved"],
-    "contact": [r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[a-z]{2,}", r"[0-9]{3}-[0-9]{4}"],
+    "contact": [r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.[a-z]{2}", r"[0-9]{3}-[0-9]{4}"],
 }
 
 
@@ -458,7 +458,7 @@ _TEXT_LABELS = {
                CAST(regexp_matches(text, '(?i)copyright') AS INT)
                + CAST(regexp_matches(text, '(?i)licen[cs]e') AS INT)
                + CAST(regexp_matches(text, '(?i)all rights reserved') AS INT) AS licence,
-               CAST(regexp_matches(text, '[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[a-z]{2,}') AS INT)
+               CAST(regexp_matches(text, '[A-Za-z0-9._-]@[A-Za-z0-9-]+\.[a-z]{2}') AS INT)
                + CAST(regexp_matches(text, '[0-9]{3}-[0-9]{4}') AS INT) AS contact
         FROM documents)
     SELECT doc_id, CASE WHEN licence = 0 AND contact = 0 THEN 'other'

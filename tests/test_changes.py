@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
@@ -84,6 +85,32 @@ def test_empty_feed(spark, rows):
     assert rows(history(feed(spark).where("false"))) == []
 
 
+change = st.tuples(
+    st.sampled_from([None, 1, 2]),
+    st.sampled_from(["a", "b"]),
+    st.sampled_from(["APPEND", "UPDATE", "DELETE", None]),
+    st.integers(0, 30),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(change, unique_by=lambda c: (c[0], c[3]), max_size=25))
+def test_history_equals_a_plain_replay(spark, rows, changes):
+    df = spark.createDataFrame(changes, SCHEMA)
+    want_current, want_history = [], []
+    for key in {c[0] for c in changes}:
+        chain = sorted((c for c in changes if c[0] == key), key=lambda c: c[3])
+        ends = [c[3] for c in chain[1:]] + [None]
+        want_history += [
+            (key, c[1], c[3], end) for c, end in zip(chain, ends) if c[2] != "DELETE"
+        ]
+        want_current += [(key, chain[-1][1])] if chain[-1][2] != "DELETE" else []
+    assert rows(current(df)) == sorted(want_current, key=repr)
+    assert rows(history(df)) == sorted(want_history, key=repr)
+    ranges = hot_ranges(df, ["id"], "seq", parts=3, rows_per_task=2, small_table=0)
+    assert rows(history(df, ranges=ranges)) == sorted(want_history, key=repr)
+
+
 def skewed(spark):
     """One key holds a third of the rows, with exact copies, a NULL key and deletes."""
     ids = spark.range(3000)

@@ -39,6 +39,12 @@ def test_fail_stops_the_job_with_the_rule_name(df):
     assert apply_rules(df, [Rule("any", "true", FAIL)]).count() == 4
 
 
+def test_a_dropped_row_still_breaks_a_fail_rule(df):
+    rules = [Rule("positive", "v > 0", DROP), Rule("not_three", "id <> 3", FAIL)]
+    with pytest.raises(Exception, match="not_three"):
+        apply_rules(df.where("id IS NOT NULL"), rules).collect()
+
+
 def test_metrics_rows(df, rows):
     assert rows(rule_metrics(df, RULES, "d")) == [("d", "has_id", 3, 1), ("d", "positive", 2, 2)]
 
