@@ -7,11 +7,18 @@ one wins: a delete before others, then the larger row hash.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.operators.sizing import hot_ranges, with_next
+from millrace.operators.sizing import (
+    RANGE,
+    KeyRanges,
+    close_seams,
+    hot_ranges,
+    with_next,
+    with_range,
+)
 
 START, END = "__START_AT", "__END_AT"
 DELETED, WAS_DELETED = "__deleted", "__was_deleted"
@@ -35,8 +42,8 @@ def _winner_per(
     """One winning change per ``by`` group, with its delete flag; combines before the shuffle."""
     rest = [c for c in changes.columns if c not in by]
     flagged = changes.withColumn(DELETED, flag_true(delete_when))
-    # A stored flag is not part of the row, so stored and fresh changes rank alike.
-    content = sorted(c for c in changes.columns if c != WAS_DELETED)
+    # Helper columns are not part of the row, so stored and fresh changes rank alike.
+    content = sorted(c for c in changes.columns if c not in (WAS_DELETED, RANGE))
     rank = F.struct(sequence_by, DELETED, F.xxhash64(*content))
     row = F.max_by(F.struct(*rest, DELETED), rank)
     return (
@@ -94,20 +101,25 @@ def scd2(
     *,
     delete_when: str | None = None,
     except_cols: Sequence[str] = (),
-    ranges: Mapping[int, list] | None = None,
+    ranges: KeyRanges | None = None,
 ) -> DataFrame:
     """Full history with validity columns; a delete closes the open version and adds none.
 
-    Every change ends where the next one of its key starts. Without hot keys the rows are
-    shuffled once, by key, and sorted once: settling ties and finding the next change both work
-    on that order. With hot keys (``ranges``, looked for when not given) ties are settled before
-    the shuffle, so copies of one change collapse early, and the busy keys are cut into ranges.
+    Every change ends where the next one of its key starts. The rows are shuffled once, by key,
+    and sorted once: settling ties and finding the next change both work on that order. Hot keys
+    (``ranges``, looked for when not given) are cut into ranges of the sequence, each a task of
+    its own. Where one sequence value is piled high with copies, ties are settled before the
+    shuffle instead, so the copies collapse where they are read.
     """
     _check_sequence(changes, sequence_by)
     if ranges is None:
         ranges = hot_ranges(changes, keys, sequence_by)
-    rows = changes if ranges else changes.repartition(*keys)
-    settled = one_per_sequence(rows, keys, sequence_by, delete_when)
-    chained = with_next(settled, keys, sequence_by, END, ranges)
+    by = [*keys, RANGE] if ranges else list(keys)
+    rows = with_range(changes, keys, sequence_by, ranges) if ranges else changes
+    placed = rows if ranges.piled else rows.repartition(*by)
+    settled = _winner_per(placed, [*by, sequence_by], sequence_by, delete_when)
+    chained = with_next(settled, by, sequence_by, END)
+    if ranges:
+        chained = close_seams(chained, rows, keys, sequence_by, END)
     kept = [c for c in changes.columns if c not in set(except_cols)]
     return chained.where(~F.col(DELETED)).select(*kept, F.col(sequence_by).alias(START), END)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -12,8 +14,10 @@ from millrace.scratch import scratch_root
 BROADCAST_LIMIT = 10 * 1024 * 1024
 SMALL_TABLE = 1024 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
-HOT_KEYS = 256
-SKETCH_ITEMS = 10_000
+HOT_KEYS = 4_096
+SKETCH_ITEMS = 65_536
+MAX_CUTS = 65_536
+RANGE = "__range"
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -44,27 +48,50 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def _hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int, small_table: int
+) -> dict[int, int]:
+    """Hash and approximate row count of the keys that hold more rows than one task should."""
+    if plan_bytes(df) < small_table:
+        return {}
+    found = (
+        df.select(key_hash(keys).alias("h"))
+        .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
+        .first()
+    )
+    return {
+        item["item"]: item["count"] for item in found["top"] or [] if item["count"] > rows_per_task
+    }
+
+
 def hot_key_hashes(
     df: DataFrame,
     keys: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
     small_table: int = SMALL_TABLE,
 ) -> list[int]:
-    """Hashes of the keys that hold more rows than one task should.
+    """Hashes of the keys that hold more rows than one task should, at most HOT_KEYS.
 
     A table below ``small_table`` cannot hold such a key, so nothing is read. Otherwise one pass
     over the key columns feeds a frequent-items sketch of fixed size, so neither the shuffle nor
     the driver grows with the number of keys. The list only steers how rows are spread:
     a key it misses or names in excess changes the layout, never the result.
     """
-    if plan_bytes(df) < small_table:
-        return []
-    found = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
-        .first()
-    )
-    return [item["item"] for item in found["top"] or [] if item["count"] > rows_per_task]
+    return list(_hot_keys(df, keys, rows_per_task, small_table))
+
+
+@dataclass(frozen=True)
+class KeyRanges:
+    """Hot keys by hash with sorted cut points of an order column.
+
+    ``piled`` tells that a single order value holds a large part of some key, as copies do.
+    """
+
+    cuts: Mapping[int, list] = field(default_factory=dict)
+    piled: bool = False
+
+    def __bool__(self) -> bool:
+        return bool(self.cuts)
 
 
 def hot_ranges(
@@ -72,71 +99,92 @@ def hot_ranges(
     keys: Sequence[str],
     order: str,
     *,
-    parts: int = 64,
     rows_per_task: int = ROWS_PER_TASK,
     small_table: int = SMALL_TABLE,
-) -> dict[int, list]:
-    """For every hot key its hash and up to ``parts - 1`` cut points of ``order``.
+) -> KeyRanges:
+    """Cut every hot key into ranges of ``order`` of about ``rows_per_task`` rows.
 
-    Empty when no key is hot. At most HOT_KEYS short lists reach the driver. Where the cuts fall
-    decides only how evenly a key is spread, so approximate ones do.
+    All cut points together stay below MAX_CUTS + HOT_KEYS, however large the table. Where they
+    fall decides only how evenly a key is spread, so approximate ones do.
     """
-    hot = hot_key_hashes(df, keys, rows_per_task, small_table)
-    if not hot:
-        return {}
-    fractions = ", ".join(str(i / parts) for i in range(1, parts))
+    counts = _hot_keys(df, keys, rows_per_task, small_table)
+    if not counts:
+        return KeyRanges()
+    rows_per_range = max(rows_per_task, sum(counts.values()) // MAX_CUTS)
+    most = math.ceil(max(counts.values()) / rows_per_range)
+    fractions = ", ".join(str(i / most) for i in range(1, most))
+    accuracy = max(10_000, 4 * most)
     rows = (
         df.select(key_hash(keys).alias("h"), F.col(order).alias("o"))
-        .where(F.col("h").isin(hot))
+        .where(F.col("h").isin(list(counts)))
         .groupBy("h")
-        .agg(F.expr(f"percentile_approx(o, array({fractions}))").alias("cuts"))
+        .agg(F.expr(f"percentile_approx(o, array({fractions}), {accuracy})").alias("cuts"))
         .collect()
     )
-    return {row["h"]: sorted(set(row["cuts"])) for row in rows}
+    cuts, piled = {}, False
+    for row in rows:
+        wanted = math.ceil(counts[row["h"]] / rows_per_range)
+        picked = [row["cuts"][i * most // wanted - 1] for i in range(1, wanted)]
+        cuts[row["h"]] = sorted(set(picked))
+        piled = piled or len(cuts[row["h"]]) < len(picked)
+    return KeyRanges(cuts, piled)
 
 
-def with_next(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, ranges: Mapping[int, list]
-) -> DataFrame:
-    """Add ``out``: the next larger ``order`` of the same key, NULL on the last row.
+def with_range(df: DataFrame, keys: Sequence[str], order: str, ranges: KeyRanges) -> DataFrame:
+    """Add the number of the range a row of a hot key falls into, -1 for every other row.
 
-    ``order`` must be unique per key. The keys in ``ranges`` are cut into ranges of ``order``
-    that are windowed by different tasks; the first value of each following range (a bounded
-    number per hot key, so a safe broadcast) closes the seams between them.
+    The cut points come by broadcast; a binary search over them finds the range.
     """
-    if not ranges:
-        window = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumn(out, F.lead(order).over(window))
-
     cut_schema = T.StructType(
         [
             T.StructField("__cut_hash", T.LongType()),
             T.StructField("__cuts", T.ArrayType(df.schema[order].dataType)),
         ]
     )
-    cuts = df.sparkSession.createDataFrame(list(ranges.items()), cut_schema)
-    below = F.size(F.filter("__cuts", lambda cut: cut < F.col(order)))
-    ranged = (
+    cuts = df.sparkSession.createDataFrame(list(ranges.cuts.items()), cut_schema)
+    longest = max(len(c) for c in ranges.cuts.values())
+    steps = F.array(*[F.lit(2**bit) for bit in reversed(range(max(1, longest.bit_length())))])
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(
+            F.get("__cuts", at + step - 1) < F.col(order), at + step
+        ).otherwise(at),
+    )
+    return (
         df.withColumn("__hash", key_hash(keys))
         .join(F.broadcast(cuts), F.col("__hash") == F.col("__cut_hash"), "left")
-        .withColumn("__range", F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(below))
-        .drop("__cut_hash", "__cuts")
+        .withColumn(RANGE, F.when(F.col("__cuts").isNull(), F.lit(-1)).otherwise(below))
+        .drop("__hash", "__cut_hash", "__cuts")
     )
-    inside = Window.partitionBy(*keys, "__range").orderBy(order)
+
+
+def with_next(df: DataFrame, by: Sequence[str], order: str, out: str) -> DataFrame:
+    """Add ``out``: the next larger ``order`` within ``by``, NULL on the last row."""
+    return df.withColumn(out, F.lead(order).over(Window.partitionBy(*by).orderBy(order)))
+
+
+def close_seams(
+    df: DataFrame, ranged: DataFrame, keys: Sequence[str], order: str, out: str
+) -> DataFrame:
+    """Fill ``out`` on the last row of each range with the first ``order`` of the next one.
+
+    ``ranged`` holds all rows with their range number. Only the first value of every range of a
+    hot key is needed, a bounded number, so it is joined by broadcast.
+    """
     across = Window.partitionBy("__seam_key").orderBy("__seam_range")
     heads = (
-        ranged.where("__range >= 0")
-        .groupBy(F.struct(*keys).alias("__seam_key"), F.col("__range").alias("__seam_range"))
+        ranged.where(F.col(RANGE) >= 0)
+        .groupBy(F.struct(*keys).alias("__seam_key"), F.col(RANGE).alias("__seam_range"))
         .agg(F.min(order).alias("__head"))
         .withColumn("__next_head", F.lead("__head").over(across))
         .drop("__head")
     )
     seam = F.struct(*keys).eqNullSafe(F.col("__seam_key")) & (
-        F.col("__range") == F.col("__seam_range")
+        F.col(RANGE) == F.col("__seam_range")
     )
     return (
-        ranged.withColumn(out, F.lead(order).over(inside))
-        .join(F.broadcast(heads), seam, "left")
+        df.join(F.broadcast(heads), seam, "left")
         .withColumn(out, F.coalesce(out, "__next_head"))
-        .drop("__hash", "__range", "__seam_key", "__seam_range", "__next_head")
+        .drop("__seam_key", "__seam_range", "__next_head")
     )

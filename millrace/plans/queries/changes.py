@@ -41,7 +41,7 @@ def scd2_history(t):
 def scd2_hot_key_split(t):
     """The same history with the busiest keys cut into time ranges that run as separate tasks."""
     feed = change_feed(t.events)
-    ranges = hot_ranges(feed, ["user_id"], "ts", parts=8, rows_per_task=65, small_table=0)
+    ranges = hot_ranges(feed, ["user_id"], "ts", rows_per_task=40, small_table=0)
     return scd2(
         feed, delete_when=_DELETE, except_cols=["operation", "ts"], ranges=ranges, **_FEED
     )

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
-from millrace.operators.sizing import hot_key_hashes, hot_ranges
+from millrace.operators.sizing import KeyRanges, hot_key_hashes, hot_ranges
 from millrace.streaming.changes import apply_changes, fold, read_current, read_history
 
 SCHEMA = "id LONG, name STRING, op STRING, seq LONG"
@@ -107,7 +107,8 @@ def test_history_equals_a_plain_replay(spark, rows, changes):
         want_current += [(key, chain[-1][1])] if chain[-1][2] != "DELETE" else []
     assert rows(current(df)) == sorted(want_current, key=repr)
     assert rows(history(df)) == sorted(want_history, key=repr)
-    ranges = hot_ranges(df, ["id"], "seq", parts=3, rows_per_task=2, small_table=0)
+    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=2, small_table=0)
+    assert not ranges.piled
     assert rows(history(df, ranges=ranges)) == sorted(want_history, key=repr)
 
 
@@ -130,12 +131,13 @@ def test_hot_key_is_found_and_split_exactly(spark, rows):
     df = skewed(spark)
     hot = hot_key_hashes(df, ["id"], rows_per_task=500, small_table=0)
     assert hot == [df.where("id = 0").select(F.xxhash64("id")).first()[0]]
-    ranges = hot_ranges(df, ["id"], "seq", parts=8, rows_per_task=500, small_table=0)
-    assert len(ranges[hot[0]]) > 3
-    everything = hot_ranges(df, ["id"], "seq", parts=5, rows_per_task=1, small_table=0)
-    expected = rows(history(df, ranges={}))
+    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=100, small_table=0)
+    assert len(ranges.cuts[hot[0]]) > 5 and ranges.piled
+    everything = hot_ranges(df, ["id"], "seq", rows_per_task=1, small_table=0)
+    expected = rows(history(df, ranges=KeyRanges()))
     assert rows(history(df, ranges=ranges)) == expected
     assert rows(history(df, ranges=everything)) == expected
+    assert rows(history(df, ranges=KeyRanges(ranges.cuts))) == expected
 
 
 def test_small_tables_are_not_scanned_for_hot_keys(spark):
