@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from millrace.scratch import scratch_root
 
 BROADCAST_LIMIT = 10 * 1024 * 1024
-SMALL_TABLE = 1024 * 1024 * 1024
+SMALL_TABLE = 256 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 HOT_KEYS = 4_096
 SKETCH_ITEMS = 65_536

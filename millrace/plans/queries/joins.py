@@ -106,11 +106,12 @@ def join_full_outer_flow(t):
     """
 )
 def join_broadcast(t):
-    places = t.supplier.join(
-        broadcast_if_small(t.nation), F.col("s_nationkey") == F.col("n_nationkey")
-    ).select("s_suppkey", "n_name")
+    """Each small side is checked by itself; a joined frame's size estimate would be a product."""
+    suppliers = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
+    nations = broadcast_if_small(t.nation.select("n_nationkey", "n_name"))
     return (
-        t.lineitem.join(broadcast_if_small(places), F.col("l_suppkey") == F.col("s_suppkey"))
+        t.lineitem.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name")
         .agg(net_total().alias("revenue"), F.count("*").alias("n_lines"))
     )

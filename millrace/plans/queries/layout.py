@@ -13,7 +13,13 @@ from millrace.operators.diagnostics import (
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
 from millrace.session import cached
-from millrace.sinks.layout import compact, write_bucketed, write_clustered
+from millrace.sinks.layout import (
+    append_clustered,
+    compact,
+    set_clustering,
+    write_bucketed,
+    write_clustered,
+)
 
 _LINES_SQL = """
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
@@ -104,13 +110,15 @@ def zorder_file_overlap(t):
 
 @query("SELECT event_id, ts, user_id, event_type, value FROM events")
 def cluster_by_columns(t):
-    """Clustering keys may change between appends: old files keep theirs."""
+    """Clustering columns may change between appends: files already there keep theirs."""
     path = t.scratch("events-clustered")
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
-    write_clustered(t.events.where(~late).select(*columns), f"{path}/keys=1", ["event_type", "ts"], 4)
-    write_clustered(t.events.where(late).select(*columns), f"{path}/keys=2", ["user_id", "ts"], 4)
-    return t.spark.read.parquet(path).drop("keys")
+    set_clustering(t.spark, path, ["event_type", "ts"])
+    append_clustered(t.events.where(~late).select(*columns), path, 4)
+    set_clustering(t.spark, path, ["user_id", "ts"])
+    append_clustered(t.events.where(late).select(*columns), path, 4)
+    return t.spark.read.parquet(path)
 
 
 @query()
@@ -210,13 +218,10 @@ def run_trend_flags(t):
 )
 def for_each_region(t):
     """All regions in one job instead of one job per region."""
-    places = (
-        t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
-    )
     return (
-        t.lineitem.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name")
         .agg(net_total().alias("revenue"), F.count("*").alias("n_lines"))
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace import scratch
 from millrace.functions.times import epoch_micros
 from millrace.operators.sizing import with_position
 from millrace.sources.files import list_files
@@ -76,7 +78,9 @@ def with_cluster_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
     return ranked.withColumn(key, bits).drop(*sort.values(), *rank.values())
 
 
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int) -> None:
+def write_clustered(
+    df: DataFrame, path: str, columns: Sequence[str], files: int, mode: str = "overwrite"
+) -> None:
     """Write ``df`` so that each file covers a small range of every clustering column.
 
     Range partitioning on the key alone would leave equal keys in one task, so the row position
@@ -88,7 +92,24 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
         .sortWithinPartitions("__cluster")
         .drop("__cluster", "__tie")
     )
-    laid_out.write.mode("overwrite").parquet(path)
+    laid_out.write.mode(mode).parquet(path)
+
+
+def set_clustering(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    """Choose the clustering columns of later appends; files already there stay as they are."""
+    scratch.write_text(spark, f"{path}/_clustering.json", json.dumps(list(columns)))
+
+
+def clustering(spark: SparkSession, path: str) -> list[str]:
+    return json.loads(scratch.read_text(spark, f"{path}/_clustering.json") or "[]")
+
+
+def append_clustered(df: DataFrame, path: str, files: int) -> None:
+    """Append rows clustered by the columns chosen for the table."""
+    columns = clustering(df.sparkSession, path)
+    if not columns:
+        raise ValueError(f"no clustering columns chosen for {path}")
+    write_clustered(df, path, columns, files, mode="append")
 
 
 def write_bucketed(

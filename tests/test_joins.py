@@ -65,6 +65,16 @@ def test_interval_join_with_key_and_empty_side(spark, rows):
     assert rows(interval_join(left.where("false"), right, "s", "e", "p", on=["k"])) == []
 
 
+def test_dates_count_from_midnight(spark, rows):
+    left = spark.sql("SELECT DATE'2024-01-01' AS s, DATE'2024-01-02' AS e")
+    right = spark.sql(
+        "SELECT 1 AS j, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS p "
+        "UNION ALL SELECT 2, TIMESTAMP_NTZ'2024-01-01 12:00:00' "
+        "UNION ALL SELECT 3, TIMESTAMP_NTZ'2024-01-02 00:00:00'"
+    )
+    assert rows(interval_join(left, right, "s", "e", "p"), "j") == [(2,)]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_plain_join(spark, rows, how):
     big = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id % 5 AS v")

@@ -11,7 +11,15 @@ from millrace.operators.governance import (
     export_share,
     read_share,
 )
-from millrace.sinks.layout import compact, target_files, with_cluster_key, write_clustered
+from millrace.sinks.layout import (
+    append_clustered,
+    clustering,
+    compact,
+    set_clustering,
+    target_files,
+    with_cluster_key,
+    write_clustered,
+)
 from millrace.sinks.tables import (
     SchemaMismatch,
     conform,
@@ -87,6 +95,19 @@ def test_clustering_separates_both_columns(spark, folder, rows):
     assert spans[0] < 40 and spans[1] < 40
 
 
+def test_clustering_columns_are_kept_with_the_table(spark, folder):
+    path = f"{folder}/c"
+    with pytest.raises(ValueError):
+        append_clustered(spark.range(10), path, 2)
+    set_clustering(spark, path, ["id"])
+    append_clustered(spark.range(100), path, 2)
+    set_clustering(spark, path, ["id", "id"])
+    assert clustering(spark, path) == ["id", "id"]
+    set_clustering(spark, path, ["id"])
+    append_clustered(spark.range(100, 200), path, 2)
+    assert spark.read.parquet(path).count() == 200
+
+
 def test_hot_value_fills_several_files(spark, folder):
     df = spark.range(8000).selectExpr("1L AS a", "2L AS b", "id")
     write_clustered(df, f"{folder}/c", ["a", "b"], 4)
