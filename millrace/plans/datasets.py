@@ -5,18 +5,20 @@ from __future__ import annotations
 import json
 import uuid
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators import eventlog
+from millrace import scratch
+from millrace.operators import cdc, eventlog
 from millrace.operators.quality import Rule, apply_rules
+from millrace.streaming.changes import apply_changes, read_current, read_history
 from millrace.streaming.flows import append_flow
 
-STORED, STREAMED, VIEW = "complete", "append", "view"
+STORED, STREAMED, CHANGES, VIEW = "complete", "append", "changes", "view"
 # Micro-batches of one run whose rule counts are added up; Spark keeps 100 by default.
 _KEPT_PROGRESS = 100_000
 
@@ -25,30 +27,37 @@ _KEPT_PROGRESS = 100_000
 class Dataset:
     name: str
     inputs: tuple[str, ...]
-    build: Callable[..., DataFrame]
+    build: Callable[..., DataFrame] | None
     rules: tuple[Rule, ...]
     kind: str
     comment: str = ""
     properties: Mapping[str, str] = field(default_factory=dict)
+    apply: Mapping[str, object] = field(default_factory=dict)
 
 
 class DatasetGraph:
     """Datasets in any order; inputs decide the order they are built in.
 
     A stored dataset is recomputed and rewritten on every run. A streamed one appends only what
-    is new upstream. A view is a plain frame. Each run appends its definitions, row counts and
-    rule counts to the event log below the folder.
+    is new upstream. A changes dataset applies a streamed feed by key. A view is a plain frame.
+    Each run appends its definitions, row counts and rule counts to the event log below the
+    folder.
     """
 
     def __init__(self) -> None:
         self._datasets: dict[str, Dataset] = {}
 
+    def _add(self, dataset: Dataset) -> None:
+        if dataset.name in self._datasets:
+            raise ValueError(f"dataset {dataset.name} is declared twice")
+        self._datasets[dataset.name] = dataset
+
     def _declare(self, kind, name, inputs, rules, comment, properties) -> Callable:
         def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-            if name in self._datasets:
-                raise ValueError(f"dataset {name} is declared twice")
-            self._datasets[name] = Dataset(
-                name, tuple(inputs), build, tuple(rules), kind, comment, dict(properties or {})
+            self._add(
+                Dataset(
+                    name, tuple(inputs), build, tuple(rules), kind, comment, dict(properties or {})
+                )
             )
             return build
 
@@ -63,6 +72,31 @@ class DatasetGraph:
     def view(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
         return self._declare(VIEW, name, inputs, rules, comment, properties)
 
+    def changes(
+        self,
+        name: str,
+        feed: str,
+        *,
+        keys: Sequence[str],
+        sequence_by: str,
+        delete_when: str | None = None,
+        except_cols: Sequence[str] = (),
+        scd: int = 1,
+        comment: str = "",
+        properties: Mapping[str, str] | None = None,
+    ) -> None:
+        """Declare the current state (``scd=1``) or the history (``scd=2``) of a streamed feed."""
+        apply = {
+            "keys": list(keys),
+            "sequence_by": sequence_by,
+            "delete_when": delete_when,
+            "except_cols": list(except_cols),
+            "scd": scd,
+        }
+        self._add(
+            Dataset(name, (feed,), None, (), CHANGES, comment, dict(properties or {}), apply)
+        )
+
     def order(self) -> list[Dataset]:
         """Build order; a cycle raises ``graphlib.CycleError``."""
         graph = {d.name: d.inputs for d in self._datasets.values()}
@@ -83,42 +117,66 @@ class DatasetGraph:
 
         ``sources`` holds the frames from outside, streaming ones for streamed datasets. The
         folder keeps data and checkpoints; a full refresh is a run on a new folder. A trigger
-        other than ``availableNow`` leaves the streamed datasets running.
+        other than ``availableNow`` leaves the streams running.
         """
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _KEPT_PROGRESS)
         frames = dict(sources)
         update_id = uuid.uuid4().hex
         log = []
         for dataset in self.order():
-            path = f"{folder}/{dataset.name}"
-            seen = Observation() if dataset.rules and dataset.kind == STORED else None
-            counts = None
             if dataset.kind == STREAMED:
-                inputs = [self._follow(spark, frames[i], folder, i) for i in dataset.inputs]
-                metrics = f"rules of {dataset.name}" if dataset.rules else None
-                rows = apply_rules(dataset.build(*inputs), dataset.rules, metrics)
-                checkpoint = f"{folder}/_checkpoints/{dataset.name}"
-                query = append_flow(rows, path, checkpoint, trigger)
-                counts = _streamed_counts(query, metrics)
-                frames[dataset.name] = spark.read.schema(rows.schema).parquet(path)
+                frame, counts = self._run_streamed(spark, dataset, frames, folder, trigger)
+            elif dataset.kind == CHANGES:
+                frame, counts = self._run_changes(spark, dataset, frames, folder, trigger)
             else:
-                rows = dataset.build(*[frames[i] for i in dataset.inputs])
-                rows = apply_rules(rows, dataset.rules, seen)
-                if dataset.kind == STORED:
-                    rows.write.mode("overwrite").parquet(path)
-                    rows = spark.read.schema(rows.schema).parquet(path)
-                frames[dataset.name] = rows
-            if seen is not None:
-                counts = seen.get
-            log.extend(_log_rows(dataset, frames[dataset.name], counts))
+                frame, counts = self._run_batch(spark, dataset, frames, folder)
+            frames[dataset.name] = frame
+            log.extend(_log_rows(dataset, frame, counts))
         self._append_log(spark, log, update_id, folder)
         return frames
 
-    def _follow(self, spark, frame: DataFrame, folder: str, name: str) -> DataFrame:
+    def _follow(self, spark, frames, folder: str, name: str) -> DataFrame:
+        """The input as a stream; only append-only inputs can be followed."""
+        frame = frames[name]
         if frame.isStreaming:
             return frame
+        if name not in self._datasets or self._datasets[name].kind != STREAMED:
+            raise ValueError(f"{name} is not append-only, so it cannot be read as a stream")
         return spark.readStream.schema(frame.schema).parquet(f"{folder}/{name}")
 
+    def _run_batch(self, spark, dataset, frames, folder):
+        seen = Observation() if dataset.rules and dataset.kind == STORED else None
+        rows = dataset.build(*[frames[i] for i in dataset.inputs])
+        rows = apply_rules(rows, dataset.rules, seen)
+        if dataset.kind == STORED:
+            path = f"{folder}/{dataset.name}"
+            rows.write.mode("overwrite").parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
+        return rows, seen.get if seen is not None else None
+
+    def _run_streamed(self, spark, dataset, frames, folder, trigger):
+        path = f"{folder}/{dataset.name}"
+        inputs = [self._follow(spark, frames, folder, i) for i in dataset.inputs]
+        metrics = f"rules of {dataset.name}" if dataset.rules else None
+        rows = apply_rules(dataset.build(*inputs), dataset.rules, metrics)
+        query = append_flow(rows, path, f"{folder}/_checkpoints/{dataset.name}", trigger)
+        return spark.read.schema(rows.schema).parquet(path), _streamed_counts(query, metrics)
+
+    def _run_changes(self, spark, dataset, frames, folder, trigger):
+        path = f"{folder}/{dataset.name}"
+        options = dict(dataset.apply)
+        scd, except_cols = options.pop("scd"), options.pop("except_cols")
+        feed = self._follow(spark, frames, folder, dataset.inputs[0])
+        checkpoint = f"{folder}/_checkpoints/{dataset.name}"
+        apply_changes(feed, path, checkpoint, scd=scd, trigger=trigger, **options)
+        if not scratch.exists(spark, f"{path}/deltas"):
+            nothing = spark.createDataFrame([], feed.schema)
+            batch = {1: cdc.scd1, 2: cdc.scd2}[scd]
+            return batch(nothing, except_cols=except_cols, **options), None
+        read = {1: read_current, 2: read_history}[scd]
+        options.pop("delete_when")
+        return read(spark, path, except_cols=except_cols, **options), None
+
     @staticmethod
     def _append_log(spark, log, update_id, folder) -> None:
         """One small row per dataset and event, made of names and counts only."""

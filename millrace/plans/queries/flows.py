@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.forecast import forecast_trend
 from millrace.functions.text import clean_code, is_email
 from millrace.operators import eventlog
-from millrace.operators.cdc import START, scd1, scd2
+from millrace.operators.cdc import START
 from millrace.operators.joins import interval_totals
 from millrace.operators.merge import merge
 from millrace.operators.quality import DROP, Rule, expect_all
@@ -230,10 +230,10 @@ def flow_changes(t):
         Rule("valid_operation", "operation IN ('APPEND', 'DELETE', 'UPDATE')", DROP),
     ]
 
-    @graph.stored("clean", inputs=["bronze"], rules=rules)
+    @graph.streamed("clean", inputs=["bronze"], rules=rules)
     def clean(bronze):
         parsed = F.to_timestamp_ntz("operation_date")
-        return bronze.withColumn("operation_date", parsed)
+        return bronze.withColumn("operation_date", parsed).drop("batch_id")
 
     applied = {
         "keys": ["user_id"],
@@ -241,14 +241,8 @@ def flow_changes(t):
         "delete_when": "operation = 'DELETE'",
         "except_cols": ["operation", "operation_date", RESCUED, SOURCE_FILE, LOAD_TIME],
     }
-
-    @graph.stored("current", inputs=["clean"])
-    def current(clean):
-        return scd1(clean, **applied)
-
-    @graph.stored("history", inputs=["clean"])
-    def history(clean):
-        return scd2(clean, **applied)
+    graph.changes("current", "clean", scd=1, **applied)
+    graph.changes("history", "clean", scd=2, **applied)
 
     @graph.view("counts", inputs=["history", "current"])
     def counts(history, current):
@@ -258,8 +252,9 @@ def flow_changes(t):
         live = current.select("user_id", F.lit(True).alias("is_live"))
         return versions.join(live, "user_id", "left").na.fill(False, ["is_live"])
 
-    sources = {"bronze": read_ingested(t.spark, bronze, checkpoint)}
-    return graph.run(t.spark, sources, t.scratch("changes"))["counts"]
+    schema = read_ingested(t.spark, bronze, checkpoint).schema.add("batch_id", "long")
+    stream = t.spark.readStream.schema(schema).parquet(bronze)
+    return graph.run(t.spark, {"bronze": stream}, t.scratch("changes"))["counts"]
 
 
 # ---- usage marts ----------------------------------------------------------------------------

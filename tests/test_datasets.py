@@ -79,3 +79,52 @@ def test_fail_rule_stops_the_run(spark, folder):
 
     with pytest.raises(Exception, match="never"):
         graph.run(spark, {"src": spark.range(3)}, folder)
+
+
+def changes_graph():
+    graph = DatasetGraph()
+    applied = {"keys": ["id"], "sequence_by": "seq", "delete_when": "op = 'DELETE'",
+               "except_cols": ["op", "seq"]}
+
+    @graph.streamed("clean", inputs=["feed"], rules=[Rule("has_id", "id IS NOT NULL", DROP)])
+    def clean(feed):
+        return feed
+
+    graph.changes("current", "clean", scd=1, **applied)
+    graph.changes("history", "clean", scd=2, **applied)
+    return graph
+
+
+def test_changes_follow_the_feed_across_runs(spark, folder, rows):
+    src, out = f"{folder}/src", f"{folder}/out"
+    schema = "id LONG, v STRING, op STRING, seq LONG"
+
+    def run(*changes):
+        if changes:
+            spark.createDataFrame(list(changes), schema).write.mode("append").parquet(src)
+        feed = spark.readStream.schema(schema).parquet(src)
+        return changes_graph().run(spark, {"feed": feed}, out)
+
+    first = run((1, "a", "APPEND", 5), (2, "b", "APPEND", 1), (None, "x", "APPEND", 1))
+    assert rows(first["current"]) == [(1, "a"), (2, "b")]
+    later = run((1, "late", "UPDATE", 2), (2, None, "DELETE", 9))
+    assert rows(later["current"]) == [(1, "a")]
+    assert rows(later["history"]) == [(1, "a", 5, None), (1, "late", 2, 5), (2, "b", 1, 9)]
+    assert rows(run()["history"]) == rows(later["history"])
+
+
+def test_changes_of_an_empty_feed(spark, folder, rows):
+    spark.sql("SELECT 1L id, 'a' v, 'x' op, 1L seq").where("false").write.parquet(f"{folder}/src")
+    feed = spark.readStream.schema("id LONG, v STRING, op STRING, seq LONG").parquet(f"{folder}/src")
+    out = changes_graph().run(spark, {"feed": feed}, f"{folder}/out")
+    assert rows(out["current"]) == [] and out["history"].columns == [
+        "id", "v", "__START_AT", "__END_AT",
+    ]
+
+
+def test_only_append_only_inputs_are_followed(spark, folder):
+    graph = DatasetGraph()
+    graph.stored("table", inputs=["src"])(lambda src: src)
+    graph.streamed("next", inputs=["table"])(lambda table: table)
+    with pytest.raises(ValueError, match="append-only"):
+        graph.run(spark, {"src": spark.range(3)}, folder)
