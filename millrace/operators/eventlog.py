@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The event kinds, also the names of their detail objects.
 PROGRESS, DEFINITION, UPDATE = "flow_progress", "flow_definition", "create_update"
 
 

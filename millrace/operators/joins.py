@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators.sizing import hot_key_hashes, key_hash, with_position
+from millrace.operators.sizing import hot_slots, with_slots, with_spread
 
 # An interval of level n is at most 4**n microseconds long and is filed in buckets of an eighth
 # of that; level 10 is about one second.
@@ -126,31 +126,23 @@ def salted_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    salts: int = 32,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
-    """Equi-join that spreads the hot keys of ``big`` over ``salts`` tasks.
+    """Equi-join that spreads each hot key of ``big`` over as many tasks as its size asks for.
 
-    Only hot keys are salted, so ``other`` is copied ``salts`` times for those keys alone. The
-    salt comes from the row's position, not its content: identical copies spread as well.
-    ``how`` may be inner or left, where each row of ``big`` is looked up once.
+    Only hot keys are salted, so the rows of ``other`` are copied for those keys alone. The salt
+    comes from the row's position, not its content: identical copies spread as well. ``how`` may
+    be inner or left, where each row of ``big`` is looked up once.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = hot_key_hashes(big, on) if hot is None else list(hot)
+    hot = hot_slots(big, on) if hot is None else hot
     if not hot:
         return big.join(other, list(on), how)
-    is_hot = key_hash(on).isin(hot)
-    slot = F.pmod(F.col("__position"), F.lit(salts))
-    spread = (
-        with_position(big, "__position")
-        .withColumn("__salt", F.when(is_hot, slot).otherwise(F.lit(0)).cast("int"))
-        .drop("__position")
-    )
-    copies = other.withColumn(
-        "__salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    spread = with_spread(big, on, hot, "__salt")
+    copies = (
+        with_slots(other, on, hot)
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__slots") - 1)))
+        .drop("__slots")
     )
     return spread.join(copies, [*on, "__salt"], how).drop("__salt")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.joins import salted_join
-from millrace.operators.sizing import hot_key_hashes
+from millrace.operators.sizing import hot_slots
 
 ACTION = "__action"
 
@@ -38,7 +38,7 @@ def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]
 
 
 def _matched_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], hot: Sequence[int]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], hot: Mapping[int, int]
 ) -> DataFrame:
     """Rows ``t`` and ``s`` of both sides paired on the keys, NULL where one side is missing.
 
@@ -65,7 +65,7 @@ def merge_actions(
     when: str | None = None,
     update: Mapping[str, str] | None = None,
     not_matched_by_source_delete: bool = False,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Every resulting row tagged insert, update, keep or delete.
 
@@ -77,7 +77,7 @@ def merge_actions(
     check_single_match(target, source, keys)
     source = source.select(*columns)
     unmatched = "delete" if not_matched_by_source_delete else "keep"
-    hot = hot_key_hashes(target, keys) if hot is None else hot
+    hot = hot_slots(target, keys) if hot is None else hot
     paired = _matched_rows(
         target.where(~_any_null(keys)), source.where(~_any_null(keys)), keys, hot
     )

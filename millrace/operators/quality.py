@@ -106,6 +106,7 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     return good, bad
 
 
+# The names of the gate comparisons.
 COMPARATORS = {
     "GREATER_THAN": lambda count, limit: count > limit,
     "GREATER_THAN_OR_EQUAL": lambda count, limit: count >= limit,

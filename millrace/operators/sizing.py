@@ -64,20 +64,43 @@ def _hot_keys(
     }
 
 
-def hot_key_hashes(
+def hot_slots(
     df: DataFrame,
     keys: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
     small_table: int = SMALL_TABLE,
-) -> list[int]:
-    """Hashes of the keys that hold more rows than one task should, at most HOT_KEYS.
+) -> dict[int, int]:
+    """Hash of each key too big for one task, with the number of tasks it should be spread over.
 
     A table below ``small_table`` cannot hold such a key, so nothing is read. Otherwise one pass
     over the key columns feeds a frequent-items sketch of fixed size, so neither the shuffle nor
-    the driver grows with the number of keys. The list only steers how rows are spread:
-    a key it misses or names in excess changes the layout, never the result.
+    the driver grows with the number of keys; at most HOT_KEYS come back. The answer only steers
+    how rows are spread: a key missed or named in excess changes the layout, never the result.
     """
-    return list(_hot_keys(df, keys, rows_per_task, small_table))
+    counts = _hot_keys(df, keys, rows_per_task, small_table)
+    return {h: math.ceil(n / rows_per_task) for h, n in counts.items()}
+
+
+def with_slots(df: DataFrame, keys: Sequence[str], slots: Mapping[int, int]) -> DataFrame:
+    """Add ``__slots``: over how many tasks the row's key is spread, 1 for ordinary keys."""
+    known = df.sparkSession.createDataFrame(list(slots.items()), "__slot_hash LONG, __slots INT")
+    return (
+        df.withColumn("__hash", key_hash(keys))
+        .join(F.broadcast(known), F.col("__hash") == F.col("__slot_hash"), "left")
+        .withColumn("__slots", F.coalesce("__slots", F.lit(1)))
+        .drop("__hash", "__slot_hash")
+    )
+
+
+def with_spread(
+    df: DataFrame, keys: Sequence[str], slots: Mapping[int, int], name: str
+) -> DataFrame:
+    """Add a slot number from the row's position: hot keys cycle through their slots, others 0."""
+    return (
+        with_slots(with_position(df, "__position"), keys, slots)
+        .withColumn(name, F.pmod(F.col("__position"), F.col("__slots")).cast("int"))
+        .drop("__position", "__slots")
+    )
 
 
 @dataclass(frozen=True)

@@ -117,7 +117,7 @@ class DatasetGraph:
 
         ``sources`` holds the frames from outside, streaming ones for streamed datasets. The
         folder keeps data and checkpoints; a full refresh is a run on a new folder. A trigger
-        other than ``availableNow`` leaves the streams running.
+        other than ``availableNow`` leaves the streams running after their first pass.
         """
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _KEPT_PROGRESS)
         frames = dict(sources)
@@ -160,6 +160,8 @@ class DatasetGraph:
         metrics = f"rules of {dataset.name}" if dataset.rules else None
         rows = apply_rules(dataset.build(*inputs), dataset.rules, metrics)
         query = append_flow(rows, path, f"{folder}/_checkpoints/{dataset.name}", trigger)
+        if query.isActive:
+            query.processAllAvailable()
         return spark.read.schema(rows.schema).parquet(path), _streamed_counts(query, metrics)
 
     def _run_changes(self, spark, dataset, frames, folder, trigger):
@@ -168,7 +170,9 @@ class DatasetGraph:
         scd, except_cols = options.pop("scd"), options.pop("except_cols")
         feed = self._follow(spark, frames, folder, dataset.inputs[0])
         checkpoint = f"{folder}/_checkpoints/{dataset.name}"
-        apply_changes(feed, path, checkpoint, scd=scd, trigger=trigger, **options)
+        query = apply_changes(feed, path, checkpoint, scd=scd, trigger=trigger, **options)
+        if query.isActive:
+            query.processAllAvailable()
         if not scratch.exists(spark, f"{path}/deltas"):
             nothing = spark.createDataFrame([], feed.schema)
             batch = {1: cdc.scd1, 2: cdc.scd2}[scd]

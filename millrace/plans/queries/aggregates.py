@@ -324,9 +324,8 @@ def agg_top_by_year(t):
     return (
         t.orders.where("o_totalprice > 0")
         .groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("order_year"))
-        .count()
-        .withColumnRenamed("count", "total_orders")
-        .sort(F.desc("total_orders"), F.desc("order_year"))
+        .agg(F.count("*").alias("total_orders"))
+        .orderBy(F.desc("total_orders"), F.desc("order_year"))
     )
 
 

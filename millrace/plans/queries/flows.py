@@ -442,11 +442,10 @@ def flow_top_by_year(t):
     @graph.view("top_by_year", inputs=["prepared"])
     def top(prepared):
         return (
-            prepared.where(F.expr("year > 0"))
+            prepared.where(F.col("year") > 0)
             .groupBy("buyer", F.col("year").cast("long").alias("order_year"))
-            .count()
-            .withColumnRenamed("count", "total_orders")
-            .sort(F.desc("total_orders"), F.desc("order_year"))
+            .agg(F.count("*").alias("total_orders"))
+            .orderBy(F.desc("total_orders"), F.desc("order_year"))
         )
 
     return graph.run(t.spark, {"raw": raw}, t.scratch("top"))["top_by_year"]

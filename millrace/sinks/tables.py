@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.operators.sizing import with_position
+from millrace.operators.sizing import hot_slots, with_spread
 
 
 class SchemaMismatch(ValueError):
@@ -81,16 +81,22 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_partitions(
-    df: DataFrame, path: str, key: str, fmt: str = "json", files_per_key: int = 1
+    df: DataFrame,
+    path: str,
+    key: str,
+    fmt: str = "json",
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Write one folder per key value and return the manifest (key, files, rows).
 
-    Rows are spread by position within the key, so a key with a third of all rows is written by
-    ``files_per_key`` tasks; the manifest is counted from the files written.
+    An ordinary key becomes one file; a hot one is spread over as many as its size asks for. The
+    manifest is counted from the files written.
     """
-    slot = F.pmod(F.col("__slot"), F.lit(files_per_key))
-    spread = with_position(df, "__slot").withColumn("__slot", slot)
-    spread = spread.repartition(key, "__slot").drop("__slot")
+    hot = hot_slots(df, [key]) if hot is None else hot
+    if hot:
+        spread = with_spread(df, [key], hot, "__slot").repartition(key, "__slot").drop("__slot")
+    else:
+        spread = df.repartition(key)
     spread.write.mode("overwrite").partitionBy(key).format(fmt).save(path)
     columns = T.StructType([f for f in df.schema.fields])
     written = df.sparkSession.read.format(fmt).schema(columns).load(path)

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
-from millrace.operators.sizing import KeyRanges, hot_key_hashes, hot_ranges
+from millrace.operators.sizing import KeyRanges, hot_slots, hot_ranges
 from millrace.streaming.changes import apply_changes, fold, read_current, read_history
 
 SCHEMA = "id LONG, name STRING, op STRING, seq LONG"
@@ -129,10 +129,11 @@ def skewed(spark):
 
 def test_hot_key_is_found_and_split_exactly(spark, rows):
     df = skewed(spark)
-    hot = hot_key_hashes(df, ["id"], rows_per_task=500, small_table=0)
-    assert hot == [df.where("id = 0").select(F.xxhash64("id")).first()[0]]
+    hot = hot_slots(df, ["id"], rows_per_task=500, small_table=0)
+    assert list(hot) == [df.where("id = 0").select(F.xxhash64("id")).first()[0]]
+    assert list(hot.values()) == [-(-df.where("id = 0").count() // 500)]
     ranges = hot_ranges(df, ["id"], "seq", rows_per_task=100, small_table=0)
-    assert len(ranges.cuts[hot[0]]) > 5 and ranges.piled
+    assert len(ranges.cuts[next(iter(hot))]) > 5 and ranges.piled
     everything = hot_ranges(df, ["id"], "seq", rows_per_task=1, small_table=0)
     expected = rows(history(df, ranges=KeyRanges()))
     assert rows(history(df, ranges=ranges)) == expected
@@ -141,7 +142,7 @@ def test_hot_key_is_found_and_split_exactly(spark, rows):
 
 
 def test_small_tables_are_not_scanned_for_hot_keys(spark):
-    assert hot_key_hashes(skewed(spark), ["id"], rows_per_task=1) == []
+    assert hot_slots(skewed(spark), ["id"], rows_per_task=1) == {}
 
 
 def stream(spark, df, src, files):

@@ -113,6 +113,19 @@ def test_changes_follow_the_feed_across_runs(spark, folder, rows):
     assert rows(run()["history"]) == rows(later["history"])
 
 
+def test_interval_trigger_keeps_the_streams_running(spark, folder, rows):
+    src, schema = f"{folder}/src", "id LONG, v STRING, op STRING, seq LONG"
+    spark.createDataFrame([(1, "a", "APPEND", 5)], schema).write.parquet(src)
+    feed = spark.readStream.schema(schema).parquet(src)
+    out = changes_graph().run(spark, {"feed": feed}, f"{folder}/out", trigger="1 second")
+    try:
+        assert rows(out["current"]) == [(1, "a")]
+        assert len(spark.streams.active) == 3
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+
+
 def test_changes_of_an_empty_feed(spark, folder, rows):
     spark.sql("SELECT 1L id, 'a' v, 'x' op, 1L seq").where("false").write.parquet(f"{folder}/src")
     feed = spark.readStream.schema("id LONG, v STRING, op STRING, seq LONG").parquet(f"{folder}/src")

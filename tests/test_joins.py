@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key
 from millrace.operators.joins import interval_join, interval_totals, salted_join
-from millrace.operators.sizing import hot_key_hashes
+from millrace.operators.sizing import hot_slots
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -79,17 +79,17 @@ def test_dates_count_from_midnight(spark, rows):
 def test_salted_join_equals_plain_join(spark, rows, how):
     big = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id % 5 AS v")
     other = spark.range(0, 1500).selectExpr("id AS k", "id * 2 AS w")
-    hot = hot_key_hashes(big, ["k"], rows_per_task=100, small_table=0)
-    assert len(hot) == 1
-    salted = salted_join(big, other, ["k"], how, salts=4, hot=hot)
+    hot = hot_slots(big, ["k"], rows_per_task=100, small_table=0)
+    assert list(hot.values()) == [7]
+    salted = salted_join(big, other, ["k"], how, hot=hot)
     assert rows(salted) == rows(big.join(other, ["k"], how))
 
 
 def test_salt_spreads_identical_rows(spark):
     big = spark.range(4000).selectExpr("1L AS k", "'same' AS v")
     other = spark.createDataFrame([(1, "x")], "k LONG, w STRING")
-    hot = hot_key_hashes(big, ["k"], rows_per_task=100, small_table=0)
-    spread = salted_join(big.repartition(1), other, ["k"], salts=8, hot=hot).hint("merge")
+    hot = hot_slots(big, ["k"], rows_per_task=100, small_table=0)
+    spread = salted_join(big.repartition(1), other, ["k"], hot=hot).hint("merge")
     assert spread.count() == 4000
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from millrace.operators.diagnostics import file_profile
+from millrace.operators.sizing import hot_slots
 from millrace.operators.governance import (
     Mask,
     RowRule,
@@ -71,9 +72,12 @@ def test_conform_carries_comments(spark):
 
 def test_export_manifest_counts_files_and_rows(spark, folder, rows):
     df = spark.range(90).selectExpr("id", "CASE WHEN id < 60 THEN 'hot' ELSE 'cold' END AS k")
-    manifest = export_partitions(df, f"{folder}/x", "k", files_per_key=3)
-    assert rows(manifest, "k", "rows") == [("cold", 30), ("hot", 60)]
-    assert all(r["files"] >= 1 for r in manifest.collect())
+    manifest = export_partitions(df, f"{folder}/x", "k")
+    assert rows(manifest, "k", "files", "rows") == [("cold", 1, 30), ("hot", 1, 60)]
+    slots = hot_slots(df, ["k"], rows_per_task=40, small_table=0)
+    spread = export_partitions(df, f"{folder}/y", "k", hot=slots)
+    assert rows(spread, "k", "rows") == [("cold", 30), ("hot", 60)]
+    assert max(r["files"] for r in spread.collect()) <= 2
 
 
 def test_compaction_keeps_rows(spark, folder):
