@@ -32,22 +32,57 @@ class SchemaStore:
         scratch.write_text(self._spark, self._path, schema.json())
 
 
-def new_fields(stored: T.StructType, seen: T.StructType) -> list[T.StructField]:
-    """Fields without a stored column; one that differs only in case is rescued, not new."""
-    known = {name.lower() for name in stored.names}
-    return [f for f in seen.fields if f.name.lower() not in known]
+def widen(stored: T.DataType, seen: T.DataType) -> T.DataType:
+    """The stored type with the fields only ``seen`` has appended, at every depth.
+
+    Types already stored never change, and a field that differs only in case is not new: values
+    that do not fit are rescued.
+    """
+    if isinstance(stored, T.StructType) and isinstance(seen, T.StructType):
+        found = {f.name.lower(): f for f in seen.fields}
+        fields = []
+        for f in stored.fields:
+            match = found.pop(f.name.lower(), None)
+            kind = widen(f.dataType, match.dataType) if match else f.dataType
+            fields.append(T.StructField(f.name, kind, f.nullable, f.metadata))
+        return T.StructType(fields + list(found.values()))
+    if isinstance(stored, T.ArrayType) and isinstance(seen, T.ArrayType):
+        return T.ArrayType(widen(stored.elementType, seen.elementType))
+    return stored
+
+
+def new_columns(stored: T.StructType, seen: T.StructType) -> list[str]:
+    """Top-level columns that widening adds or changes."""
+    before = {f.name: f.dataType for f in stored.fields}
+    return [f.name for f in widen(stored, seen).fields if before.get(f.name) != f.dataType]
 
 
-def widen(stored: T.StructType, seen: T.StructType) -> T.StructType:
-    return T.StructType(stored.fields + new_fields(stored, seen))
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
 def _typed(raw: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return raw
-    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        return F.from_json(raw, kind)
-    return raw.try_cast(kind)
+    return F.from_json(raw, kind) if isinstance(kind, _NESTED) else raw.try_cast(kind)
+
+
+def _fits(raw: Column, kind: T.DataType) -> Column:
+    """TRUE when the JSON text ``raw`` converts to ``kind`` without losing anything inside."""
+    if isinstance(kind, T.StringType):
+        return F.lit(True)
+    if isinstance(kind, T.StructType):
+        parts = F.from_json(raw, "map<string,string>")
+        names = F.array(*[F.lit(f.name) for f in kind.fields]).cast("array<string>")
+        fits = parts.isNotNull() & (F.size(F.array_except(F.map_keys(parts), names)) == 0)
+        for f in kind.fields:
+            value = parts.getItem(f.name)
+            fits = fits & (value.isNull() | _fits(value, f.dataType))
+        return F.coalesce(fits, F.lit(False))
+    if isinstance(kind, T.ArrayType):
+        parts = F.from_json(raw, "array<string>")
+        element = lambda x: x.isNull() | _fits(x, kind.elementType)
+        return F.coalesce(F.forall(parts, element), F.lit(False))
+    return _typed(raw, kind).isNotNull()
 
 
 def parse_records(
@@ -56,8 +91,8 @@ def parse_records(
     """Parse JSON text lines to ``schema``; every other column named in ``keep`` stays.
 
     Each line is parsed once to a map of its top-level fields. A field of the wrong type reads
-    NULL. Except in mode none, what did not fit (wrong types, unknown fields, broken lines) is
-    kept as one JSON object in the rescued column.
+    NULL. Except in mode none, what did not fit (wrong types, unknown fields at any depth, broken
+    lines) is kept as one JSON object of the top-level fields concerned in the rescued column.
     """
     if mode not in MODES:
         raise ValueError(f"unknown evolution mode {mode!r}; choose one of {MODES}")
@@ -66,7 +101,7 @@ def parse_records(
     columns = [_typed(raw[f.name], f.dataType).alias(f.name) for f in schema.fields]
     if mode != NONE:
         misfit = [
-            F.when(raw[f.name].isNotNull() & _typed(raw[f.name], f.dataType).isNull(), f.name)
+            F.when(raw[f.name].isNotNull() & ~_fits(raw[f.name], f.dataType), f.name)
             for f in schema.fields
             if not isinstance(f.dataType, T.StringType)
         ]

@@ -64,9 +64,9 @@ def ingest_json(
             stored = first_schema(batch)
             store.save(stored)
         if mode == evolution.FAIL:
-            added = evolution.new_fields(stored, infer_json_schema(batch, "value"))
+            added = evolution.new_columns(stored, infer_json_schema(batch, "value"))
             if added:
-                raise NewColumns(f"new columns {[f.name for f in added]} in batch {batch_id}")
+                raise NewColumns(f"new columns {added} in batch {batch_id}")
         if mode != evolution.ADD:
             write(batch, batch_id, stored)
             return

@@ -62,6 +62,33 @@ def test_odd_records_do_not_spoil_the_schema(spark, folder, rows):
     assert rows(result.where(f"{evolution.RESCUED} LIKE '%[1, 2]%'"), "id") == [(None,)]
 
 
+def test_nested_fields_evolve_too(spark, folder, rows):
+    drop(f"{folder}/in/a.json", {"id": 1, "who": {"n": 1}, "items": [{"s": "a"}]})
+    run(spark, folder)
+    drop(f"{folder}/in/b.json", {"id": 2, "who": {"n": 2, "m": "x"}, "items": [{"s": "b", "q": 5}]})
+    result = run(spark, folder)
+    assert rows(result, "id", "who.m", "items.q", evolution.RESCUED) == [
+        (1, None, [None], None), (2, "x", [5], None),
+    ]
+
+
+def test_nested_misfits_are_rescued_whole(spark, folder, rows):
+    good = {"id": 1, "who": {"n": 1, "z": None}, "items": [{"s": 1}, None]}
+    drop(f"{folder}/in/a.json", good)
+    run(spark, folder, evolution.RESCUE)
+    drop(
+        f"{folder}/in/b.json", {"id": 2, "who": {"n": "two"}, "items": [{"s": 2, "extra": True}]},
+        {"id": 3, "who": {"n": None}, "items": []}, {"id": 4, "who": "nobody"},
+    )
+    result = run(spark, folder, evolution.RESCUE)
+    assert rows(result, "id", evolution.RESCUED) == [
+        (1, None),
+        (2, '{"who":"{\\"n\\":\\"two\\"}","items":"[{\\"s\\":2,\\"extra\\":true}]"}'),
+        (3, None),
+        (4, '{"who":"nobody"}'),
+    ]
+
+
 def test_names_that_differ_in_case_are_rescued(spark, folder, rows):
     drop(f"{folder}/in/a.json", {"id": 1})
     run(spark, folder)
