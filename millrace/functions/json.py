@@ -39,9 +39,8 @@ def merged_schema(column: str) -> Column:
 
     Lines that are broken or hold something else than an object have no say in it.
     """
-    document = F.try_parse_json(column)
-    is_object = F.schema_of_variant(document).startswith("OBJECT<")
-    return F.schema_of_variant_agg(F.when(is_object, document))
+    is_object = F.ltrim(column).startswith("{")
+    return F.schema_of_variant_agg(F.when(is_object, F.try_parse_json(column)))
 
 
 def infer_json_schema(df: DataFrame, column: str) -> T.StructType:

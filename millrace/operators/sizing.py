@@ -72,13 +72,16 @@ def hot_slots(
 ) -> dict[int, int]:
     """Hash of each key too big for one task, with the number of tasks it should be spread over.
 
+    All slots together stay below MAX_CUTS + HOT_KEYS, however large the table.
+
     A table below ``small_table`` cannot hold such a key, so nothing is read. Otherwise one pass
     over the key columns feeds a frequent-items sketch of fixed size, so neither the shuffle nor
     the driver grows with the number of keys; at most HOT_KEYS come back. The answer only steers
     how rows are spread: a key missed or named in excess changes the layout, never the result.
     """
     counts = _hot_keys(df, keys, rows_per_task, small_table)
-    return {h: math.ceil(n / rows_per_task) for h, n in counts.items()}
+    rows_per_slot = max(rows_per_task, sum(counts.values()) // MAX_CUTS)
+    return {h: math.ceil(n / rows_per_slot) for h, n in counts.items()}
 
 
 def with_slots(df: DataFrame, keys: Sequence[str], slots: Mapping[int, int]) -> DataFrame:

@@ -8,7 +8,7 @@ from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import interval_join, salted_join
 from millrace.operators.sizing import broadcast_if_small, hot_slots
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
+from millrace.plans.queries.common import NET_PRICE_SQL, net_total, task_rows, total
 
 
 @query(
@@ -168,7 +168,7 @@ def join_salted(t):
     """A third of the lines share one part; the hot key is found by a sketch, then salted."""
     part_key = F.when(F.col("l_returnflag") == "A", F.lit(0)).otherwise(F.col("l_partkey"))
     keyed = t.lineitem.select(part_key.cast("long").alias("p_partkey"), "l_quantity")
-    hot = hot_slots(keyed, ["p_partkey"], rows_per_task=10_000, small_table=0)
+    hot = hot_slots(keyed, ["p_partkey"], task_rows(t.lineitem, 60), small_table=0)
     parts = t.part.select("p_partkey", "p_brand")
     return (
         salted_join(keyed, parts, ["p_partkey"], hot=hot)

@@ -241,7 +241,8 @@ def fn_date_format(t):
 @query(
     f"""
     SELECT l_orderkey, l_linenumber, l_partkey, CAST({NET_PRICE_SQL} AS DOUBLE) AS net,
-           CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS rounded, l_extendedprice / l_quantity AS unit_price, l_orderkey % 7 AS bucket,
+           CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS rounded,
+           l_extendedprice / l_quantity AS unit_price, l_orderkey % 7 AS bucket,
            l_quantity * 2 + 1 AS doubled
     FROM lineitem
     """

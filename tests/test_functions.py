@@ -10,7 +10,7 @@ from millrace.functions.text import classify_keywords, is_email, is_email_udf, k
 from millrace.functions.times import epoch_micros, epoch_to_date, minutes_between
 from millrace.operators.diagnostics import run_trends, skew_profile
 from millrace.operators.quantiles import exact_quantiles
-from millrace.session import shuffle_partitions_for
+from millrace.session import cached, shuffle_partitions_for, tune
 
 
 @pytest.mark.parametrize(
@@ -149,6 +149,26 @@ def test_run_flags(spark):
     assert abs(got[101.0]["failure_rate"] - 1 / 3) < 1e-12
 
 
+def test_tuning_is_applied_and_reported(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        done = tune(spark, input_bytes=2**40, broadcast_threshold=50 * 2**20)
+        assert done[names[0]] == spark.conf.get(names[0]) == "8192"
+        assert spark.conf.get(names[1]) == str(50 * 2**20)
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_cache_is_released(spark):
+    df = spark.range(5).selectExpr("id + 1 AS id")
+    with cached(df) as kept:
+        assert kept.count() == 5 and kept.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
+
+
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(100 * 2**40) == 819_200

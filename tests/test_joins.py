@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import sizing
 from millrace.operators.dedup import first_per_key, latest_per_key
 from millrace.operators.joins import interval_join, interval_totals, salted_join
 from millrace.operators.sizing import hot_slots
@@ -93,6 +94,18 @@ def test_salt_spreads_identical_rows(spark):
     assert spread.count() == 4000
 
 
+def test_slots_stay_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_CUTS", 10)
+    df = spark.range(3000).selectExpr("id % 3 AS k")
+    slots = hot_slots(df, ["k"], rows_per_task=1, small_table=0)
+    assert len(slots) == 3 and sum(slots.values()) <= 10 + 3
+    ranges = sizing.hot_ranges(
+        df.selectExpr("k", "monotonically_increasing_id() AS o"), ["k"], "o",
+        rows_per_task=1, small_table=0,
+    )
+    assert sum(map(len, ranges.cuts.values())) <= 10 + 3
+
+
 def test_salted_join_rejects_other_kinds(spark):
     with pytest.raises(ValueError):
         salted_join(spark.range(1), spark.range(1), ["id"], "full_outer")

@@ -20,7 +20,6 @@ def t(spark):
 
 
 RUNS = entry.queries()
-WRITERS = {"flow_", "stream", "evolve", "ingest"}
 
 
 @pytest.mark.parametrize("name", sorted(RUNS))
