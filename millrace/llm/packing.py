@@ -307,7 +307,8 @@ def pack_lengths(spark, counts: Mapping[int, int], capacity: int = CAPACITY) ->
     )
     least = -(-sum(n * c for n, c in counts.items()) // capacity)
     for _ in range(ROUNDS):
-        state = settle(per_group(state, ["island"], island, schema), "islands")
+        apart = state.repartitionByRange(ISLANDS, "island")
+        state = settle(per_group(apart, ["island"], island, schema), "islands")
         if state.agg(F.min("bins")).first()[0] == least:
             break
         # the elite of each island moves on to the next one

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import near_dedup, packing, quality_classifier, quality_rules
+from millrace.llm import bpe, near_dedup, packing, quality_classifier, quality_rules
 from millrace.llm.common import table
 
 
@@ -23,12 +23,16 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(documents, labels)
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
-    for run in (op1_quality_rules, op2_near_dedup, op5_quality_classifier, op10_packing)
+    for run in (op1_quality_rules, op2_near_dedup, op5_quality_classifier, op9_bpe, op10_packing)
 }
 SQL: dict[str, str] = {}
