@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, near_dedup, packing, quality_classifier, quality_rules
+from millrace.llm import (
+    bpe,
+    hnsw,
+    licenses,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    quotations,
+    url_filter,
+    warc,
+)
 from millrace.llm.common import table
 
 
@@ -18,11 +29,32 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op4_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_classifier.quality_scores(documents, labels)
 
 
+def op6_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +65,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
-    for run in (op1_quality_rules, op2_near_dedup, op5_quality_classifier, op9_bpe, op10_packing)
+    for run in (
+        op1_quality_rules,
+        op2_near_dedup,
+        op3_url_filter,
+        op4_hnsw,
+        op5_quality_classifier,
+        op6_quotations,
+        op7_warc,
+        op8_licenses,
+        op9_bpe,
+        op10_packing,
+    )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_licenses": licenses.LICENSE_SQL}
