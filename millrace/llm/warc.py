@@ -154,18 +154,23 @@ class _Members:
         self.source, self.piece = source, piece
         self.packed, self.plain = b"", bytearray()
         self.unpacker = zlib.decompressobj(31)
+        self.open = False  # inside a member
 
     def _more(self) -> bool:
         if self.unpacker.eof:
             self.packed, self.unpacker = self.unpacker.unused_data, zlib.decompressobj(31)
+            self.open = False
         size = len(self.plain)
         if not self.packed:  # the unpacker may still hold bytes beyond the last piece
             self.plain += self.unpacker.decompress(b"", self.piece)
             if len(self.plain) > size:
                 return True
             self.packed = self.source.read(self.piece)
+            if not self.packed and self.open:
+                raise ValueError("the archive ends inside a record")
             if not self.packed:
                 return False
+        self.open = True
         self.plain += self.unpacker.decompress(self.packed, self.piece)
         self.packed = self.unpacker.unconsumed_tail
         return True
