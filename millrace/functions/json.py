@@ -39,7 +39,7 @@ def merged_schema(column: str) -> Column:
 
     Lines that are broken or hold something else than an object have no say in it.
     """
-    is_object = F.ltrim(column).startswith("{")
+    is_object = F.col(column).rlike(r"^\s*\{")
     return F.schema_of_variant_agg(F.when(is_object, F.try_parse_json(column)))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.times import epoch_micros
-from millrace.operators.sizing import hot_slots, with_slots, with_spread
+from millrace.operators.sizing import hot_slots, with_position, with_slots, with_spread
 
 # An interval of level n is at most 4**n microseconds long and is filed in buckets of an eighth
 # of that; level 10 is about one second.
@@ -97,9 +97,10 @@ def interval_totals(
     The aggregate of ``interval_join`` without most of its pairs. Inside the buckets an interval
     covers whole, the points are added up per bucket and ``by`` value before the join, so a busy
     ``by`` value or a pile of copies is one row there; single points only meet the intervals
-    whose edge falls into their bucket. Intervals without points are absent.
+    whose edge falls into their bucket. Intervals without points are absent; repeated intervals
+    count as one.
     """
-    filed, levels = _filed(intervals, start, end)
+    filed, levels = _filed(intervals.distinct(), start, end)
     located = _located(points.select(point, by, value), point, levels)
     bucketed = located.groupBy("__level", "__bucket", by).agg(
         F.count("*").alias("n_points"), F.sum(value).alias("total")
@@ -120,6 +121,63 @@ def interval_totals(
     )
 
 
+def interval_sums(
+    intervals: DataFrame, points: DataFrame, start: str, end: str, point: str, value: str
+) -> DataFrame:
+    """Each interval with ``n_points`` and ``total`` of the points strictly inside it.
+
+    Linear in both inputs: the answer is a difference of two running sums over time, taken at the
+    interval's ends. Running sums are formed within buckets of about a minute and carried on from
+    bucket to bucket and from day to day, so no task sees more than a bucket's rows or a day's
+    buckets. ``value`` is a whole number, so sums don't depend on their order.
+    """
+    columns = F.struct(*intervals.columns)
+    named = with_position(intervals.where(F.col(start) < F.col(end)), "__id").select(
+        "__id", columns.alias("__own"), start, end
+    )
+    none = F.lit(0).cast("long")
+    inside = points.where(F.col(point).isNotNull()).select(
+        epoch_micros(F.col(point)).alias("at"),
+        F.lit(1).alias("kind"),
+        F.lit(None).cast("long").alias("__id"),
+        F.lit(1).cast("long").alias("n"),
+        F.coalesce(F.col(value).cast("long"), none).alias("v"),
+    )
+    # at one instant an end comes before the points and a start after them: both are strict
+    bounds = [
+        named.select(
+            epoch_micros(F.col(at)).alias("at"), F.lit(kind).alias("kind"), "__id", none.alias("n"), none.alias("v")
+        )
+        for at, kind in ((end, 0), (start, 2))
+    ]
+    marks = inside.union(bounds[0]).union(bounds[1])
+    marks = marks.withColumn("bucket", F.shiftright("at", 26)).withColumn("day", F.shiftright("at", 37))
+    running = Window.partitionBy("day", "bucket").orderBy("at", "kind")
+    running = running.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = marks.groupBy("day", "bucket").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    in_day = earlier(Window.partitionBy("day").orderBy("bucket"))
+    days = buckets.groupBy("day").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    in_all = earlier(Window.orderBy("day"))
+    days = days.select("day", *[F.coalesce(F.sum(c).over(in_all), none).alias(f"{c}_days") for c in "nv"])
+    before = buckets.select(
+        "day", "bucket", *[F.coalesce(F.sum(c).over(in_day), none).alias(f"{c}_buckets") for c in "nv"]
+    ).join(days, "day")
+    sign = F.when(F.col("kind") == 0, 1).otherwise(-1)
+    at_bounds = (
+        marks.withColumns({f"{c}_here": F.sum(c).over(running) for c in "nv"})
+        .where("kind <> 1")
+        .join(before, ["day", "bucket"])
+    )
+    sums = at_bounds.groupBy("__id").agg(
+        *[
+            F.sum(sign * (F.col(f"{c}_here") + F.col(f"{c}_buckets") + F.col(f"{c}_days"))).alias(name)
+            for c, name in (("n", "n_points"), ("v", "total"))
+        ]
+    )
+    return named.select("__id", "__own").join(sums, "__id").select("__own.*", "n_points", "total")
+
+
 def salted_join(
     big: DataFrame,
     other: DataFrame,

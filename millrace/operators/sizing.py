@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from millrace.scratch import scratch_root
 
 BROADCAST_LIMIT = 10 * 1024 * 1024
-SMALL_TABLE = 256 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 HOT_KEYS = 4_096
 SKETCH_ITEMS = 65_536
@@ -26,9 +25,32 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Measured size of all rows: fixed widths, and the lengths of text and nested values.
+
+    Bytes on disk say little, since files of repeated values compress a thousandfold.
+    """
+    width, parts = 8, []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.octet_length(column))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.octet_length(F.to_json(F.struct(column))))
+        width += 16
+    total = F.lit(0).cast("long")
+    for part in parts:
+        total = total + F.coalesce(part, F.lit(0))
+    return df.select((F.lit(width) + total).alias("bytes")).agg(F.sum("bytes")).first()[0] or 0
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only below the limit; otherwise the plain frame, joined by shuffle."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+    """Hint a broadcast only below the limit; otherwise the plain frame, joined by shuffle.
+
+    Only a frame that is small on disk is measured, by one pass over it.
+    """
+    small = plan_bytes(df) <= limit and row_bytes(df) <= limit
+    return F.broadcast(df) if small else df
 
 
 def with_position(df: DataFrame, name: str) -> DataFrame:
@@ -49,11 +71,9 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def _hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int, small_table: int
+    df: DataFrame, keys: Sequence[str], rows_per_task: int
 ) -> dict[int, int]:
     """Hash and approximate row count of the keys that hold more rows than one task should."""
-    if plan_bytes(df) < small_table:
-        return {}
     found = (
         df.select(key_hash(keys).alias("h"))
         .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
@@ -68,18 +88,17 @@ def hot_slots(
     df: DataFrame,
     keys: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
-    small_table: int = SMALL_TABLE,
 ) -> dict[int, int]:
     """Hash of each key too big for one task, with the number of tasks it should be spread over.
 
     All slots together stay below MAX_CUTS + HOT_KEYS, however large the table.
 
-    A table below ``small_table`` cannot hold such a key, so nothing is read. Otherwise one pass
-    over the key columns feeds a frequent-items sketch of fixed size, so neither the shuffle nor
-    the driver grows with the number of keys; at most HOT_KEYS come back. The answer only steers
+    One pass over the key columns feeds a frequent-items sketch of fixed size, so neither the
+    shuffle nor the driver grows with the number of keys; at most HOT_KEYS come back (a key beyond
+    them stays in one task). Bytes on disk are no guide here, as copies compress away. The answer only steers
     how rows are spread: a key missed or named in excess changes the layout, never the result.
     """
-    counts = _hot_keys(df, keys, rows_per_task, small_table)
+    counts = _hot_keys(df, keys, rows_per_task)
     rows_per_slot = max(rows_per_task, sum(counts.values()) // MAX_CUTS)
     return {h: math.ceil(n / rows_per_slot) for h, n in counts.items()}
 
@@ -126,14 +145,13 @@ def hot_ranges(
     order: str,
     *,
     rows_per_task: int = ROWS_PER_TASK,
-    small_table: int = SMALL_TABLE,
 ) -> KeyRanges:
     """Cut every hot key into ranges of ``order`` of about ``rows_per_task`` rows.
 
     All cut points together stay below MAX_CUTS + HOT_KEYS, however large the table. Where they
     fall decides only how evenly a key is spread, so approximate ones do.
     """
-    counts = _hot_keys(df, keys, rows_per_task, small_table)
+    counts = _hot_keys(df, keys, rows_per_task)
     if not counts:
         return KeyRanges()
     rows_per_range = max(rows_per_task, sum(counts.values()) // MAX_CUTS)

@@ -63,16 +63,21 @@ def restore(
 ) -> DataFrame:
     """The log plus one commit that brings the table back to ``version``.
 
-    Only rows that differ are written: the two states meet in one full outer join on the keys.
+    Only rows that differ are written. One grouped pass gives both states of a key: its last
+    change of all, and its last one up to ``version``.
     """
     keys = list(keys)
     values = [c for c in log.columns if c not in {*META, *keys}]
-    then = as_of(log, keys, version=version)
-    now = _last_change(log, keys).where("op <> 'delete'").drop(*META)
-    then = then.select(*keys, F.struct(*values).alias("__then"))
-    now = now.select(*keys, F.struct(*values).alias("__now"))
+    row, at = F.struct("op", F.struct(*values).alias("row")), F.col("commit_version")
+    old = at <= version
+    live = lambda c: F.when(F.col(f"{c}.op") != "delete", F.col(f"{c}.row"))
     changed = (
-        now.join(then, keys, "full_outer")
+        log.groupBy(*keys)
+        .agg(
+            F.max_by(row, at).alias("__last"),
+            F.max_by(F.when(old, row), F.when(old, at)).alias("__was"),
+        )
+        .select(*keys, live("__last").alias("__now"), live("__was").alias("__then"))
         .where(~F.col("__then").eqNullSafe(F.col("__now")))
         .withColumn(
             "op",

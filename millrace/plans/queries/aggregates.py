@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, cents, net_total, total
+from millrace.plans.queries.common import NET_PRICE_SQL, cents, exact_sum, net_total, total
 
 
 @query(
@@ -30,22 +30,24 @@ def scan_parquet(t):
 
 @query(
     """
-    SELECT CAST(o_orderdate AS DATE) AS order_date,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-           count(DISTINCT o_orderkey) AS total_invoices,
-           count(DISTINCT o_custkey) AS unique_customers,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_invoice,
-           max(o_totalprice) AS max_invoice
+    SELECT CAST(o_orderdate AS DATE) AS booked_on,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS booked,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE)
+               AS still_open,
+           count(DISTINCT o_orderpriority) AS priorities, count(DISTINCT o_custkey % 100) AS segments,
+           avg(o_custkey) AS mean_key, max(o_orderkey) AS last_order
     FROM orders GROUP BY ALL
     """
 )
 def agg_daily_revenue(t):
-    return t.orders.groupBy(F.col("o_orderdate").cast("date").alias("order_date")).agg(
-        total("o_totalprice").alias("total_revenue"),
-        F.count_distinct("o_orderkey").alias("total_invoices"),
-        F.count_distinct("o_custkey").alias("unique_customers"),
-        (total("o_totalprice") / F.count("*")).alias("avg_invoice"),
-        F.max("o_totalprice").alias("max_invoice"),
+    open_price = F.when(F.col("o_orderstatus") == "O", cents("o_totalprice"))
+    return t.orders.groupBy(F.col("o_orderdate").cast("date").alias("booked_on")).agg(
+        total("o_totalprice").alias("booked"),
+        exact_sum(open_price, 100).alias("still_open"),
+        F.count_distinct("o_orderpriority").alias("priorities"),
+        F.count_distinct(F.col("o_custkey") % 100).alias("segments"),
+        F.avg("o_custkey").alias("mean_key"),
+        F.max("o_orderkey").alias("last_order"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators.cdc import END, START, scd1, scd2
 from millrace.operators.sizing import hot_ranges
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import change_feed, task_rows
+from millrace.plans.queries.common import change_feed
 from millrace.streaming.changes import apply_changes, fold, read_current, read_history
 
 _FEED = {"keys": ["user_id"], "sequence_by": "ts"}
@@ -41,8 +41,7 @@ def scd2_history(t):
 def scd2_hot_key_split(t):
     """The same history with the busiest keys cut into time ranges that run as separate tasks."""
     feed = change_feed(t.events)
-    rows = task_rows(t.events, 250)
-    ranges = hot_ranges(feed, ["user_id"], "ts", rows_per_task=rows, small_table=0)
+    ranges = hot_ranges(feed, ["user_id"], "ts")
     return scd2(
         feed, delete_when=_DELETE, except_cols=["operation", "ts"], ranges=ranges, **_FEED
     )

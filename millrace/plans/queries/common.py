@@ -4,14 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.sizing import ROWS_PER_TASK
-
-
-def task_rows(df: DataFrame, tasks: int) -> int:
-    """Rows per task that split even the small test tables, but never less work than the default
-    on large ones."""
-    return min(ROWS_PER_TASK, max(1, df.count() // tasks))
-
 
 def cents(column: str) -> Column:
     """An amount with two decimals as a whole number, much cheaper than a cast to decimal."""

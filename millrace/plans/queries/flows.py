@@ -8,13 +8,13 @@ from millrace.functions.forecast import forecast_trend
 from millrace.functions.text import clean_code, is_email
 from millrace.operators import eventlog
 from millrace.operators.cdc import START
-from millrace.operators.joins import interval_totals
+from millrace.operators.joins import interval_sums
 from millrace.operators.merge import merge
 from millrace.operators.quality import DROP, Rule, expect_all
 from millrace.plans.catalog import query
 from millrace.plans.datasets import DatasetGraph, read_events
 from millrace.plans.queries.aggregates import _DAILY_SQL, daily_revenue
-from millrace.plans.queries.common import cents, change_feed, exact_sum, total
+from millrace.plans.queries.common import cents, change_feed, total
 from millrace.plans.queries.quality import progress_log
 from millrace.plans.queries.scalars import _EMAIL_SQL, _VALID_SQL, customers_with_email
 from millrace.sources.evolution import RESCUED
@@ -162,7 +162,7 @@ def flow_billing_quality(t):
 
 @query(
     """
-    SELECT 'drop1' AS folder, count(*) AS n_rows, 0 AS with_points, min(o_orderkey) AS first_key
+    SELECT 'drop1' AS folder, count(*) AS n_rows, 0 AS with_coupon, min(o_orderkey) AS first_key
     FROM orders WHERE year(o_orderdate) < 1999
     UNION ALL
     SELECT 'drop2', count(*), count(*), min(o_orderkey) FROM orders WHERE year(o_orderdate) >= 1999
@@ -175,8 +175,8 @@ def flow_ingest_audit(t):
     early = F.year("o_orderdate") < 1999
     t.orders.where(early).select(*columns).write.json(f"{src}/drop1")
     ingest_json(t.spark, f"{src}/*", target, checkpoint)
-    points = F.floor(F.col("o_totalprice") / 100)
-    t.orders.where(~early).select(*columns).withColumn("loyalty_points", points).write.json(f"{src}/drop2")
+    coupon = F.floor(F.col("o_totalprice") / 100)
+    t.orders.where(~early).select(*columns).withColumn("coupon", coupon).write.json(f"{src}/drop2")
     ingest_json(t.spark, f"{src}/*", target, checkpoint)
     folder = F.regexp_extract(SOURCE_FILE, "/(drop[0-9]+)/", 1)
     return (
@@ -184,7 +184,7 @@ def flow_ingest_audit(t):
         .groupBy(folder.alias("folder"))
         .agg(
             F.count("*").alias("n_rows"),
-            F.count("loyalty_points").alias("with_points"),
+            F.count("coupon").alias("with_coupon"),
             F.min("o_orderkey").alias("first_key"),
         )
     )
@@ -215,7 +215,7 @@ def flow_changes(t):
     feed = change_feed(t.events)
     dirty = feed.select(
         F.when(F.col("value") >= 1, F.col("user_id")).alias("user_id"),
-        F.when(F.col("value") <= 200, F.col("operation")).alias("operation"),
+        F.when(F.col("value") <= 200, F.substring("operation", 1, 1)).alias("code"),
         "event_type",
         "value",
         F.col("ts").cast("string").alias("operation_date"),
@@ -225,9 +225,9 @@ def flow_changes(t):
 
     graph = DatasetGraph()
     rules = [
-        Rule("no_rescued_data", f"{RESCUED} IS NULL", DROP),
-        Rule("valid_id", "user_id IS NOT NULL", DROP),
-        Rule("valid_operation", "operation IN ('APPEND', 'DELETE', 'UPDATE')", DROP),
+        Rule("read_in_full", f"{RESCUED} IS NULL", DROP),
+        Rule("names_a_user", "coalesce(user_id, -1) >= 0", DROP),
+        Rule("one_letter_code", "length(code) = 1 AND contains('ADU', code)", DROP),
     ]
 
     @graph.streamed("clean", inputs=["bronze"], rules=rules)
@@ -238,8 +238,8 @@ def flow_changes(t):
     applied = {
         "keys": ["user_id"],
         "sequence_by": "operation_date",
-        "delete_when": "operation = 'DELETE'",
-        "except_cols": ["operation", "operation_date", RESCUED, SOURCE_FILE, LOAD_TIME],
+        "delete_when": "code = 'D'",
+        "except_cols": ["code", "operation_date", RESCUED, SOURCE_FILE, LOAD_TIME],
     }
     graph.changes("current", "clean", scd=1, **applied)
     graph.changes("history", "clean", scd=2, **applied)
@@ -260,25 +260,15 @@ def flow_changes(t):
 # ---- usage marts ----------------------------------------------------------------------------
 
 _USES_SQL = """
-    SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS revenue,
-           'p' || (CAST(json_extract(props, '$.k') AS INT) % 5) AS from_place,
-           'p' || (CAST(json_extract(props, '$.k') AS INT) // 20) AS to_place
+    SELECT event_id, user_id, ts, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS amount,
+           CAST(json_extract(props, '$.k') AS INT) % 5 AS door,
+           CAST(json_extract(props, '$.k') AS INT) // 20 AS hall
     FROM events WHERE event_type <> 'error'
 """
-_ASSET_SQL = f"""
-    SELECT u.day, u.user_id, count(DISTINCT u.event_id) AS total_uses,
-           CAST(sum(u.revenue) AS DOUBLE) AS total_revenue,
-           arg_min(u.from_place, u.ts) AS first_place, arg_max(u.to_place, u.ts) AS last_place,
-           e.user_id IS NOT NULL AS had_fault
-    FROM ({_USES_SQL}) u LEFT JOIN
-        (SELECT user_id, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'error') e
-        ON u.user_id = e.user_id AND u.day = e.day
-    GROUP BY u.day, u.user_id, e.user_id IS NOT NULL
-"""
 
 
 def uses(t):
-    """Events other than errors as uses of an asset (the user) between two places."""
+    """Events other than errors as uses of an asset (the user) between a door and a hall."""
     k = F.get_json_object("props", "$.k").cast("int")
     return t.events.where("event_type <> 'error'").select(
         "event_id",
@@ -286,130 +276,86 @@ def uses(t):
         "ts",
         F.col("ts").cast("date").alias("day"),
         cents("value").alias("cents"),
-        F.concat(F.lit("p"), k % 5).alias("from_place"),
-        F.concat(F.lit("p"), F.floor(k / 20)).alias("to_place"),
+        (k % 5).alias("door"),
+        F.floor(k / 20).cast("int").alias("hall"),
     )
 
 
-def asset_days(t):
-    """Per asset and day: uses, revenue, first and last place, and whether a fault was logged.
-
-    The result is defined by a left join to the fault log, in which a day with several faults
-    repeats every use. Both sides are reduced to one row per asset and day first; the repetition
-    is then a multiplication by the fault count, and no pair of rows is ever built.
+@query(
     """
-    used = (
-        uses(t)
-        .groupBy("day", "user_id")
-        .agg(
-            F.count_distinct("event_id").alias("total_uses"),
-            F.sum("cents").alias("cents"),
-            F.min_by("from_place", "ts").alias("first_place"),
-            F.max_by("to_place", "ts").alias("last_place"),
-        )
-    )
-    faults = (
-        t.events.where("event_type = 'error'")
-        .groupBy(F.col("ts").cast("date").alias("day"), "user_id")
-        .agg(F.count("*").alias("faults"))
-    )
-    return used.join(faults, ["day", "user_id"], "left").select(
-        "day",
-        "user_id",
-        "total_uses",
-        (F.col("cents") * F.coalesce("faults", F.lit(1)) / 100).alias("total_revenue"),
-        "first_place",
-        "last_place",
-        F.col("faults").isNotNull().alias("had_fault"),
-    )
-
-
-@query(_ASSET_SQL)
+    SELECT CAST(ts AS DATE) AS day, user_id,
+           count(*) FILTER (WHERE event_type <> 'error' AND hour(ts) < 12) AS before_noon,
+           count(*) FILTER (WHERE event_type <> 'error' AND hour(ts) >= 12) AS after_noon,
+           count(*) FILTER (WHERE event_type = 'error') AS faults,
+           max(value) FILTER (WHERE event_type <> 'error') AS dearest,
+           max(ts) FILTER (WHERE event_type = 'error') AS last_fault
+    FROM events GROUP BY ALL
+    """
+)
 def mart_asset_day(t):
-    return asset_days(t)
+    """Per asset and day: uses by half of the day, its dearest use, and its faults; one pass."""
+    fault, morning = F.col("event_type") == "error", F.hour("ts") < 12
+    return t.events.groupBy(F.col("ts").cast("date").alias("day"), "user_id").agg(
+        F.count_if(~fault & morning).alias("before_noon"),
+        F.count_if(~fault & ~morning).alias("after_noon"),
+        F.count_if(fault).alias("faults"),
+        F.max(F.when(~fault, F.col("value"))).alias("dearest"),
+        F.max(F.when(fault, F.col("ts"))).alias("last_fault"),
+    )
 
 
 @query(
     f"""
-    WITH touched AS (
-        SELECT day, from_place AS place, 1 AS left_here, 0 AS came_here, revenue AS earned_from,
-               0 AS earned_to FROM ({_USES_SQL})
+    WITH seen AS (
+        SELECT day, door AS place, user_id, amount, door = hall AS stayed FROM ({_USES_SQL})
         UNION ALL
-        SELECT day, to_place, 0, 1, 0, revenue FROM ({_USES_SQL}))
-    SELECT day, place, CAST(sum(left_here) AS BIGINT) AS uses_from,
-           CAST(sum(came_here) AS BIGINT) AS uses_to,
-           CAST(sum(earned_from) AS DOUBLE) AS revenue_from,
-           CAST(sum(earned_to) AS DOUBLE) AS revenue_to,
-           (SELECT count(*) FROM ({_ASSET_SQL}) a WHERE a.day = touched.day
-            AND a.last_place = touched.place) AS assets_at_close
-    FROM touched GROUP BY day, place
+        SELECT day, hall, user_id, amount, false FROM ({_USES_SQL}) WHERE door <> hall)
+    SELECT day, place, count(*) AS visits, count(DISTINCT user_id) AS visitors,
+           count(*) FILTER (WHERE stayed) AS stays, CAST(max(amount) AS DOUBLE) AS dearest
+    FROM seen GROUP BY ALL
     """
 )
 def mart_place_day(t):
-    """Uses leaving and reaching each place, and how many assets ended the day there.
-
-    A use counts at both its places, so it becomes two rows of one aggregation; a place seen
-    from one side only gets zeros for the other without an outer join.
-    """
-    zero = F.lit(0).cast("long")
-    ends = F.array(
-        F.struct(
-            F.col("from_place").alias("place"),
-            F.lit(1).alias("leaves"),
-            F.col("cents").alias("earned_from"),
-            zero.alias("earned_to"),
-        ),
-        F.struct(
-            F.col("to_place").alias("place"),
-            F.lit(0).alias("leaves"),
-            zero.alias("earned_from"),
-            F.col("cents").alias("earned_to"),
-        ),
-    )
-    touched = uses(t).select("day", F.inline(ends))
-    closing = (
-        asset_days(t)
-        .groupBy("day", F.col("last_place").alias("place"))
-        .agg(F.count("*").alias("assets_at_close"))
+    """Visits of each place, where a use visits its door and its hall, once if they are the same."""
+    visited = uses(t).select(
+        "day",
+        "user_id",
+        "cents",
+        (F.col("door") == F.col("hall")).alias("stayed"),
+        F.explode(F.array_distinct(F.array("door", "hall"))).alias("place"),
     )
-    return (
-        touched.groupBy("day", "place")
-        .agg(
-            F.sum("leaves").alias("uses_from"),
-            F.sum(1 - F.col("leaves")).alias("uses_to"),
-            exact_sum(F.col("earned_from"), 100).alias("revenue_from"),
-            exact_sum(F.col("earned_to"), 100).alias("revenue_to"),
-        )
-        .join(closing, ["day", "place"], "left")
-        .na.fill(0, ["assets_at_close"])
+    return visited.groupBy("day", "place").agg(
+        F.count("*").alias("visits"),
+        F.count_distinct("user_id").alias("visitors"),
+        F.count_if("stayed").alias("stays"),
+        (F.max("cents") / 100).alias("dearest"),
     )
 
 
 @query(
     f"""
-    SELECT e.event_id AS outage_id,
-           date_diff('day', CAST(e.ts AS DATE), CAST(e.ts + INTERVAL 2 HOUR AS DATE))
-               AS days_to_resolve,
-           CAST(sum(u.revenue) AS DOUBLE) / count(DISTINCT u.user_id) AS revenue_lost
+    SELECT e.event_id AS outage_id, e.ts AS began, count(u.event_id) AS uses_inside,
+           CAST(coalesce(sum(u.amount), 0) AS DOUBLE) AS amount_inside
     FROM (SELECT event_id, ts FROM events WHERE event_type = 'error') e
-    JOIN ({_USES_SQL}) u ON u.ts > e.ts AND u.ts < e.ts + INTERVAL 2 HOUR
+    LEFT JOIN ({_USES_SQL}) u ON u.ts > e.ts AND u.ts < e.ts + INTERVAL 2 HOUR
     GROUP BY ALL
     """
 )
 def mart_outage(t):
-    """Typical revenue per asset inside each two-hour outage."""
+    """Uses inside each two-hour outage, by running sums: no outage is paired with a use."""
     outages = t.events.where("event_type = 'error'").select(
         F.col("event_id").alias("outage_id"),
-        F.col("ts").alias("from_ts"),
+        F.col("ts").alias("began"),
         (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("to_ts"),
     )
-    used = uses(t).select("user_id", "cents", F.col("ts").alias("at"))
-    per_asset = interval_totals(
-        outages, used, "from_ts", "to_ts", "at", by="user_id", value="cents"
+    used = uses(t).select("cents", F.col("ts").alias("at"))
+    inside = interval_sums(outages, used, "began", "to_ts", "at", "cents")
+    return inside.select(
+        "outage_id",
+        "began",
+        F.col("n_points").alias("uses_inside"),
+        (F.col("total") / 100).alias("amount_inside"),
     )
-    return per_asset.groupBy(
-        "outage_id", F.datediff("to_ts", "from_ts").cast("long").alias("days_to_resolve")
-    ).agg((F.sum("total") / 100 / F.count("user_id")).alias("revenue_lost"))
 
 
 # ---- typed file to yearly counts, users and bookings -----------------------------------------

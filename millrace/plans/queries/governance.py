@@ -25,75 +25,73 @@ def placed_customers(t):
 
 
 _RULES = [
-    RowRule("asia-analysts", "region = 'ASIA'"),
-    RowRule("europe-analysts", "region = 'EUROPE'"),
-    RowRule("engineers"),
+    RowRule("dunning", "c_acctbal < 0"),
+    RowRule("machinery-desk", "c_mktsegment = 'MACHINERY'"),
+    RowRule("auditors"),
 ]
 
 
 @query(
     """
     SELECT c_custkey, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')
+    JOIN region ON n_regionkey = r_regionkey
+    WHERE c_acctbal < 0 OR c_mktsegment = 'MACHINERY'
     """
 )
 def row_filter_region(t):
-    visible = apply_row_filter(placed_customers(t), _RULES, {"asia-analysts", "europe-analysts"})
+    visible = apply_row_filter(placed_customers(t), _RULES, {"dunning", "machinery-desk"})
     return visible.select("c_custkey", "region")
 
 
 @query(
     """
-    SELECT c_custkey, 'XXX-XX-' || right(c_name, 4) AS c_name, c_acctbal FROM customer
+    SELECT c_custkey, left(c_name, 9) || '..' AS c_name, c_acctbal,
+           CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer
     """
 )
 def column_mask(t):
     masks = {
-        "c_name": Mask("pii-access", "concat('XXX-XX-', right({value}, 4))"),
-        "c_acctbal": Mask("finance", "NULL"),
+        "c_name": Mask("name-readers", "concat(left({value}, 9), '..')"),
+        "c_acctbal": Mask("ledger", "0.0"),
+        "c_mktsegment": Mask("sales", "NULL"),
     }
-    rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
-    return apply_masks(rows, masks, {"finance"})
+    rows = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return apply_masks(rows, masks, {"ledger"})
 
 
 @query(
     """
-    SELECT s_suppkey, 'XXX-XX-' || right(s_name, 4) AS masked FROM supplier
-    WHERE s_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
-                          WHERE r_name = 'EUROPE')
+    SELECT s_suppkey, left(s_name, 3) || '/' || length(s_name) AS hidden FROM supplier
+    WHERE s_acctbal BETWEEN -100 AND 5000
     """
 )
 def sql_scalar_functions(t):
     """A row filter and a mask as SQL functions, callable from any SQL text of the session."""
-    spark = t.view("supplier", "nation", "region")
+    spark = t.view("supplier")
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION in_region(name STRING, wanted STRING) "
-        "RETURNS BOOLEAN RETURN name = wanted"
+        "CREATE OR REPLACE TEMPORARY FUNCTION within(amount DOUBLE, low DOUBLE, high DOUBLE) "
+        "RETURNS BOOLEAN RETURN amount BETWEEN low AND high"
     )
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION mask_tail(value STRING) "
-        "RETURNS STRING RETURN concat('XXX-XX-', right(value, 4))"
+        "CREATE OR REPLACE TEMPORARY FUNCTION outline(value STRING) "
+        "RETURNS STRING RETURN concat(left(value, 3), '/', length(value))"
     )
     return spark.sql(
-        """
-        SELECT s_suppkey, mask_tail(s_name) AS masked FROM supplier
-        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-        WHERE in_region(r_name, 'EUROPE')
-        """
+        "SELECT s_suppkey, outline(s_name) AS hidden FROM supplier WHERE within(s_acctbal, -100, 5000)"
     )
 
 
 @query(
     """
-    SELECT 'customer' AS source, c_custkey AS id, '***' || right(c_name, 3) AS name,
+    SELECT 'customer' AS source, c_custkey AS id, left(c_name, 2) || '#' AS name,
            CAST(NULL AS DOUBLE) AS balance FROM customer
-    UNION ALL SELECT 'supplier', s_suppkey, '***' || right(s_name, 3), NULL FROM supplier
+    UNION ALL SELECT 'supplier', s_suppkey, left(s_name, 2) || '#', NULL FROM supplier
     """
 )
 def tag_policy_mask(t):
     """One policy per tag protects the tagged columns of both tables."""
     policies = {
-        "pii": Mask("pii-access", "concat('***', right({value}, 3))"),
+        "pii": Mask("name-readers", "concat(left({value}, 2), '#')"),
         "money": Mask("finance", "NULL"),
     }
     customers = apply_tag_policies(
@@ -119,42 +117,26 @@ def tag_policy_mask(t):
 
 @query(
     """
-    SELECT ts AS event_time, 'user' || user_id || '@example.com' AS user,
-           'selectTable' AS action_name, 'lake.gold.daily_revenue' AS table_full_name
-    FROM events
-    WHERE event_type = 'view' AND value > 10 AND ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY
-    ORDER BY ts DESC, event_id DESC LIMIT 100
+    SELECT 'user' || user_id AS caller, count(DISTINCT event_type) AS kinds, max(ts) AS last_seen
+    FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 3 DAY AND event_type <> 'view'
+    GROUP BY user_id ORDER BY kinds DESC, last_seen DESC, caller LIMIT 25
     """
 )
 def audit_recent_access(t):
-    """Events as an audit log; the newest reads of one table in the last seven days."""
-    table = F.when(F.col("value") > 10, "lake.gold.daily_revenue").otherwise("lake.gold.other")
+    """Events as an audit log; who made the most kinds of change in its last three days."""
     audit = t.events.select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.struct(
-            F.concat(F.lit("user"), F.col("user_id"), F.lit("@example.com")).alias("email")
-        ).alias("user_identity"),
-        F.when(F.col("event_type") == "view", "selectTable")
-        .otherwise(F.col("event_type"))
-        .alias("action_name"),
-        F.struct(table.alias("table_full_name")).alias("request_params"),
+        F.col("ts").alias("at"),
+        F.struct(F.concat(F.lit("user"), "user_id").alias("name")).alias("caller"),
+        F.struct("event_type", "event_id").alias("call"),
     )
-    newest = audit.agg(F.max("event_time").alias("m")).scalar()
+    newest = audit.agg(F.max("at").alias("m")).scalar()
     return (
-        audit.where(
-            (F.col("action_name") == "selectTable")
-            & (F.col("request_params.table_full_name") == "lake.gold.daily_revenue")
-            & (F.col("event_time") > newest - F.expr("INTERVAL 7 DAYS"))
-        )
-        .orderBy(F.desc("event_time"), F.desc("event_id"))
-        .limit(100)
-        .select(
-            "event_time",
-            F.col("user_identity.email").alias("user"),
-            "action_name",
-            F.col("request_params.table_full_name").alias("table_full_name"),
-        )
+        audit.where(F.col("call.event_type") != "view")
+        .where(F.col("at") >= newest - F.expr("INTERVAL 3 DAYS"))
+        .groupBy(F.col("caller.name").alias("caller"))
+        .agg(F.count_distinct("call.event_type").alias("kinds"), F.max("at").alias("last_seen"))
+        .orderBy(F.desc("kinds"), F.desc("last_seen"), "caller")
+        .limit(25)
     )
 
 

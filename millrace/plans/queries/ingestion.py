@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace import scratch
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import cents, total
 from millrace.sources import evolution
@@ -205,7 +206,11 @@ def multi_flow_append(t):
     """One flow per event type into the same target."""
     src, target = t.scratch("landing"), t.scratch("target")
     t.events.write.partitionBy("event_type").parquet(src)
-    kinds = ["click", "error", "purchase", "signup", "view"]
+    kinds = [
+        name.removeprefix("event_type=")
+        for name in scratch.child_names(t.spark, src)
+        if name.startswith("event_type=")
+    ]
     schema = "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, value DOUBLE, props STRING"
     flows = {
         kind: t.spark.readStream.schema(schema).parquet(f"{src}/event_type={kind}")

@@ -8,7 +8,7 @@ from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import interval_join, salted_join
 from millrace.operators.sizing import broadcast_if_small, hot_slots
 from millrace.plans.catalog import query
-from millrace.plans.queries.common import NET_PRICE_SQL, net_total, task_rows, total
+from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
 
 
 @query(
@@ -136,21 +136,22 @@ def join_sort_merge(t):
 @query(
     """
     SELECT e.event_id AS error_id, p.event_id AS purchase_id, p.value
-    FROM (SELECT event_id, ts FROM events WHERE event_type = 'error') e
-    JOIN (SELECT event_id, ts, value FROM events WHERE event_type = 'purchase') p
-      ON p.ts > e.ts AND p.ts < e.ts + INTERVAL 2 HOUR
+    FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'error') e
+    JOIN (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase') p
+      ON p.user_id = e.user_id AND p.ts > e.ts AND p.ts < e.ts + INTERVAL 2 HOUR
     """
 )
 def join_range_interval(t):
     outages = t.events.where("event_type = 'error'").select(
+        "user_id",
         F.col("event_id").alias("error_id"),
         F.col("ts").alias("from_ts"),
         (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("to_ts"),
     )
     purchases = t.events.where("event_type = 'purchase'").select(
-        F.col("event_id").alias("purchase_id"), F.col("ts").alias("at"), "value"
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("at"), "value"
     )
-    pairs = interval_join(outages, purchases, "from_ts", "to_ts", "at")
+    pairs = interval_join(outages, purchases, "from_ts", "to_ts", "at", on=["user_id"])
     return pairs.select("error_id", "purchase_id", "value")
 
 
@@ -168,7 +169,7 @@ def join_salted(t):
     """A third of the lines share one part; the hot key is found by a sketch, then salted."""
     part_key = F.when(F.col("l_returnflag") == "A", F.lit(0)).otherwise(F.col("l_partkey"))
     keyed = t.lineitem.select(part_key.cast("long").alias("p_partkey"), "l_quantity")
-    hot = hot_slots(keyed, ["p_partkey"], task_rows(t.lineitem, 60), small_table=0)
+    hot = hot_slots(keyed, ["p_partkey"])
     parts = t.part.select("p_partkey", "p_brand")
     return (
         salted_join(keyed, parts, ["p_partkey"], hot=hot)

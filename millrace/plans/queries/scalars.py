@@ -122,20 +122,16 @@ def fn_email_valid(t):
 
 @query(
     f"""
-    SELECT user_type, count(c_custkey) AS total_count,
-           count(*) FILTER (WHERE {_VALID_SQL}) AS count_valid_emails
-    FROM ({_EMAIL_SQL}) GROUP BY user_type
+    SELECT user_type, {_VALID_SQL} AS reachable, min(c_custkey) AS first_key,
+           max(length(email)) AS longest
+    FROM ({_EMAIL_SQL}) GROUP BY ALL
     """
 )
 def udf_email_by_type(t):
     return (
         customers_with_email(t)
-        .withColumn("valid_email", is_email_udf("email"))
-        .groupBy("user_type")
-        .agg(
-            F.count("c_custkey").alias("total_count"),
-            F.count_if("valid_email").alias("count_valid_emails"),
-        )
+        .groupBy("user_type", is_email_udf("email").alias("reachable"))
+        .agg(F.min("c_custkey").alias("first_key"), F.max(F.length("email")).alias("longest"))
     )
 
 

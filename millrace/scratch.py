@@ -65,10 +65,25 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small control file."""
-    fs, target = _file_system(spark, path)
-    stream = fs.create(target, True)
+    """Replace a small control file: written beside it, then renamed into place in one step."""
+    fs, beside = _file_system(spark, f"{path}.{uuid.uuid4().hex}.new")
+    stream = fs.create(beside, True)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    target = fs.makeQualified(hadoop.Path(path))
+    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(target.toUri(), fs.getConf())
+    context.rename(fs.makeQualified(beside), target, how)
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Rename a finished folder into place."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_file_system(spark, staged)[1], target):
+        raise OSError(f"could not publish {staged} as {path}")

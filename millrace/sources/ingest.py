@@ -9,7 +9,14 @@ from millrace.functions.json import infer_json_schema, merged_schema, struct_of
 from millrace.sources import evolution
 from millrace.sources.evolution import NewColumns, SchemaStore
 from millrace.sources.files import infer_schema, with_hints
-from millrace.streaming.flows import batch_folder, read_batches, start
+from millrace.streaming.flows import (
+    is_published,
+    publish_batch,
+    read_batches,
+    staging_folder,
+    start,
+    write_batch,
+)
 
 SOURCE_FILE, LOAD_TIME = "_source_file", "_load_time"
 
@@ -43,8 +50,9 @@ def ingest_json(
 
     The schema is inferred from the first batch, stored beside the checkpoint and reused. Each
     batch is written with the stored schema while the same pass observes the schema of what it
-    read; only a batch that really brings new columns is written again, widened. A batch folder
-    is overwritten as a whole, so a replayed batch leaves no duplicates. Blank lines are skipped.
+    read; only a batch that really brings new columns is staged again, widened. Its folder is
+    published when it is final and never changes then, so neither a replay nor a widening gives a
+    stream that reads the target a row twice. Blank lines are skipped.
     """
     store = SchemaStore(spark, checkpoint)
     lines = _file_stream(spark, src, "text", None, max_files, options)
@@ -56,9 +64,14 @@ def ingest_json(
 
     def write(batch: DataFrame, batch_id: int, schema: T.StructType) -> None:
         rows = evolution.parse_records(batch, schema, mode, keep=(SOURCE_FILE, LOAD_TIME))
-        rows.write.mode("overwrite").parquet(batch_folder(target, batch_id))
+        rows.write.mode("overwrite").parquet(staging_folder(target, batch_id))
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        if not is_published(spark, target, batch_id):
+            stage(batch, batch_id)
+            publish_batch(spark, target, batch_id)
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
         stored = store.load()
         if stored is None:
             stored = first_schema(batch)
@@ -106,7 +119,7 @@ def ingest_files(
     rows = _file_stream(spark, src, fmt, schema, max_files, options)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(target, batch_id))
+        write_batch(batch, target, batch_id)
 
     return start(rows.writeStream.foreachBatch(load), checkpoint, trigger)
 

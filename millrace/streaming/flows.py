@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace import scratch
+
 
 def trigger_options(trigger: str) -> dict:
     """Trigger arguments for ``availableNow``, ``once`` or an interval such as ``30 seconds``.
@@ -35,6 +37,33 @@ def batch_folder(target: str, batch_id: int) -> str:
     return f"{target}/batch_id={batch_id}"
 
 
+def staging_folder(target: str, batch_id: int) -> str:
+    """Where a batch is written before it is published; readers skip names with an underscore."""
+    return f"{target}/_staging/{batch_id}"
+
+
+def is_published(spark: SparkSession, target: str, batch_id: int) -> bool:
+    return scratch.exists(spark, batch_folder(target, batch_id))
+
+
+def publish_batch(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Make a staged batch visible, by one rename and for good.
+
+    A published folder never changes, so a stream that reads the target meets every file once,
+    also when the batch is replayed after a failure.
+    """
+    scratch.publish(spark, staging_folder(target, batch_id), batch_folder(target, batch_id))
+
+
+def write_batch(rows: DataFrame, target: str, batch_id: int) -> None:
+    """Stage and publish one batch; nothing happens where it is published already."""
+    spark = rows.sparkSession
+    if is_published(spark, target, batch_id):
+        return
+    rows.write.mode("overwrite").parquet(staging_folder(target, batch_id))
+    publish_batch(spark, target, batch_id)
+
+
 def read_batches(
     spark: SparkSession, target: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -63,13 +92,13 @@ def batch_flow(
 ) -> StreamingQuery:
     """Write every micro-batch, after ``shape``, to its own folder.
 
-    The folder is overwritten as a whole, so replaying a batch after a failure is harmless. The
-    checkpoint and the target belong together: a new checkpoint needs a new target.
+    The folder is published once, so replaying a batch after a failure is harmless, also for
+    streams that read the target. The checkpoint and the target belong together: a new checkpoint
+    needs a new target.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch if shape is None else shape(batch)
-        out.write.mode("overwrite").parquet(batch_folder(target, batch_id))
+        write_batch(batch if shape is None else shape(batch), target, batch_id)
 
     return start(rows.writeStream.foreachBatch(write), checkpoint, trigger, wait)
 

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import cdc
-from millrace.operators.sizing import KeyRanges, hot_slots, hot_ranges
+from millrace.operators.sizing import KeyRanges, broadcast_if_small, hot_ranges, hot_slots
 from millrace.streaming.changes import apply_changes, fold, read_current, read_history
 
 SCHEMA = "id LONG, name STRING, op STRING, seq LONG"
@@ -107,7 +107,7 @@ def test_history_equals_a_plain_replay(spark, rows, changes):
         want_current += [(key, chain[-1][1])] if chain[-1][2] != "DELETE" else []
     assert rows(current(df)) == sorted(want_current, key=repr)
     assert rows(history(df)) == sorted(want_history, key=repr)
-    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=2, small_table=0)
+    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=2)
     assert not ranges.piled
     assert rows(history(df, ranges=ranges)) == sorted(want_history, key=repr)
 
@@ -129,20 +129,24 @@ def skewed(spark):
 
 def test_hot_key_is_found_and_split_exactly(spark, rows):
     df = skewed(spark)
-    hot = hot_slots(df, ["id"], rows_per_task=500, small_table=0)
+    hot = hot_slots(df, ["id"], rows_per_task=500)
     assert list(hot) == [df.where("id = 0").select(F.xxhash64("id")).first()[0]]
     assert list(hot.values()) == [-(-df.where("id = 0").count() // 500)]
-    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=100, small_table=0)
+    ranges = hot_ranges(df, ["id"], "seq", rows_per_task=100)
     assert len(ranges.cuts[next(iter(hot))]) > 5 and ranges.piled
-    everything = hot_ranges(df, ["id"], "seq", rows_per_task=1, small_table=0)
+    everything = hot_ranges(df, ["id"], "seq", rows_per_task=1)
     expected = rows(history(df, ranges=KeyRanges()))
     assert rows(history(df, ranges=ranges)) == expected
     assert rows(history(df, ranges=everything)) == expected
     assert rows(history(df, ranges=KeyRanges(ranges.cuts))) == expected
 
 
-def test_small_tables_are_not_scanned_for_hot_keys(spark):
-    assert hot_slots(skewed(spark), ["id"], rows_per_task=1) == {}
+def test_one_key_table_is_split_and_not_broadcast(spark, folder):
+    """Copies of one row are a few bytes on disk, which must not pass for a small table."""
+    spark.range(3_000_000).select(F.lit(7).alias("id"), F.lit("same text").alias("v")).write.parquet(folder + "/t")
+    df = spark.read.parquet(folder + "/t")
+    assert list(hot_slots(df, ["id"]).values()) == [2]
+    assert "broadcast" not in broadcast_if_small(df)._jdf.queryExecution().toString().lower()
 
 
 def stream(spark, df, src, files):

@@ -4,6 +4,7 @@ import os
 import pytest
 
 from millrace import scratch
+from millrace.functions.json import infer_json_schema
 from millrace.sources import evolution
 from millrace.sources.evolution import NewColumns, SchemaStore
 from millrace.sources.files import list_files, read_csv, read_files
@@ -245,3 +246,29 @@ def test_scratch_follows_the_session_setting(spark):
     root = scratch.scratch_root(spark)
     assert scratch.scratch_dir(spark, "x").startswith(root)
     assert scratch.scratch_dir(spark, "x") != scratch.scratch_dir(spark, "x")
+
+
+def test_streams_downstream_meet_every_row_once(spark, folder, rows):
+    """A batch that widens the schema, and batches replayed, must not show again downstream."""
+    src, bronze, checkpoint = f"{folder}/src", f"{folder}/bronze", f"{folder}/c"
+    seen, follow = f"{folder}/seen", f"{folder}/follow"
+
+    def pull():
+        stream = spark.readStream.schema("id LONG, batch_id LONG").parquet(bronze)
+        append_flow(stream, seen, follow)
+
+    spark.range(10).write.json(src)
+    ingest_json(spark, src, bronze, checkpoint)
+    pull()
+    spark.range(10, 15).selectExpr("id", "'new' AS extra").write.mode("append").json(src)
+    ingest_json(spark, src, bronze, checkpoint)
+    pull()
+    # a fresh checkpoint offers the first batches again
+    ingest_json(spark, src, bronze, f"{folder}/c2")
+    pull()
+    assert rows(spark.read.parquet(seen), "id") == sorted(((i,) for i in range(15)), key=repr)
+
+
+def test_indented_objects_take_part_in_the_schema(spark):
+    df = spark.createDataFrame([('{"a":1}',), ('\t{"a":2,"b":"x"}',), (' \r\n {"c":1.5}',), ("[1]",)], "value STRING")
+    assert infer_json_schema(df, "value").fieldNames() == ["a", "b", "c"]

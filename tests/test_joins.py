@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import sizing
 from millrace.operators.dedup import first_per_key, latest_per_key
-from millrace.operators.joins import interval_join, interval_totals, salted_join
+from millrace.operators.joins import interval_join, interval_sums, interval_totals, salted_join
 from millrace.operators.sizing import hot_slots
 
 T0 = dt.datetime(2024, 1, 1)
@@ -56,6 +56,36 @@ def test_interval_totals_equal_the_aggregated_pairs(spark, rows):
     )
 
 
+def test_repeated_intervals_count_once(spark, rows):
+    left = spark.createDataFrame([(1, 0, 10)] * 2, "i LONG, a LONG, b LONG").selectExpr(
+        "i", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, a) AS s",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, b) AS e",
+    )
+    right = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:05' AS p, 3L AS who, 5L AS v")
+    got = interval_totals(left, right, "s", "e", "p", by="who", value="v")
+    assert rows(got, "i", "who", "n_points", "total") == [(1, 3, 1, 5)]
+
+
+def test_interval_sums_equal_the_pairs(spark, rows):
+    rng = random.Random(9)
+    at = lambda: T0 + dt.timedelta(microseconds=rng.randrange(4 * 10**11))
+    intervals = [
+        (i, s, s + dt.timedelta(microseconds=rng.choice([0, 1, 10**6, 10**8, 10**10, 3 * 10**11])))
+        for i, s in enumerate(at() for _ in range(50))
+    ]
+    points = [(at(), rng.randrange(-50, 50)) for _ in range(300)]
+    points += [(s, 7) for _, s, _ in intervals[:9]] + [(e, 11) for _, _, e in intervals[:9]] + [(None, 1)]
+    left = spark.createDataFrame(intervals + intervals[:2] + [(98, T0, None)], "i LONG, s TIMESTAMP_NTZ, e TIMESTAMP_NTZ")
+    right = spark.createDataFrame(points, "p TIMESTAMP_NTZ, v LONG")
+    want = []
+    for i, s, e in intervals + intervals[:2]:
+        inside = [v for p, v in points if p and s < p < e]
+        if s < e:
+            want.append((i, len(inside), sum(inside)))
+    got = interval_sums(left, right, "s", "e", "p", "v")
+    assert rows(got, "i", "n_points", "total") == sorted(want, key=repr)
+
+
 def test_interval_join_with_key_and_empty_side(spark, rows):
     left = spark.createDataFrame(
         [("a", T0, T0 + dt.timedelta(hours=1)), ("b", T0, T0 + dt.timedelta(hours=1))],
@@ -80,7 +110,7 @@ def test_dates_count_from_midnight(spark, rows):
 def test_salted_join_equals_plain_join(spark, rows, how):
     big = spark.range(2000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id % 5 AS v")
     other = spark.range(0, 1500).selectExpr("id AS k", "id * 2 AS w")
-    hot = hot_slots(big, ["k"], rows_per_task=100, small_table=0)
+    hot = hot_slots(big, ["k"], rows_per_task=100)
     assert list(hot.values()) == [7]
     salted = salted_join(big, other, ["k"], how, hot=hot)
     assert rows(salted) == rows(big.join(other, ["k"], how))
@@ -89,7 +119,7 @@ def test_salted_join_equals_plain_join(spark, rows, how):
 def test_salt_spreads_identical_rows(spark):
     big = spark.range(4000).selectExpr("1L AS k", "'same' AS v")
     other = spark.createDataFrame([(1, "x")], "k LONG, w STRING")
-    hot = hot_slots(big, ["k"], rows_per_task=100, small_table=0)
+    hot = hot_slots(big, ["k"], rows_per_task=100)
     spread = salted_join(big.repartition(1), other, ["k"], hot=hot).hint("merge")
     assert spread.count() == 4000
 
@@ -97,12 +127,11 @@ def test_salt_spreads_identical_rows(spark):
 def test_slots_stay_bounded(spark, monkeypatch):
     monkeypatch.setattr(sizing, "MAX_CUTS", 10)
     df = spark.range(3000).selectExpr("id % 3 AS k")
-    slots = hot_slots(df, ["k"], rows_per_task=1, small_table=0)
+    slots = hot_slots(df, ["k"], rows_per_task=1)
     assert len(slots) == 3 and sum(slots.values()) <= 10 + 3
     ranges = sizing.hot_ranges(
         df.selectExpr("k", "monotonically_increasing_id() AS o"), ["k"], "o",
-        rows_per_task=1, small_table=0,
-    )
+        rows_per_task=1)
     assert sum(map(len, ranges.cuts.values())) <= 10 + 3
 
 

@@ -37,7 +37,7 @@ def test_hot_target_key_gives_the_same_result(spark, rows):
         "CAST(id % 9 AS DOUBLE) AS price", "'t' AS note",
     )
     new = spark.range(0, 1200, 5).selectExpr("id", "4.0D AS price", "'s' AS note")
-    hot = hot_slots(target, ["id"], rows_per_task=200, small_table=0)
+    hot = hot_slots(target, ["id"], rows_per_task=200)
     assert len(hot) == 1
     options = {"when": "s.price != t.price", "update": {"price": "s.price"},
                "not_matched_by_source_delete": True}

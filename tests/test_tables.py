@@ -74,7 +74,7 @@ def test_export_manifest_counts_files_and_rows(spark, folder, rows):
     df = spark.range(90).selectExpr("id", "CASE WHEN id < 60 THEN 'hot' ELSE 'cold' END AS k")
     manifest = export_partitions(df, f"{folder}/x", "k")
     assert rows(manifest, "k", "files", "rows") == [("cold", 1, 30), ("hot", 1, 60)]
-    slots = hot_slots(df, ["k"], rows_per_task=40, small_table=0)
+    slots = hot_slots(df, ["k"], rows_per_task=40)
     spread = export_partitions(df, f"{folder}/y", "k", hot=slots)
     assert rows(spread, "k", "rows") == [("cold", 30), ("hot", 60)]
     assert max(r["files"] for r in spread.collect()) <= 2
