@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -11,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace import scratch
 from millrace.functions.times import epoch_micros
-from millrace.operators.sizing import with_position
+from millrace.operators.sizing import plan_bytes, with_position
 from millrace.sources.files import list_files
 
-_BITS = 6
+_MAX_BITS = 12
 
 
 def target_files(total_bytes: int, file_bytes: int = 256 * 1024 * 1024) -> int:
@@ -37,28 +38,48 @@ def compact(spark: SparkSession, src: str, dst: str, file_bytes: int = 256 * 102
     return files
 
 
-def _sort_number(df: DataFrame, column: str) -> Column:
-    """An order-preserving number; text is ordered by its first bytes, enough for a layout."""
+def _shared_prefixes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Bytes that all values of each text column begin with: those of its smallest and largest."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    if not texts:
+        return {}
+    ends = df.agg(*[f(F.encode(c, "UTF-8")).alias(f"{f.__name__}_{c}") for c in texts for f in (F.min, F.max)])
+    row = ends.first()
+    pairs = {c: (bytes(row[f"min_{c}"] or b""), bytes(row[f"max_{c}"] or b"")) for c in texts}
+    return {c: len(os.path.commonprefix(list(pair))) for c, pair in pairs.items()}
+
+
+def _sort_number(df: DataFrame, column: str, prefix: int = 0) -> Column:
+    """An order-preserving number; text is ordered by the six bytes after its common prefix."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return epoch_micros(F.col(column)).cast("double")
     if isinstance(kind, T.DateType):
         return F.datediff(column, F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(kind, T.StringType):
-        head = F.rpad(F.substring(F.hex(column), 1, 12), 12, "0")
+        head = F.rpad(F.substring(F.hex(column), 2 * prefix + 1, 12), 12, "0")
         return F.conv(head, 16, 10).cast("double")
     return F.col(column).cast("double")
 
 
-def with_cluster_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def rank_bits(files: int, columns: int) -> int:
+    """Bits per column that tell apart twice as many ranges as there are files."""
+    return min(_MAX_BITS, math.ceil(math.log2(max(files, 2)) / columns) + 1)
+
+
+def with_cluster_key(
+    df: DataFrame, columns: Sequence[str], key: str, files: int = 1024
+) -> DataFrame:
     """Add a number that keeps rows close that are close in every column: interleaved rank bits.
 
-    The ranks come from one approximate-quantile pass, 63 cut points per column.
+    The ranks come from one approximate-quantile pass; there are as many as ``files`` files need.
     """
+    width = rank_bits(files, len(columns))
+    prefixes = _shared_prefixes(df, columns)
     sort = {c: f"__sort_{c}" for c in columns}
     rank = {c: f"__rank_{c}" for c in columns}
-    numbered = df.withColumns({sort[c]: _sort_number(df, c) for c in columns})
-    fractions = ", ".join(str(i / 2**_BITS) for i in range(1, 2**_BITS))
+    numbered = df.withColumns({sort[c]: _sort_number(df, c, prefixes.get(c, 0)) for c in columns})
+    fractions = ", ".join(str(i / 2**width) for i in range(1, 2**width))
     cuts = numbered.agg(
         *[F.expr(f"percentile_approx(`{sort[c]}`, array({fractions}))").alias(c) for c in columns]
     ).first()
@@ -70,7 +91,7 @@ def with_cluster_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
         handleInvalid="keep",
     ).transform(numbered)
     bits = F.lit(0).cast("long")
-    for bit in range(_BITS):
+    for bit in range(width):
         for position, column in enumerate(columns):
             place = F.coalesce(F.col(rank[column]), F.lit(0.0)).cast("long")
             one = F.shiftright(place, bit).bitwiseAND(F.lit(1))
@@ -79,15 +100,18 @@ def with_cluster_key(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
 
 
 def write_clustered(
-    df: DataFrame, path: str, columns: Sequence[str], files: int, mode: str = "overwrite"
+    df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, mode: str = "overwrite"
 ) -> None:
     """Write ``df`` so that each file covers a small range of every clustering column.
 
+    Without ``files`` the number follows the size of the data.
+
     Range partitioning on the key alone would leave equal keys in one task, so the row position
     breaks ties and a single hot value still fills many files.
     """
+    files = files or target_files(plan_bytes(df))
     laid_out = (
-        with_cluster_key(with_position(df, "__tie"), columns, "__cluster")
+        with_cluster_key(with_position(df, "__tie"), columns, "__cluster", files)
         .repartitionByRange(files, "__cluster", "__tie")
         .sortWithinPartitions("__cluster")
         .drop("__cluster", "__tie")
@@ -104,7 +128,7 @@ def clustering(spark: SparkSession, path: str) -> list[str]:
     return json.loads(scratch.read_text(spark, f"{path}/_clustering.json") or "[]")
 
 
-def append_clustered(df: DataFrame, path: str, files: int) -> None:
+def append_clustered(df: DataFrame, path: str, files: int | None = None) -> None:
     """Append rows clustered by the columns chosen for the table."""
     columns = clustering(df.sparkSession, path)
     if not columns:
