@@ -80,6 +80,33 @@ def insert_select(t):
     return t.spark.table(name)
 
 
+@query(
+    """
+    SELECT r_regionkey, r_name FROM region
+    UNION ALL SELECT max(r_regionkey) + 1, 'OPEN SEA' FROM region
+    UNION ALL SELECT max(r_regionkey) + 2, NULL FROM region
+    """
+)
+def insert_values(t):
+    """Literal rows added to a table by INSERT ... VALUES."""
+    name, last = t.table_name("regions"), t.region.agg(F.max("r_regionkey")).first()[0]
+    create_table(t.region.select("r_regionkey", "r_name"), name, t.scratch("regions"))
+    t.spark.sql(f"INSERT INTO {name} VALUES ({last + 1}, 'OPEN SEA'), ({last + 2}, NULL)")
+    return t.spark.table(name)
+
+
+@query("SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY n_regionkey")
+def drop_if_exists(t):
+    """A table dropped whether it exists or not, and created anew with other columns."""
+    name = t.table_name("nations")
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table(t.nation, name, t.scratch("nations"))
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    counts = t.nation.groupBy("n_regionkey").agg(F.count("*").alias("nations"))
+    create_table(counts, name, t.scratch("nations"))
+    return t.spark.table(name)
+
+
 @query(
     "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'"
 )
