@@ -83,8 +83,10 @@ class Templates:
     def best(self, grams: np.ndarray, threshold: float) -> tuple[str, int, float] | None:
         """Name, shared bigrams and Dice coefficient of the best template within size bounds."""
         n, found = len(grams), None
-        low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        for k in np.flatnonzero((self.sizes * low <= n) & (n <= self.sizes * high)):
+        # the coefficient if all of the smaller set were shared, computed as below: no rounding
+        # can put a template at the threshold outside its bounds
+        most = 2.0 * np.minimum(self.sizes, n) / (self.sizes + n)
+        for k in np.flatnonzero(most >= threshold):
             shared = len(np.intersect1d(grams, self.grams[k], assume_unique=True))
             dice = 2.0 * shared / (n + len(self.grams[k]))
             if dice >= threshold and (found is None or (-dice, self.names[k]) < (-found[2], found[0])):
@@ -124,7 +126,6 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: Templates, thre
         (words.row, np.arange(len(offsets) - 1), np.zeros(len(offsets) - 1, int), paragraphs_in > 1),
     )
     hits = templates.contains(gram) & same_row
-    share = threshold / (2 - threshold)
     for kind, (unit, row, position, counts) in zip(KINDS, units):
         inside = same_row & (unit[:-1] == unit[1:]) & counts[unit[:-1]]
         touched = np.zeros(len(row) + 1, bool)
@@ -138,7 +139,7 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: Templates, thre
         met = np.bincount(owner[hits[at]], minlength=len(row))
         order = np.argsort(owner, kind="stable")
         bounds = np.concatenate(([0], np.cumsum(n)))
-        for u in np.flatnonzero((n > 0) & (met >= share * n)):
+        for u in np.flatnonzero((n > 0) & (2.0 * met >= threshold * (n + met) - 1e-9)):
             grams = np.sort(gram[at[order[bounds[u] : bounds[u + 1]]]])
             found = templates.best(grams, threshold)
             if found:

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 
 from millrace.llm import licenses, quotations, url_filter, warc
@@ -156,6 +157,20 @@ def test_size_bounds_lose_no_match():
             assert found is None or found[2] == best
 
 
+def test_matches_at_the_threshold_equal_sql(spark, docs):
+    pairs = [
+        (1, "q licensed under the mit license z"),  # 4 shared of 6 and 4: exactly 0.8
+        (2, "x\n\nReleased under\nthe MIT license.\n\ny"),
+        (3, "a b licensed under the mit license z"),
+    ]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", pairs)
+    got = sorted(tuple(r) for r in licenses.license_passages(docs(pairs)).collect())
+    assert got == sorted(con.execute(licenses.LICENSE_SQL).fetchall())
+    assert (1, "line", 0, "MIT", 6, 4, 0.8) in got
+
+
 MESSAGES = "conv_id long, turn long, role string, text string"
 
 
