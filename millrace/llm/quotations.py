@@ -2,9 +2,10 @@
 
 A line's quote level is the number of ``>`` marks it starts with. Consecutive lines of one level
 form a passage, normalised by lower case and single blanks. Each message offers its own words to be
-quoted: the whole, each paragraph and each line, by hash. A quoted passage (or, where it was cut
-otherwise, its lines) is joined by conversation and hash to the message that wrote it first. The
-latest such original of its level-one quotes is the message it replies to.
+quoted: the whole, each paragraph, line and sentence, by hash. A quoted passage (or, where it was cut
+or wrapped otherwise, its own paragraphs, lines and sentences) is joined by conversation and hash to
+the message that wrote it first. The latest such original of its level-one quotes is the message it
+replies to.
 
 A conversation is ordered by replies: threads by the turn of their first message, messages of a
 thread by turn, so an original always comes before its replies. Quoted lines are left out.
@@ -31,6 +32,7 @@ from millrace.llm.common import map_arrow, settle
 
 _MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _GAP = re.compile(r"\n[ \t\r]*\n")
+_SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
 def key(passage: str) -> int | None:
@@ -62,19 +64,21 @@ def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
 
 
 def keys_of(text: str) -> set[int]:
-    """Hashes of a message's own words that others may quote."""
-    parts = {text, *_GAP.split(text), *text.split("\n")}
+    """Hashes of the whole text, its paragraphs, lines and sentences; sentences survive new line breaks."""
+    paragraphs = _GAP.split(text)
+    sentences = (s for paragraph in paragraphs for s in _SENTENCE_END.split(paragraph))
+    parts = {text, *paragraphs, *text.split("\n"), *sentences}
     return {k for k in map(key, parts) if k is not None}
 
 
 _PARSED = (
     "conv_id long, turn long, role string, text string, own array<long>, "
-    "quotes array<struct<level:int,whole:long,lines:array<long>>>"
+    "quotes array<struct<level:int,whole:long,parts:array<long>>>"
 )
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    quote = pa.struct([("level", pa.int32()), ("whole", pa.int64()), ("lines", pa.list_(pa.int64()))])
+    quote = pa.struct([("level", pa.int32()), ("whole", pa.int64()), ("parts", pa.list_(pa.int64()))])
     for batch in batches:
         texts, owns, quoted = [], [], []
         for text in batch.column("text").to_pylist():
@@ -86,7 +90,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     {
                         "level": level,
                         "whole": key(passage),
-                        "lines": [k for k in map(key, passage.split("\n")) if k is not None],
+                        "parts": sorted(keys_of(passage)),
                     }
                     for level, passage in quotes
                     if passage.strip()
@@ -114,14 +118,14 @@ def find_links(parsed: DataFrame) -> DataFrame:
     passages = known.where(F.size("quotes") > 0).select(
         "conv_id", "turn", F.posexplode("quotes").alias("passage", "quote")
     )
-    # the whole passage first, then its lines
+    # the whole passage first, then its parts
     tried = passages.select(
         "conv_id",
         "turn",
         "passage",
         F.col("quote.level").alias("level"),
         F.posexplode(
-            F.array_distinct(F.concat(F.array("quote.whole"), F.col("quote.lines")))
+            F.array_distinct(F.concat(F.array("quote.whole"), F.col("quote.parts")))
         ).alias("part", "hash"),
     )
     found = tried.join(originals, ["conv_id", "hash"], "left").withColumn(
