@@ -47,9 +47,8 @@ def _matched_rows(
     the hot keys salted, and the source rows without a target are added by an anti join against
     the target's distinct keys.
     """
-    columns = target.columns
-    left = target.select(*keys, F.struct(*columns).alias("t"))
-    right = source.select(*keys, F.struct(*columns).alias("s"))
+    left = target.select(*keys, F.struct(*target.columns).alias("t"))
+    right = source.select(*keys, F.struct(*source.columns).alias("s"))
     if not hot:
         return left.join(right, keys, "full_outer").select("t", "s")
     paired = salted_join(left, right, keys, "left", hot=hot).select("t", "s")
@@ -64,23 +63,31 @@ def merge_actions(
     *,
     when: str | None = None,
     update: Mapping[str, str] | None = None,
+    insert: Mapping[str, str] | None = None,
     not_matched_by_source_delete: bool = False,
     hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Every resulting row tagged insert, update, keep or delete.
 
-    ``when`` and the values of ``update`` are SQL text over the rows ``s`` and ``t``; without
-    ``update`` all source columns replace the target's. A guard that is NULL does not update.
-    Rows with a NULL key match nothing, so they bypass the join instead of sharing one task.
+    ``when`` and the values of ``update`` are SQL text over the rows ``s`` and ``t``, those of
+    ``insert`` over ``s``; without ``update`` all source columns replace the target's, without
+    ``insert`` all of them are inserted, and a column that a given ``insert`` leaves out is NULL.
+    With both lists the source may have any columns besides the keys. A guard that is NULL does
+    not update. Rows with a NULL key match nothing, so they bypass the join instead of sharing
+    one task.
     """
     keys, columns = list(keys), target.columns
     check_single_match(target, source, keys)
-    source = source.select(*columns)
+    if insert is None:
+        others = [] if update is None else [c for c in source.columns if c not in columns]
+        source = source.select(*columns, *others)
     unmatched = "delete" if not_matched_by_source_delete else "keep"
     hot = hot_slots(target, keys) if hot is None else hot
     paired = _matched_rows(
         target.where(~_any_null(keys)), source.where(~_any_null(keys)), keys, hot
     )
+    keyless_source = source.where(_any_null(keys)).select(F.struct(*source.columns).alias("s"))
+    paired = paired.unionByName(keyless_source, allowMissingColumns=True)
     guard = F.lit(True) if when is None else F.coalesce(F.expr(when), F.lit(False))
     action = (
         F.when(F.col("t").isNull(), F.lit("insert"))
@@ -88,18 +95,21 @@ def merge_actions(
         .when(guard, F.lit("update"))
         .otherwise(F.lit("keep"))
     )
-    assigned = {c: f"s.{c}" for c in columns} if update is None else dict(update)
+    all_columns = {c: f"s.`{c}`" for c in columns}
+    assigned = all_columns if update is None else dict(update)
+    inserted = all_columns if insert is None else dict(insert)
 
     def resolved(name: str) -> Column:
-        value = F.when(F.col(ACTION) == "insert", F.col(f"s.{name}"))
+        kind = target.schema[name].dataType
+        given = F.expr(inserted[name]).cast(kind) if name in inserted else F.lit(None).cast(kind)
+        value = F.when(F.col(ACTION) == "insert", given)
         if name in assigned:
-            value = value.when(F.col(ACTION) == "update", F.expr(assigned[name]))
-        return value.otherwise(F.col(f"t.{name}")).alias(name)
+            value = value.when(F.col(ACTION) == "update", F.expr(assigned[name]).cast(kind))
+        return value.otherwise(F.col(f"t.`{name}`")).alias(name)
 
     joined = paired.withColumn(ACTION, action).select(*[resolved(c) for c in columns], ACTION)
     keyless_target = target.where(_any_null(keys)).withColumn(ACTION, F.lit(unmatched))
-    keyless_source = source.where(_any_null(keys)).withColumn(ACTION, F.lit("insert"))
-    return joined.unionByName(keyless_target).unionByName(keyless_source)
+    return joined.unionByName(keyless_target)
 
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], **options) -> DataFrame:

@@ -262,6 +262,33 @@ def merge_conditional_sync(t):
     )
 
 
+@query(
+    f"""
+    SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_custkey,
+           CASE WHEN t.o_orderkey IS NULL THEN s.o_totalprice / 2
+                WHEN s.o_orderkey IS NULL THEN t.o_totalprice
+                ELSE s.o_totalprice END AS o_totalprice,
+           CASE WHEN t.o_orderkey IS NULL THEN 'N' || s.o_orderstatus
+                ELSE t.o_orderstatus END AS o_orderstatus
+    FROM ({_SOURCE_SQL}) s FULL OUTER JOIN ({_TARGET_SQL}) t ON s.o_orderkey = t.o_orderkey
+    """
+)
+def merge_insert_list(t):
+    """New orders get computed values for some columns, the others stay empty."""
+    target, source = merge_sides(t)
+    return dml.merge(
+        target,
+        source.select("o_orderkey", F.col("o_totalprice").alias("price"), "o_orderstatus"),
+        ["o_orderkey"],
+        update={"o_totalprice": "s.price"},
+        insert={
+            "o_orderkey": "s.o_orderkey",
+            "o_totalprice": "s.price / 2",
+            "o_orderstatus": "concat('N', s.o_orderstatus)",
+        },
+    )
+
+
 @query(
     f"""
     SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' WHEN s.o_orderkey IS NULL THEN 'delete'

@@ -61,6 +61,19 @@ def test_null_keys_never_match(spark, target, rows):
     assert (None, 9.0, "keep") in rows(tagged, "id", "price", ACTION)
 
 
+def test_insert_list_computes_values(spark, target, rows):
+    new = spark.createDataFrame([(2, 8.0), (7, 6.0), (None, 4.0)], "id LONG, raised DOUBLE")
+    result = merge(
+        target, new, ["id"], update={"price": "s.raised"},
+        insert={"id": "s.id", "note": "concat('n', cast(s.raised / 2 AS INT))"},
+    )
+    assert result.columns == target.columns
+    assert rows(result) == sorted(
+        [(1, 1.0, "a"), (2, 8.0, "b"), (3, None, "c"), (None, 9.0, "t"), (7, None, "n3"),
+         (None, None, "n2")], key=repr,
+    )
+
+
 def test_two_matches_are_an_error(spark, target):
     with pytest.raises(DuplicateMatch):
         merge(target, source(spark, (1, 1.0, "x"), (1, 2.0, "y")), ["id"])
