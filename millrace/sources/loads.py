@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from millrace import scratch
 from millrace.sources.files import list_files, read_files
 
+#: Files of one load, whose names the driver holds.
+MAX_FILES = 50_000
 _LEDGER = "path STRING, modificationTime TIMESTAMP, length LONG, load_id INT"
 
 
@@ -31,20 +33,31 @@ def copy_into(
     ledger: str,
     schema: T.StructType | str | None = None,
     merge_schema: bool = False,
+    max_files: int = MAX_FILES,
     **options,
 ) -> int:
     """Load the files of ``src`` not loaded before; returns how many were new.
 
-    Only the list of new files reaches the driver, as for any Spark read of named files.
+    All new files are loaded, at most ``max_files`` in one load: the driver holds the names of one
+    load at a time, however many files there are.
 
     The load number follows from the ledger, which is written last: a load that fails halfway is
     simply overwritten by the next attempt. A new column needs ``merge_schema``.
     """
-    known = _ledger(spark, ledger)
-    fresh = list_files(spark, src).join(known.select("path"), "path", "left_anti").collect()
-    paths = [row["path"] for row in fresh]
-    if not paths:
-        return 0
+    loaded = 0
+    while True:
+        known = _ledger(spark, ledger)
+        fresh = list_files(spark, src).join(known.select("path"), "path", "left_anti")
+        files = fresh.orderBy("path").limit(max_files).collect()
+        if files:
+            _load(spark, files, known, target, fmt, ledger, schema, merge_schema, options)
+            loaded += len(files)
+        if len(files) < max_files:
+            return loaded
+
+
+def _load(spark, files, known, target, fmt, ledger, schema, merge_schema, options) -> None:
+    paths = [row["path"] for row in files]
     last = known.agg(F.max("load_id")).first()[0]
     load_id = 0 if last is None else last + 1
     rows = read_files(spark, paths, fmt, schema=schema, **options)
@@ -54,9 +67,8 @@ def copy_into(
         if added:
             raise ValueError(f"new columns {added}: pass merge_schema=True to accept them")
     rows.write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
-    entry = spark.createDataFrame([(*row, load_id) for row in fresh], _LEDGER)
+    entry = spark.createDataFrame([(*row, load_id) for row in files], _LEDGER)
     entry.drop("load_id").write.mode("overwrite").parquet(f"{ledger}/load_id={load_id}")
-    return len(paths)
 
 
 def read_loaded(spark: SparkSession, target: str, ledger: str) -> DataFrame:

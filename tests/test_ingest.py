@@ -166,6 +166,16 @@ def test_copy_into_loads_each_file_once(spark, folder, rows):
     assert rows(read_loaded(spark, target, ledger)) == [(1,), (2,)]
 
 
+def test_copy_into_takes_many_files_in_pages(spark, folder, rows):
+    src, target, ledger = f"{folder}/in", f"{folder}/t", f"{folder}/l"
+    for i in range(7):
+        drop(f"{src}/{i}.json", {"id": i})
+    load = lambda: copy_into(spark, target, src, "json", ledger=ledger, max_files=3)
+    assert load() == 7 and load() == 0
+    assert rows(read_loaded(spark, target, ledger)) == [(i,) for i in range(7)]
+    assert len(os.listdir(ledger)) == 3
+
+
 def test_copy_into_recovers_from_a_load_without_ledger_entry(spark, folder, rows):
     src, target, ledger = f"{folder}/in", f"{folder}/t", f"{folder}/l"
     drop(f"{src}/a.json", {"id": 1})
