@@ -15,6 +15,7 @@ from millrace.plans.queries.common import NET_PRICE_SQL, net_total, total
 from millrace.session import cached
 from millrace.sinks.layout import (
     append_clustered,
+    buckets_for,
     compact,
     set_clustering,
     write_bucketed,
@@ -54,13 +55,14 @@ def partition_pruned_read(t):
 def bucketed_join(t):
     """Both sides bucketed on the join key: the join itself needs no shuffle."""
     orders, lines = t.table_name("orders"), t.table_name("lines")
+    buckets = buckets_for(t.lineitem)
     write_bucketed(
         t.orders.select("o_orderkey", "o_orderstatus"),
-        orders, t.scratch("orders-bucketed"), "o_orderkey", 8,
+        orders, t.scratch("orders-bucketed"), "o_orderkey", buckets,
     )
     write_bucketed(
         t.lineitem.select("l_orderkey", "l_extendedprice", "l_discount"),
-        lines, t.scratch("lines-bucketed"), "l_orderkey", 8,
+        lines, t.scratch("lines-bucketed"), "l_orderkey", buckets,
     )
     left, right = t.spark.table(orders).hint("merge"), t.spark.table(lines)
     return (
@@ -87,7 +89,7 @@ def compact_files(t):
 def zorder_layout(t):
     """Every line is still there after the rewrite; only the file bounds change."""
     path = t.scratch("lines-zorder")
-    write_clustered(t.lineitem, path, ["l_partkey", "l_shipdate"], 8)
+    write_clustered(t.lineitem, path, ["l_partkey", "l_shipdate"])
     return t.spark.read.parquet(path)
 
 
@@ -115,9 +117,9 @@ def cluster_by_columns(t):
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
     late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
     set_clustering(t.spark, path, ["event_type", "ts"])
-    append_clustered(t.events.where(~late).select(*columns), path, 4)
+    append_clustered(t.events.where(~late).select(*columns), path)
     set_clustering(t.spark, path, ["user_id", "ts"])
-    append_clustered(t.events.where(late).select(*columns), path, 4)
+    append_clustered(t.events.where(late).select(*columns), path)
     return t.spark.read.parquet(path)
 
 
@@ -128,6 +130,31 @@ def file_skipping_profile(t):
     return file_profile(t.spark.read.parquet(path), ["o_orderdate", "o_totalprice"])
 
 
+@query(
+    """
+    SELECT count(*) AS n_rows, min(o_orderdate) AS first_day, max(o_orderdate) AS last_day,
+           min(o_totalprice) AS lowest, max(o_totalprice) AS highest FROM orders
+    """
+)
+def file_profile_totals(t):
+    """The files' own rows and bounds, put together, are those of the table."""
+    return file_skipping_profile(t).agg(
+        F.sum("rows").alias("n_rows"),
+        F.min("min_o_orderdate").alias("first_day"),
+        F.max("max_o_orderdate").alias("last_day"),
+        F.min("min_o_totalprice").alias("lowest"),
+        F.max("max_o_totalprice").alias("highest"),
+    )
+
+
+@query("SELECT max(l_partkey) AS top, TRUE AS fewer_read FROM lineitem")
+def zorder_fewer_files(t):
+    """A range on a clustered column reads fewer files than in arrival order."""
+    files = lambda layout: F.max(F.when(F.col("layout") == layout, F.col("files_read")))
+    seen = zorder_file_overlap(t).agg((files("clustered") < files("arrival")).alias("fewer_read"))
+    return seen.withColumn("top", t.lineitem.agg(F.max("l_partkey")).scalar())
+
+
 @query("SELECT 6 AS wide, 2 AS narrow, count(*) AS n_lines FROM lineitem")
 def repartition_coalesce(t):
     """Partition counts after a full reshuffle and after merging without one."""

@@ -136,6 +136,11 @@ def append_clustered(df: DataFrame, path: str, files: int | None = None) -> None
     write_clustered(df, path, columns, files, mode="append")
 
 
+def buckets_for(df: DataFrame) -> int:
+    """Buckets of about a file each, and no fewer than tasks run side by side."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, target_files(plan_bytes(df)))
+
+
 def write_bucketed(
     df: DataFrame, name: str, path: str, key: str, buckets: int, sort_by: str | None = None
 ) -> None:
