@@ -41,28 +41,6 @@ def progress_rows(
     return df.select(*_row(ts, PROGRESS, update_id, flow_name, details))
 
 
-def definition_rows(
-    df: DataFrame,
-    *,
-    ts: Column,
-    update_id: Column,
-    output_dataset: Column,
-    input_datasets: Column,
-    flow_type: Column,
-    columns: Column,
-) -> DataFrame:
-    """flow_definition rows: what each flow reads and writes, column by column."""
-    details = F.struct(
-        F.struct(
-            output_dataset.alias("output_dataset"),
-            input_datasets.alias("input_datasets"),
-            flow_type.alias("flow_type"),
-            columns.alias("schema"),
-        ).alias(DEFINITION)
-    )
-    return df.select(*_row(ts, DEFINITION, update_id, output_dataset, details))
-
-
 def update_rows(df: DataFrame, *, ts: Column, update_id: Column) -> DataFrame:
     details = F.struct(F.struct(update_id.alias("update_id")).alias(UPDATE))
     return df.select(*_row(ts, UPDATE, update_id, F.lit(None).cast("string"), details))
@@ -109,6 +87,7 @@ def column_lineage(log: DataFrame) -> DataFrame:
     return (
         definitions(log)
         .select("output_dataset", F.explode("schema").alias("column"))
+        .where("column.source IS NOT NULL")
         .select(
             F.regexp_extract("column.source", r"^(.*)\.[^.]+$", 1).alias("source_table"),
             F.split_part("column.source", F.lit("."), F.lit(-1)).alias("source_column"),

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace import scratch
 from millrace.operators import cdc, eventlog
 from millrace.operators.quality import Rule, apply_rules
-from millrace.streaming.changes import apply_changes, read_current, read_history
+from millrace.streaming.changes import apply_changes, fold_when_due, read_current, read_history
 from millrace.streaming.flows import append_flow
 
 STORED, STREAMED, CHANGES, VIEW = "complete", "append", "changes", "view"
@@ -33,6 +33,7 @@ class Dataset:
     comment: str = ""
     properties: Mapping[str, str] = field(default_factory=dict)
     apply: Mapping[str, object] = field(default_factory=dict)
+    columns: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
 
 class DatasetGraph:
@@ -41,7 +42,8 @@ class DatasetGraph:
     A stored dataset is recomputed and rewritten on every run. A streamed one appends only what
     is new upstream. A changes dataset applies a streamed feed by key. A view is a plain frame.
     Each run appends its definitions, row counts and rule counts to the event log below the
-    folder.
+    folder. A definition says which input columns each column comes from: those declared under
+    ``columns`` (``{"revenue": "silver.amount"}``, or a list), else the inputs' columns of its name.
     """
 
     def __init__(self) -> None:
@@ -52,25 +54,28 @@ class DatasetGraph:
             raise ValueError(f"dataset {dataset.name} is declared twice")
         self._datasets[dataset.name] = dataset
 
-    def _declare(self, kind, name, inputs, rules, comment, properties) -> Callable:
+    def _declare(self, kind, name, inputs, rules, comment, properties, columns) -> Callable:
+        sources = {c: [s] if isinstance(s, str) else list(s) for c, s in (columns or {}).items()}
+
         def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
             self._add(
                 Dataset(
-                    name, tuple(inputs), build, tuple(rules), kind, comment, dict(properties or {})
+                    name, tuple(inputs), build, tuple(rules), kind, comment,
+                    dict(properties or {}), columns=sources,
                 )
             )
             return build
 
         return register
 
-    def stored(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
-        return self._declare(STORED, name, inputs, rules, comment, properties)
+    def stored(self, name, inputs=(), rules=(), comment="", properties=None, columns=None):
+        return self._declare(STORED, name, inputs, rules, comment, properties, columns)
 
-    def streamed(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
-        return self._declare(STREAMED, name, inputs, rules, comment, properties)
+    def streamed(self, name, inputs=(), rules=(), comment="", properties=None, columns=None):
+        return self._declare(STREAMED, name, inputs, rules, comment, properties, columns)
 
-    def view(self, name, inputs=(), rules=(), comment="", properties=None) -> Callable:
-        return self._declare(VIEW, name, inputs, rules, comment, properties)
+    def view(self, name, inputs=(), rules=(), comment="", properties=None, columns=None):
+        return self._declare(VIEW, name, inputs, rules, comment, properties, columns)
 
     def changes(
         self,
@@ -80,21 +85,30 @@ class DatasetGraph:
         keys: Sequence[str],
         sequence_by: str,
         delete_when: str | None = None,
+        truncate_when: str | None = None,
         except_cols: Sequence[str] = (),
         scd: int = 1,
         comment: str = "",
         properties: Mapping[str, str] | None = None,
     ) -> None:
-        """Declare the current state (``scd=1``) or the history (``scd=2``) of a streamed feed."""
+        """Declare the current state (``scd=1``) or the history (``scd=2``) of a streamed feed.
+
+        Stored changes are folded into a new base after a run that made them outgrow the old one.
+        """
+        sequence = [f"{feed}.{sequence_by}"]
         apply = {
             "keys": list(keys),
             "sequence_by": sequence_by,
             "delete_when": delete_when,
+            "truncate_when": truncate_when,
             "except_cols": list(except_cols),
             "scd": scd,
         }
         self._add(
-            Dataset(name, (feed,), None, (), CHANGES, comment, dict(properties or {}), apply)
+            Dataset(
+                name, (feed,), None, (), CHANGES, comment, dict(properties or {}), apply,
+                {cdc.START: sequence, cdc.END: sequence} if scd == 2 else {},
+            )
         )
 
     def order(self) -> list[Dataset]:
@@ -131,7 +145,7 @@ class DatasetGraph:
             else:
                 frame, counts = self._run_batch(spark, dataset, frames, folder)
             frames[dataset.name] = frame
-            log.extend(_log_rows(dataset, frame, counts))
+            log.extend(_log_rows(dataset, frames, counts))
         self._append_log(spark, log, update_id, folder)
         return frames
 
@@ -145,7 +159,7 @@ class DatasetGraph:
         return spark.readStream.schema(frame.schema).parquet(f"{folder}/{name}")
 
     def _run_batch(self, spark, dataset, frames, folder):
-        seen = Observation() if dataset.rules and dataset.kind == STORED else None
+        seen = Observation() if dataset.kind == STORED else None
         rows = dataset.build(*[frames[i] for i in dataset.inputs])
         rows = apply_rules(rows, dataset.rules, seen)
         if dataset.kind == STORED:
@@ -168,9 +182,12 @@ class DatasetGraph:
         path = f"{folder}/{dataset.name}"
         options = dict(dataset.apply)
         scd, except_cols = options.pop("scd"), options.pop("except_cols")
+        truncate_when = options.pop("truncate_when")
         feed = self._follow(spark, frames, folder, dataset.inputs[0])
         checkpoint = f"{folder}/_checkpoints/{dataset.name}"
-        query = apply_changes(feed, path, checkpoint, scd=scd, trigger=trigger, **options)
+        query = apply_changes(
+            feed, path, checkpoint, scd=scd, trigger=trigger, truncate_when=truncate_when, **options
+        )
         if query.isActive:
             query.processAllAvailable()
         if not scratch.exists(spark, f"{path}/deltas"):
@@ -179,6 +196,8 @@ class DatasetGraph:
             return batch(nothing, except_cols=except_cols, **options), None
         read = {1: read_current, 2: read_history}[scd]
         options.pop("delete_when")
+        if not query.isActive:
+            fold_when_due(spark, path, scd=scd, **options)
         return read(spark, path, except_cols=except_cols, **options), None
 
     @staticmethod
@@ -208,14 +227,28 @@ def _streamed_counts(query: StreamingQuery, name: str | None) -> dict[str, int]
     return counts
 
 
-def _log_rows(dataset: Dataset, frame: DataFrame, counts: Mapping | None) -> list[tuple]:
+def _column_sources(dataset: Dataset, frames: Mapping[str, DataFrame]) -> list[dict]:
+    """An entry per column and source of it; the source is None where none is known."""
+    inputs = {name: set(frames[name].columns) for name in dataset.inputs}
+    found = []
+    for column in frames[dataset.name].columns:
+        sources = dataset.columns.get(column)
+        if sources is None:
+            sources = [f"{name}.{column}" for name, columns in inputs.items() if column in columns]
+        found += [{"name": column, "source": source} for source in sources or [None]]
+    return found
+
+
+def _log_rows(
+    dataset: Dataset, frames: Mapping[str, DataFrame], counts: Mapping | None
+) -> list[tuple]:
     definition = {
         "output_dataset": dataset.name,
         "input_datasets": list(dataset.inputs),
         "flow_type": dataset.kind,
         "comment": dataset.comment,
         "properties": dict(dataset.properties),
-        "schema": [{"name": f.name, "source": None} for f in frame.schema.fields],
+        "schema": _column_sources(dataset, frames),
     }
     rows = [(eventlog.DEFINITION, dataset.name, json.dumps({eventlog.DEFINITION: definition}))]
     if counts is None:
@@ -229,13 +262,13 @@ def _log_rows(dataset: Dataset, frame: DataFrame, counts: Mapping | None) -> lis
         }
         for i, rule in enumerate(dataset.rules)
     ]
+    quality = {"dropped_records": counts["input_records"] - counts["output_records"]}
+    if expectations:
+        quality["expectations"] = expectations
     progress = {
         "status": "RUNNING",
         "metrics": {"num_output_rows": counts["output_records"]},
-        "data_quality": {
-            "dropped_records": counts["input_records"] - counts["output_records"],
-            "expectations": expectations,
-        },
+        "data_quality": quality,
     }
     rows.append((eventlog.PROGRESS, dataset.name, json.dumps({eventlog.PROGRESS: progress})))
     return rows

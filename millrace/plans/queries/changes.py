@@ -8,7 +8,13 @@ from millrace.operators.cdc import END, START, scd1, scd2
 from millrace.operators.sizing import hot_ranges
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import change_feed
-from millrace.streaming.changes import apply_changes, fold, read_current, read_history
+from millrace.streaming.changes import (
+    apply_changes,
+    fold,
+    fold_when_due,
+    read_current,
+    read_history,
+)
 
 _FEED = {"keys": ["user_id"], "sequence_by": "ts"}
 _DELETE = "operation = 'DELETE'"
@@ -74,26 +80,39 @@ def scd2_out_of_order(t):
     return read_history(t.spark, target, except_cols=["operation", "ts"], **_FEED)
 
 
-@query(
-    """
+_TRUNCATE = "operation = 'APPEND' AND value > 150"
+_TRUNCATED_SQL = """
     WITH cut AS (SELECT max(ts) AS t FROM events WHERE event_type = 'signup' AND value > 150)
     SELECT user_id, event_type, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
         FROM events WHERE ts > (SELECT t FROM cut))
     WHERE rn = 1 AND event_type <> 'error'
-    """
-)
+"""
+
+
+@query(_TRUNCATED_SQL)
 def scd1_truncate(t):
     """Sign-ups above a value empty the table; only later changes count."""
     return scd1(
         change_feed(t.events),
         delete_when=_DELETE,
-        truncate_when="operation = 'APPEND' AND value > 150",
+        truncate_when=_TRUNCATE,
         except_cols=["operation", "ts"],
         **_FEED,
     )
 
 
+@query(_TRUNCATED_SQL)
+def scd1_truncate_streamed(t):
+    """The same from a stream out of order: what arrives after a truncating change is cleared too."""
+    target, checkpoint = t.scratch("current"), t.scratch("checkpoint")
+    apply_changes(
+        _shuffled_stream(t), target, checkpoint, delete_when=_DELETE, truncate_when=_TRUNCATE, **_FEED
+    )
+    fold_when_due(t.spark, target, **_FEED)
+    return read_current(t.spark, target, except_cols=["operation", "ts"], **_FEED)
+
+
 @query(
     f"""
     SELECT user_id, count(*) AS version_count, count(DISTINCT event_type) AS type_count,

@@ -9,7 +9,7 @@ from millrace.plans.catalog import query
 from millrace.plans.queries.common import cents, total
 from millrace.sources import evolution
 from millrace.sources.ingest import ingest_files, ingest_json, read_ingested
-from millrace.streaming.aggregates import aggregate_flow, read_aggregate
+from millrace.streaming.aggregates import aggregate_flow, fold_aggregate, read_aggregate
 from millrace.streaming.flows import append_flow, multi_flow, read_flows
 
 _EVENT_SCHEMA = "event_id LONG, user_id LONG, event_type STRING, value DOUBLE"
@@ -245,6 +245,7 @@ def mv_incremental_agg(t):
         rows = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2)
         rows = rows.parquet(f"{src}/*").withColumn("value", cents("value"))
         aggregate_flow(rows, target, checkpoint, keys=["event_type"], value="value")
+        fold_aggregate(t.spark, target, ["event_type"])
 
     t.events.where(~_second_half()).repartition(4).write.parquet(f"{src}/drop1")
     run()

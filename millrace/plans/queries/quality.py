@@ -188,42 +188,10 @@ def progress_log(t):
             entry("worth_keeping", "kept", "dropped"), entry("moderate", "ok", "over")
         ),
     )
-    definitions = eventlog.definition_rows(
-        counted,
-        ts=day_start + F.expr("INTERVAL 1 HOURS"),
-        update_id=update_id,
-        output_dataset=dataset,
-        input_datasets=F.array(
-            F.lit("lake.bronze.events"), F.concat(F.lit("lake.bronze.kind_"), F.col("event_type"))
-        ),
-        flow_type=F.when(F.col("event_type") == "view", "append").otherwise("complete"),
-        columns=F.array(
-            F.struct(F.lit("amount").alias("name"), F.lit("lake.bronze.events.value").alias("source")),
-            F.struct(F.lit("user").alias("name"), F.lit("lake.bronze.events.user_id").alias("source")),
-        ),
-    )
     updates = eventlog.update_rows(
         counted.select("day").distinct(), ts=day_start, update_id=update_id
     )
-    return progress.unionByName(definitions).unionByName(updates)
-
-
-@query(
-    """
-    SELECT CAST(ts AS DATE) + INTERVAL 1 HOUR AS timestamp,
-           'lake.silver.' || event_type AS output_dataset,
-           'lake.bronze.events,lake.bronze.kind_' || event_type AS inputs,
-           CASE WHEN event_type = 'view' THEN 'append' ELSE 'complete' END AS flow_type
-    FROM events GROUP BY ALL
-    """
-)
-def eventlog_definitions(t):
-    return eventlog.definitions(progress_log(t)).select(
-        "timestamp",
-        "output_dataset",
-        F.concat_ws(",", "input_datasets").alias("inputs"),
-        "flow_type",
-    )
+    return progress.unionByName(updates)
 
 
 @query(
@@ -288,25 +256,3 @@ def quality_latest_table(t):
     """Only the day of the newest update."""
     latest = eventlog.latest_only(progress_log(t))
     return eventlog.quality_by(latest, "table_name")
-
-
-@query(
-    """
-    SELECT DISTINCT source_table, 'lake.silver.purchase' AS target_table FROM (
-        SELECT 'lake.bronze.events' AS source_table FROM events WHERE event_type = 'purchase'
-        UNION ALL SELECT 'lake.bronze.kind_purchase' FROM events WHERE event_type = 'purchase')
-    """
-)
-def lineage_table(t):
-    edges = eventlog.table_lineage(progress_log(t))
-    return edges.where("target_table = 'lake.silver.purchase'")
-
-
-@query(
-    """
-    SELECT DISTINCT 'lake.bronze.events' AS source_table, 'value' AS source_column,
-           'lake.silver.' || event_type AS target_table, 'amount' AS target_column FROM events
-    """
-)
-def lineage_column(t):
-    return eventlog.column_lineage(progress_log(t)).where("target_column = 'amount'")

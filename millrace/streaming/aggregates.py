@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.streaming.flows import batch_flow, read_batches
+from millrace.streaming.flows import batch_flow
+from millrace.streaming.folds import is_due, read_folded, write_base
 
 
 def aggregate_flow(
@@ -36,13 +37,28 @@ def read_aggregate(spark: SparkSession, target: str, keys: Sequence[str]) -> Dat
 
     Only additive figures can be kept this way; distinct counts need a full recompute.
     """
-    return (
-        read_batches(spark, target)
-        .groupBy(*keys)
-        .agg(
-            F.sum("n_rows").alias("n_rows"),
-            F.sum("n_values").alias("n_values"),
-            F.sum("total").alias("total"),
-        )
-        .withColumn("average", F.try_divide(F.col("total").cast("double"), F.col("n_values")))
-    )
+    average = F.try_divide(F.col("total").cast("double"), F.col("n_values"))
+    partials = read_folded(spark, target, _base(target))
+    return _added(partials, keys).withColumn("average", average)
+
+
+def fold_aggregate(
+    spark: SparkSession, target: str, keys: Sequence[str], ratio: float = 1.0
+) -> bool:
+    """Add the partials up into a base where they outgrew the old one; tells whether it did.
+
+    Run it between stream runs.
+    """
+    due = is_due(spark, target, _base(target), ratio)
+    if due:
+        write_base(spark, target, _base(target), lambda partials: _added(partials, keys))
+    return due
+
+
+def _base(target: str) -> str:
+    return f"{target}/_base"
+
+
+def _added(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    figures = ("n_rows", "n_values", "total")
+    return partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in figures])

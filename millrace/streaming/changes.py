@@ -2,21 +2,24 @@
 
 A micro-batch only writes what it brings, so its cost follows the change volume and not the
 table. Order never depends on arrival: the sequence decides on read, which also makes late and
-shuffled batches harmless. ``fold`` merges the deltas into a new base when reads get expensive.
+shuffled batches harmless. ``fold`` merges the deltas into a new base, ``fold_when_due`` does so
+when they outgrow the old one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace import scratch
 from millrace.operators import cdc
 from millrace.streaming.flows import batch_flow
+from millrace.streaming.folds import is_due, read_folded, write_base
 
 _FLAG = cdc.WAS_DELETED
+# Sequence of the newest truncating change a batch or base knows of.
+_CLEARED = "__cleared"
 _REDUCE = {1: cdc.current_with_tombstones, 2: cdc.one_per_sequence}
 
 
@@ -28,44 +31,39 @@ def apply_changes(
     keys: Sequence[str],
     sequence_by: str,
     delete_when: str | None = None,
+    truncate_when: str | None = None,
     scd: int = 1,
     trigger: str = "availableNow",
 ) -> StreamingQuery:
     """Feed a change stream into a type 1 or type 2 target.
 
     Type 1 batches are reduced to one row per key, deletes kept as tombstones; type 2 batches
-    keep one row per key and sequence.
+    keep one row per key and sequence. ``truncate_when`` marks changes that empty a type 1
+    target: all up to the last of them is forgotten, also what arrives after it. Give it from the
+    first run of a target on.
     """
     reduce = _REDUCE[scd]
+    if truncate_when is not None and scd != 1:
+        raise ValueError("only a type 1 target can be truncated")
 
     def shape(batch: DataFrame) -> DataFrame:
-        return reduce(batch, keys, sequence_by, delete_when)
+        rows = reduce(batch, keys, sequence_by, delete_when)
+        if truncate_when is None:
+            return rows
+        truncating = batch.where(cdc.flag_true(truncate_when))
+        return rows.withColumn(_CLEARED, truncating.agg(F.max(sequence_by)).scalar())
 
     return batch_flow(changes, f"{target}/deltas", checkpoint, trigger, shape)
 
 
-def _folded_upto(spark: SparkSession, target: str) -> int:
-    """Last batch contained in the newest complete base, -1 without one."""
-    done = [
-        int(name.removeprefix("upto="))
-        for name in scratch.child_names(spark, f"{target}/base")
-        if scratch.exists(spark, f"{target}/base/{name}/_SUCCESS")
-    ]
-    return max(done, default=-1)
-
-
-def _changes(spark: SparkSession, target: str) -> DataFrame:
-    upto = _folded_upto(spark, target)
-    deltas = spark.read.option("basePath", f"{target}/deltas").parquet(f"{target}/deltas/batch_id=*")
-    deltas = deltas.where(f"batch_id > {upto}").drop("batch_id")
-    if upto < 0:
-        return deltas
-    return spark.read.parquet(f"{target}/base/upto={upto}").unionByName(deltas)
-
-
-def _stored(spark: SparkSession, target: str) -> DataFrame:
-    """Base and deltas with the stored delete flag under a plain name."""
-    return _changes(spark, target).withColumnRenamed(cdc.DELETED, _FLAG)
+def _stored(spark: SparkSession, target: str, sequence_by: str) -> DataFrame:
+    """Base and batches with the stored delete flag under a plain name, and what truncates forget."""
+    rows = read_folded(spark, f"{target}/deltas", f"{target}/base")
+    rows = rows.withColumnRenamed(cdc.DELETED, _FLAG)
+    if _CLEARED not in rows.columns:
+        return rows
+    cleared = rows.agg(F.max(_CLEARED)).scalar()
+    return rows.where(F.coalesce(F.col(sequence_by) > cleared, F.lit(True))).drop(_CLEARED)
 
 
 def read_current(
@@ -78,7 +76,7 @@ def read_current(
 ) -> DataFrame:
     """Current rows of a type 1 target."""
     return cdc.scd1(
-        _stored(spark, target),
+        _stored(spark, target, sequence_by),
         keys,
         sequence_by,
         delete_when=_FLAG,
@@ -96,7 +94,7 @@ def read_history(
 ) -> DataFrame:
     """Version rows of a type 2 target."""
     return cdc.scd2(
-        _stored(spark, target),
+        _stored(spark, target, sequence_by),
         keys,
         sequence_by,
         delete_when=_FLAG,
@@ -109,12 +107,33 @@ def fold(
 ) -> int:
     """Write a new base holding all batches so far; returns the last batch it contains.
 
-    The old base and the deltas stay where they are, so readers and a failed fold are safe.
-    Run it between stream runs.
+    Run it between stream runs. The newest truncating change stays in the base, so that it also
+    clears what comes late.
     """
-    batches = scratch.child_names(spark, f"{target}/deltas")
-    upto = max(int(name.removeprefix("batch_id=")) for name in batches if "=" in name)
-    if upto > _folded_upto(spark, target):
-        folded = _REDUCE[scd](_stored(spark, target), keys, sequence_by, _FLAG).drop(_FLAG)
-        folded.write.mode("overwrite").parquet(f"{target}/base/upto={upto}")
-    return upto
+
+    def merge(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumnRenamed(cdc.DELETED, _FLAG)
+        if _CLEARED not in rows.columns:
+            return _REDUCE[scd](rows, keys, sequence_by, _FLAG).drop(_FLAG)
+        cleared = rows.agg(F.max(_CLEARED)).scalar()
+        left = rows.where(F.coalesce(F.col(sequence_by) >= cleared, F.lit(True))).drop(_CLEARED)
+        folded = _REDUCE[scd](left, keys, sequence_by, _FLAG).drop(_FLAG)
+        return folded.withColumn(_CLEARED, cleared)
+
+    return write_base(spark, f"{target}/deltas", f"{target}/base", merge)
+
+
+def fold_when_due(
+    spark: SparkSession,
+    target: str,
+    *,
+    keys: Sequence[str],
+    sequence_by: str,
+    scd: int = 1,
+    ratio: float = 1.0,
+) -> bool:
+    """Fold when the batches after the base outgrew it by ``ratio``; tells whether it did."""
+    due = is_due(spark, f"{target}/deltas", f"{target}/base", ratio)
+    if due:
+        fold(spark, target, keys=keys, sequence_by=sequence_by, scd=scd)
+    return due

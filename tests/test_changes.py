@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 
 from millrace.operators import cdc
 from millrace.operators.sizing import KeyRanges, broadcast_if_small, hot_ranges, hot_slots
-from millrace.streaming.changes import apply_changes, fold, read_current, read_history
+from millrace.streaming.aggregates import aggregate_flow, fold_aggregate, read_aggregate
+from millrace.streaming.changes import (
+    apply_changes,
+    fold,
+    fold_when_due,
+    read_current,
+    read_history,
+)
 
 SCHEMA = "id LONG, name STRING, op STRING, seq LONG"
 APPLY = {"keys": ["id"], "sequence_by": "seq"}
@@ -195,3 +202,54 @@ def test_timestamp_sequences(spark, rows):
         "id LONG, name STRING, op STRING, seq TIMESTAMP_NTZ",
     )
     assert rows(history(df)) == [(1, "a", day(2), None), (1, "b", day(1), day(2))]
+
+
+def test_streamed_truncate_clears_late_rows(spark, folder, rows):
+    target, checkpoint, src = f"{folder}/t", f"{folder}/c", f"{folder}/src"
+    clear = {"delete_when": DELETE, "truncate_when": "op = 'TRUNCATE'"}
+    parts = [
+        [(1, "a", "APPEND", 1), (2, "b", "APPEND", 2)],
+        [(9, None, "TRUNCATE", 5)],
+        [(1, "late", "UPDATE", 4), (3, "c", "APPEND", 7), (2, "tie", "UPDATE", 5)],
+        [(2, "later still", "UPDATE", 3)],
+    ]
+    for n, part in enumerate(parts):
+        apply_changes(stream(spark, feed(spark, *part), src, 1), target, checkpoint, **clear, **APPLY)
+        if n in (1, 2):  # everything is cleared at the first fold, and stays so
+            fold(spark, target, **APPLY)
+        seen = [change for p in parts[: n + 1] for change in p]
+        want = cdc.scd1(feed(spark, *seen), except_cols=["op", "seq"], **clear, **APPLY)
+        got = read_current(spark, target, except_cols=["op", "seq"], **APPLY)
+        assert rows(got) == rows(want)
+    assert rows(got) == [(3, "c")]
+    with pytest.raises(ValueError, match="type 1"):
+        apply_changes(feed(spark, *parts[0]), target, checkpoint, scd=2, **clear, **APPLY)
+
+
+def test_fold_waits_until_batches_outgrow_the_base(spark, folder, rows):
+    target, checkpoint, src = f"{folder}/t", f"{folder}/c", f"{folder}/src"
+
+    def run(first, last, files):
+        part = spark.range(first, last).selectExpr("id", "'x' AS name", "'UPDATE' AS op", "id AS seq")
+        apply_changes(stream(spark, part, src, files), target, checkpoint, **APPLY)
+        return fold_when_due(spark, target, **APPLY)
+
+    assert not run(0, 10, 1)
+    assert run(10, 30_000, 2)
+    assert not run(0, 20, 2)
+    current = read_current(spark, target, except_cols=["op", "seq"], **APPLY)
+    assert current.count() == 30_000
+    # batches inside the base are not read again
+    assert sum("batch_id=" in f for f in current.inputFiles()) == 2
+
+
+def test_folded_aggregate_reads_only_new_batches(spark, folder, rows):
+    src, target = f"{folder}/src", f"{folder}/t"
+    for low in (0, 100):
+        part = spark.range(low, low + 100).selectExpr("id % 3 AS k", "id AS v")
+        aggregate_flow(stream(spark, part, src, 3), target, f"{folder}/c", keys=["k"], value="v")
+        assert fold_aggregate(spark, target, ["k"], ratio=0.5)
+        merged = read_aggregate(spark, target, ["k"])
+        assert not any("batch_id=" in f for f in merged.inputFiles())
+    want = spark.range(200).selectExpr("id % 3 AS k", "id AS v").groupBy("k").agg({"v": "sum"})
+    assert rows(merged, "k", "total") == rows(want)

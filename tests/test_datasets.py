@@ -70,6 +70,24 @@ def test_streamed_dataset_takes_only_new_rows(spark, folder, rows):
     assert lineage == [("bronze", "silver"), ("silver", "checked"), ("silver", "gold")]
 
 
+def test_column_sources_are_recorded(spark, folder, rows):
+    graph = DatasetGraph()
+    graph.stored("slim", inputs=["src", "other"])(lambda src, other: src.join(other, "id"))
+    graph.stored("sums", inputs=["slim"], columns={"n": "slim.id", "x": ["slim.a", "slim.b"]})(
+        lambda slim: slim.groupBy("a").agg({"id": "count"}).toDF("a", "n").selectExpr("*", "1 AS x", "2 AS y")
+    )
+    frames = {"src": spark.sql("SELECT 1L id, 2 a"), "other": spark.sql("SELECT 1L id, 3 b")}
+    graph.run(spark, frames, folder)
+    log = read_events(spark, folder)
+    assert rows(eventlog.column_lineage(log)) == sorted([
+        ("other", "b", "slim", "b"), ("other", "id", "slim", "id"), ("src", "a", "slim", "a"),
+        ("src", "id", "slim", "id"), ("slim", "a", "sums", "a"), ("slim", "id", "sums", "n"),
+        ("slim", "a", "sums", "x"), ("slim", "b", "sums", "x"),
+    ], key=repr)
+    assert rows(eventlog.flow_progress(log), "table_name", "output_records") == [("slim", 1), ("sums", 1)]
+    assert eventlog.expectation_rows(log).count() == 0
+
+
 def test_fail_rule_stops_the_run(spark, folder):
     graph = DatasetGraph()
 
