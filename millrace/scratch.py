@@ -81,6 +81,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(beside), target, how)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file under a name that no other run uses."""
+    fs, target = _file_system(spark, path)
+    stream = fs.create(target, False)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
 def publish(spark: SparkSession, staged: str, path: str) -> None:
     """Rename a finished folder into place."""
     fs, target = _file_system(spark, path)
