@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.scratch import scratch_dir
+from millrace.scratch import scratch_dir, write_bytes
 
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -22,8 +22,8 @@ _shipped: set[tuple[str, str]] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package's sources to the executors, once per application.
 
-    Spark's own file server hands them out, as with ``--py-files``, so tasks can import the
-    operators also where the executors have no copy of the repository.
+    Spark hands the archive out, as with ``--py-files``, so tasks can import the operators also where
+    the executors have no copy of the repository. It lies in the shared checkpoint folder.
     """
     sources = sorted(
         os.path.join(folder, name)
@@ -38,10 +38,12 @@ def ship(spark: SparkSession) -> None:
     key = (spark.sparkContext.applicationId, digest.hexdigest())
     if key in _shipped:
         return
-    archive = os.path.join(tempfile.mkdtemp(), f"millrace_{key[1][:12]}.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
         for path in sources:
             out.write(path, os.path.relpath(path, os.path.dirname(PACKAGE)))
+    archive = f"{scratch_dir(spark, 'package')}/millrace_{key[1][:12]}.zip"
+    write_bytes(spark, archive, packed.getvalue())
     spark.sparkContext.addPyFile(archive)
     _shipped.add(key)
 
