@@ -2,8 +2,10 @@
 
 Every document becomes a vector of transformed statistics. For each language and source a minimum
 covariance determinant estimate of centre and scatter is found by concentration steps over all
-documents: measure distances, keep the nearest part, estimate again. A document whose Mahalanobis
-distance from the final estimate is beyond a chi-square bound is rejected.
+documents: measure distances, keep the nearest half, estimate again. The half is kept through every
+step of both starts (one at the medians, one at the middles of the shortest halves), so junk must
+outnumber the rest of a group to carry an estimate; only the last, reweighting step widens it. A
+document whose Mahalanobis distance from the final estimate is beyond a chi-square bound is rejected.
 
 Spark keeps the work distributed. One step is a join with the small estimates, a grouped sum of
 moments per distance bin (combined before the shuffle), and a small calculation over the bins of a
@@ -55,9 +57,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 MIN_GROUP = 100
-#: Share of a group that an estimate rests on, the tail beyond which a document is rejected, and
-#: the words after which a statistic is taken at half its deviation.
-CORE = 0.75
+#: Share of a group that a concentration step keeps (a half breaks down last), the tail beyond which
+#: a document is rejected, and the words after which a statistic is taken at half its deviation.
+CORE = 0.5
 TAIL = 1e-6
 REWEIGHT = 0.975
 SETTLING_WORDS = 50
@@ -234,19 +236,38 @@ def pooled_cells(vectors: DataFrame) -> DataFrame:
 
 
 def _centres(bins: pd.DataFrame) -> pd.DataFrame:
-    """Median and scaled median deviation of each statistic from its histogram."""
+    """Of each statistic's histogram: median, scaled median deviation, and the shortest half.
+
+    ``middle`` is the middle of the shortest half as an offset from the median, ``half`` its scaled
+    half-length. Many outliers on one side move the median, but not the shortest half.
+    """
     medians, spreads = [0.0] * DIMS, [1.0] * DIMS
+    middles, halves = [0.0] * DIMS, [1.0] * DIMS
     for j, part in bins.groupby("pos"):
         part = part.sort_values("bin")
         n = part["n"].cumsum().to_numpy()
+        values = part["bin"].to_numpy()
+        # the first bin by which the half that begins at each bin is full, if it gets full
+        ends = np.searchsorted(n, n - part["n"].to_numpy() + (n[-1] + 1) // 2)
+        begins = np.flatnonzero(ends < len(n))
+        length = values[ends[begins]] - values[begins]
+        at = begins[np.argmin(length)]
         middle = part["bin"].to_numpy()[np.searchsorted(n, (n[-1] + 1) // 2)]
         off = np.abs(part["bin"].to_numpy() - middle)
         order = np.argsort(off, kind="stable")
         n = part["n"].to_numpy()[order].cumsum()
         medians[j] = middle / _GRID
+        middles[j] = ((values[at] + values[ends[at]]) / 2 - middle) / _GRID
+        halves[j] = 1.4826 * length.min() / 2 / _GRID
         spreads[j] = 1.4826 * off[order][np.searchsorted(n, (n[-1] + 1) // 2)] / _GRID
-    spreads = np.maximum(spreads, list(FLOORS.values()))
-    out = {"__q_group": bins["__q_group"].iloc[0], "median": medians, "spread": spreads.tolist()}
+    floors = list(FLOORS.values())
+    out = {
+        "__q_group": bins["__q_group"].iloc[0],
+        "median": medians,
+        "spread": np.maximum(spreads, floors).tolist(),
+        "middle": middles,
+        "half": np.maximum(halves, floors).tolist(),
+    }
     return pd.DataFrame([out])
 
 
@@ -254,22 +275,21 @@ _ESTIMATE = "__q_group string, start int, centre array<double>, prec array<doubl
 
 
 def estimate_from_bins(
-    bins: pd.DataFrame, share: float | None, cutoff: float | None, first: bool = False
+    bins: pd.DataFrame, share: float | None, cutoff: float | None
 ) -> pd.DataFrame:
     """Centre and inverse scatter of the nearest rows of one group, from moments per bin.
 
     The nearest ``share`` of the rows counts (a bin that crosses the limit counts in part), or
-    all rows up to the distance ``cutoff``. At the first step the second start takes half.
+    all rows up to the distance ``cutoff``.
     """
     out = []
     for start, part in bins.groupby("start"):
         part = part.sort_values("bin")
         n = part["n"].to_numpy(float)
         if cutoff is None:
-            part_share = 0.5 if first and start == 1 else share
-            wanted = math.ceil(part_share * n.sum())
+            wanted = math.ceil(share * n.sum())
             weight = np.clip((wanted - (n.cumsum() - n)) / n, 0, 1)
-            factor = consistency(part_share)
+            factor = consistency(share)
         else:
             weight = (2.0 ** (part["bin"].to_numpy() / _BINS) <= cutoff).astype(float)
             factor = consistency(REWEIGHT)
@@ -342,7 +362,8 @@ def fit_groups(counted: DataFrame) -> DataFrame:
             bins,
             ["__q_group"],
             _centres,
-            "__q_group string, median array<double>, spread array<double>",
+            "__q_group string, median array<double>, spread array<double>, "
+            "middle array<double>, half array<double>",
         ),
         "medians",
     )
@@ -357,23 +378,22 @@ def fit_groups(counted: DataFrame) -> DataFrame:
         ),
         "centred",
     )
-    diagonal = F.array(
-        *[
-            1 / F.pow(F.get("spread", F.lit(i)), F.lit(2.0)) if i == j else F.lit(0.0)
-            for i, j in PAIRS
-        ]
-    )
-    params = centres.select(
-        "__q_group",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("start"),
-        F.array(*[F.lit(0.0)] * DIMS).alias("centre"),
-        diagonal.alias("prec"),
-        F.lit(float("inf")).alias("logdet"),
-        F.lit(float("inf")).alias("change"),
+    def start(number: int, centre: Column, spread: str) -> Column:
+        diagonal = F.array(
+            *[
+                1 / F.pow(F.get(spread, F.lit(i)), F.lit(2.0)) if i == j else F.lit(0.0)
+                for i, j in PAIRS
+            ]
+        )
+        return F.struct(F.lit(number).alias("start"), centre.alias("centre"), diagonal.alias("prec"))
+
+    starts = [start(0, F.array(*[F.lit(0.0)] * DIMS), "spread"), start(1, F.col("middle"), "half")]
+    params = centres.select("__q_group", F.inline(F.array(*starts))).select(
+        "*", F.lit(float("inf")).alias("logdet"), F.lit(float("inf")).alias("change")
     )
     for step in range(MAX_STEPS):
         params = settle(
-            _step(vectors, params.drop("change"), share=CORE, cutoff=None, first=step == 0),
+            _step(vectors, params.drop("change"), share=CORE, cutoff=None),
             "estimate",
         )
         worst = params.agg(F.max(F.abs("change"))).first()[0]

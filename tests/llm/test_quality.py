@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 from millrace.llm import quality_classifier, quality_rules
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -51,6 +52,23 @@ def test_outliers_go_and_clean_documents_stay(spark, docs):
     assert not any(kept[i] for i, _ in junk)
 
 
+def test_much_junk_of_one_kind_goes(spark, docs):
+    """Up to 45 % of a source's documents may be junk of one kind, near or far."""
+    rng = random.Random(3)
+    kinds = [lambda w: w + "%%%", lambda w: w[:3] + "," + w[3:] + ";", str.upper]
+    pairs, junk = [], set()
+    for cell, (percent, kind) in enumerate([(30, 0), (35, 1), (40, 2), (45, 0), (45, 1), (45, 2)]):
+        for i in range(300):
+            doc_id, words = 1000 * cell + i, prose(rng, rng.randint(40, 300)).split()
+            if i < 3 * percent:
+                junk.add(doc_id)
+                words = [kinds[kind](w) for w in words]
+            pairs.append((doc_id, " ".join(words)))
+    df = docs(pairs).withColumn("source", F.expr("CAST(doc_id DIV 1000 AS STRING)"))
+    found = quality_rules.quality_rules(df).collect()
+    assert {r["doc_id"] for r in found if not r["kept"]} == junk
+
+
 def test_rules_on_an_empty_table_and_null_groups(spark, docs):
     assert quality_rules.quality_rules(docs([])).count() == 0
     df = docs([(1, "w " * 12)], lang=None, source=None)
