@@ -12,8 +12,10 @@ moments per distance bin (combined before the shuffle), and a small calculation
 group, whose number is bounded however many documents the group has.
 
 Cases: NULL or blank text has zero counts and fails the base rule. NULL ``lang`` or ``source`` is a
-value of its own. Groups below ``MIN_GROUP`` documents are pooled by language, then altogether; a
-pool that is still smaller gives no verdict and keeps its documents. Repeated rows are judged each.
+value of its own. A cell below ``MIN_GROUP`` passing documents is judged by the estimate of all
+passing documents of its language, those of large cells included, and a language below ``MIN_GROUP``
+by that of all passing documents. Only if the whole table has fewer than ``MIN_TABLE`` is there no
+verdict, and its documents are kept. Repeated rows are judged each.
 Extra columns are ignored or passed through; none may start with ``__q``.
 """
 
@@ -75,6 +77,9 @@ FLOORS = {
     "variety": 0.04,
 }
 DIMS = len(FLOORS)
+#: Passing documents in a table from which any estimate is taken: five a dimension. With fewer, a
+#: half-sample gives too small a scatter, and clean documents would go.
+MIN_TABLE = 5 * DIMS
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 _GRID = 1024
 _BINS = 64
@@ -216,23 +221,34 @@ def consistency(share: float) -> float:
 
 
 def pooled_cells(vectors: DataFrame) -> DataFrame:
-    """The group each cell is judged in: its own, its language's pool, the common pool, or none."""
+    """The group each cell is judged by, and the groups that its documents are part of.
+
+    ``__q_group`` is the cell itself, its language or the whole table (NULL: no verdict);
+    ``__q_groups`` also has the larger groups by which other cells are judged.
+    """
     sizes = vectors.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("__q_own", F.col("n") >= MIN_GROUP)
     lang = F.to_json(F.struct(F.col("lang").cast("string").alias("l")))
-    rest = (
-        sizes.where("NOT __q_own").groupBy(lang.alias("__q_lang")).agg(F.sum("n").alias("__q_rest"))
+    sizes = sizes.select(
+        F.concat(F.lit("cell "), cell()).alias("__q_own"),
+        F.concat(F.lit("lang "), lang).alias("__q_lang"),
+        cell().alias("__q_cell"),
+        "n",
+    )
+    langs = sizes.groupBy("__q_lang").agg(
+        F.sum("n").alias("__q_of_lang"), F.min("n").alias("__q_least")
     )
-    joined = sizes.withColumn("__q_lang", lang).join(rest, "__q_lang", "left")
-    pooled = F.col("__q_rest") >= MIN_GROUP
-    common = joined.where(~F.col("__q_own") & ~pooled).agg(F.sum("n").alias("__q_common"))
-    few = (common.first()["__q_common"] or 0) < MIN_GROUP
-    group = (
-        F.when(F.col("__q_own"), cell())
-        .when(pooled, F.col("__q_lang"))
-        .otherwise(F.lit(None if few else "all").cast("string"))
+    total, least = langs.agg(F.sum("__q_of_lang"), F.min("__q_of_lang")).first()
+    whole = F.lit("all" if (total or 0) >= MIN_TABLE else None).cast("string")
+    own, common = F.col("n") >= MIN_GROUP, F.col("__q_of_lang") >= MIN_GROUP
+    group = F.when(own, F.col("__q_own")).when(common, F.col("__q_lang")).otherwise(whole)
+    parts = [
+        F.when(own, F.col("__q_own")),
+        F.when(common & (F.col("__q_least") < MIN_GROUP), F.col("__q_lang")),
+        whole if (least or 0) < MIN_GROUP else F.lit(None).cast("string"),
+    ]
+    return sizes.join(langs, "__q_lang").select(
+        "__q_cell", group.alias("__q_group"), F.array_compact(F.array(*parts)).alias("__q_groups")
     )
-    return joined.select(cell().alias("__q_cell"), group.alias("__q_group"))
 
 
 def _centres(bins: pd.DataFrame) -> pd.DataFrame:
@@ -350,8 +366,14 @@ def fit_groups(counted: DataFrame) -> DataFrame:
         "lang", "source", F.col("n_words"), *[v.alias(f"x{i}") for i, v in enumerate(vector())]
     )
     cells = settle(pooled_cells(passing), "cells")
-    placed = passing.withColumn("__q_cell", cell()).join(cells, "__q_cell").dropna(subset="__q_group")
-    placed = settle(placed.select("__q_group", "n_words", *[f"x{i}" for i in range(DIMS)]), "vectors")
+    # a row for each group that a document is part of: at most its cell, its language and the table
+    placed = passing.withColumn("__q_cell", cell()).join(cells.drop("__q_group"), "__q_cell")
+    placed = settle(
+        placed.select(
+            F.explode("__q_groups").alias("__q_group"), "n_words", *[f"x{i}" for i in range(DIMS)]
+        ),
+        "vectors",
+    )
     bins = (
         placed.select("__q_group", F.posexplode(F.array(*[f"x{i}" for i in range(DIMS)])))
         .groupBy("__q_group", "pos", F.round(F.col("col") * _GRID).cast("int").alias("bin"))

@@ -69,6 +69,28 @@ def test_much_junk_of_one_kind_goes(spark, docs):
     assert {r["doc_id"] for r in found if not r["kept"]} == junk
 
 
+def test_small_cells_are_judged_by_their_language_or_the_table(spark, docs):
+    """Two rare sources (one without a name), a rare language, and a table of 60 documents."""
+    rng = random.Random(4)
+    small = docs([(i, prose(rng, 80) if i % 4 else prose(rng, 80).upper()) for i in range(60)])
+    kept = {r["doc_id"] for r in quality_rules.quality_rules(small).collect() if r["kept"]}
+    assert kept == {i for i in range(60) if i % 4}
+
+    sizes = {("en", "big"): 200, ("en", "rare"): 20, ("en", None): 20, ("de", "other"): 20, (None, None): 20}
+    rows, want = [], set()
+    for (lang, source), n in sizes.items():
+        for _ in range(n):
+            # most of a rare source is junk, so its own estimate would keep it
+            junk = n < 100 and rng.random() < 0.6
+            text = prose(rng, rng.randint(40, 300))
+            want |= set() if junk else {len(rows)}
+            rows.append((len(rows), text.upper() if junk else text, lang, source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = quality_rules.quality_rules(df).collect()
+    assert all(r["distance"] is not None for r in found)
+    assert {r["doc_id"] for r in found if r["kept"]} == want
+
+
 def test_rules_on_an_empty_table_and_null_groups(spark, docs):
     assert quality_rules.quality_rules(docs([])).count() == 0
     df = docs([(1, "w " * 12)], lang=None, source=None)
