@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import map_arrow
+from millrace.llm.license_texts import HEADERS, TEXTS
 from millrace.llm.textscan import LOWER, WORD, flags, salted_by_row, scan_words, text_slices, windows
 
 THRESHOLD = 0.8
@@ -57,6 +58,10 @@ TEMPLATES = (
     ("all-rights-reserved", "All rights reserved."),
 )
 
+#: All that the scan compares with: the notices above, standard headers, and whole licence texts.
+#: The SQL form below has the notices only.
+ALL_TEMPLATES = TEMPLATES + HEADERS + TEXTS
+
 _LETTERS = flags(bytes([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]))
 KINDS = ("line", "paragraph", "text")
 
@@ -153,7 +158,7 @@ def license_passages(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """Every passage that matches a template: where it is, the licence, and the coefficient."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates()
+        templates = Templates(ALL_TEMPLATES)
         types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
         names = [part.split()[0] for part in _SCHEMA.split(", ")]
         for batch in batches:
@@ -175,7 +180,7 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-#: The same result for the oracle.
+#: The same result for the oracle, for passages that name a licence by one of TEMPLATES.
 LICENSE_SQL = f"""
 WITH template(no, license, txt) AS (VALUES {", ".join(f"({i}, {_sql_text(a)}, {_sql_text(t)})" for i, (a, t) in enumerate(TEMPLATES))}),
 lines AS (

@@ -144,6 +144,29 @@ def test_license_passages(spark, docs, odd_pairs):
     assert licenses.license_passages(docs([])).count() == 0
 
 
+def test_whole_licences_and_headers_of_each_version(spark, docs):
+    gnu = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+    cc = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    isc += '\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+    cases = [
+        ("GPL-2.0", gnu.format("program", "General Public License", "2")),
+        ("LGPL-2.1", gnu.format("library", "Lesser General Public License", "2.1")),
+        ("LGPL-3.0", gnu.format("program", "Lesser General Public License", "3")),
+        ("CC-BY-NC-SA-4.0", cc.format("NonCommercial-ShareAlike")),
+        ("CC-BY-NC-ND-4.0", cc.format("NonCommercial-NoDerivatives")),
+        ("CC-BY-ND-4.0", cc.format("NoDerivatives")),
+        ("ISC", isc),
+    ]
+    cases += [(name, "Some Title\n\n" + text) for name, text in licenses.TEXTS]
+    found = licenses.license_passages(docs([(i, text) for i, (_, text) in enumerate(cases)])).collect()
+    best = {}
+    for r in sorted(found, key=lambda r: r["dice"]):
+        best[r["doc_id"]] = r["license"]
+    assert best == {i: name for i, (name, _) in enumerate(cases)}
+    assert {name for name, _ in licenses.TEXTS} >= {"BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "Zlib"}
+
+
 def test_size_bounds_lose_no_match():
     templates = licenses.Templates()
     for grams in templates.grams:
