@@ -8,7 +8,11 @@ sys.path.insert(0, ROOT)
 
 from millrace.session import local_session  # noqa: E402
 
-DATA = "/root/testdata/sf0.001"
+
+@pytest.fixture(scope="session")
+def data():
+    """Folder of the smallest tables."""
+    return "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

@@ -3,7 +3,6 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import DATA
 from millrace.operators.cdc import scd2
 from millrace.operators.sizing import broadcast_if_small, plan_bytes
 from millrace.plans.catalog import Tables
@@ -15,22 +14,22 @@ def plan(df):
 
 
 @pytest.fixture(scope="module")
-def t(spark):
-    return Tables(spark, DATA)
+def t(spark, data):
+    return Tables(spark, data)
 
 
 RUNS = entry.queries()
 
 
 @pytest.mark.parametrize("name", sorted(RUNS))
-def test_no_all_pairs_join(spark, name):
-    text = plan(RUNS[name](spark, DATA))
+def test_no_all_pairs_join(spark, name, data):
+    text = plan(RUNS[name](spark, data))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
 
 
-def test_filters_and_columns_reach_the_scan(spark):
-    text = RUNS["filter_predicates"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+def test_filters_and_columns_reach_the_scan(spark, data):
+    text = RUNS["filter_predicates"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in text and "In(l_returnflag" in text
     assert "l_extendedprice" not in text
 
@@ -41,20 +40,20 @@ def test_history_shuffles_once(t):
     assert plan(history).count("Exchange") == 1
 
 
-def test_bucketed_join_has_no_join_shuffle(spark):
-    text = plan(RUNS["bucketed_join"](spark, DATA))
+def test_bucketed_join_has_no_join_shuffle(spark, data):
+    text = plan(RUNS["bucketed_join"](spark, data))
     join = text[text.index("SortMergeJoin"):]
     assert "Exchange" not in join
 
 
-def test_interval_join_is_an_equi_join(spark):
-    text = plan(RUNS["join_range_interval"](spark, DATA))
+def test_interval_join_is_an_equi_join(spark, data):
+    text = plan(RUNS["join_range_interval"](spark, data))
     assert "SortMergeJoin" in text or "HashJoin" in text
 
 
-def test_sort_merge_and_broadcast(spark):
-    assert "SortMergeJoin" in plan(RUNS["join_sort_merge"](spark, DATA))
-    assert "BroadcastHashJoin" in plan(RUNS["join_broadcast"](spark, DATA))
+def test_sort_merge_and_broadcast(spark, data):
+    assert "SortMergeJoin" in plan(RUNS["join_sort_merge"](spark, data))
+    assert "BroadcastHashJoin" in plan(RUNS["join_broadcast"](spark, data))
 
 
 def test_broadcast_only_below_the_limit(t):
@@ -65,11 +64,11 @@ def test_broadcast_only_below_the_limit(t):
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
 
 
-def test_partition_filter_prunes(spark):
+def test_partition_filter_prunes(spark, data):
     assert "PartitionFilters: [isnotnull(o_orderpriority" in plan(
-        RUNS["partition_pruned_read"](spark, DATA)
+        RUNS["partition_pruned_read"](spark, data)
     )
 
 
-def test_row_filter_reaches_the_join_input(spark):
-    assert "MACHINERY" in plan(RUNS["row_filter_region"](spark, DATA))
+def test_row_filter_reaches_the_join_input(spark, data):
+    assert "MACHINERY" in plan(RUNS["row_filter_region"](spark, data))

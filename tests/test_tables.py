@@ -1,5 +1,4 @@
 import pytest
-from conftest import DATA
 from pyspark.sql import functions as F, types as T
 
 from millrace.operators.diagnostics import file_profile
@@ -164,8 +163,8 @@ def test_share_holds_the_slice_only(spark, folder, rows):
     assert read_share(spark, folder, "t").count() == 6
 
 
-def test_text_with_a_common_prefix_clusters(spark):
-    df = spark.read.parquet(f"{DATA}/customer.parquet").select("c_name")
+def test_text_with_a_common_prefix_clusters(spark, data):
+    df = spark.read.parquet(f"{data}/customer.parquet").select("c_name")
     keyed = with_cluster_key(df, ["c_name"], "at", files=16)
     assert keyed.select("at").distinct().count() == 32
     ordered = [r["at"] for r in keyed.orderBy("c_name").collect()]
