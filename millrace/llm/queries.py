@@ -12,11 +12,14 @@ from millrace.llm import (
     licenses,
     near_dedup,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     quotations,
+    spelling,
     url_filter,
     warc,
+    wavelet,
 )
 from millrace.llm.common import table
 
@@ -63,6 +66,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op13_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_archive(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
@@ -76,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_licenses,
         op9_bpe,
         op10_packing,
+        op11_spelling,
+        op12_periodic_runs,
+        op13_wavelet,
     )
 }
 SQL: dict[str, str] = {"op8_licenses": licenses.LICENSE_SQL}
