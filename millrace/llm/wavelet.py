@@ -10,8 +10,9 @@ occurs in a stretch (``count``), and where it does (``select``, ``occurrences``)
 File: magic, blocks, the compressed table of the shard's document pieces, the footer (sizes, zeros of
 each plane, places and ones of the blocks), the footer's length, magic. Readers seek from the end.
 
-Words are encoded once while the worker remembers them (by a 64-bit hash); white space is a sure
-split point of this tokenizer, so words give the tokens of the whole text.
+Words are encoded once while the worker remembers them (by a 64-bit hash). White space, and the place
+between a letter and common punctuation, are sure split points of this tokenizer, so words give the
+tokens of the whole text.
 
 Cases: NULL and empty texts hold the end token only. Rows without ``doc_id`` come first. Rows that
 repeat a ``doc_id`` follow each other in the order of their rows. Other columns are ignored.
@@ -19,10 +20,12 @@ repeat a ``doc_id`` follow each other in the order of their rows. Other columns
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.common import map_arrow, settle
-from millrace.llm.textscan import WORD, scan_words, text_slices
+from millrace.llm.textscan import LOWER, WORD, flags, run_hashes, text_slices
 from millrace.llm.vocab import once, tokenizer
 from millrace.operators.sizing import with_position
 from millrace.scratch import scratch_dir
@@ -47,14 +50,46 @@ PIECE, REMEMBERED, REMEMBERED_IDS = 1 << 21, 1 << 20, 1 << 23
 KNOWN, ENDED = 1, 2
 MAGIC = b"WVMX0001"
 _SEPARATOR = "<|endoftext|>"
+_LETTER = flags(bytes([*range(65, 91), *range(97, 123)]))
+_MARK = flags(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")
+_PURE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _HEAD = struct.Struct("<QQQQIII")  # tokens, pieces, place and size of the table, width, blocks, block bytes
 
 
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, begin and end of the stretches between sure split points of the tokenizer.
+
+    Those are white space, and the places between a letter and common punctuation. Not the
+    apostrophe, which may begin a contraction, nor the marks of special tokens.
+    """
+    inside, mark = WORD[data], _MARK[data]
+    lead = data == 0xC3  # À to ÿ, but for × and ÷
+    after = np.concatenate(([False], lead[:-1]))
+    sign = after & ((data == 0x97) | (data == 0xB7))
+    letter = _LETTER[data] | (after & ~sign) | (lead & ~np.concatenate((sign[1:], [False])))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    edge[1:-1] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    begin = np.flatnonzero(inside & ~(np.concatenate(([False], inside[:-1])) & ~edge[:-1]))
+    end = np.flatnonzero(inside & ~(np.concatenate((inside[1:], [False])) & ~edge[1:])) + 1
+    return np.searchsorted(offsets, begin, "right") - 1, begin, end
+
+
+def byte_letters() -> list[str]:
+    """The letter by which the vocabulary writes each byte: printable ones stand for themselves, the
+    others for the characters from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return [chr(b) if b in set(plain) else chr(256 + others.index(b)) for b in range(256)]
+
+
 class WordTable:
     """Tokens of words by hash; starts anew when it holds too much."""
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
+        self.model = self.library.model
+        self.letters = byte_letters()
         self.separator = self.library.token_to_id(_SEPARATOR)
         self._clear()
 
@@ -67,8 +102,14 @@ class WordTable:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        plain = [k for k, w in enumerate(words) if "<|" not in w]
         parts: list = [None] * len(words)
+        for k, word in enumerate(words):
+            if _PURE(word):  # letters only: nothing to normalise but their case, nothing to split
+                spelled = word.lower()
+                if not spelled.isascii():
+                    spelled = "".join([self.letters[b] for b in spelled.encode()])
+                parts[k] = [token.id for token in self.model.tokenize(spelled)]
+        plain = [k for k, w in enumerate(words) if parts[k] is None and "<|" not in w]
         for first in range(0, len(plain), 1024):
             some = plain[first : first + 1024]
             ids = self._ids(_SEPARATOR.join([words[k] for k in some]))
@@ -80,19 +121,23 @@ class WordTable:
                 parts[k] = self._ids(word)
         size = np.array([len(p) for p in parts], np.int64)
         begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate((self.ids, *parts))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(parts), np.uint32, int(size.sum()))))
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
         self.begin, self.size = np.insert(self.begin, at, begin), np.insert(self.size, at, size)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of some texts one after the other, and their number per text."""
-        words = scan_words(data, offsets)
-        if not len(words.hash):
+        if b"<|" not in data.tobytes():  # special tokens are told by their case
+            data = LOWER[data]
+        row, first, last = units(data, offsets)
+        if not len(row):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        lengths = last - first
+        hashes = run_hashes(data, np.flatnonzero(WORD[data]), np.cumsum(lengths) - lengths, lengths)
         if len(self.keys) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
             self._clear()
-        keys, one, each = np.unique(words.hash, return_index=True, return_inverse=True)
+        keys, one, each = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, keys)
         fresh = np.ones(len(keys), bool)
         inside = at < len(self.keys)
@@ -100,13 +145,13 @@ class WordTable:
         if fresh.any():
             some = one[fresh]
             raw = data.tobytes()
-            spans = zip(words.begin[some].tolist(), words.end[some].tolist())
+            spans = zip(first[some].tolist(), last[some].tolist())
             self._learn(keys[fresh], [raw[a:b].decode() for a, b in spans])
             at = np.searchsorted(self.keys, keys)
         begin, size = self.begin[at][each], self.size[at][each]
-        first = np.cumsum(size) - size
-        ids = self.ids[np.arange(size.sum()) + np.repeat(begin - first, size)]
-        return ids, np.bincount(words.row, size, len(offsets) - 1).astype(np.int64)
+        before = np.cumsum(size) - size
+        ids = self.ids[np.arange(size.sum()) + np.repeat(begin - before, size)]
+        return ids, np.bincount(row, size, len(offsets) - 1).astype(np.int64)
 
 
 def encoded(column: pa.Array, table: WordTable) -> Iterator[tuple[int, np.ndarray, bool]]:
@@ -154,12 +199,14 @@ def write_shard(out, tokens: np.ndarray, pieces: np.ndarray) -> int:
     width = max(1, int(tokens.max(initial=0)).bit_length())
     blocks = -(-len(tokens) // (8 * BLOCK_BYTES))
     at = out.write(MAGIC)
+    if width <= 16:
+        tokens = tokens.astype(np.uint16)
     zeros = np.zeros(width, np.uint64)
     places = np.zeros(width * blocks + 1, np.uint64)
     ones = np.zeros((width, blocks + 1), np.uint64)
     places[0] = at
     for level in range(width):
-        bits = (tokens >> np.uint32(width - 1 - level)) & np.uint32(1) != 0
+        bits = tokens & tokens.dtype.type(1 << (width - 1 - level)) != 0
         zeros[level] = len(tokens) - np.count_nonzero(bits)
         plane = np.packbits(bits)
         for k in range(blocks):
@@ -290,28 +337,29 @@ class WaveletFile:
         for nth in range(before, before + self.count(token, low, high)):
             yield self.select(token, nth)
 
+    def _plane(self, level: int) -> np.ndarray:
+        """All bits of a plane."""
+        numbers = range(level * self.blocks, (level + 1) * self.blocks)
+        base = int(self.places[level * self.blocks])
+        raw = self._read(base, int(self.places[(level + 1) * self.blocks]) - base)
+        blocks = [
+            _unpack(raw[int(self.places[k]) - base : int(self.places[k + 1]) - base], self._block_bytes(k - numbers[0]))
+            for k in numbers
+        ]
+        return np.unpackbits(np.frombuffer(b"".join(blocks), np.uint8))[: self.n].view(bool)
+
     def tokens(self) -> np.ndarray:
-        """All tokens in order: the planes give them sorted, their places go along."""
-        values, places = np.zeros(self.n, np.uint32), np.arange(self.n, dtype=np.uint32)
-        for level in range(self.width):
-            raw = self._read(int(self.places[level * self.blocks]), int(
-                self.places[(level + 1) * self.blocks] - self.places[level * self.blocks]
-            ))
-            base = int(self.places[level * self.blocks])
-            plane = b"".join(
-                _unpack(
-                    raw[int(self.places[number]) - base : int(self.places[number + 1]) - base],
-                    self._block_bytes(number - level * self.blocks),
-                )
-                for number in range(level * self.blocks, (level + 1) * self.blocks)
-            )
-            bits = np.unpackbits(np.frombuffer(plane, np.uint8))[: self.n].view(bool)
-            values = values * np.uint32(2) + bits
-            values = np.concatenate((values[~bits], values[bits]))
-            places = np.concatenate((places[~bits], places[bits]))
-        out = np.empty_like(values)
-        out[places] = values
-        return out
+        """All tokens in order: from the lowest plane up, each plane says where the numbers that the
+        planes below it make up came from."""
+        kind = np.uint16 if self.width <= 16 else np.uint32
+        low = np.zeros(self.n, kind)
+        for level in reversed(range(self.width)):
+            bits, zeros = self._plane(level), int(self.zeros[level])
+            above = np.empty_like(low)
+            above[~bits] = low[:zeros]
+            above[bits] = low[zeros:] | kind(1 << (self.width - 1 - level))
+            low = above
+        return low.astype(np.uint32)
 
 
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, shard: int = SHARD) -> DataFrame:

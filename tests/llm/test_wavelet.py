@@ -96,5 +96,16 @@ def test_archive(spark, docs, odd_pairs, word, monkeypatch, folder, shard, piece
     assert {r["start"] + r["n_tokens"] - 1 for r in found} <= set(ends)
 
 
+def test_encoder_equals_the_library_on_odd_strings(word):
+    rng = random.Random(9)
+    parts = ["a", "Z", "word", "é", "À", "ß", "×", "÷", "'", "'s", "'LL", ",", ".", "<|endoftext|>", "<|EndOfText|>", "<", "|>", " ", "\t",
+             "\u0301", "\u0338", "=", "\u00a0", "1", "23", "—", "İ", "I", "\u0307", "\x1c", "日", "-", "\x85", "ǆ", "K"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    table = wavelet.WordTable(public_tokenizers.path(wavelet.VOCABULARY))
+    got = {row: ids.tolist() for row, ids, _ in wavelet.encoded(pa.array(texts), table)}
+    for k, text in enumerate(texts):
+        assert got[k] == word.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_empty_archive(spark, docs):
     assert wavelet.token_archive(docs([])).count() == 0
