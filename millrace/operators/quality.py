@@ -51,6 +51,11 @@ def _counts(rules: Sequence[Rule]) -> list[Column]:
     ]
 
 
+def count_names(rules: Sequence[Rule]) -> list[str]:
+    """Names of the counts that an observation of the rules holds."""
+    return ["input_records", "output_records", *[f"failed_{i}" for i in range(len(rules))]]
+
+
 def apply_rules(
     df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = None
 ) -> DataFrame:

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import scratch
 from millrace.operators import cdc, eventlog
-from millrace.operators.quality import Rule, apply_rules
+from millrace.operators.quality import Rule, apply_rules, count_names
 from millrace.streaming.changes import apply_changes, fold_when_due, read_current, read_history
-from millrace.streaming.flows import append_flow
+from millrace.streaming.flows import is_published, publish_batch, read_batches, staging_folder, start, write_batch
 
 STORED, STREAMED, CHANGES, VIEW = "complete", "append", "changes", "view"
-# Micro-batches of one run whose rule counts are added up; Spark keeps 100 by default.
-_KEPT_PROGRESS = 100_000
+_EVENTS, _BATCH_EVENTS = "_events", "_batch_events"
+_LOG = "event_type STRING, flow_name STRING, details STRING"
 
 
 @dataclass(frozen=True)
@@ -42,12 +42,15 @@ class DatasetGraph:
     A stored dataset is recomputed and rewritten on every run. A streamed one appends only what
     is new upstream. A changes dataset applies a streamed feed by key. A view is a plain frame.
     Each run appends its definitions, row counts and rule counts to the event log below the
-    folder. A definition says which input columns each column comes from: those declared under
+    folder; a stream logs every micro-batch by its batch id, as long as it runs, and a batch that is
+    replayed counts once. A definition says which input columns each column comes from: those declared under
     ``columns`` (``{"revenue": "silver.amount"}``, or a list), else the inputs' columns of its name.
     """
 
     def __init__(self) -> None:
         self._datasets: dict[str, Dataset] = {}
+        #: Streams of the last run by dataset; those of an interval trigger go on running.
+        self.queries: dict[str, StreamingQuery] = {}
 
     def _add(self, dataset: Dataset) -> None:
         if dataset.name in self._datasets:
@@ -126,27 +129,30 @@ class DatasetGraph:
         sources: Mapping[str, DataFrame],
         folder: str,
         trigger: str = "availableNow",
+        logged_at: datetime | None = None,
     ) -> dict[str, DataFrame]:
         """Bring every dataset up to date and return them by name.
 
         ``sources`` holds the frames from outside, streaming ones for streamed datasets. The
         folder keeps data and checkpoints; a full refresh is a run on a new folder. A trigger
-        other than ``availableNow`` leaves the streams running after their first pass.
+        other than ``availableNow`` leaves the streams running after their first pass. A backfill
+        names the time (UTC) that it stands for in ``logged_at``; the log has the present otherwise.
         """
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", _KEPT_PROGRESS)
         frames = dict(sources)
-        update_id = uuid.uuid4().hex
+        update = _Update(uuid.uuid4().hex, logged_at)
+        self.queries = {}
         log = []
         for dataset in self.order():
             if dataset.kind == STREAMED:
-                frame, counts = self._run_streamed(spark, dataset, frames, folder, trigger)
+                frame, counts = self._run_streamed(spark, dataset, frames, folder, trigger, update)
             elif dataset.kind == CHANGES:
                 frame, counts = self._run_changes(spark, dataset, frames, folder, trigger)
             else:
                 frame, counts = self._run_batch(spark, dataset, frames, folder)
             frames[dataset.name] = frame
             log.extend(_log_rows(dataset, frames, counts))
-        self._append_log(spark, log, update_id, folder)
+        rows = [(eventlog.UPDATE, None, json.dumps({eventlog.UPDATE: {"update_id": update.id}}))]
+        update.entries(spark, rows + log).write.mode("append").parquet(f"{folder}/{_EVENTS}")
         return frames
 
     def _follow(self, spark, frames, folder: str, name: str) -> DataFrame:
@@ -156,7 +162,8 @@ class DatasetGraph:
             return frame
         if name not in self._datasets or self._datasets[name].kind != STREAMED:
             raise ValueError(f"{name} is not append-only, so it cannot be read as a stream")
-        return spark.readStream.schema(frame.schema).parquet(f"{folder}/{name}")
+        schema = T.StructType(frame.schema.fields + [T.StructField("batch_id", T.LongType())])
+        return spark.readStream.schema(schema).parquet(f"{folder}/{name}").drop("batch_id")
 
     def _run_batch(self, spark, dataset, frames, folder):
         seen = Observation() if dataset.kind == STORED else None
@@ -168,15 +175,39 @@ class DatasetGraph:
             rows = spark.read.schema(rows.schema).parquet(path)
         return rows, seen.get if seen is not None else None
 
-    def _run_streamed(self, spark, dataset, frames, folder, trigger):
+    def _run_streamed(self, spark, dataset, frames, folder, trigger, update):
+        """Each batch is staged under the rules, its counts are logged, then it is published.
+
+        Counts are observed by the pass that stages the rows. They are written once by batch id, and
+        so is the batch, so a replay finds what is done already. A run without news logs zeros.
+        """
         path = f"{folder}/{dataset.name}"
         inputs = [self._follow(spark, frames, folder, i) for i in dataset.inputs]
-        metrics = f"rules of {dataset.name}" if dataset.rules else None
-        rows = apply_rules(dataset.build(*inputs), dataset.rules, metrics)
-        query = append_flow(rows, path, f"{folder}/_checkpoints/{dataset.name}", trigger)
+        rows = dataset.build(*inputs)
+        scratch.make_dir(spark, path)
+        seen_batches = []
+
+        def load(batch: DataFrame, batch_id: int) -> None:
+            seen_batches.append(batch_id)
+            del seen_batches[:-1]
+            if is_published(spark, path, batch_id):
+                return
+            seen = Observation()
+            checked = apply_rules(batch, dataset.rules, seen)
+            checked.write.mode("overwrite").parquet(staging_folder(path, batch_id))
+            entry = update.entries(spark, [_progress_row(dataset, seen.get, batch_id)])
+            write_batch(entry, f"{folder}/{_BATCH_EVENTS}/flow={dataset.name}", batch_id)
+            publish_batch(spark, path, batch_id)
+
+        checkpoint = f"{folder}/_checkpoints/{dataset.name}"
+        query = start(rows.writeStream.foreachBatch(load), checkpoint, trigger)
+        self.queries[dataset.name] = query
         if query.isActive:
             query.processAllAvailable()
-        return spark.read.schema(rows.schema).parquet(path), _streamed_counts(query, metrics)
+        counts = None if seen_batches else dict.fromkeys(count_names(dataset.rules), 0)
+        if not any(name.startswith("batch_id=") for name in scratch.child_names(spark, path)):
+            return spark.createDataFrame([], rows.schema), counts
+        return read_batches(spark, path, rows.schema).drop("batch_id"), counts
 
     def _run_changes(self, spark, dataset, frames, folder, trigger):
         path = f"{folder}/{dataset.name}"
@@ -188,6 +219,7 @@ class DatasetGraph:
         query = apply_changes(
             feed, path, checkpoint, scd=scd, trigger=trigger, truncate_when=truncate_when, **options
         )
+        self.queries[dataset.name] = query
         if query.isActive:
             query.processAllAvailable()
         if not scratch.exists(spark, f"{path}/deltas"):
@@ -200,31 +232,25 @@ class DatasetGraph:
             fold_when_due(spark, path, scd=scd, **options)
         return read(spark, path, except_cols=except_cols, **options), None
 
-    @staticmethod
-    def _append_log(spark, log, update_id, folder) -> None:
-        """One small row per dataset and event, made of names and counts only."""
-        rows = [(eventlog.UPDATE, None, json.dumps({eventlog.UPDATE: {"update_id": update_id}}))]
-        entries = spark.createDataFrame(
-            rows + log, "event_type STRING, flow_name STRING, details STRING"
+
+@dataclass(frozen=True)
+class _Update:
+    """One run: its id and the time its log states."""
+
+    id: str
+    at: datetime | None
+
+    def entries(self, spark: SparkSession, rows: list[tuple]) -> DataFrame:
+        """Log rows of names and counts only, one per dataset, event and batch."""
+        at = F.current_timestamp() if self.at is None else F.timestamp_micros(
+            F.lit(int(self.at.replace(tzinfo=timezone.utc).timestamp() * 1_000_000))
         )
-        entries.select(
-            F.current_timestamp().alias("timestamp"),
+        return spark.createDataFrame(rows, _LOG).select(
+            at.alias("timestamp"),
             "event_type",
-            F.struct(F.lit(update_id).alias("update_id"), "flow_name").alias("origin"),
+            F.struct(F.lit(self.id).alias("update_id"), "flow_name").alias("origin"),
             "details",
-        ).write.mode("append").parquet(f"{folder}/_events")
-
-
-def _streamed_counts(query: StreamingQuery, name: str | None) -> dict[str, int] | None:
-    """Rule counts of a finished stream, added up over its micro-batches."""
-    if name is None or query.isActive:
-        return None
-    counts = Counter()
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(name)
-        if observed is not None:
-            counts.update(observed.asDict())
-    return counts
+        )
 
 
 def _column_sources(dataset: Dataset, frames: Mapping[str, DataFrame]) -> list[dict]:
@@ -251,8 +277,10 @@ def _log_rows(
         "schema": _column_sources(dataset, frames),
     }
     rows = [(eventlog.DEFINITION, dataset.name, json.dumps({eventlog.DEFINITION: definition}))]
-    if counts is None:
-        return rows
+    return rows if counts is None else [*rows, _progress_row(dataset, counts)]
+
+
+def _progress_row(dataset: Dataset, counts: Mapping, batch_id: int | None = None) -> tuple:
     expectations = [
         {
             "name": rule.name,
@@ -265,15 +293,18 @@ def _log_rows(
     quality = {"dropped_records": counts["input_records"] - counts["output_records"]}
     if expectations:
         quality["expectations"] = expectations
-    progress = {
-        "status": "RUNNING",
-        "metrics": {"num_output_rows": counts["output_records"]},
-        "data_quality": quality,
-    }
-    rows.append((eventlog.PROGRESS, dataset.name, json.dumps({eventlog.PROGRESS: progress})))
-    return rows
+    metrics = {"num_output_rows": counts["output_records"]}
+    if batch_id is not None:
+        metrics["batch_id"] = batch_id
+    progress = {"status": "RUNNING", "metrics": metrics, "data_quality": quality}
+    return eventlog.PROGRESS, dataset.name, json.dumps({eventlog.PROGRESS: progress})
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The event log of all runs on a folder."""
-    return spark.read.parquet(f"{folder}/_events")
+    """The event log of all runs on a folder, with the batches of streams that still run."""
+    events = spark.read.parquet(f"{folder}/{_EVENTS}")
+    batches = f"{folder}/{_BATCH_EVENTS}"
+    if scratch.exists(spark, batches):
+        logged = spark.read.option("basePath", batches).parquet(f"{batches}/flow=*/batch_id=*")
+        events = events.unionByName(logged.select(*events.columns))
+    return events

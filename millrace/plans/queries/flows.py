@@ -15,7 +15,7 @@ from millrace.plans.catalog import query
 from millrace.plans.datasets import DatasetGraph, read_events
 from millrace.plans.queries.aggregates import _DAILY_SQL, daily_revenue
 from millrace.plans.queries.common import cents, change_feed, total
-from millrace.plans.queries.quality import progress_log
+from millrace.plans.queries.quality import quality_log
 from millrace.plans.queries.scalars import _EMAIL_SQL, _VALID_SQL, customers_with_email
 from millrace.sources.evolution import RESCUED
 from millrace.sources.files import read_csv
@@ -543,7 +543,7 @@ def flow_users_by_type(t):
 def dashboard_kpis(t):
     """The figures of the revenue and data-quality dashboards as one labelled list."""
     daily = daily_revenue(t.orders)
-    quality = eventlog.flow_progress(progress_log(t)).agg(
+    quality = eventlog.flow_progress(quality_log(t)).agg(
         F.sum("output_records").cast("double").alias("kept_events"),
         F.sum("dropped_records").cast("double").alias("dropped_events"),
     )

@@ -9,7 +9,17 @@ from millrace.plans.catalog import query
 from millrace.plans.queries.common import cents, total
 from millrace.sources import evolution
 from millrace.sources.ingest import ingest_files, ingest_json, read_ingested
-from millrace.streaming.aggregates import aggregate_flow, fold_aggregate, read_aggregate
+from millrace.streaming.aggregates import (
+    aggregate_flow,
+    distinct_flow,
+    fold_aggregate,
+    fold_distinct,
+    fold_values,
+    read_aggregate,
+    read_distinct,
+    read_values,
+    value_flow,
+)
 from millrace.streaming.flows import append_flow, multi_flow, read_flows
 
 _EVENT_SCHEMA = "event_id LONG, user_id LONG, event_type STRING, value DOUBLE"
@@ -258,3 +268,45 @@ def mv_incremental_agg(t):
         (F.col("total") / 100).alias("total"),
         (F.col("total") / 100 / F.col("n_values")).alias("average"),
     )
+
+
+@query(
+    """
+    SELECT event_type, count(*) AS n_rows, count(value) AS n_values,
+           count(DISTINCT value) AS n_distinct, min(value) AS least, max(value) AS most
+    FROM events WHERE NOT (value > 60 OR value < 2) GROUP BY event_type
+    """
+)
+def mv_after_deletes(t):
+    """Distinct counts and bounds stay right when rows are taken back, some of them before they come.
+
+    The first drop brings the early rows and takes back late ones that only the second drop brings;
+    the second also takes back early rows, among them each type's largest and smallest values.
+    """
+    src, target, checkpoint = t.scratch("changes"), t.scratch("mv"), t.scratch("checkpoint")
+    rows = t.events.select("event_type", "value", "ts")
+    gone, late = F.expr("value > 60 OR value < 2"), _second_half()
+    comes, goes = F.lit(1).alias("change"), F.lit(-1).alias("change")
+    early_drop = rows.where(~late).select("*", comes).union(rows.where(gone & late).select("*", goes))
+    late_drop = rows.where(late).select("*", comes).union(rows.where(gone & ~late).select("*", goes))
+    for number, drop in enumerate((early_drop, late_drop)):
+        drop.write.parquet(f"{src}/drop{number}")
+        stream = t.spark.readStream.schema(drop.schema).option("maxFilesPerTrigger", 4)
+        value_flow(
+            stream.parquet(f"{src}/*"), target, checkpoint,
+            keys=["event_type"], value="value", change="change",
+        )
+        fold_values(t.spark, target, ["event_type"], "value")
+    return read_values(t.spark, target, ["event_type"], "value")
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS n_distinct FROM events GROUP BY event_type")
+def mv_distinct_bitmaps(t):
+    """Distinct users per type, merged from the bitmaps of each micro-batch."""
+    src, target, checkpoint = t.scratch("landing"), t.scratch("mv"), t.scratch("checkpoint")
+    for number, part in enumerate((~_second_half(), _second_half())):
+        t.events.where(part).select("event_type", "user_id").write.parquet(f"{src}/drop{number}")
+        stream = t.spark.readStream.schema("event_type STRING, user_id LONG").parquet(f"{src}/*")
+        distinct_flow(stream, target, checkpoint, keys=["event_type"], value="user_id")
+        fold_distinct(t.spark, target, ["event_type"])
+    return read_distinct(t.spark, target, ["event_type"])

@@ -1,7 +1,9 @@
-"""Quality rules, quarantine, gates, and monitoring over an event log derived from events."""
+"""Quality rules, quarantine, gates, and monitoring over the event log of dataset runs."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Observation, functions as F
 
 from millrace.operators import eventlog
@@ -17,6 +19,7 @@ from millrace.operators.quality import (
     rule_metrics,
 )
 from millrace.plans.catalog import query
+from millrace.plans.datasets import DatasetGraph, read_events
 
 _LABELLED_SQL = "(SELECT doc_id, lang, text, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))"
 
@@ -145,9 +148,12 @@ def row_count_gate(t):
 # ---- event log ------------------------------------------------------------------------------
 
 _FLOW_RULES = [Rule("worth_keeping", "value > 5", DROP), Rule("moderate", "value <= 100")]
+#: Two runs take what came until their day; each builds a table of purchases and one of the rest.
+_RUN_DAYS = (datetime(2024, 1, 16), datetime(2024, 2, 1))
 
 _FLOWS_SQL = """
-    SELECT CAST(ts AS DATE) AS day, event_type,
+    SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN DATE '2024-01-16' ELSE DATE '2024-02-01' END AS day,
+           CASE WHEN event_type = 'purchase' THEN 'purchases' ELSE 'others' END AS table_name,
            count(*) FILTER (WHERE value > 5) AS output_records,
            count(*) FILTER (WHERE NOT value > 5) AS dropped_records,
            count(*) FILTER (WHERE value <= 100) AS moderate_passed,
@@ -156,55 +162,42 @@ _FLOWS_SQL = """
 """
 
 
-def progress_log(t):
-    """One flow run per day and event type, with the rule counts of that slice of events."""
-    worth, moderate = (rule.holds for rule in _FLOW_RULES)
-    dataset = F.concat(F.lit("lake.silver."), F.col("event_type"))
-    counted = t.events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").agg(
-        F.count_if(worth).alias("kept"),
-        F.count_if(~worth).alias("dropped"),
-        F.count_if(moderate).alias("ok"),
-        F.count_if(~moderate).alias("over"),
-    )
+def quality_graph() -> DatasetGraph:
+    graph = DatasetGraph()
 
-    def entry(name, passed, failed):
-        return F.struct(
-            F.lit(name).alias("name"),
-            dataset.alias("dataset"),
-            F.col(passed).alias("passed_records"),
-            F.col(failed).alias("failed_records"),
-        )
+    @graph.stored("purchases", inputs=["delivery"], rules=_FLOW_RULES)
+    def purchases(delivery):
+        return delivery.where("event_type = 'purchase'")
 
-    day_start = F.col("day").cast("timestamp_ntz")
-    update_id = F.concat(F.lit("run-"), F.date_format("day", "yyyyMMdd"))
-    progress = eventlog.progress_rows(
-        counted,
-        ts=day_start + F.expr("INTERVAL 2 HOURS"),
-        update_id=update_id,
-        flow_name=dataset,
-        output=F.col("kept"),
-        dropped=F.col("dropped"),
-        expectations=F.array(
-            entry("worth_keeping", "kept", "dropped"), entry("moderate", "ok", "over")
-        ),
-    )
-    updates = eventlog.update_rows(
-        counted.select("day").distinct(), ts=day_start, update_id=update_id
-    )
-    return progress.unionByName(updates)
+    @graph.stored("others", inputs=["delivery"], rules=_FLOW_RULES)
+    def others(delivery):
+        return delivery.where("event_type <> 'purchase'")
+
+    return graph
+
+
+def quality_log(t):
+    """The event log that two runs over the halves of the events wrote."""
+    folder, since = t.scratch("checked-events"), None
+    rows = t.events.select("event_id", "event_type", "value", "ts")
+    for day in _RUN_DAYS:
+        until = rows.where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
+        part = until if since is None else until.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        quality_graph().run(t.spark, {"delivery": part}, folder, logged_at=day)
+        since = day
+    return read_events(t.spark, folder)
 
 
 @query(
     f"""
-    SELECT 'run-' || strftime(day, '%Y%m%d') AS update_id, 'worth_keeping' AS name,
-           'lake.silver.' || event_type AS dataset, output_records AS passed_records,
+    SELECT 'worth_keeping' AS name, table_name AS dataset, day, output_records AS passed_records,
            dropped_records AS failed_records FROM ({_FLOWS_SQL})
-    UNION ALL SELECT 'run-' || strftime(day, '%Y%m%d'), 'moderate', 'lake.silver.' || event_type,
-           moderate_passed, moderate_failed FROM ({_FLOWS_SQL})
+    UNION ALL SELECT 'moderate', table_name, day, moderate_passed, moderate_failed FROM ({_FLOWS_SQL})
     """
 )
 def eventlog_expectations(t):
-    return eventlog.expectation_rows(progress_log(t)).drop("timestamp")
+    rules = eventlog.expectation_rows(quality_log(t))
+    return rules.withColumn("day", F.col("timestamp").cast("date")).drop("timestamp", "update_id")
 
 
 _SUMS_SQL = """
@@ -216,14 +209,12 @@ _SUMS_SQL = """
 
 @query(f"SELECT day AS date, {_SUMS_SQL} FROM ({_FLOWS_SQL}) GROUP BY day")
 def quality_daily(t):
-    return eventlog.quality_by(progress_log(t), "date")
+    return eventlog.quality_by(quality_log(t), "date")
 
 
-@query(
-    f"SELECT day AS date, event_type AS table_name, {_SUMS_SQL} FROM ({_FLOWS_SQL}) GROUP BY ALL"
-)
+@query(f"SELECT day AS date, table_name, {_SUMS_SQL} FROM ({_FLOWS_SQL}) GROUP BY ALL")
 def quality_daily_table(t):
-    return eventlog.quality_by(progress_log(t), "date", "table_name")
+    return eventlog.quality_by(quality_log(t), "date", "table_name")
 
 
 @query(
@@ -237,7 +228,7 @@ def quality_daily_table(t):
 )
 def quality_daily_rule(t):
     return (
-        eventlog.expectation_rows(progress_log(t))
+        eventlog.expectation_rows(quality_log(t))
         .groupBy(F.col("timestamp").cast("date").alias("date"), "name")
         .agg(
             F.sum("passed_records").alias("passed_records"),
@@ -248,11 +239,46 @@ def quality_daily_rule(t):
 
 @query(
     f"""
-    SELECT event_type AS table_name, {_SUMS_SQL} FROM ({_FLOWS_SQL})
-    WHERE day = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY event_type
+    SELECT table_name, {_SUMS_SQL} FROM ({_FLOWS_SQL})
+    WHERE day = (SELECT max(day) FROM ({_FLOWS_SQL})) GROUP BY table_name
     """
 )
 def quality_latest_table(t):
     """Only the day of the newest update."""
-    latest = eventlog.latest_only(progress_log(t))
+    latest = eventlog.latest_only(quality_log(t))
     return eventlog.quality_by(latest, "table_name")
+
+
+@query(
+    """
+    SELECT 'worth_keeping' AS name, count(*) FILTER (WHERE value > 5) AS passed_records,
+           count(*) FILTER (WHERE NOT value > 5) AS failed_records, TRUE AS by_batch FROM events
+    UNION ALL SELECT 'moderate', count(*) FILTER (WHERE value <= 100),
+           count(*) FILTER (WHERE NOT value <= 100), TRUE FROM events
+    """
+)
+def stream_rule_counts(t):
+    """Rule counts of a stream that keeps running: every micro-batch logs its own, also those of a
+    delivery that arrives after the run has returned."""
+    src, folder = t.scratch("deliveries"), t.scratch("running")
+    first, second = t.events.where("event_id % 3 > 0"), t.events.where("event_id % 3 = 0")
+    first.write.parquet(f"{src}/first")
+    graph = DatasetGraph()
+
+    @graph.streamed("kept", inputs=["deliveries"], rules=_FLOW_RULES)
+    def kept(deliveries):
+        return deliveries.select("event_id", "value")
+
+    stream = t.spark.readStream.schema(t.events.schema).parquet(f"{src}/*")
+    graph.run(t.spark, {"deliveries": stream}, folder, trigger="1 second")
+    try:
+        second.write.parquet(f"{src}/second")
+        graph.queries["kept"].processAllAvailable()
+    finally:
+        graph.queries["kept"].stop()
+    rules = eventlog.expectation_rows(read_events(t.spark, folder))
+    return rules.groupBy("name").agg(
+        F.sum("passed_records").alias("passed_records"),
+        F.sum("failed_records").alias("failed_records"),
+        (F.count("*") >= 2).alias("by_batch"),
+    )

@@ -45,6 +45,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; empty when it does not exist. For control folders only."""
     fs, target = _file_system(spark, path)

@@ -1,7 +1,9 @@
+from datetime import datetime
 from graphlib import CycleError
 
 import pytest
 
+from millrace import scratch
 from millrace.operators import eventlog
 from millrace.operators.quality import DROP, FAIL, Rule
 from millrace.plans.datasets import DatasetGraph, read_events
@@ -159,3 +161,45 @@ def test_only_append_only_inputs_are_followed(spark, folder):
     graph.streamed("next", inputs=["table"])(lambda table: table)
     with pytest.raises(ValueError, match="append-only"):
         graph.run(spark, {"src": spark.range(3)}, folder)
+
+
+def test_every_batch_of_a_running_stream_is_logged_once(spark, folder, rows):
+    src, out = f"{folder}/src", f"{folder}/out"
+    schema = "id LONG, k STRING"
+
+    def deliver(*new):
+        spark.createDataFrame(list(new), schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run(trigger):
+        graph = small_graph()
+        graph.run(spark, {"bronze": spark.readStream.schema(schema).parquet(src)}, out, trigger=trigger)
+        return graph
+
+    def counts():
+        found = eventlog.expectation_rows(read_events(spark, out)).where("name = 'has_k'")
+        return rows(found, "passed_records", "failed_records")
+
+    deliver((1, "a"))
+    graph = run("1 second")
+    try:
+        assert counts() == [(1, 0)]
+        for k in range(3):
+            deliver((10 + k, None), (20 + k, "b"))
+            graph.queries["silver"].processAllAvailable()
+        assert counts() == [(1, 0)] + [(1, 1)] * 3
+    finally:
+        graph.queries["silver"].stop()
+    # the last batch is replayed: neither its rows nor its counts are there twice
+    last = max(int(n) for n in scratch.child_names(spark, f"{out}/_checkpoints/silver/commits") if n.isdigit())
+    fs, path = scratch._file_system(spark, f"{out}/_checkpoints/silver/commits/{last}")
+    fs.delete(path, False)
+    run("availableNow")
+    assert counts()[:4] == [(1, 0)] + [(1, 1)] * 3 and sum(p for p, _ in counts()) == 4
+    assert spark.read.parquet(f"{out}/silver/batch_id=*").count() == 4
+
+
+def test_a_backfill_states_its_time(spark, folder, rows):
+    graph = DatasetGraph()
+    graph.stored("t", inputs=["src"])(lambda src: src)
+    graph.run(spark, {"src": spark.range(3)}, folder, logged_at=datetime(2020, 2, 3, 4))
+    assert rows(eventlog.flow_progress(read_events(spark, folder)), "date") == [(datetime(2020, 2, 3).date(),)]
