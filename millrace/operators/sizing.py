@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -53,14 +52,29 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if small else df
 
 
+# Plan nodes that give a task the same rows in the same order when it is run again.
+_ROW_WISE = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Generate", "Union"}
+
+
+def _keeps_order(df: DataFrame) -> bool:
+    """Whether the frame comes row by row from files, checkpoints or literal rows."""
+    open_ = [df._jdf.queryExecution().optimizedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.getClass().getSimpleName() not in _ROW_WISE:
+            return False
+        open_ += [node.children().apply(i) for i in range(node.children().size())]
+    return True
+
+
 def with_position(df: DataFrame, name: str) -> DataFrame:
     """Add a unique row number that a rerun of a lost task repeats.
 
-    Rows that come straight from files keep their order when a task is run again. Shuffled rows
-    may not, so such a frame is checkpointed first (in the session's checkpoint folder).
+    Rows that come straight from files keep their order when a task is run again. Rows that were
+    joined, grouped or dealt anew may not, so such a frame is checkpointed first (in the session's
+    checkpoint folder).
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if re.search(r"(?<!Broadcast)Exchange", plan):
+    if not _keeps_order(df):
         scratch_root(df.sparkSession)
         df = df.checkpoint()
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace import scratch
 from millrace.operators import cdc, eventlog
+from millrace.operators.lineage import column_sources
 from millrace.operators.quality import Rule, apply_rules, count_names
 from millrace.streaming.changes import apply_changes, fold_when_due, read_current, read_history
 from millrace.streaming.flows import is_published, publish_batch, read_batches, staging_folder, start, write_batch
@@ -44,7 +45,8 @@ class DatasetGraph:
     Each run appends its definitions, row counts and rule counts to the event log below the
     folder; a stream logs every micro-batch by its batch id, as long as it runs, and a batch that is
     replayed counts once. A definition says which input columns each column comes from: those declared under
-    ``columns`` (``{"revenue": "silver.amount"}``, or a list), else the inputs' columns of its name.
+    ``columns`` (``{"revenue": "silver.amount"}``, or a list), else those that the plan of its build
+    leads to.
     """
 
     def __init__(self) -> None:
@@ -141,16 +143,18 @@ class DatasetGraph:
         frames = dict(sources)
         update = _Update(uuid.uuid4().hex, logged_at)
         self.queries = {}
-        log = []
+        log, traced = [], {}
         for dataset in self.order():
             if dataset.kind == STREAMED:
-                frame, counts = self._run_streamed(spark, dataset, frames, folder, trigger, update)
+                frame, counts = self._run_streamed(
+                    spark, dataset, frames, folder, trigger, update, traced
+                )
             elif dataset.kind == CHANGES:
                 frame, counts = self._run_changes(spark, dataset, frames, folder, trigger)
             else:
-                frame, counts = self._run_batch(spark, dataset, frames, folder)
+                frame, counts = self._run_batch(spark, dataset, frames, folder, traced)
             frames[dataset.name] = frame
-            log.extend(_log_rows(dataset, frames, counts))
+            log.extend(_log_rows(dataset, frames, counts, traced.get(dataset.name)))
         rows = [(eventlog.UPDATE, None, json.dumps({eventlog.UPDATE: {"update_id": update.id}}))]
         update.entries(spark, rows + log).write.mode("append").parquet(f"{folder}/{_EVENTS}")
         return frames
@@ -165,9 +169,10 @@ class DatasetGraph:
         schema = T.StructType(frame.schema.fields + [T.StructField("batch_id", T.LongType())])
         return spark.readStream.schema(schema).parquet(f"{folder}/{name}").drop("batch_id")
 
-    def _run_batch(self, spark, dataset, frames, folder):
+    def _run_batch(self, spark, dataset, frames, folder, traced):
         seen = Observation() if dataset.kind == STORED else None
         rows = dataset.build(*[frames[i] for i in dataset.inputs])
+        traced[dataset.name] = column_sources(rows, {i: frames[i] for i in dataset.inputs})
         rows = apply_rules(rows, dataset.rules, seen)
         if dataset.kind == STORED:
             path = f"{folder}/{dataset.name}"
@@ -175,7 +180,7 @@ class DatasetGraph:
             rows = spark.read.schema(rows.schema).parquet(path)
         return rows, seen.get if seen is not None else None
 
-    def _run_streamed(self, spark, dataset, frames, folder, trigger, update):
+    def _run_streamed(self, spark, dataset, frames, folder, trigger, update, traced):
         """Each batch is staged under the rules, its counts are logged, then it is published.
 
         Counts are observed by the pass that stages the rows. They are written once by batch id, and
@@ -184,6 +189,7 @@ class DatasetGraph:
         path = f"{folder}/{dataset.name}"
         inputs = [self._follow(spark, frames, folder, i) for i in dataset.inputs]
         rows = dataset.build(*inputs)
+        traced[dataset.name] = column_sources(rows, dict(zip(dataset.inputs, inputs)))
         scratch.make_dir(spark, path)
         seen_batches = []
 
@@ -253,20 +259,27 @@ class _Update:
         )
 
 
-def _column_sources(dataset: Dataset, frames: Mapping[str, DataFrame]) -> list[dict]:
+def _column_sources(
+    dataset: Dataset, frames: Mapping[str, DataFrame], traced: Mapping[str, list] | None
+) -> list[dict]:
     """An entry per column and source of it; the source is None where none is known."""
     inputs = {name: set(frames[name].columns) for name in dataset.inputs}
     found = []
     for column in frames[dataset.name].columns:
         sources = dataset.columns.get(column)
-        if sources is None:
+        if sources is None and traced is not None:
+            sources = traced.get(column)
+        if sources is None:  # change flows pass their feed's columns on
             sources = [f"{name}.{column}" for name, columns in inputs.items() if column in columns]
         found += [{"name": column, "source": source} for source in sources or [None]]
     return found
 
 
 def _log_rows(
-    dataset: Dataset, frames: Mapping[str, DataFrame], counts: Mapping | None
+    dataset: Dataset,
+    frames: Mapping[str, DataFrame],
+    counts: Mapping | None,
+    traced: Mapping[str, list] | None,
 ) -> list[tuple]:
     definition = {
         "output_dataset": dataset.name,
@@ -274,7 +287,7 @@ def _log_rows(
         "flow_type": dataset.kind,
         "comment": dataset.comment,
         "properties": dict(dataset.properties),
-        "schema": _column_sources(dataset, frames),
+        "schema": _column_sources(dataset, frames, traced),
     }
     rows = [(eventlog.DEFINITION, dataset.name, json.dumps({eventlog.DEFINITION: definition}))]
     return rows if counts is None else [*rows, _progress_row(dataset, counts)]

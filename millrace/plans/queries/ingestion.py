@@ -8,7 +8,7 @@ from millrace import scratch
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import cents, total
 from millrace.sources import evolution
-from millrace.sources.ingest import ingest_files, ingest_json, read_ingested
+from millrace.sources.ingest import ingest_csv, ingest_files, ingest_json, read_ingested
 from millrace.streaming.aggregates import (
     aggregate_flow,
     distinct_flow,
@@ -162,6 +162,60 @@ def rescued_data(t):
     )
 
 
+def _evolve_csv(t, mode):
+    """Events as delimited drops: the second has another column order, a new column, and text for
+    clicks' values."""
+    src, target, checkpoint = t.scratch("landing"), t.scratch("bronze"), t.scratch("checkpoint")
+    base = t.events.select("ts", "event_id", "user_id", "event_type", "value")
+    base.where(~_second_half()).drop("ts").write.option("header", True).csv(f"{src}/drop1")
+    ingest_csv(t.spark, f"{src}/*", target, checkpoint, mode=mode)
+    value = F.when(F.col("event_type") == "click", "unknown").otherwise(F.col("value").cast("string"))
+    base.where(_second_half()).select(
+        value.alias("value"), F.concat(F.lit("ch-"), "event_type").alias("channel"), "event_type", "event_id", "user_id"
+    ).write.option("header", True).csv(f"{src}/drop2")
+    ingest_csv(t.spark, f"{src}/*", target, checkpoint, mode=mode)
+    return read_ingested(t.spark, target, checkpoint, mode)
+
+
+@query(
+    """
+    SELECT event_type, count(*) AS n_rows,
+           count(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 END) AS with_channel,
+           CAST(sum(CASE WHEN ts < TIMESTAMP '2024-01-16' OR event_type <> 'click'
+                         THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS total_value
+    FROM events GROUP BY event_type
+    """
+)
+def evolve_csv_columns(t):
+    rows = _evolve_csv(t, evolution.ADD)
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n_rows"),
+        F.count("channel").alias("with_channel"),
+        total("value").alias("total_value"),
+    )
+
+
+@query(
+    """
+    SELECT event_id, 'ch-' || event_type AS channel,
+           CASE WHEN event_type = 'click' THEN 'unknown' END AS bad_value
+    FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+    """
+)
+def rescued_csv(t):
+    """What did not fit the schema of the first drop, read back out of the rescued column."""
+    rescued = F.col(evolution.RESCUED)
+    return (
+        _evolve_csv(t, evolution.RESCUE)
+        .where(rescued.isNotNull())
+        .select(
+            "event_id",
+            F.get_json_object(rescued, "$.channel").alias("channel"),
+            F.get_json_object(rescued, "$.value").alias("bad_value"),
+        )
+    )
+
+
 @query(
     """
     SELECT event_id, CAST(ts AS DATE) AS day, upper(event_type) AS kind,

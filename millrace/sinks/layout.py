@@ -4,24 +4,28 @@ from __future__ import annotations
 
 import json
 import math
-import os
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace import scratch
-from millrace.functions.times import epoch_micros
-from millrace.operators.sizing import plan_bytes, with_position
+from millrace.operators.sizing import row_bytes, with_position
 from millrace.sources.files import list_files
 
-_MAX_BITS = 12
+#: Bytes of plain rows that make a file; Parquet packs them to about a quarter.
+ROW_BYTES = 1024 * 1024 * 1024
+SAMPLE_PER_RANGE = 100
 
 
 def target_files(total_bytes: int, file_bytes: int = 256 * 1024 * 1024) -> int:
     return max(1, -(-total_bytes // file_bytes))
 
 
+def files_for(df: DataFrame) -> int:
+    """Files that the rows fill, by their measured size: Catalyst's estimates multiply at joins."""
+    return target_files(row_bytes(df), ROW_BYTES)
+
+
 def compact(spark: SparkSession, src: str, dst: str, file_bytes: int = 256 * 1024 * 1024) -> int:
     """Rewrite many small files to few of about ``file_bytes``; returns the file count aimed at.
 
@@ -38,33 +42,39 @@ def compact(spark: SparkSession, src: str, dst: str, file_bytes: int = 256 * 102
     return files
 
 
-def _shared_prefixes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
-    """Bytes that all values of each text column begin with: those of its smallest and largest."""
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
-    if not texts:
-        return {}
-    ends = df.agg(*[f(F.encode(c, "UTF-8")).alias(f"{f.__name__}_{c}") for c in texts for f in (F.min, F.max)])
-    row = ends.first()
-    pairs = {c: (bytes(row[f"min_{c}"] or b""), bytes(row[f"max_{c}"] or b"")) for c in texts}
-    return {c: len(os.path.commonprefix(list(pair))) for c, pair in pairs.items()}
+def rank_bits(files: int, columns: int) -> int:
+    """Bits per column that tell apart twice as many ranges as there are files."""
+    return math.ceil(math.log2(max(files, 2)) / columns) + 1
 
 
-def _sort_number(df: DataFrame, column: str, prefix: int = 0) -> Column:
-    """An order-preserving number; text is ordered by the six bytes after its common prefix."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return epoch_micros(F.col(column)).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.datediff(column, F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.substring(F.hex(column), 2 * prefix + 1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(column).cast("double")
+def _cut_points(df: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
+    """One row with an array per column: values at equal ranks of a sample of the rows.
 
+    The values themselves are sorted, so any type that Spark can sort will do, and an odd value moves
+    a cut by one place at most. ``SAMPLE_PER_RANGE`` rows a range are expected; a table with fewer
+    rows is taken whole. The sample steers the layout only.
+    """
+    wanted, rows = SAMPLE_PER_RANGE * ranges, df.count()
+    some = df.select(*columns) if rows <= wanted else df.select(*columns).sample(wanted / rows, seed=11)
+    held = some.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns])
+
+    def picked(column: str) -> Column:
+        place = lambda i: F.floor(i * F.size(column) / ranges).cast("int")
+        cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(column, place(i)))
+        return F.array_distinct(F.array_compact(cuts))
+
+    return held.select(*[picked(c).alias(c) for c in columns])
 
-def rank_bits(files: int, columns: int) -> int:
-    """Bits per column that tell apart twice as many ranges as there are files."""
-    return min(_MAX_BITS, math.ceil(math.log2(max(files, 2)) / columns) + 1)
+
+def _rank(column: str, cuts: str, ranges: int) -> Column:
+    """Number of cut points not above the value, by binary search; 0 for NULL."""
+    steps = F.array(*[F.lit(2**bit) for bit in reversed(range(max(1, ranges.bit_length())))])
+    found = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) <= F.col(column), at + step).otherwise(at),
+    )
+    return F.coalesce(found, F.lit(0)).cast("long")
 
 
 def with_cluster_key(
@@ -72,31 +82,20 @@ def with_cluster_key(
 ) -> DataFrame:
     """Add a number that keeps rows close that are close in every column: interleaved rank bits.
 
-    The ranks come from one approximate-quantile pass; there are as many as ``files`` files need.
+    A column's ranks come from cut points of its own values; there are twice as many ranges as
+    ``files`` files need, whatever their number.
     """
     width = rank_bits(files, len(columns))
-    prefixes = _shared_prefixes(df, columns)
-    sort = {c: f"__sort_{c}" for c in columns}
-    rank = {c: f"__rank_{c}" for c in columns}
-    numbered = df.withColumns({sort[c]: _sort_number(df, c, prefixes.get(c, 0)) for c in columns})
-    fractions = ", ".join(str(i / 2**width) for i in range(1, 2**width))
-    cuts = numbered.agg(
-        *[F.expr(f"percentile_approx(`{sort[c]}`, array({fractions}))").alias(c) for c in columns]
-    ).first()
-    edges = [[-math.inf, *sorted(set(cuts[c] or [0.0])), math.inf] for c in columns]
-    ranked = Bucketizer(
-        splitsArray=edges,
-        inputCols=list(sort.values()),
-        outputCols=list(rank.values()),
-        handleInvalid="keep",
-    ).transform(numbered)
+    cuts = _cut_points(df, columns, 2**width)
+    held = df.withColumn("__cuts", cuts.select(F.struct(*columns)).scalar())
+    ranks = {c: f"__rank_{i}" for i, c in enumerate(columns)}
+    ranked = held.withColumns({ranks[c]: _rank(c, f"__cuts.{c}", 2**width) for c in columns})
     bits = F.lit(0).cast("long")
     for bit in range(width):
         for position, column in enumerate(columns):
-            place = F.coalesce(F.col(rank[column]), F.lit(0.0)).cast("long")
-            one = F.shiftright(place, bit).bitwiseAND(F.lit(1))
+            one = F.shiftright(F.col(ranks[column]), bit).bitwiseAND(F.lit(1))
             bits = bits.bitwiseOR(F.shiftleft(one, bit * len(columns) + position))
-    return ranked.withColumn(key, bits).drop(*sort.values(), *rank.values())
+    return ranked.withColumn(key, bits).drop("__cuts", *ranks.values())
 
 
 def write_clustered(
@@ -104,19 +103,21 @@ def write_clustered(
 ) -> None:
     """Write ``df`` so that each file covers a small range of every clustering column.
 
-    Without ``files`` the number follows the size of the data.
+    Without ``files`` the number follows the measured size of the rows. A single column is laid out
+    by its values themselves.
 
     Range partitioning on the key alone would leave equal keys in one task, so the row position
     breaks ties and a single hot value still fills many files.
     """
-    files = files or target_files(plan_bytes(df))
-    laid_out = (
-        with_cluster_key(with_position(df, "__tie"), columns, "__cluster", files)
-        .repartitionByRange(files, "__cluster", "__tie")
-        .sortWithinPartitions("__cluster")
-        .drop("__cluster", "__tie")
-    )
-    laid_out.write.mode(mode).parquet(path)
+    numbered = with_position(df, "__tie")
+    files = files or files_for(numbered)
+    if len(columns) > 1:
+        numbered = with_cluster_key(numbered, columns, "__cluster", files)
+        order = ["__cluster"]
+    else:
+        order = list(columns)
+    laid_out = numbered.repartitionByRange(files, *order, "__tie").sortWithinPartitions(*order)
+    laid_out.drop("__cluster", "__tie").write.mode(mode).parquet(path)
 
 
 def set_clustering(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
@@ -138,7 +139,7 @@ def append_clustered(df: DataFrame, path: str, files: int | None = None) -> None
 
 def buckets_for(df: DataFrame) -> int:
     """Buckets of about a file each, and no fewer than tasks run side by side."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, target_files(plan_bytes(df)))
+    return max(df.sparkSession.sparkContext.defaultParallelism, files_for(df))
 
 
 def write_bucketed(

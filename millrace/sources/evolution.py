@@ -1,4 +1,4 @@
-"""Stored schemas, their evolution, and the rescued-data column for JSON records."""
+"""Stored schemas, their evolution, and the rescued-data column for JSON and delimited records."""
 
 from __future__ import annotations
 
@@ -94,24 +94,38 @@ def parse_records(
     NULL. Except in mode none, what did not fit (wrong types, unknown fields at any depth, broken
     lines) is kept as one JSON object of the top-level fields concerned in the rescued column.
     """
+    fields = F.from_json(value, "map<string,string>")
+    parsed = lines.withColumn("__fields", fields).withColumn(
+        "__broken", F.when(F.col("__fields").isNull(), F.col(value))
+    )
+    return shape_records(parsed, schema, mode, keep)
+
+
+def shape_records(
+    parsed: DataFrame, schema: T.StructType, mode: str, keep: tuple = (), lower_names: bool = False
+) -> DataFrame:
+    """Typed columns out of ``__fields`` (name to text); ``__broken`` holds a line that did not parse.
+
+    ``lower_names`` tells that the map's names are in lower case, whatever the schema's are.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown evolution mode {mode!r}; choose one of {MODES}")
-    parsed = lines.withColumn("__fields", F.from_json(value, "map<string,string>"))
-    raw = {f.name: F.col("__fields").getItem(f.name) for f in schema.fields}
+    named = {f.name: f.name.lower() if lower_names else f.name for f in schema.fields}
+    raw = {f.name: F.col("__fields").getItem(named[f.name]) for f in schema.fields}
     columns = [_typed(raw[f.name], f.dataType).alias(f.name) for f in schema.fields]
     if mode != NONE:
         misfit = [
-            F.when(raw[f.name].isNotNull() & ~_fits(raw[f.name], f.dataType), f.name)
+            F.when(raw[f.name].isNotNull() & ~_fits(raw[f.name], f.dataType), named[f.name])
             for f in schema.fields
             if not isinstance(f.dataType, T.StringType)
         ]
         bad = F.array_compact(F.array(F.lit(None).cast("string"), *misfit))
-        known = F.array(*[F.lit(name) for name in schema.names]).cast("array<string>")
+        known = F.array(*[F.lit(name) for name in named.values()]).cast("array<string>")
         rest = F.map_filter(
             "__fields", lambda k, v: ~F.array_contains(known, k) | F.array_contains(bad, k)
         )
-        broken = F.to_json(F.create_map(F.lit("_corrupt_record"), F.col(value)))
-        rescued = F.when(F.col("__fields").isNull(), broken).when(
+        broken = F.to_json(F.create_map(F.lit("_corrupt_record"), F.col("__broken")))
+        rescued = F.when(F.col("__broken").isNotNull(), broken).when(
             F.size(rest) > 0, F.to_json(rest)
         )
         columns.append(rescued.alias(RESCUED))

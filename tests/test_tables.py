@@ -17,6 +17,7 @@ from millrace.sinks.layout import (
     clustering,
     compact,
     set_clustering,
+    files_for,
     target_files,
     with_cluster_key,
     write_clustered,
@@ -169,3 +170,38 @@ def test_text_with_a_common_prefix_clusters(spark, data):
     assert keyed.select("at").distinct().count() == 32
     ordered = [r["at"] for r in keyed.orderBy("c_name").collect()]
     assert ordered == sorted(ordered)
+
+
+def test_one_odd_row_leaves_the_ranks(spark, data):
+    names = spark.read.parquet(f"{data}/customer.parquet").select("c_name")
+    odd = names.union(spark.sql("SELECT * FROM VALUES ('Zed'), (NULL), ('') AS t(c_name)"))
+    keyed = with_cluster_key(odd, ["c_name"], "at", files=16)
+    assert keyed.select("at").distinct().count() == 32
+    ordered = [r["at"] for r in keyed.orderBy("c_name").collect()]
+    assert ordered == sorted(ordered) and ordered[0] == 0
+
+
+def test_ranks_follow_any_type_and_are_not_capped(spark):
+    df = spark.range(9000).selectExpr(
+        "id", "CAST(id AS DECIMAL(20,3)) AS d", "CAST(lpad(id, 5, '0') AS BINARY) AS b", "id % 2 = 0 AS even",
+        "IF(id = 5, CAST('NaN' AS DOUBLE), CAST(id AS DOUBLE)) AS f",
+    )
+    for column in ("d", "b", "f"):
+        keyed = with_cluster_key(df, [column], "at", files=4096)
+        assert keyed.select("at").distinct().count() > 7000  # twelve bits would end at 4,096
+    assert with_cluster_key(df, ["even"], "at", files=8).select("at").distinct().count() == 2
+    assert with_cluster_key(df.where("id < 0"), ["d", "b"], "at").count() == 0
+
+
+def test_file_counts_follow_rows_not_estimates(spark, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    customers = spark.read.parquet(f"{data}/customer.parquet")
+    assert files_for(orders.join(customers, orders.o_custkey == customers.c_custkey)) == 1
+    assert files_for(orders.where("false")) == 1
+
+
+def test_a_single_column_is_laid_out_by_its_values(spark, folder):
+    spark.range(1000).selectExpr("CAST(id % 50 AS STRING) AS k").write.parquet(f"{folder}/in")
+    write_clustered(spark.read.parquet(f"{folder}/in"), f"{folder}/out", ["k"], 5)
+    profile = file_profile(spark.read.parquet(f"{folder}/out"), ["k"]).orderBy("min_k").collect()
+    assert len(profile) == 5 and all(a["max_k"] <= b["min_k"] for a, b in zip(profile, profile[1:]))
