@@ -6,6 +6,11 @@ distinct bigrams are compared with those of every template whose size allows the
 2 * shared >= t * (n + m) is impossible unless n lies between t / (2 - t) and (2 - t) / t times m.
 The best template of a passage is reported.
 
+A notice that shares its line or paragraph with other words is found by windows: wherever a text holds
+enough of a template's bigrams, every stretch of as many words as the template has that begins with
+one of them is compared. Windows that touch a passage reported already don't count; of windows that
+overlap one another the best is reported (the first of equals).
+
 Everything happens where a document is read: the templates are few and fixed, so nothing is moved.
 
 Cases: NULL, empty and one-word passages match nothing. Repeated rows and rows without ``doc_id``
@@ -59,17 +64,17 @@ TEMPLATES = (
 )
 
 #: All that the scan compares with: the notices above, standard headers, and whole licence texts.
-#: The SQL form below has the notices only.
 ALL_TEMPLATES = TEMPLATES + HEADERS + TEXTS
 
 _LETTERS = flags(bytes([*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]))
-KINDS = ("line", "paragraph", "text")
+KINDS = ("line", "paragraph", "text", "window")
 
 
 def bigram_hashes(text: str) -> np.ndarray:
+    """Hashes of the word bigrams of a text, in order."""
     data = np.frombuffer(text.encode(), np.uint8)
     words = scan_words(LOWER[data], np.array([0, len(data)]), _LETTERS)
-    return np.unique(windows(words, 2)[0])
+    return windows(words, 2)[0]
 
 
 class Templates:
@@ -77,9 +82,16 @@ class Templates:
 
     def __init__(self, templates=TEMPLATES):
         self.names = [name for name, _ in templates]
-        self.grams = [bigram_hashes(text) for _, text in templates]
+        spelled = [bigram_hashes(text) for _, text in templates]
+        self.lengths = np.array([len(g) for g in spelled])  # of windows, in bigrams
+        self.grams = [np.unique(g) for g in spelled]
         self.sizes = np.array([len(g) for g in self.grams])
         self.all = np.unique(np.concatenate(self.grams))
+        # the templates that hold each of the bigrams
+        owner = np.repeat(np.arange(len(templates)), self.sizes)
+        place = np.searchsorted(self.all, np.concatenate(self.grams))
+        order = np.argsort(place, kind="stable")
+        self.owners, self.first = owner[order], np.searchsorted(place[order], np.arange(len(self.all) + 1))
 
     def contains(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.all, hashes), len(self.all) - 1)
@@ -131,6 +143,8 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: Templates, thre
         (words.row, np.arange(len(offsets) - 1), np.zeros(len(offsets) - 1, int), paragraphs_in > 1),
     )
     hits = templates.contains(gram) & same_row
+    starts_of_rows = np.searchsorted(words.row, np.arange(len(offsets)))
+    covered: dict[int, list] = {}
     for kind, (unit, row, position, counts) in zip(KINDS, units):
         inside = same_row & (unit[:-1] == unit[1:]) & counts[unit[:-1]]
         touched = np.zeros(len(row) + 1, bool)
@@ -149,6 +163,74 @@ def scan_slice(data: np.ndarray, offsets: np.ndarray, templates: Templates, thre
             found = templates.best(grams, threshold)
             if found:
                 yield row[u], kind, position[u], found[0], len(grams), *found[1:]
+                span = np.searchsorted(unit, [u, u + 1]) - starts_of_rows[row[u]]
+                covered.setdefault(int(row[u]), []).append((int(span[0]), int(span[1])))
+    yield from _windows(gram, hits, words.row, starts_of_rows, covered, templates, threshold)
+
+
+def _windows(gram, hits, word_row, starts, covered, templates: Templates, threshold: float):
+    """Rows of kind window of the texts that hold enough of a template."""
+    at = np.flatnonzero(hits)
+    if not len(at):
+        return
+    at = at[np.unique(salted_by_row(gram[at], word_row[at]), return_index=True)[1]]
+    place = np.searchsorted(templates.all, gram[at])
+    many = templates.first[place + 1] - templates.first[place]
+    inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    template = templates.owners[np.repeat(templates.first[place], many) + inner]
+    pair, shared = np.unique(np.repeat(word_row[at], many) * len(templates.names) + template, return_counts=True)
+    row, template = np.divmod(pair, len(templates.names))
+    # of n and m bigrams as many are shared as t * (n + m) / 2 at least, and n is no fewer than that
+    enough = shared * (2 - threshold) >= threshold * templates.sizes[template] - 1e-9
+    for r in np.unique(row[enough]):
+        text = gram[starts[r] : starts[r + 1] - 1]
+        order = np.argsort(text, kind="stable")
+        same = np.flatnonzero(text[order][1:] == text[order][:-1])
+        before = np.full(len(text), -1)
+        before[order[same + 1]] = order[same]
+        found = []
+        for k in template[enough & (row == r)]:
+            found += _best_windows(text, before, templates, k, threshold)
+        taken = covered.get(int(r), [])
+        open_, reach = None, -1
+        for one in sorted(found):
+            begin, end = one[:2]
+            if any(begin < b and a < end for a, b in taken):
+                continue
+            if open_ is not None and begin >= reach:
+                yield (r, "window", *open_)
+                open_ = None
+            reach = end if open_ is None else max(reach, end)
+            if open_ is None or (-one[5], one[2], begin) < (-open_[4], open_[1], open_[0]):
+                open_ = (begin, *one[2:])
+        if open_ is not None:
+            yield (r, "window", *open_)
+
+
+def _best_windows(text, before, templates: Templates, k: int, threshold: float) -> list[tuple]:
+    """Begin, end, licence, bigrams, shared, dice of every window of one template at the threshold.
+
+    A bigram counts in the windows that hold it but not its last occurrence before, so running sums
+    of where that begins and ends give the distinct bigrams of all windows.
+    """
+    length, last = int(templates.lengths[k]), len(text) - int(templates.lengths[k])
+    if last < 0:
+        return []
+    grams = templates.grams[k]
+    at = np.minimum(np.searchsorted(grams, text), len(grams) - 1)
+    member = grams[at] == text
+    place = np.arange(len(text))
+    low = np.maximum(before + 1, place - length + 1)
+    low = np.maximum(low, 0)
+    counts = []
+    for some in (np.ones(len(text), bool), member):
+        some = some & (low <= place)
+        change = np.bincount(low[some], minlength=len(text) + 1) - np.bincount(place[some] + 1, minlength=len(text) + 1)
+        counts.append(np.cumsum(change)[: last + 1])
+    n, shared = counts
+    dice = 2.0 * shared / (n + len(grams))
+    good = np.flatnonzero(member[: last + 1] & (dice >= threshold))
+    return [(int(s), int(s) + length + 1, templates.names[k], int(n[s]), int(shared[s]), float(dice[s])) for s in good]
 
 
 _SCHEMA = "doc_id long, kind string, position long, license string, n_bigrams long, shared long, dice double"
@@ -180,41 +262,83 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-#: The same result for the oracle, for passages that name a licence by one of TEMPLATES.
+_WORDS = """regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"""
+_BIGRAMS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+
+#: The same result for the oracle, from the same templates.
 LICENSE_SQL = f"""
-WITH template(no, license, txt) AS (VALUES {", ".join(f"({i}, {_sql_text(a)}, {_sql_text(t)})" for i, (a, t) in enumerate(TEMPLATES))}),
+WITH template(no, license, txt) AS (VALUES {", ".join(f"({i}, {_sql_text(a)}, {_sql_text(t)})" for i, (a, t) in enumerate(ALL_TEMPLATES))}),
+base AS (SELECT row_number() OVER () AS tid, doc_id, text FROM documents),
 lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS txt,
-           unnest(range(len(string_split(text, chr(10))))) AS position FROM documents
+    SELECT tid, unnest(string_split(text, chr(10))) AS txt,
+           unnest(range(len(string_split(text, chr(10))))) AS position FROM base
 ), blocks AS (
-    SELECT doc_id, list_filter(string_split_regex(text, '\\n(?:[ \\t\\r\\x0b\\x0c]*\\n)+'),
-                               lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS parts FROM documents
-), passages AS (
-    SELECT doc_id, 'line' AS kind, position, txt FROM lines
+    SELECT tid, list_filter(string_split_regex(text, '\\n(?:[ \\t\\r\\x0b\\x0c]*\\n)+'),
+                            lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS parts FROM base
+), paragraphs AS (
+    SELECT tid, unnest(parts) AS txt, unnest(range(len(parts))) AS position FROM blocks
+), units AS (
+    SELECT tid, 'line' AS kind, position, {_WORDS.format("txt")} AS w, TRUE AS counts FROM lines
     UNION ALL
-    SELECT doc_id, 'paragraph', position, txt FROM (
-        SELECT doc_id, unnest(parts) AS txt, unnest(range(len(parts))) AS position FROM blocks)
-    WHERE len(list_filter(string_split(txt, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]'))) > 1
+    SELECT tid, 'paragraph', position, {_WORDS.format("txt")},
+           len(list_filter(string_split(txt, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]'))) > 1
+    FROM paragraphs
     UNION ALL
-    SELECT doc_id, 'text', 0, text FROM documents JOIN blocks USING (doc_id) WHERE len(parts) > 1
-), numbered AS (SELECT row_number() OVER () AS id, * FROM passages),
-words AS (
-    SELECT id, regexp_extract_all(translate(txt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM numbered
-    UNION ALL
-    SELECT -1 - no, regexp_extract_all(lower(txt), '[a-z0-9]+') FROM template
-), sets AS (
-    SELECT id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b
-    FROM words WHERE len(w) > 1
-), grams AS (SELECT id, len(b) AS n, unnest(b) AS g FROM sets),
-scored AS (
-    SELECT p.id, t.id AS tid, any_value(p.n) AS n, count(*) AS shared,
-           2.0::DOUBLE * count(*) / (any_value(p.n) + any_value(t.n)) AS dice
-    FROM grams p JOIN grams t ON p.g = t.g AND p.id > 0 AND t.id < 0 GROUP BY p.id, t.id
+    SELECT tid, 'text', 0, {_WORDS.format("text")}, len(parts) > 1 FROM base JOIN blocks USING (tid)
+), passages AS (
+    SELECT row_number() OVER () AS id, * FROM (
+        SELECT *, CAST(coalesce(sum(len(w)) OVER (PARTITION BY tid, kind ORDER BY position
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_word FROM units)
+    WHERE counts AND len(w) > 1
+), template_words AS (SELECT no, license, {_WORDS.format("txt")} AS w FROM template),
+template_sets AS (
+    SELECT no, license, len(w) - 1 AS length, list_distinct({_BIGRAMS}) AS b FROM template_words
+), template_grams AS (SELECT no, license, length, len(b) AS m, unnest(b) AS g FROM template_sets),
+grams AS (
+    SELECT id, len(b) AS n, unnest(b) AS g FROM (SELECT id, list_distinct({_BIGRAMS}) AS b FROM passages)
+), scored AS (
+    SELECT p.id, t.no, any_value(license) AS license, any_value(p.n) AS n, count(*) AS shared,
+           2.0::DOUBLE * count(*) / (any_value(p.n) + any_value(t.m)) AS dice
+    FROM grams p JOIN template_grams t USING (g) GROUP BY p.id, t.no
 ), best AS (
-    SELECT s.*, license, row_number() OVER (PARTITION BY id ORDER BY dice DESC, license) AS place
-    FROM scored s JOIN template ON no = -1 - tid WHERE dice >= {THRESHOLD}
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY dice DESC, license) AS place
+    FROM scored WHERE dice >= {THRESHOLD}
+), found AS (
+    SELECT tid, kind, position, license, n, shared, dice, first_word, first_word + len(w) AS end_word
+    FROM best JOIN passages USING (id) WHERE place = 1
+), text_words AS (SELECT tid, {_WORDS.format("text")} AS w FROM base),
+text_grams AS (
+    SELECT tid, unnest(range(len(w) - 1)) AS pos, unnest({_BIGRAMS}) AS g, len(w) - 1 AS n_grams
+    FROM text_words WHERE len(w) > 1
+), hits AS (SELECT tid, pos, g, n_grams, no, length, m FROM text_grams JOIN template_grams USING (g)),
+likely AS (
+    SELECT tid, no FROM hits GROUP BY tid, no
+    HAVING count(DISTINCT g) * (2 - {THRESHOLD}) >= {THRESHOLD} * any_value(m) - 1e-9
+), likely_texts AS (
+    SELECT tid, list(g ORDER BY pos) AS gs FROM text_grams WHERE tid IN (SELECT tid FROM likely) GROUP BY tid
+), cut AS (
+    SELECT tid, no, pos, length, list_distinct(gs[pos + 1 : pos + length]) AS held
+    FROM hits JOIN likely USING (tid, no) JOIN likely_texts USING (tid) WHERE pos + length <= n_grams
+), windows AS (
+    SELECT tid, no, pos, pos + c.length + 1 AS end_word, license, len(held) AS n,
+           len(list_intersect(held, b)) AS shared,
+           2.0::DOUBLE * len(list_intersect(held, b)) / (len(held) + len(b)) AS dice
+    FROM cut c JOIN template_sets USING (no)
+), apart AS (
+    SELECT w.* FROM windows w WHERE dice >= {THRESHOLD} AND NOT EXISTS (
+        SELECT 1 FROM found f WHERE f.tid = w.tid AND w.pos < f.end_word AND f.first_word < w.end_word)
+), reached AS (
+    SELECT *, max(end_word) OVER (PARTITION BY tid ORDER BY pos, end_word, no
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM apart
+), islands AS (
+    SELECT *, sum(CASE WHEN reach IS NULL OR pos >= reach THEN 1 ELSE 0 END)
+              OVER (PARTITION BY tid ORDER BY pos, end_word, no ROWS UNBOUNDED PRECEDING) AS island FROM reached
+), told AS (
+    SELECT *, row_number() OVER (PARTITION BY tid, island ORDER BY dice DESC, license, pos, no) AS place FROM islands
+), matches AS (
+    SELECT tid, kind, position, license, n, shared, dice FROM found
+    UNION ALL SELECT tid, 'window', pos, license, n, shared, dice FROM told WHERE place = 1
 )
-SELECT doc_id, kind, position, license, n AS n_bigrams, shared, dice
-FROM best JOIN numbered USING (id) WHERE place = 1
+SELECT doc_id, kind, position, license, n AS n_bigrams, shared, dice FROM matches JOIN base USING (tid)
 """

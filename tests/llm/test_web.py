@@ -1,6 +1,7 @@
 """URL verdicts, WARC round trips, licence notices and quotations against plain Python."""
 
 import hashlib
+import random
 import io
 import math
 import re
@@ -139,7 +140,7 @@ def test_license_passages(spark, docs, odd_pairs):
     got = Counter(tuple(r)[:4] for r in licenses.license_passages(docs(pairs)).collect())
     assert got == Counter(
         [(20, "line", 1, "GPL-3.0"), (21, "line", 0, "all-rights-reserved"), (None, "line", 0, "all-rights-reserved")]
-        + [(22, "paragraph", 1, "MIT")] * 2
+        + [(22, "paragraph", 1, "MIT"), (22, "text", 0, "MIT")] * 2  # the text is exactly at the threshold
     )
     assert licenses.license_passages(docs([])).count() == 0
 
@@ -167,6 +168,49 @@ def test_whole_licences_and_headers_of_each_version(spark, docs):
     assert {name for name, _ in licenses.TEXTS} >= {"BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "Zlib"}
 
 
+def test_windows_of_words_equal_sql(spark, docs):
+    """Notices inside lines, wrapped notices in longer paragraphs, and licences with other text around."""
+    import duckdb
+
+    rng = random.Random(6)
+    filler = lambda n: " ".join(rng.choice(["stone", "of the", "river", "in this", "software", "cold", "license"]) for _ in range(n))
+    cases = ["Copyright 2024 Example Press. All rights reserved.", "All parts were made by hand. Released under the MIT License."]
+    cases += ["licensed under the mit license released under the mit license", "Released under the MIT License. Released under the MIT License."]
+    texts = dict(licenses.TEXTS)
+    for _, text in licenses.HEADERS + licenses.TEMPLATES:
+        words = text.split()
+        cases.append(f"{filler(9)} {text} {filler(7)}")
+        cases.append(filler(8) + "\n" + "\n".join(" ".join(words[i : i + 6]) for i in range(0, len(words), 6)) + "\n" + filler(60))
+        cases.append(filler(3) + " " + " ".join(w for w in words if rng.random() > 0.12) + " " + filler(30))
+    for name in ("MIT", "BSD-3-Clause", "ISC", "Zlib"):
+        around = " ".join(f"word{rng.randrange(5000)}" for _ in range(900))
+        cases.append(around + "\n\n" + texts[name] + "\n\n" + around)
+    cases += [filler(400), "", " \n\n "]
+    pairs = list(enumerate(cases)) + [(0, cases[0]), (None, cases[1])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", pairs + [(9000, None)])
+    key = lambda r: tuple((v is None, v) for v in r)
+    got = sorted((tuple(r) for r in licenses.license_passages(docs(pairs + [(9000, None)])).collect()), key=key)
+    want = sorted(con.execute(licenses.LICENSE_SQL).fetchall(), key=key)
+    assert [r for r in got if r not in want] == [r for r in want if r not in got]
+    assert got == want
+    windows = {(r[0], r[3]) for r in got if r[1] == "window"}
+    assert {(0, "all-rights-reserved"), (1, "MIT"), (None, "MIT"), (len(cases) - 4, "Zlib"), (len(cases) - 5, "ISC")} <= windows
+
+
+def test_every_whole_licence_equals_sql(spark, docs):
+    import duckdb
+
+    pairs = [(i, text) for i, (_, text) in enumerate(licenses.ALL_TEMPLATES)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", pairs)
+    got = sorted(tuple(r) for r in licenses.license_passages(docs(pairs)).collect())
+    assert got == sorted(con.execute(licenses.LICENSE_SQL).fetchall())
+    assert len({r[0] for r in got}) == len(pairs)
+
+
 def test_size_bounds_lose_no_match():
     templates = licenses.Templates()
     for grams in templates.grams:
