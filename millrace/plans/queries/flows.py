@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.forecast import forecast_trend
 from millrace.functions.text import clean_code, is_email
@@ -347,26 +347,53 @@ def uses(t):
     )
 
 
+_ASSET_USES_SQL = f"""
+    SELECT day, user_id, count(*) AS uses, count(*) FILTER (WHERE hour(ts) < 12) AS before_noon,
+           CAST(max(amount) AS DOUBLE) AS dearest, arg_min(hall, ts) AS first_hall, arg_max(hall, ts) AS last_hall
+    FROM ({_USES_SQL}) GROUP BY ALL
+"""
+_ASSET_FAULTS_SQL = """
+    SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS faults, max(ts) AS last_fault,
+           arg_max(event_id, ts) AS last_fault_id
+    FROM events WHERE event_type = 'error' GROUP BY ALL
+"""
+
+
+def asset_faults(t):
+    """The fault log by asset and day."""
+    faults = t.events.where("event_type = 'error'")
+    return faults.groupBy(F.col("ts").cast("date").alias("day"), "user_id").agg(
+        F.count("*").alias("faults"),
+        F.max("ts").alias("last_fault"),
+        F.max_by("event_id", "ts").alias("last_fault_id"),
+    )
+
+
 @query(
-    """
-    SELECT CAST(ts AS DATE) AS day, user_id,
-           count(*) FILTER (WHERE event_type <> 'error' AND hour(ts) < 12) AS before_noon,
-           count(*) FILTER (WHERE event_type <> 'error' AND hour(ts) >= 12) AS after_noon,
-           count(*) FILTER (WHERE event_type = 'error') AS faults,
-           max(value) FILTER (WHERE event_type <> 'error') AS dearest,
-           max(ts) FILTER (WHERE event_type = 'error') AS last_fault
-    FROM events GROUP BY ALL
+    f"""
+    SELECT coalesce(u.day, f.day) AS day, coalesce(u.user_id, f.user_id) AS user_id,
+           coalesce(uses, 0) AS uses, coalesce(before_noon, 0) AS before_noon, dearest, first_hall,
+           last_hall, coalesce(faults, 0) AS faults, last_fault, last_fault_id,
+           faults / nullif(uses, 0) AS faults_per_use
+    FROM ({_ASSET_USES_SQL}) u FULL JOIN ({_ASSET_FAULTS_SQL}) f ON u.day = f.day AND u.user_id = f.user_id
     """
 )
 def mart_asset_day(t):
-    """Per asset and day: uses by half of the day, its dearest use, and its faults; one pass."""
-    fault, morning = F.col("event_type") == "error", F.hour("ts") < 12
-    return t.events.groupBy(F.col("ts").cast("date").alias("day"), "user_id").agg(
-        F.count_if(~fault & morning).alias("before_noon"),
-        F.count_if(~fault & ~morning).alias("after_noon"),
-        F.count_if(fault).alias("faults"),
-        F.max(F.when(~fault, F.col("value"))).alias("dearest"),
-        F.max(F.when(fault, F.col("ts"))).alias("last_fault"),
+    """Per asset and day: its uses, where it was first and last, and its faults.
+
+    Both logs are brought to a row per asset and day before they are joined, so the outer join keeps
+    days with faults only, and no use is paired with a fault.
+    """
+    used = uses(t).groupBy("day", "user_id").agg(
+        F.count("*").alias("uses"),
+        F.count_if(F.hour("ts") < 12).alias("before_noon"),
+        (F.max("cents") / 100).alias("dearest"),
+        F.min_by("hall", "ts").alias("first_hall"),
+        F.max_by("hall", "ts").alias("last_hall"),
+    )
+    joined = used.join(asset_faults(t), ["day", "user_id"], "full")
+    return joined.na.fill(0, ["uses", "before_noon", "faults"]).withColumn(
+        "faults_per_use", F.try_divide(F.when(F.col("faults") > 0, F.col("faults")), F.col("uses"))
     )
 
 
@@ -375,14 +402,24 @@ def mart_asset_day(t):
     WITH seen AS (
         SELECT day, door AS place, user_id, amount, door = hall AS stayed FROM ({_USES_SQL})
         UNION ALL
-        SELECT day, hall, user_id, amount, false FROM ({_USES_SQL}) WHERE door <> hall)
-    SELECT day, place, count(*) AS visits, count(DISTINCT user_id) AS visitors,
-           count(*) FILTER (WHERE stayed) AS stays, CAST(max(amount) AS DOUBLE) AS dearest
-    FROM seen GROUP BY ALL
+        SELECT day, hall, user_id, amount, false FROM ({_USES_SQL}) WHERE door <> hall),
+    visits AS (
+        SELECT day, place, count(*) AS visits, count(DISTINCT user_id) AS visitors,
+               count(*) FILTER (WHERE stayed) AS stays, CAST(max(amount) AS DOUBLE) AS dearest
+        FROM seen GROUP BY ALL),
+    closing AS (
+        SELECT day, last_hall AS place, count(*) AS left_at_close
+        FROM ({_ASSET_USES_SQL}) GROUP BY ALL)
+    SELECT day, place, visits, visitors, stays, dearest, coalesce(left_at_close, 0) AS left_at_close,
+           coalesce(left_at_close, 0) / visitors AS closing_share
+    FROM visits LEFT JOIN closing USING (day, place)
     """
 )
 def mart_place_day(t):
-    """Visits of each place, where a use visits its door and its hall, once if they are the same."""
+    """Visits of each place, and how many of its visitors' last use of the day ended there.
+
+    A use visits its door and its hall, once if they are the same.
+    """
     visited = uses(t).select(
         "day",
         "user_id",
@@ -390,37 +427,62 @@ def mart_place_day(t):
         (F.col("door") == F.col("hall")).alias("stayed"),
         F.explode(F.array_distinct(F.array("door", "hall"))).alias("place"),
     )
-    return visited.groupBy("day", "place").agg(
+    visits = visited.groupBy("day", "place").agg(
         F.count("*").alias("visits"),
         F.count_distinct("user_id").alias("visitors"),
         F.count_if("stayed").alias("stays"),
         (F.max("cents") / 100).alias("dearest"),
     )
+    last = uses(t).groupBy("day", "user_id").agg(F.max_by("hall", "ts").alias("place"))
+    closing = last.groupBy("day", "place").agg(F.count("*").alias("left_at_close"))
+    joined = visits.join(closing, ["day", "place"], "left").na.fill(0, ["left_at_close"])
+    return joined.withColumn("closing_share", F.col("left_at_close") / F.col("visitors"))
 
 
 @query(
     f"""
     SELECT e.event_id AS outage_id, e.ts AS began, count(u.event_id) AS uses_inside,
-           CAST(coalesce(sum(u.amount), 0) AS DOUBLE) AS amount_inside
+           CAST(coalesce(sum(u.amount), 0) AS DOUBLE) AS amount_inside,
+           count(DISTINCT u.user_id) AS assets_inside,
+           count(u.event_id) / nullif(count(DISTINCT u.user_id), 0) AS uses_per_asset
     FROM (SELECT event_id, ts FROM events WHERE event_type = 'error') e
     LEFT JOIN ({_USES_SQL}) u ON u.ts > e.ts AND u.ts < e.ts + INTERVAL 2 HOUR
     GROUP BY ALL
     """
 )
 def mart_outage(t):
-    """Uses inside each two-hour outage, by running sums: no outage is paired with a use."""
+    """Uses and distinct assets inside each two-hour outage, by running sums: no outage is paired with
+    a use.
+
+    A use is an asset's first in the outages that began since the asset's use before, and less than
+    two hours ago. So a use opens and closes a span of time, and the spans open when an outage begins
+    are its distinct assets: openings so far less closings so far.
+    """
     outages = t.events.where("event_type = 'error'").select(
         F.col("event_id").alias("outage_id"),
         F.col("ts").alias("began"),
         (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("to_ts"),
+        F.lit("0001-01-01").cast("timestamp_ntz").alias("ever"),
+        (F.col("ts") + F.expr("INTERVAL 0.000001 SECONDS")).alias("after"),
     )
-    used = uses(t).select("cents", F.col("ts").alias("at"))
+    used = uses(t).select("user_id", "cents", F.col("ts").alias("at"))
     inside = interval_sums(outages, used, "began", "to_ts", "at", "cents")
-    return inside.select(
-        "outage_id",
-        "began",
-        F.col("n_points").alias("uses_inside"),
-        (F.col("total") / 100).alias("amount_inside"),
+    before = F.lag("at").over(Window.partitionBy("user_id").orderBy("at"))
+    opens = F.greatest(before, F.col("at") - F.expr("INTERVAL 2 HOURS") + F.expr("INTERVAL 0.000001 SECONDS"))
+    spans = used.select(opens.alias("opens"), "at").where("opens < at")
+    turns = spans.select(F.col("opens").alias("at"), F.lit(1).alias("turn")).union(
+        spans.select("at", F.lit(-1).alias("turn"))
+    )
+    assets = interval_sums(outages, turns, "ever", "after", "at", "turn")
+    return (
+        inside.select(
+            "outage_id",
+            "began",
+            F.col("n_points").alias("uses_inside"),
+            (F.col("total") / 100).alias("amount_inside"),
+        )
+        .join(assets.select("outage_id", F.col("total").alias("assets_inside")), "outage_id")
+        .withColumn("uses_per_asset", F.try_divide("uses_inside", "assets_inside"))
     )
 
 

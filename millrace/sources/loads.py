@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace import scratch
@@ -38,22 +40,22 @@ def copy_into(
 ) -> int:
     """Load the files of ``src`` not loaded before; returns how many were new.
 
-    All new files are loaded, at most ``max_files`` in one load: the driver holds the names of one
-    load at a time, however many files there are.
+    The folder is listed and compared with the ledger once. All new files are loaded in one ordered
+    pass over that list, at most ``max_files`` in one load: the driver holds the names of one load at
+    a time, however many files there are.
 
     The load number follows from the ledger, which is written last: a load that fails halfway is
     simply overwritten by the next attempt. A new column needs ``merge_schema``.
     """
+    scratch.scratch_root(spark)
+    known = _ledger(spark, ledger)
+    fresh = list_files(spark, src).join(known.select("path"), "path", "left_anti")
+    listed = fresh.orderBy("path").checkpoint().toLocalIterator(prefetchPartitions=True)
     loaded = 0
-    while True:
-        known = _ledger(spark, ledger)
-        fresh = list_files(spark, src).join(known.select("path"), "path", "left_anti")
-        files = fresh.orderBy("path").limit(max_files).collect()
-        if files:
-            _load(spark, files, known, target, fmt, ledger, schema, merge_schema, options)
-            loaded += len(files)
-        if len(files) < max_files:
-            return loaded
+    while files := list(itertools.islice(listed, max_files)):
+        _load(spark, files, _ledger(spark, ledger), target, fmt, ledger, schema, merge_schema, options)
+        loaded += len(files)
+    return loaded
 
 
 def _load(spark, files, known, target, fmt, ledger, schema, merge_schema, options) -> None:
