@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
+from millrace.operators.grouped import map_groups
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import NET_PRICE_SQL, cents, exact_sum, net_total, total
 
@@ -418,3 +420,47 @@ def latest_n_events(t):
         .orderBy(F.desc("ts"), F.desc("event_id"))
         .limit(20)
     )
+
+
+@query(
+    """
+    WITH marked AS (
+        SELECT user_id, ts, event_id, value,
+               CASE WHEN ts - lag(ts) OVER w <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens
+        FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    numbered AS (
+        SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit FROM marked)
+    SELECT user_id, CAST(visit AS BIGINT) AS visit, count(*) AS n_events, min(ts) AS began, max(ts) AS ended,
+           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM numbered GROUP BY ALL
+    """
+)
+def grouped_visits(t):
+    """Events of each user cut into visits by pauses of more than twelve hours, in chunks of ordered
+    rows: the open visit is the state that a chunk hands to the next."""
+    columns = ["user_id", "visit", "n_events", "began", "ended", "cents"]
+    pause = pd.Timedelta(hours=12)
+
+    def chunk_visits(key, state, chunk):
+        opens = chunk["ts"].diff() > pause
+        first = state is None or chunk["ts"].iloc[0] - state["ended"] > pause
+        opens.iloc[0] = first
+        visit = opens.astype("int64").cumsum() + (0 if state is None else state["visit"])
+        found = chunk.assign(visit=visit).groupby("visit", as_index=False).agg(
+            n_events=("ts", "size"), began=("ts", "first"), ended=("ts", "last"), cents=("cents", "sum")
+        )
+        if not first:
+            found.loc[0, "began"] = state["began"]
+            found.loc[0, "n_events"] += state["n_events"]
+            found.loc[0, "cents"] += state["cents"]
+        elif state is not None:
+            found = pd.concat([pd.DataFrame([state]), found], ignore_index=True)
+        found["user_id"] = key[0]
+        return found.iloc[-1][columns].to_dict(), found.iloc[:-1]
+
+    rows = t.events.select("user_id", "ts", "event_id", cents("value").alias("cents"))
+    schema = "user_id long, visit long, n_events long, began timestamp_ntz, ended timestamp_ntz, cents long"
+    return map_groups(
+        rows, ["user_id"], ["ts", "event_id"], chunk_visits, schema,
+        finish=lambda key, state: pd.DataFrame([state]), chunk_rows=20,
+    )
