@@ -48,6 +48,14 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(key)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of the frame is called so, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import by_task, group_bounds, in_blocks, map_arrow, settle, whole_groups
+from millrace.llm.common import by_task, free_name, group_bounds, in_blocks, map_arrow, settle, whole_groups
 from millrace.llm.graph import components
 from millrace.llm.textscan import LOWER, mix, scan_words, text_slices, windows
 
@@ -309,9 +309,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The first document of every component, once, with all its columns."""
+    """The first document of every component, with all its columns.
+
+    Rows that repeat a kept ``doc_id`` stay as one: the one whose text has the smallest digest, so a
+    rerun keeps the same text; of equal texts any row. Rows without ``doc_id`` stay as they are, since
+    nothing can be linked to them.
+    """
+    gone_id, row = free_name(docs, "gone_id"), free_name(docs, "row")
     found = near_duplicates(docs)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("__d_id")).distinct()
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
     named = docs.where("doc_id IS NOT NULL")
-    stay = named.join(gone, F.col("doc_id").cast("long") == F.col("__d_id"), "left_anti")
-    return stay.dropDuplicates(["doc_id"]).union(docs.where("doc_id IS NULL"))
+    stay = named.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = stay.groupBy(F.col("doc_id").alias(gone_id)).agg(F.min_by(whole, digest).alias(row))
+    one = one.select(*[F.col(f"{row}.`{c}`") for c in docs.columns])
+    return one.union(docs.where("doc_id IS NULL"))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from millrace.llm.common import map_arrow
+from millrace.llm.common import free_name, map_arrow
 from millrace.llm.textscan import flags, repeated, row_sums, salted_by_row, scan_words, text_slices
 
 PASSAGE_WORDS = 96
@@ -80,7 +80,10 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         code = data.astype(np.uint32)
         code = (code[:-2] * 961 + code[1:-1] * 31 + code[2:]) * np.uint32(2654435761)
         place = np.repeat(np.arange(len(row)), np.diff(bounds))[: len(code)]
-        cells = place * TRIGRAMS + (code >> np.uint32(27)).astype(np.int64)
+        own = np.ones(len(data) + 2, bool)  # no trigram runs on into the next text
+        own[np.maximum(offsets[1:] - 1, 0)] = own[np.maximum(offsets[1:] - 2, 0)] = False
+        own = own[: len(code)]
+        cells = place[own] * TRIGRAMS + (code[own] >> np.uint32(27)).astype(np.int64)
         grams = np.bincount(cells, minlength=len(row) * TRIGRAMS).reshape(-1, TRIGRAMS)
     features = np.column_stack(
         [
@@ -256,7 +259,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be good, with the columns they came with."""
-    scored = with_score(docs, fit(docs, labels), "__c_score")
-    return scored.where(F.col("__c_score") >= THRESHOLD).select(
+    name = free_name(docs, "score")
+    scored = with_score(docs, fit(docs, labels), name)
+    return scored.where(F.col(name) >= THRESHOLD).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

@@ -21,12 +21,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import map_arrow, per_group, settle
-from millrace.operators.sizing import with_position
+from millrace.llm.common import by_task, map_arrow, settle
+from millrace.operators.sizing import broadcast_if_small, with_position
 
 #: verdict, host, beginning of the path
 RULES = (
@@ -127,14 +126,32 @@ def segment_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     )
     found = spans.distinct().join(counts, "word", "left")
 
-    def split(part: pd.DataFrame) -> pd.DataFrame:
-        label = part["label"].iloc[0]
-        seen = part.dropna(subset=["n"])
-        words = viterbi(label, dict(zip(seen["word"], seen["n"].astype("int64"))), total)
-        return pd.DataFrame({"label": [label], "words": [words]})
-
-    # a label has 63 characters by the rules of host names, so a group is small
-    return per_group(found, ["label"], split, "label string, words array<string>")
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of a label are adjacent; its known words are held until the next one."""
+        label, seen, done = None, {}, []
+        for batch in batches:
+            columns = (batch.column(name).to_pylist() for name in ("label", "word", "n"))
+            for here, word, n in zip(*columns):
+                if here != label:
+                    if label is not None:
+                        done.append((label, viterbi(label, seen, total)))
+                    label, seen = here, {}
+                if n is not None:
+                    seen[word] = n
+            yield segmented(done)
+            done = []
+        if label is not None:
+            yield segmented([(label, viterbi(label, seen, total))])
+
+    def segmented(done: list) -> pa.RecordBatch:
+        arrays = [
+            pa.array([label for label, _ in done], pa.string()),
+            pa.array([words for _, words in done], pa.list_(pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["label", "words"])
+
+    tasked = found.withColumn("task", F.xxhash64("label"))
+    return by_task(tasked, "label", split, "label string, words array<string>")
 
 
 def _letters(column: Column) -> Column:
@@ -153,7 +170,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     # split each distinct host once
     hosts = judged.where("host <> ''").select("host").distinct()
     pieces = hosts.select("host", F.posexplode(_letters(F.col("host"))).alias("at", "label"))
-    labels = pieces.select("label").where("label RLIKE '^[a-z]+$' AND length(label) <= 63").distinct()
+    labels = pieces.select("label").where("label RLIKE '^[a-z]+$'").distinct()
     words = segment_labels(labels, settle(word_counts(pages), "words"))
     host_tokens = settle(
         pieces.join(words, "label", "left").select(
@@ -208,6 +225,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         .agg(F.sum("weight").alias("path_score"))
     )
     score = F.lit(start) + F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0))
+    # where the hosts are few, a common one need not gather its pages in a task; where they are many,
+    # the skewed keys of the sort-merge join are split
+    of_host = broadcast_if_small(settle(of_host, "host-scores"))
     return (
         judged.join(of_host, "host", "left")
         .join(of_path, "row", "left")

@@ -264,3 +264,14 @@ def test_long_reply_chains(spark):
     chat = [(1, i, "a", (f"> message {i - 1}\n" if i else "") + f"message {i}") for i in range(60)]
     rows = quotations.reply_ordered(spark.createDataFrame(chat, MESSAGES)).collect()
     assert all((r["thread"], r["depth"], r["position"]) == (0, r["turn"], r["turn"]) for r in rows)
+
+
+def test_long_labels_are_split(spark):
+    """A label longer than host names may be is split like any other."""
+    html = "<p>" + "river stone market garden " * 50 + "</p>"
+    rows = [(1, "http://" + "riverstonemarketgarden" * 4 + ".org/a", html), (2, "http://riverstone.net/b", html)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    labels = spark.createDataFrame([("riverstonemarketgarden" * 4,), ("a",)], "label string")
+    found = {r["label"]: r["words"] for r in url_filter.segment_labels(labels, url_filter.word_counts(pages)).collect()}
+    assert found["riverstonemarketgarden" * 4] == ["river", "stone", "market", "garden"] * 4 and found["a"] == ["a"]
+    assert {r["page_id"]: r["verdict"] for r in url_filter.judge(pages).collect()}[2] == "block"
