@@ -56,7 +56,7 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 _ROW_WISE = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range", "Generate", "Union"}
 
 
-def _keeps_order(df: DataFrame) -> bool:
+def keeps_order(df: DataFrame) -> bool:
     """Whether the frame comes row by row from files, checkpoints or literal rows."""
     open_ = [df._jdf.queryExecution().optimizedPlan()]
     while open_:
@@ -74,7 +74,7 @@ def with_position(df: DataFrame, name: str) -> DataFrame:
     joined, grouped or dealt anew may not, so such a frame is checkpointed first (in the session's
     checkpoint folder).
     """
-    if not _keeps_order(df):
+    if not keeps_order(df):
         scratch_root(df.sparkSession)
         df = df.checkpoint()
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
+from millrace.operators.distinct import distinct_counts
 from millrace.operators.grouped import map_groups
 from millrace.plans.catalog import query
 from millrace.plans.queries.common import NET_PRICE_SQL, cents, exact_sum, net_total, total
@@ -464,3 +465,25 @@ def grouped_visits(t):
         rows, ["user_id"], ["ts", "event_id"], chunk_visits, schema,
         finish=lambda key, state: pd.DataFrame([state]), chunk_rows=20,
     )
+
+
+@query(
+    """
+    SELECT l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS n_orders,
+           count(DISTINCT l_partkey) AS n_parts, count(DISTINCT l_suppkey) AS n_suppliers,
+           count(DISTINCT CAST(l_shipdate AS DATE)) AS n_days
+    FROM lineitem GROUP BY ALL
+    """
+)
+def agg_distinct_by_group(t):
+    """Few groups, each with a large part of all rows."""
+    return distinct_counts(
+        t.lineitem,
+        ["l_returnflag", "l_linestatus"],
+        {
+            "n_orders": "l_orderkey",
+            "n_parts": "l_partkey",
+            "n_suppliers": "l_suppkey",
+            "n_days": "CAST(l_shipdate AS DATE)",
+        },
+    )

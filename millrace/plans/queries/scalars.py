@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.forecast import forecast_trend, stitch_forecast
+from millrace.functions.forecast import forecast_trend, forecast_weekly, stitch_forecast
 from millrace.functions.json import infer_json_schema
 from millrace.functions.text import classify_keywords, clean_code, is_email, is_email_udf
 from millrace.functions.times import epoch_seconds, epoch_to_date, minutes_between
 from millrace.plans.catalog import query
 from millrace.plans.queries.aggregates import _DAILY_SQL, daily_revenue
-from millrace.plans.queries.common import NET_PRICE_SQL, net_units
+from millrace.plans.queries.common import NET_PRICE_SQL, net_units, total
 
 
 @query(
@@ -524,3 +524,45 @@ def forecast_stitched(t):
     chart = stitch_forecast(daily_revenue(t.orders), "day", "revenue")
     figures = ["revenue_forecast", "revenue_upper", "revenue_lower", "revenue"]
     return chart.select("day", *[F.round(c, 2).alias(c) for c in figures])
+
+
+@query(
+    """
+    WITH daily AS (
+        SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y
+        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY ALL),
+    points AS (
+        SELECT *, CAST(date_diff('day', DATE '1970-01-01', day) AS DOUBLE) AS x, isodow(day) AS wd
+        FROM daily WHERE y IS NOT NULL),
+    levels AS (
+        SELECT o_orderpriority, wd, count(*) AS n, avg(x) AS mx, avg(y) AS my, min(day) AS d0,
+               max(day) AS d1, regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy
+        FROM points GROUP BY ALL),
+    fit AS (
+        SELECT o_orderpriority, sum(sxx) AS sxx, min(d0) AS d0, max(d1) AS d1, sum(sxy) / sum(sxx) AS b,
+               sqrt((sum(syy) - sum(sxy) * sum(sxy) / sum(sxx)) / (sum(n) - count(*) - 1)) AS s
+        FROM levels GROUP BY ALL),
+    ahead AS (
+        SELECT *, d1 + CAST(unnest(generate_series(
+                   1, CAST(floor(date_diff('day', d0, d1) * 0.1) AS BIGINT))) AS INTEGER) AS day
+        FROM fit),
+    band AS (
+        SELECT a.o_orderpriority, a.day, b, s, a.sxx, n, my,
+               date_diff('day', DATE '1970-01-01', a.day) - mx AS off
+        FROM ahead a LEFT JOIN levels l
+             ON l.o_orderpriority = a.o_orderpriority AND l.wd = isodow(a.day))
+    SELECT o_orderpriority, CAST(day AS DATE) AS day, round(my + b * off, 2) AS revenue_forecast,
+           round(my + b * off + 1.96 * s * sqrt(1 + 1.0 / n + off * off / sxx), 2) AS revenue_upper,
+           round(my + b * off - 1.96 * s * sqrt(1 + 1.0 / n + off * off / sxx), 2) AS revenue_lower
+    FROM band
+    """,
+    name="forecast_weekly",
+)
+def forecast_by_priority(t):
+    daily = t.orders.groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias("day")).agg(
+        total("o_totalprice").alias("revenue")
+    )
+    ahead = forecast_weekly(daily, "day", "revenue", keys=["o_orderpriority"], span_share=0.1)
+    figures = ["revenue_forecast", "revenue_upper", "revenue_lower"]
+    return ahead.select("o_orderpriority", "day", *[F.round(c, 2).alias(c) for c in figures])
