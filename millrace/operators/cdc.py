@@ -8,12 +8,15 @@ one wins: a delete before others, then the larger row hash.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.sizing import (
     RANGE,
     KeyRanges,
+    broadcast_if_small,
     close_seams,
     hot_ranges,
     with_next,
@@ -94,22 +97,20 @@ def one_per_sequence(
     return settled.select(*changes.columns, DELETED)
 
 
-def scd2(
+def chained(
     changes: DataFrame,
     keys: Sequence[str],
     sequence_by: str,
     *,
     delete_when: str | None = None,
-    except_cols: Sequence[str] = (),
     ranges: KeyRanges | None = None,
 ) -> DataFrame:
-    """Full history with validity columns; a delete closes the open version and adds none.
+    """Settled changes, deletes included and flagged, each with the sequence that follows it.
 
-    Every change ends where the next one of its key starts. The rows are shuffled once, by key,
-    and sorted once: settling ties and finding the next change both work on that order. Hot keys
-    (``ranges``, looked for when not given) are cut into ranges of the sequence, each a task of
-    its own. Where one sequence value is piled high with copies, ties are settled before the
-    shuffle instead, so the copies collapse where they are read.
+    The rows are shuffled once, by key, and sorted once: settling ties and finding the next change
+    both work on that order. Hot keys (``ranges``, looked for when not given) are cut into ranges
+    of the sequence, each a task of its own. Where one sequence value is piled high with copies,
+    ties are settled before the shuffle instead, so the copies collapse where they are read.
     """
     _check_sequence(changes, sequence_by)
     if ranges is None:
@@ -118,8 +119,55 @@ def scd2(
     rows = with_range(changes, keys, sequence_by, ranges) if ranges else changes
     placed = rows if ranges.piled else rows.repartition(*by)
     settled = _winner_per(placed, [*by, sequence_by], sequence_by, delete_when)
-    chained = with_next(settled, by, sequence_by, END)
+    linked = with_next(settled, by, sequence_by, END)
     if ranges:
-        chained = close_seams(chained, rows, keys, sequence_by, END)
-    kept = [c for c in changes.columns if c not in set(except_cols)]
-    return chained.where(~F.col(DELETED)).select(*kept, F.col(sequence_by).alias(START), END)
+        linked = close_seams(linked, rows, keys, sequence_by, END)
+    return linked.select(*changes.columns, DELETED, END)
+
+
+def versions_of(chain: DataFrame, sequence_by: str, except_cols: Sequence[str] = ()) -> DataFrame:
+    """Version rows with their validity out of chained changes."""
+    kept = [c for c in chain.columns if c not in {DELETED, END, *except_cols}]
+    return chain.where(~F.col(DELETED)).select(*kept, F.col(sequence_by).alias(START), END)
+
+
+def scd2(
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    *,
+    delete_when: str | None = None,
+    except_cols: Sequence[str] = (),
+    ranges: KeyRanges | None = None,
+) -> DataFrame:
+    """Full history with validity columns; a delete closes the open version and adds none.
+
+    Every change ends where the next one of its key starts (see ``chained``).
+    """
+    chain = chained(changes, keys, sequence_by, delete_when=delete_when, ranges=ranges)
+    return versions_of(chain, sequence_by, except_cols)
+
+
+def rechained(
+    chain: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    *,
+    delete_when: str | None = None,
+) -> DataFrame:
+    """A stored chain with further changes worked in, however late they come.
+
+    Only keys that ``changes`` name are chained anew, so what is shuffled follows the changes. The
+    rows of all other keys pass as they are: beside a set of keys that is small enough to broadcast
+    (its size is checked) they are not even moved. ``delete_when`` speaks of ``changes`` alone.
+    NULL keys are a key like others.
+    """
+    met = changes.select(*[F.col(k).alias(f"__met_{k}") for k in keys]).distinct()
+    met = broadcast_if_small(met)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"__met_{k}")) for k in keys))
+    fresh = changes.withColumn(WAS_DELETED, flag_true(delete_when))
+    stored = chain.withColumnRenamed(DELETED, WAS_DELETED)
+    rows = stored.join(met, same, "left_semi").drop(END).unionByName(fresh, allowMissingColumns=True)
+    anew = chained(rows, keys, sequence_by, delete_when=WAS_DELETED).drop(WAS_DELETED)
+    return chain.join(met, same, "left_anti").unionByName(anew, allowMissingColumns=True)

@@ -80,6 +80,24 @@ def scd2_out_of_order(t):
     return read_history(t.spark, target, except_cols=["operation", "ts"], **_FEED)
 
 
+@query(_HISTORY_SQL)
+def scd2_late_changes(t):
+    """Some changes of every second user come after the base was written, anywhere in the sequence."""
+    target, checkpoint, src = t.scratch("history"), t.scratch("checkpoint"), t.scratch("feed")
+    feed = change_feed(t.events)
+    late = F.coalesce((F.col("user_id") % 2 == 0) & (F.pmod(F.xxhash64("ts"), F.lit(8)) == 0), F.lit(False))
+
+    def arrive(rows):
+        rows.write.mode("append").parquet(src)
+        stream = t.spark.readStream.schema(feed.schema).parquet(src)
+        apply_changes(stream, target, checkpoint, delete_when=_DELETE, scd=2, **_FEED)
+
+    arrive(feed.where(~late))
+    fold(t.spark, target, scd=2, **_FEED)
+    arrive(feed.where(late))
+    return read_history(t.spark, target, except_cols=["operation", "ts"], **_FEED)
+
+
 _TRUNCATE = "operation = 'APPEND' AND value > 150"
 _TRUNCATED_SQL = """
     WITH cut AS (SELECT max(ts) AS t FROM events WHERE event_type = 'signup' AND value > 150)

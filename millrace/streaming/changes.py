@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import cdc
 from millrace.streaming.flows import batch_flow
-from millrace.streaming.folds import is_due, read_folded, write_base
+from millrace.streaming.folds import is_due, read_folded, read_parts, write_base
 
 _FLAG = cdc.WAS_DELETED
 # Sequence of the newest truncating change a batch or base knows of.
@@ -84,6 +84,18 @@ def read_current(
     )
 
 
+def _chain(spark: SparkSession, target: str, keys: Sequence[str], sequence_by: str) -> DataFrame:
+    """All changes of a type 2 target, chained; only keys met since the last fold are worked on."""
+    base, fresh = read_parts(spark, f"{target}/deltas", f"{target}/base")
+    if base is not None and cdc.END in base.columns:
+        if fresh is None:
+            return base
+        fresh = fresh.withColumnRenamed(cdc.DELETED, _FLAG)
+        return cdc.rechained(base, fresh, keys, sequence_by, delete_when=_FLAG)
+    rows = _stored(spark, target, sequence_by)
+    return cdc.chained(rows, keys, sequence_by, delete_when=_FLAG).drop(_FLAG)
+
+
 def read_history(
     spark: SparkSession,
     target: str,
@@ -92,14 +104,12 @@ def read_history(
     sequence_by: str,
     except_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Version rows of a type 2 target."""
-    return cdc.scd2(
-        _stored(spark, target, sequence_by),
-        keys,
-        sequence_by,
-        delete_when=_FLAG,
-        except_cols=[_FLAG, *except_cols],
-    )
+    """Version rows of a type 2 target.
+
+    The base holds them ready; changes that came after it, early or late in the sequence, cost a
+    new chain for their own keys only.
+    """
+    return cdc.versions_of(_chain(spark, target, keys, sequence_by), sequence_by, except_cols)
 
 
 def fold(
@@ -108,16 +118,19 @@ def fold(
     """Write a new base holding all batches so far; returns the last batch it contains.
 
     Run it between stream runs. The newest truncating change stays in the base, so that it also
-    clears what comes late.
+    clears what comes late. A type 2 base holds the changes chained.
     """
+    if scd == 2:
+        chain = lambda _: _chain(spark, target, keys, sequence_by)
+        return write_base(spark, f"{target}/deltas", f"{target}/base", chain)
 
     def merge(rows: DataFrame) -> DataFrame:
         rows = rows.withColumnRenamed(cdc.DELETED, _FLAG)
         if _CLEARED not in rows.columns:
-            return _REDUCE[scd](rows, keys, sequence_by, _FLAG).drop(_FLAG)
+            return cdc.current_with_tombstones(rows, keys, sequence_by, _FLAG).drop(_FLAG)
         cleared = rows.agg(F.max(_CLEARED)).scalar()
         left = rows.where(F.coalesce(F.col(sequence_by) >= cleared, F.lit(True))).drop(_CLEARED)
-        folded = _REDUCE[scd](left, keys, sequence_by, _FLAG).drop(_FLAG)
+        folded = cdc.current_with_tombstones(left, keys, sequence_by, _FLAG).drop(_FLAG)
         return folded.withColumn(_CLEARED, cleared)
 
     return write_base(spark, f"{target}/deltas", f"{target}/base", merge)

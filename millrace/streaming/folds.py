@@ -26,16 +26,26 @@ def _numbers(spark: SparkSession, batches: str) -> list[int]:
     return [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
 
 
-def read_folded(spark: SparkSession, batches: str, base: str) -> DataFrame:
-    """The newest base and the batches after it; the files of older batches are not even listed."""
+def read_parts(spark: SparkSession, batches: str, base: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """The newest base and the rows of the batches after it, None for what there is not.
+
+    The files of older batches are not even listed.
+    """
     upto = folded_upto(spark, base)
     if upto < 0:
-        return read_batches(spark, batches).drop("batch_id")
+        return None, read_batches(spark, batches).drop("batch_id")
     folded = spark.read.parquet(f"{base}/upto={upto}")
     later = [batch_folder(batches, n) for n in _numbers(spark, batches) if n > upto]
     if not later:
-        return folded
-    fresh = spark.read.option("basePath", batches).parquet(*later).drop("batch_id")
+        return folded, None
+    return folded, spark.read.option("basePath", batches).parquet(*later).drop("batch_id")
+
+
+def read_folded(spark: SparkSession, batches: str, base: str) -> DataFrame:
+    """The newest base and the batches after it as one frame."""
+    folded, fresh = read_parts(spark, batches, base)
+    if folded is None or fresh is None:
+        return fresh if folded is None else folded
     return folded.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -183,6 +184,40 @@ def test_streamed_batches_equal_one_shot(spark, folder, rows, scd):
     assert rows(folded) == rows(batch(df))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_late_changes_of_some_keys_equal_a_full_recompute(spark, rows, seed):
+    pick = random.Random(seed)
+    made = [
+        (pick.choice([None, *range(12)]), pick.choice("abc"), pick.choice(["UPDATE", "APPEND", "DELETE", None]), pick.randrange(15))
+        for _ in range(150)
+    ]
+    late = [r for r in made if r[0] in (None, 3, 4) and pick.random() < 0.5] + [(99, "new", "UPDATE", 1)]
+    early = [r for r in made if r not in late]
+    chain = cdc.chained(feed(spark, *early), ["id"], "seq", delete_when=DELETE)
+    both = cdc.rechained(chain, feed(spark, *late), ["id"], "seq", delete_when=DELETE)
+    assert rows(cdc.versions_of(both, "seq", ["op", "seq"])) == rows(history(feed(spark, *early, *late)))
+    none = cdc.rechained(chain, feed(spark), ["id"], "seq", delete_when=DELETE)
+    assert rows(none) == rows(chain)
+
+
+def test_only_met_keys_of_a_stored_history_are_moved(spark, folder, rows):
+    target, checkpoint, src = f"{folder}/t", f"{folder}/c", f"{folder}/src"
+    apply = lambda df: apply_changes(stream(spark, df, src, 1), target, checkpoint, delete_when=DELETE, scd=2, **APPLY)
+    many = spark.range(3000).selectExpr("id % 500 AS id", "'v' || id AS name", "'UPDATE' AS op", "id AS seq")
+    apply(many)
+    fold(spark, target, scd=2, **APPLY)
+    late = feed(spark, (7, "late", "UPDATE", 3), (8, None, "DELETE", 100_000), (9, "dead", "DELETE", 0))
+    apply(late)
+    result = read_history(spark, target, except_cols=["op", "seq"], **APPLY)
+    assert rows(result) == rows(history(many.unionByName(late)))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and "SortMergeJoin" not in plan
+    fold(spark, target, scd=2, **APPLY)
+    folded = read_history(spark, target, except_cols=["op", "seq"], **APPLY)
+    assert rows(folded) == rows(history(many.unionByName(late)))
+    assert "Exchange" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
 def test_replayed_batch_leaves_no_duplicates(spark, folder, rows):
     df = feed(spark, (1, "a", "APPEND", 1), (1, "b", "UPDATE", 2))
     target = f"{folder}/t"
