@@ -1,14 +1,16 @@
 """WARC archives through a chunked record table.
 
-Writing: a payload becomes rows of record identifier and chunk number, and a task streams them
-into gzipped archives, each record a member of its own. Reading: a task streams an archive back
-into the same kind of rows. Every chunk row carries the digest of the payload up to its end, so
-digests, lengths and types come from the last chunk of each record, and neither side ever holds
-more than a chunk of an oversized payload.
+Writing: a payload becomes rows of record identifier and chunk number, cut from the input's buffer,
+and a task streams them into gzipped archives, each record a member of its own. Reading: a task
+streams an archive back into the same kind of rows. Digests are carried from chunk to chunk on both
+sides; on reading every chunk row has the digest of the payload up to its end, so digests,
+lengths and types come from the last chunk of each record. What is shuffled, sorted, written and read
+is a chunk at a time; only the cell of the input table itself is read whole.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the first by ``page_id`` is
 written whole, the others as revisits that name it. Equal payloads meet by a grouped minimum over
-digests; the join back leaves a much-repeated payload to Spark's splitting of skewed keys.
+digests, without the payloads; the join back leaves a much-repeated digest to Spark's splitting of
+skewed keys.
 
 Archives lie below the shared checkpoint folder. A task names its files afresh at every attempt and
 returns them as rows; only files of finished tasks are read, so a task may be run again.
@@ -39,42 +41,110 @@ ARCHIVE_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAME = "urn:page"
+HEAD = -1  # chunk number of the row that describes a record
 
 
-def chunk_rows(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Payload chunks of all pages with what their records need to know beforehand."""
-    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    rows = with_position(
-        pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")),
-        "row",
-    ).select("*", F.sha2("payload", 256).alias("digest"), F.length("payload").alias("size"))
+def numbered(pages: DataFrame) -> DataFrame:
+    """Pages with a row number that later scans repeat."""
+    return with_position(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), "row")
+
+
+def _payloads(column: pa.Array) -> Iterator[memoryview]:
+    """The bytes of each text where they lie in the Arrow buffer, not copied; NULL is empty."""
+    column = column.cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    ends = memoryview(offsets).cast("q")
+    whole = memoryview(data if data is not None else b"")
+    for at, known in enumerate(column.is_valid().to_pylist(), column.offset):
+        yield whole[ends[at] : ends[at + 1] if known else ends[at]]
+
+
+def _slices(payload: memoryview, chunk_bytes: int) -> Iterator[memoryview]:
+    """Chunks of a payload as views; an empty payload is one empty chunk."""
+    for begin in range(0, max(len(payload), 1), chunk_bytes):
+        yield payload[begin : begin + chunk_bytes]
+
+
+def payload_digests(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Size and digest of every numbered payload, the digest carried from chunk to chunk."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, digests = [], []
+            for payload in _payloads(batch.column("html")):
+                digest = hashlib.sha256()
+                for chunk in _slices(payload, chunk_bytes):
+                    digest.update(chunk)
+                sizes.append(len(payload))
+                digests.append(digest.hexdigest())
+            known = {name: batch.column(name) for name in ("row", "page_id", "url")}
+            yield pa.RecordBatch.from_pydict(
+                known | {"size": pa.array(sizes, pa.int64()), "digest": pa.array(digests, pa.string())}
+            )
+
+    return map_arrow(pages, scan, "row long, page_id long, url string, size long, digest string")
+
+
+def record_heads(digests: DataFrame) -> DataFrame:
+    """What each record's head says: digest, size, and which record it revisits, if any.
+
+    Works on digests alone; payloads are not moved for it.
+    """
     order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "row")
     first = (
-        rows.where(f"size >= {MIN_REVISIT}")
+        digests.where(f"size >= {MIN_REVISIT}")
         .groupBy("digest")
         .agg(F.min(order).alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .select("digest", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_id"))
     )
-    parts = F.greatest(F.ceil(F.col("size") / chunk_bytes), F.lit(1)).cast("int")
-    revisit = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row"))
-    chunks = F.when(
-        ~F.coalesce(revisit, F.lit(False)),
-        F.transform(
-            F.sequence(F.lit(0), parts - 1),
-            lambda i: F.substring("payload", i * chunk_bytes + 1, F.lit(chunk_bytes)),
-        ),
-    ).otherwise(F.array(F.lit(b"")))
-    return rows.join(first, "digest", "left").select(
-        "row",
-        "page_id",
-        "url",
-        "digest",
-        "size",
-        F.coalesce(revisit, F.lit(False)).alias("revisit"),
-        "first_id",
-        F.posexplode(chunks).alias("chunk_no", "chunk"),
+    revisit = F.coalesce(F.col("first_row") != F.col("row"), F.lit(False))
+    return digests.join(first, "digest", "left").select(
+        *["row", "page_id", "url", "digest", "size"],
+        revisit.alias("revisit"),
+        F.when(revisit, F.col("first_id")).alias("first_id"),
+    )
+
+
+_CHUNKS = pa.schema({"row": pa.int64(), "chunk_no": pa.int32(), "chunk": pa.binary()})
+
+
+def payload_chunks(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """A row per numbered page and chunk, cut from the input's buffer; a batch holds about one chunk."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for row, payload in zip(batch.column("row").to_pylist(), _payloads(batch.column("html"))):
+                for number, chunk in enumerate(_slices(payload, chunk_bytes)):
+                    held.append((row, number, bytes(chunk)))
+                    size += len(chunk) + 100
+                    if size >= chunk_bytes:
+                        yield _batch(held)
+                        held, size = [], 0
+            if held:
+                yield _batch(held)
+
+    return map_arrow(pages.select("row", "html"), cut, "row long, chunk_no int, chunk binary")
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), _CHUNKS.types)]
+    return pa.RecordBatch.from_arrays(columns, schema=_CHUNKS)
+
+
+def chunk_rows(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The chunked record table, ready to write: for each record a head row, then its chunks in order.
+
+    Heads are numbered -1 and meet their chunks by the shuffle that deals records to tasks, so no
+    join carries payloads. Chunks of revisits are there too; the writer passes over them.
+    """
+    known = numbered(pages)
+    heads = settle(record_heads(payload_digests(known, chunk_bytes)), "records")
+    rows = heads.withColumn("chunk_no", F.lit(HEAD)).unionByName(
+        payload_chunks(known, chunk_bytes), allowMissingColumns=True
     )
+    return rows.repartition("row").sortWithinPartitions("row", "chunk_no")
 
 
 def _folder(path: str) -> tuple[fs.FileSystem, str]:
@@ -108,32 +178,35 @@ def write_archives(chunks: DataFrame, folder: str, archive_bytes: int = ARCHIVE_
         system.create_dir(place, recursive=True)
         out = packer = None
         name, records, size = "", 0, 0
+        due, skip = None, False  # the next chunk, of a record that is a revisit or not
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {k: batch.column(k)[at].as_py() for k in batch.schema.names}
-                if row["chunk_no"] == 0:
-                    if packer:
-                        size += out.write(packer.compress(b"\r\n\r\n") + packer.flush())
-                    if out and size >= archive_bytes:
-                        out.close()
-                        yield _listed(name, records, size)
-                        out = None
-                    if out is None:
-                        name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                        out = system.open_output_stream(f"{place}/{name}", compression=None)
-                    packer = zlib.compressobj(3, zlib.DEFLATED, 31)
-                    first = row["first_id"] if row["first_id"] is not None else ""
-                    head = record_head(
-                        row["page_id"],
-                        int(row["revisit"]),
-                        row["url"],
-                        row["digest"],
-                        row["size"],
-                        first if row["revisit"] else None,
-                    )
-                    size += out.write(packer.compress(head))
-                    records += 1
-                size += out.write(packer.compress(row["chunk"]))
+            column = {k: batch.column(k) for k in batch.schema.names}
+            numbers, idents = column["chunk_no"].to_pylist(), column["row"].to_pylist()
+            for at, (ident, number) in enumerate(zip(idents, numbers)):
+                if number != HEAD:
+                    if due != (ident, number):
+                        raise ValueError(f"chunk {number} of row {ident} is out of order")
+                    due = (ident, number + 1)
+                    if not skip:
+                        size += out.write(packer.compress(column["chunk"][at].as_buffer()))
+                    continue
+                if packer:
+                    size += out.write(packer.compress(b"\r\n\r\n") + packer.flush())
+                if out and size >= archive_bytes:
+                    out.close()
+                    yield _listed(name, records, size)
+                    out = None
+                if out is None:
+                    name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    out = system.open_output_stream(f"{place}/{name}", compression=None)
+                packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+                about = {k: column[k][at].as_py() for k in column if k not in ("row", "chunk_no", "chunk")}
+                skip = about.pop("revisit")
+                first = about.pop("first_id")
+                named = ("" if first is None else first) if skip else None
+                size += out.write(packer.compress(record_head(copy=int(skip), first_id=named, **about)))
+                records += 1
+                due = (ident, 0)
         if out:
             size += out.write(packer.compress(b"\r\n\r\n") + packer.flush())
             out.close()

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from millrace.llm import licenses, quotations, url_filter, warc
@@ -117,6 +118,36 @@ def test_archives_return_every_page(spark):
     assert warc.round_trip(empty).count() == 0
 
 
+def test_records_are_cut_into_chunks_and_written_back(spark, tmp_path):
+    """Payloads of many chunks, revisits of them, and an array that starts inside its buffer."""
+    bodies = ["ä" * 700, None, "", "x" * 256, "long " * 5000, "x" * 256, "long " * 5000]
+    pages = spark.createDataFrame([(i, f"u{i}", b) for i, b in enumerate(bodies)], PAGES)
+    table = warc.chunk_rows(pages, 256)
+    found = table.where("chunk_no >= 0").orderBy("row", "chunk_no").collect()
+    heads = {r["row"]: r for r in table.where(f"chunk_no = {warc.HEAD}").collect()}
+    pieces = {}
+    for r in found:
+        assert len(r["chunk"]) <= 256
+        pieces.setdefault(heads[r["row"]]["page_id"], []).append(bytes(r["chunk"]))
+    assert {i: b"".join(p) for i, p in pieces.items()} == {i: (b or "").encode() for i, b in enumerate(bodies)}
+    assert all(len(p) == max(1, math.ceil(sum(map(len, p)) / 256)) for p in pieces.values())
+    for h in heads.values():
+        body = (bodies[h["page_id"]] or "").encode()
+        assert (h["size"], h["digest"]) == (len(body), hashlib.sha256(body).hexdigest())
+        assert h["first_id"] == {5: 3, 6: 4}.get(h["page_id"]) and h["revisit"] == (h["page_id"] in (5, 6))
+    archives = warc.write_archives(table, f"{tmp_path}/a", 2000)
+    archives = spark.createDataFrame(archives.collect(), archives.schema)
+    back = warc.read_archives(archives, chunk_bytes=1000).orderBy("record_id", "chunk_no").collect()
+    read = {}
+    for r in back:
+        read[r["record_id"]] = read.get(r["record_id"], b"") + bytes(r["chunk"])
+    want = {f"urn:page:{i}:0": (bodies[i] or "").encode() for i in range(5)} | {"urn:page:5:1": b"", "urn:page:6:1": b""}
+    assert read == want
+    column = pa.array(["ab", None, "", "xyz"])[1:]
+    assert [bytes(p) for p in warc._payloads(column)] == [b"", b"", b"xyz"]
+    assert list(warc._payloads(pa.array([], pa.string()))) == []
+
+
 def test_chunk_rows_carry_running_digests():
     body = b"0123456789" * 500
     packer = zlib.compressobj(3, zlib.DEFLATED, 31)
