@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import settle
 
+#: A node is a hub beyond so many edges, or beyond the share that leaves at most MOST_HUBS hubs.
+HUB_ROWS = 1_000
+MOST_HUBS = 10_000
+
 
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(
@@ -14,6 +18,17 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
+def _with_least(edges: DataFrame, least: DataFrame, hub_rows: int) -> DataFrame:
+    """Each edge beside the ``m`` of its ``u``, for ``least`` with columns ``u``, ``m`` and ``n`` edges.
+
+    Edges of a node with more than ``hub_rows`` of them stay where they are and meet their hub by a
+    broadcast, so one hub never fills a task; the rest meet by one shuffle on ``u``.
+    """
+    hubs = F.broadcast(least.where(F.col("n") > hub_rows).select("u", "m"))
+    rest = least.where(F.col("n") <= hub_rows).select("u", "m")
+    return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(rest, "u"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Link every node to the smallest node of its component: columns ``node`` and ``root``.
 
@@ -22,6 +37,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     its larger neighbours, then its smaller ones, to its smallest neighbour, until only stars are
     left. Each step is a grouped minimum, combined before the shuffle, and a join; no node's
     neighbours are ever gathered, and the links stay distributed from the first step to the last.
+
+    Hubs are broadcast to their edges. A step joins at most ``2 * n`` rows for ``n`` edges, and a hub
+    has more than ``max(HUB_ROWS, 2 * n / MOST_HUBS)`` of them, so there are fewer than ``MOST_HUBS``.
     """
     edges = settle(
         edges.where("u <> v")
@@ -32,14 +50,17 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     state = _fingerprint(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        hub_rows = max(HUB_ROWS, 2 * state[0] // MOST_HUBS)
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
         large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            _with_least(both, least, hub_rows)
+            .where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        smallest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = (
-            large.join(smallest, "u")
+            _with_least(large, smallest, hub_rows)
             .where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(smallest.select("u", F.col("m").alias("v")))

@@ -102,3 +102,12 @@ def test_components_of_a_long_chain(spark, rows):
     got = rows(graph.components(edges))
     assert got == sorted([(i, 0) for i in range(1, 41)] + [(100, 90)], key=repr)
     assert graph.components(edges.where("false")).count() == 0
+
+
+def test_components_around_hubs(spark, rows, monkeypatch):
+    monkeypatch.setattr(graph, "HUB_ROWS", 5)
+    star = [(50, 50 + i) for i in range(1, 40)] + [(89, 3), (200, 201), (3, 7)]
+    wheel = [(300 + i, 330) for i in range(30)] + [(300, 2), (329, 1)]
+    edges = spark.createDataFrame(star + wheel, "u long, v long")
+    want = [(i, 3) for i in [7, *range(50, 90)]] + [(201, 200)] + [(i, 1) for i in [2, *range(300, 331)]]
+    assert rows(graph.components(edges)) == sorted(want, key=repr)
