@@ -138,9 +138,9 @@ def count_slice(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def with_counts(docs: DataFrame, prefix: str = "") -> DataFrame:
+def with_counts(docs: DataFrame) -> DataFrame:
     """Add the counts of ``text`` as LONG columns; all other columns pass through."""
-    names = [prefix + name for name in COUNTS]
+    names = list(COUNTS)
     clash = set(names) & set(docs.columns)
     docs = docs.drop(*clash)
     schema = T.StructType(docs.schema.fields + [T.StructField(n, T.LongType()) for n in names])
@@ -163,16 +163,16 @@ def with_counts(docs: DataFrame, prefix: str = "") -> DataFrame:
     return map_arrow(docs, count, schema)
 
 
-def base_failed(prefix: str = "") -> Column:
-    n = F.col(prefix + "n_words")
-    return (n < MIN_WORDS) | (100 * F.col(prefix + "n_repeat_words") > MAX_REPEAT_PERCENT * n)
+def base_failed() -> Column:
+    n = F.col("n_words")
+    return (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
 
 
-def vector(prefix: str = "") -> list[Column]:
+def vector() -> list[Column]:
     """The transformed statistics, in the order of FLOORS: logs, and arcsine roots of shares."""
-    n = {name: F.greatest(F.col(prefix + name), F.lit(1)).cast("double") for name in COUNTS}
+    n = {name: F.greatest(F.col(name), F.lit(1)).cast("double") for name in COUNTS}
     share = lambda part, whole: F.asin(
-        F.sqrt(F.least(F.col(prefix + part) / n[whole], F.lit(1.0)))
+        F.sqrt(F.least(F.col(part) / n[whole], F.lit(1.0)))
     )
     return [
         F.log(n["word_chars"] / n["n_words"]),
@@ -444,21 +444,21 @@ def fit_groups(counted: DataFrame) -> DataFrame:
     )
 
 
-def judge(counted: DataFrame, groups: DataFrame, prefix: str = "") -> DataFrame:
+def judge(counted: DataFrame, groups: DataFrame) -> DataFrame:
     """Add ``__q_distance``, ``__q_failed`` (base rule) and ``__q_kept`` to counted documents.
 
     The estimates are joined by language and source; Spark broadcasts them where their measured
     size allows and otherwise splits the skewed keys of a sort-merge join.
     """
-    n = F.col(prefix + "n_words")
+    n = F.col("n_words")
     damp = F.sqrt(n / (n + SETTLING_WORDS))
-    z = [(v - F.get("__q_median", F.lit(i))) * damp for i, v in enumerate(vector(prefix))]
+    z = [(v - F.get("__q_median", F.lit(i))) * damp for i, v in enumerate(vector())]
     beyond = F.col("__q_distance") > chi2_tail(TAIL, DIMS)
     return (
         counted.withColumn("__q_cell", cell())
         .join(groups, "__q_cell", "left")
         .withColumn("__q_distance", distance(z, "__q_centre", "__q_prec"))
-        .withColumn("__q_failed", base_failed(prefix))
+        .withColumn("__q_failed", base_failed())
         .withColumn("__q_kept", ~F.col("__q_failed") & ~F.coalesce(beyond, F.lit(False)))
     )
 
@@ -480,8 +480,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns they came with; no text is shuffled to sort them out."""
-    slim = docs.select("lang", "source", "text")
-    groups = fit_groups(settle(with_counts(slim).drop("text"), "counts"))
-    judged = judge(with_counts(docs, "__q_"), groups, "__q_")
-    return judged.where("__q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass, with the columns they came with, whatever these are called.
+
+    Texts are counted once: the counted documents are written, the estimates read their counts alone,
+    and the verdict reads them again. No text is shuffled.
+    """
+    used = ("lang", "source", "text")
+    names = [c if c in used else f"__q_own{i}" for i, c in enumerate(docs.columns)]
+    counted = settle(with_counts(docs.toDF(*names)), "counted")
+    judged = judge(counted, fit_groups(counted))
+    return judged.where("__q_kept").select(
+        *[F.col(name).alias(c) for name, c in zip(names, docs.columns)]
+    )

@@ -116,13 +116,17 @@ def test_run_equals_the_stages_done_plainly(spark):
 
 def test_clashing_columns_and_repeated_ids_in_the_filters(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
-    for name in ("__d_id", "__c_score", "gone_id", "row", "digest", "score", "__q_kept_own"):
+    own = ("__d_id", "__c_score", "gone_id", "row", "digest", "score", "n_words", "__q_kept", "__q_cell", "__q_own0")
+    for name in own:
         docs = docs.withColumn(name, F.lit(f"own {name}"))
     again = docs.limit(3).withColumn("text", F.concat(F.lit("another text "), F.reverse("text")))
     docs = corpus_pipeline.settle(docs.union(again), "clash")
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     scored = quality_classifier.kept_documents(docs, labels)
     assert scored.columns == docs.columns and set(r[0] for r in scored.select("__c_score").collect()) == {"own __c_score"}
+    passed = quality_rules.kept_documents(docs)
+    assert passed.columns == docs.columns and passed.count()
+    assert {tuple(r) for r in passed.select(*own).collect()} == {tuple(f"own {name}" for name in own)}
     one = near_dedup.kept_documents(docs)
     assert one.columns == docs.columns and {r["digest"] for r in one.collect()} == {"own digest"}
     texts = {r["doc_id"]: r["text"] for r in one.collect()}
