@@ -14,6 +14,8 @@ BROADCAST_LIMIT = 10 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 HOT_KEYS = 4_096
 SKETCH_ITEMS = 65_536
+#: The largest sketch that Spark's approx_top_k allows.
+MOST_ITEMS = 1_000_000
 MAX_CUTS = 65_536
 RANGE = "__range"
 
@@ -87,15 +89,25 @@ def key_hash(keys: Sequence[str]) -> Column:
 def _hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int
 ) -> dict[int, int]:
-    """Hash and approximate row count of the keys that hold more rows than one task should."""
-    found = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
-        .first()
-    )
-    return {
-        item["item"]: item["count"] for item in found["top"] or [] if item["count"] > rows_per_task
-    }
+    """Hash and approximate row count of the keys that hold more rows than one task should.
+
+    The sketch is off by less than four rows in ``items`` of all, and of ``n`` rows at most
+    ``n / rows_per_task`` keys can be hot. Where the first pass shows that the sketch was too small
+    for the table, a second one takes the size that its rows ask for, up to Spark's limit.
+    """
+    hashed = df.select(key_hash(keys).alias("h"))
+    most, items = HOT_KEYS, SKETCH_ITEMS
+    while True:
+        found = hashed.agg(
+            F.count("*").alias("n"), F.expr(f"approx_top_k(h, {most}, {items})").alias("top")
+        ).first()
+        counts = {item["item"]: item["count"] for item in found["top"] or []}
+        counts = {h: count for h, count in counts.items() if count > rows_per_task}
+        possible = found["n"] // rows_per_task
+        if items >= MOST_ITEMS or (4 * possible <= items and len(counts) < most):
+            return counts
+        items = min(max(4 * possible, items + 1), MOST_ITEMS)
+        most = min(max(possible + 1, most), items)
 
 
 def hot_slots(
@@ -105,11 +117,12 @@ def hot_slots(
 ) -> dict[int, int]:
     """Hash of each key too big for one task, with the number of tasks it should be spread over.
 
-    All slots together stay below MAX_CUTS + HOT_KEYS, however large the table.
+    There are at most MAX_CUTS slots more than hot keys, however large the table.
 
-    One pass over the key columns feeds a frequent-items sketch of fixed size, so neither the
-    shuffle nor the driver grows with the number of keys; at most HOT_KEYS come back (a key beyond
-    them stays in one task). Bytes on disk are no guide here, as copies compress away. The answer only steers
+    One pass over the key columns feeds a frequent-items sketch, so neither the shuffle nor the
+    driver grows with the number of keys; a second, larger sketch is taken only for tables of more
+    than about ``rows_per_task * SKETCH_ITEMS / 4`` rows or HOT_KEYS hot keys. At most MOST_ITEMS keys
+    come back, 16 bytes each. Bytes on disk are no guide here, as copies compress away. The answer only steers
     how rows are spread: a key missed or named in excess changes the layout, never the result.
     """
     counts = _hot_keys(df, keys, rows_per_task)
@@ -162,29 +175,34 @@ def hot_ranges(
 ) -> KeyRanges:
     """Cut every hot key into ranges of ``order`` of about ``rows_per_task`` rows.
 
-    All cut points together stay below MAX_CUTS + HOT_KEYS, however large the table. Where they
-    fall decides only how evenly a key is spread, so approximate ones do.
+    There are at most MAX_CUTS cut points, however large the table; each key's are picked before
+    they come to the driver. Where they fall decides only how evenly a key is spread, so
+    approximate ones do.
     """
     counts = _hot_keys(df, keys, rows_per_task)
     if not counts:
         return KeyRanges()
     rows_per_range = max(rows_per_task, sum(counts.values()) // MAX_CUTS)
-    most = math.ceil(max(counts.values()) / rows_per_range)
+    wanted = {h: math.ceil(n / rows_per_range) for h, n in counts.items()}
+    most = max(wanted.values())
+    if most == 1:
+        return KeyRanges()
+    known = df.sparkSession.createDataFrame(
+        [item for item in wanted.items() if item[1] > 1], "h LONG, wanted INT"
+    )
     fractions = ", ".join(str(i / most) for i in range(1, most))
     accuracy = max(10_000, 4 * most)
+    picked = f"transform(sequence(1, wanted - 1), i -> element_at(cuts, int(i * {most}L div wanted)))"
     rows = (
         df.select(key_hash(keys).alias("h"), F.col(order).alias("o"))
-        .where(F.col("h").isin(list(counts)))
-        .groupBy("h")
+        .join(F.broadcast(known), "h")
+        .groupBy("h", "wanted")
         .agg(F.expr(f"percentile_approx(o, array({fractions}), {accuracy})").alias("cuts"))
+        .select("h", F.array_sort(F.array_compact(F.array_distinct(F.expr(picked)))).alias("cuts"), "wanted")
         .collect()
     )
-    cuts, piled = {}, False
-    for row in rows:
-        wanted = math.ceil(counts[row["h"]] / rows_per_range)
-        picked = [row["cuts"][i * most // wanted - 1] for i in range(1, wanted)]
-        cuts[row["h"]] = sorted(set(picked))
-        piled = piled or len(cuts[row["h"]]) < len(picked)
+    cuts = {h: [] for h in wanted} | {row["h"]: row["cuts"] for row in rows}
+    piled = any(len(row["cuts"]) < row["wanted"] - 1 for row in rows)
     return KeyRanges(cuts, piled)
 
 

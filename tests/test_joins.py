@@ -154,3 +154,21 @@ def test_union_keeps_and_distinct_removes(spark):
     b = spark.createDataFrame([(2, "b"), (3, "c")], "id INT, v STRING")
     assert a.unionAll(b).count() == 4 and a.union(b).distinct().count() == 3
     assert a.unionAll(a).select(F.count("*")).first()[0] == 4
+
+
+def test_a_small_sketch_grows_until_no_hot_key_is_missed(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "HOT_KEYS", 3)
+    monkeypatch.setattr(sizing, "SKETCH_ITEMS", 16)
+    df = spark.range(6000).selectExpr("IF(id % 2 = 0, id % 80, 1000 + id) AS k", "id AS o")
+    slots = hot_slots(df, ["k"], rows_per_task=50)
+    assert len(slots) == 40 and set(slots.values()) == {2}
+    ranges = sizing.hot_ranges(df, ["k"], "o", rows_per_task=50)
+    assert set(ranges.cuts) == set(slots) and all(len(c) == 1 and 2000 < c[0] < 4000 for c in ranges.cuts.values())
+    assert hot_slots(df, ["k"], rows_per_task=100) == {}
+
+
+def test_ranges_of_a_key_whose_order_is_unknown(spark):
+    df = spark.range(100).selectExpr("1L AS k", "CAST(NULL AS LONG) AS o")
+    ranges = sizing.hot_ranges(df, ["k"], "o", rows_per_task=10)
+    assert list(ranges.cuts.values()) == [[]] and ranges.piled
+    assert sizing.hot_ranges(df.where("false"), ["k"], "o", rows_per_task=10) == sizing.KeyRanges()
