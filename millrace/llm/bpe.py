@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.common import map_arrow
@@ -197,3 +200,47 @@ def encode_documents(docs: DataFrame, path: str | None = None, full: bool = Fals
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return map_arrow(slim, encode, schema + ", ids string, decoded string" * full)
+
+
+def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    task = TaskContext.get().partitionId()
+    for batch in batches:
+        found: Counter[tuple[int, int]] = Counter()
+        for texts in chunk_texts(batch.column("text")):
+            for text in texts:
+                for chunk in [text] if isinstance(text, str) else text:
+                    raw = chunk.encode()
+                    found[xxhash.xxh64_intdigest(raw) - (1 << 63), len(raw)] += 1
+        hashes, sizes = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([task] * len(hashes), pa.int32()),
+                pa.array(hashes, pa.int64()),
+                pa.array(sizes, pa.int64()),
+                pa.array(found.values(), pa.int64()),
+            ],
+            names=["task", "hash", "size", "n"],
+        )
+
+
+def chunk_reuse(docs: DataFrame) -> DataFrame:
+    """How far chunk reuse can go: one row of chunk counts and bytes of all texts.
+
+    ``n_chunks`` and ``n_bytes`` are those of all texts, ``task_*`` what is left when every task encodes
+    a chunk once (with unbounded memory), ``distinct_*`` what is left when the whole cluster does.
+    Chunks are told apart by a 64-bit hash and their size; texts encoded whole count as one chunk.
+    Only hashes are shuffled, counted per batch first. NULL and empty texts have no chunks.
+    """
+    slim = docs.select("text").where(F.length("text") > 0)
+    counted = map_arrow(slim, _count_chunks, "task int, hash long, size long, n long")
+    by_task = counted.groupBy("hash", "size", "task").agg(F.sum("n").alias("n"))
+    chunks = by_task.groupBy("hash", "size").agg(F.sum("n").alias("n"), F.count("*").alias("tasks"))
+    total = lambda count: F.coalesce(F.sum(count), F.lit(0))
+    return chunks.agg(
+        total(F.col("n")).alias("n_chunks"),
+        total(F.col("tasks")).alias("task_chunks"),
+        F.count("*").alias("distinct_chunks"),
+        total(F.col("n") * F.col("size")).alias("n_bytes"),
+        total(F.col("tasks") * F.col("size")).alias("task_bytes"),
+        total("size").alias("distinct_bytes"),
+    )

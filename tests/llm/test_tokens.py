@@ -97,3 +97,25 @@ def test_genomes_hold_every_item_once():
                 held[n] += times
         assert held == counts
     assert sum(genomes[0].values()) <= sum(packing.fill_bins(counts, None, 2048).values())
+
+
+def test_chunk_reuse_counts_every_chunk(spark, docs, odd_pairs):
+    shared = " ".join(f"shared{i}" for i in range(900))
+    pairs = odd_pairs + [(200 + i, f"start {i} {shared} end {i}") for i in range(12)]
+    import pyarrow as pa
+
+    texts = pa.array([t for _, t in pairs if t], pa.string())
+    chunks = Counter(
+        c.encode()
+        for part in bpe.chunk_texts(texts)
+        for text in part
+        for c in ([text] if isinstance(text, str) else text)
+    )
+    got = bpe.chunk_reuse(docs(pairs).repartition(3)).first()
+    assert (got["n_chunks"], got["distinct_chunks"]) == (sum(chunks.values()), len(chunks))
+    assert got["n_bytes"] == sum(len((t or "").encode()) for _, t in pairs)
+    assert got["distinct_bytes"] == sum(map(len, chunks))
+    assert got["distinct_chunks"] < got["task_chunks"] < got["n_chunks"]
+    assert got["distinct_bytes"] <= got["task_bytes"] <= got["n_bytes"]
+    none = bpe.chunk_reuse(docs([(1, None), (2, "")])).first()
+    assert set(none.asDict().values()) == {0}
