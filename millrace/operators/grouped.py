@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame
 
 #: Rows of a chunk; a task holds one chunk and one group's state.
 CHUNK_ROWS = 50_000
+#: Rows gathered from chunks that give few before they go out, so small groups share a batch.
+OUT_ROWS = 10_000
 
 
 def map_groups(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    fn: Callable[[tuple, object, pd.DataFrame], tuple[object, pd.DataFrame]],
+    fn: Callable[[tuple, object, pd.DataFrame | pa.RecordBatch], tuple[object, pd.DataFrame | list[tuple]]],
     schema: str,
     *,
-    finish: Callable[[tuple, object], pd.DataFrame] | None = None,
+    finish: Callable[[tuple, object], pd.DataFrame | list[tuple]] | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    frames: bool = True,
 ) -> DataFrame:
     """Apply ``fn`` to every group, a chunk of ordered rows at a time.
 
@@ -29,15 +32,31 @@ def map_groups(
     shuffle by key; the sort within it spills, and no group is ever held whole, so a group larger
     than a task's memory works. Rows with NULL keys form a group like others. A chunk never spans
     groups. The order should be total: rows equal in it may come in any order.
+
+    Chunks and rows are DataFrames. Making those takes longer than most work on a few rows, so for
+    many small groups or chunks give ``frames=False``: a chunk is then an Arrow batch, without a copy,
+    and rows are lists of tuples in the order of ``schema``.
     """
     kinds = df.sparkSession.createDataFrame([], schema).toArrow().schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, open_ = None, None, False
+        held: list[tuple] = []
+
+        def out(rows: pd.DataFrame | list[tuple]) -> Iterator[pa.RecordBatch]:
+            if frames:
+                if len(rows):
+                    yield pa.RecordBatch.from_pandas(rows[kinds.names], schema=kinds, preserve_index=False)
+                return
+            held.extend(rows)
+            if len(held) >= OUT_ROWS:
+                yield from flush()
 
-        def out(rows: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-            if len(rows):
-                yield pa.RecordBatch.from_pandas(rows[kinds.names], schema=kinds, preserve_index=False)
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                columns = [pa.array(c, kind.type) for c, kind in zip(zip(*held), kinds, strict=True)]
+                held.clear()
+                yield pa.RecordBatch.from_arrays(columns, schema=kinds)
 
         for batch in batches:
             keyed = list(zip(*(batch.column(k).to_pylist() for k in keys)))
@@ -50,12 +69,13 @@ def map_groups(
                     if open_ and finish:
                         yield from out(finish(key, state))
                     key, state, open_ = keyed[start], None, True
-                chunk = batch.slice(start, end - start).to_pandas()
-                state, rows = fn(key, state, chunk)
+                chunk = batch.slice(start, end - start)
+                state, rows = fn(key, state, chunk.to_pandas() if frames else chunk)
                 yield from out(rows)
                 start = end
         if open_ and finish:
             yield from out(finish(key, state))
+        yield from flush()
 
     dealt = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return dealt.mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import latest_per_key
@@ -439,31 +439,33 @@ def latest_n_events(t):
 def grouped_visits(t):
     """Events of each user cut into visits by pauses of more than twelve hours, in chunks of ordered
     rows: the open visit is the state that a chunk hands to the next."""
-    columns = ["user_id", "visit", "n_events", "began", "ended", "cents"]
-    pause = pd.Timedelta(hours=12)
+    pause = np.timedelta64(12 * 3600, "s").astype("timedelta64[us]")
 
     def chunk_visits(key, state, chunk):
-        opens = chunk["ts"].diff() > pause
-        first = state is None or chunk["ts"].iloc[0] - state["ended"] > pause
-        opens.iloc[0] = first
-        visit = opens.astype("int64").cumsum() + (0 if state is None else state["visit"])
-        found = chunk.assign(visit=visit).groupby("visit", as_index=False).agg(
-            n_events=("ts", "size"), began=("ts", "first"), ended=("ts", "last"), cents=("cents", "sum")
-        )
-        if not first:
-            found.loc[0, "began"] = state["began"]
-            found.loc[0, "n_events"] += state["n_events"]
-            found.loc[0, "cents"] += state["cents"]
-        elif state is not None:
-            found = pd.concat([pd.DataFrame([state]), found], ignore_index=True)
-        found["user_id"] = key[0]
-        return found.iloc[-1][columns].to_dict(), found.iloc[:-1]
-
-    rows = t.events.select("user_id", "ts", "event_id", cents("value").alias("cents"))
+        ts = chunk.column("ts").to_numpy(zero_copy_only=False)
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(ts) > pause) + 1))
+        n_events = np.diff(starts, append=len(ts))
+        began, ended = ts[starts], ts[starts + n_events - 1]
+        unknown = int(np.isnat(ts).sum())  # they come first, and no pause follows them
+        began[0] = ts[min(unknown, n_events[0] - 1)]
+        sums = np.add.reduceat(chunk.column("cents").to_numpy(), starts)
+        found = list(zip(n_events.tolist(), began.tolist(), ended.tolist(), sums.tolist()))
+        visit = 1
+        if state is not None:
+            (_, visit, *open_), last = state
+            if ts[0] - last > pause:
+                found.insert(0, open_)
+            else:
+                found[0] = (open_[0] + found[0][0], open_[1], found[0][2], open_[3] + found[0][3])
+        found = [(key[0], i, *part) for i, part in enumerate(found, visit)]
+        return (found[-1], ended[-1]), found[:-1]
+
+    known = F.coalesce(cents("value"), F.lit(0)).alias("cents")
+    rows = t.events.select("user_id", "ts", "event_id", known)
     schema = "user_id long, visit long, n_events long, began timestamp_ntz, ended timestamp_ntz, cents long"
     return map_groups(
         rows, ["user_id"], ["ts", "event_id"], chunk_visits, schema,
-        finish=lambda key, state: pd.DataFrame([state]), chunk_rows=20,
+        finish=lambda key, state: [state[0]], chunk_rows=20, frames=False,
     )
 
 
