@@ -18,15 +18,22 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _with_least(edges: DataFrame, least: DataFrame, hub_rows: int) -> DataFrame:
-    """Each edge beside the ``m`` of its ``u``, for ``least`` with columns ``u``, ``m`` and ``n`` edges.
+def _with_least(edges: DataFrame, name: str, hub_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Each edge beside the smallest ``m`` of its ``u`` and all of u's ends; and ``m`` of every ``u``.
 
     Edges of a node with more than ``hub_rows`` of them stay where they are and meet their hub by a
-    broadcast, so one hub never fills a task; the rest meet by one shuffle on ``u``.
+    broadcast, so one hub never fills a task; the rest meet by one shuffle on ``u``. The table of
+    smallest ends is settled, so that no later plan repeats how it came about.
     """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = settle(least.select("u", F.least("u", "m").alias("m"), "n"), f"{name}-least")
+    most = least.agg(F.max("n")).first()[0]
+    if most is None or most <= hub_rows:
+        return edges.join(least.select("u", "m"), "u"), least
     hubs = F.broadcast(least.where(F.col("n") > hub_rows).select("u", "m"))
     rest = least.where(F.col("n") <= hub_rows).select("u", "m")
-    return edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(rest, "u"))
+    near = edges.join(hubs, "u").unionByName(edges.join(hubs, "u", "left_anti").join(rest, "u"))
+    return near, least
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -37,6 +44,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     its larger neighbours, then its smaller ones, to its smallest neighbour, until only stars are
     left. Each step is a grouped minimum, combined before the shuffle, and a join; no node's
     neighbours are ever gathered, and the links stay distributed from the first step to the last.
+    Each step reads settled tables only, so its plan, which the driver holds and keeps record of,
+    is a join of two tables, however the links came about.
 
     Hubs are broadcast to their edges. A step joins at most ``2 * n`` rows for ``n`` edges, and a hub
     has more than ``max(HUB_ROWS, 2 * n / MOST_HUBS)`` of them, so there are fewer than ``MOST_HUBS``.
@@ -51,17 +60,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while state[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hub_rows = max(HUB_ROWS, 2 * state[0] // MOST_HUBS)
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        least = least.select("u", F.least("u", "m").alias("m"), "n")
-        large = (
-            _with_least(both, least, hub_rows)
-            .where("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).distinct()
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        met, _ = _with_least(both, name, hub_rows)
+        large = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = settle(large, f"{name}-large")
+        met, smallest = _with_least(large, name, hub_rows)
         small = (
-            _with_least(large, smallest, hub_rows)
-            .where("v <> m")
+            met.where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(smallest.select("u", F.col("m").alias("v")))
             .distinct()

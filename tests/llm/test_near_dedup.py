@@ -111,3 +111,19 @@ def test_components_around_hubs(spark, rows, monkeypatch):
     edges = spark.createDataFrame(star + wheel, "u long, v long")
     want = [(i, 3) for i in [7, *range(50, 90)]] + [(201, 200)] + [(i, 1) for i in [2, *range(300, 331)]]
     assert rows(graph.components(edges)) == sorted(want, key=repr)
+
+
+def test_component_steps_plan_over_settled_tables(spark, rows, monkeypatch):
+    """No step's plan repeats how an earlier one came about; with and without hubs."""
+    leaves, settle = [], graph.settle
+
+    def spy(df, name):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return settle(df, name)
+
+    monkeypatch.setattr(graph, "settle", spy)
+    edges = spark.createDataFrame([(1, 1 + i) for i in range(1, 20)] + [(20, 30), (30, 31)], "u long, v long")
+    for hub_rows in (1_000, 5):
+        monkeypatch.setattr(graph, "HUB_ROWS", hub_rows)
+        assert rows(graph.components(edges)) == sorted([(i, 1) for i in [*range(2, 21), 30, 31]], key=repr)
+        assert max(leaves) <= 9
